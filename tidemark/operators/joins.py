@@ -1,0 +1,24 @@
+"""Joins against dimension tables whose size is checked before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) we are willing to ship to every executor.
+BROADCAST_ROW_LIMIT = 200_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_side(small: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """``small`` marked for broadcast if its row count is proven bounded.
+
+    Beyond the bound the side is returned as is, so the join falls back to a
+    shuffled (sort-merge) join, which AQE may still turn into a broadcast from
+    the runtime size of the shuffle.
+    """
+    return F.broadcast(small) if has_at_most(small, max_rows) else small

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled system is a synchronous batch job with full refreshes; it has
+no streams, watermarks or stateful operators, so nothing is built here.
+A stream of subscription events can still feed the batch operators by
+landing micro-batches as parquet (``writeStream.format("parquet")``) and
+re-running ``tidemark.operators.movement`` over the landed table.
+"""
