@@ -62,8 +62,9 @@ def _ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _report_month(spark: SparkSession, sf: str):
-    """The reporting month: the last month with events (a scalar subquery)."""
-    return M.last_month(fixture.model_events(spark, sf))
+    """The reporting month: the last complete month, i.e. the month before the
+    last month with events (a scalar subquery over the events)."""
+    return F.add_months(M.last_month(fixture.model_events(spark, sf)), -1)
 
 
 def _rollup(spark: SparkSession, sf: str, segment: bool = False) -> DataFrame:
@@ -148,7 +149,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # KPIs and reports
     "monthly_kpis": lambda s, d: _out(_kpis(s, d)),
     "kpis_at_month": lambda s, d: _out(_kpi_row(s, d)),
-    "kpis_at_empty_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(_report_month(s, d), 1))),
+    "kpis_at_empty_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(M.last_month(fixture.model_events(s, d)), 1))),
     "kpi_deltas": lambda s, d: _out(K.kpi_deltas(_kpis(s, d))),
     "waterfall_steps": lambda s, d: _out(K.waterfall_steps(_kpi_row(s, d))),
     "waterfall_equation": lambda s, d: _out(K.waterfall_equation(_kpi_row(s, d))),

@@ -105,7 +105,7 @@ mv AS (
   JOIN sub_customers c ON cm.customer_id = c.customer_id
   LEFT JOIN sub_plans pp ON cm.prev_plan_id = pp.plan_id
   LEFT JOIN sub_plans pc ON cm.current_plan_id = pc.plan_id),
-report AS (SELECT last_month AS m FROM bounds),
+report AS (SELECT CAST(last_month - INTERVAL 1 MONTH AS DATE) AS m FROM bounds),
 waterfall AS (
   SELECT month_date,
     round(sum(prev_mrr), 2) AS starting_mrr, round(sum(current_mrr), 2) AS ending_mrr,
@@ -239,10 +239,10 @@ QUERIES = {
         CAST(violations AS BIGINT) AS violations FROM checks""",
     "monthly_kpis": f"SELECT {KPI_COLS} FROM kpis",
     "kpis_at_month": f"SELECT {KPI_COLS} FROM kpi_report",
-    "kpis_at_empty_month": """SELECT CAST(m + INTERVAL 1 MONTH AS DATE) AS month_date, 0.0 AS ending_mrr,
+    "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date, 0.0 AS ending_mrr,
         0.0 AS starting_mrr, CAST(0 AS BIGINT) AS active_customers, 0.0 AS arpu, 100.0 AS nrr,
         0.0 AS gross_churn, 0.0 AS new_mrr, 0.0 AS expansion_mrr, 0.0 AS reactivation_mrr,
-        0.0 AS contraction_mrr, 0.0 AS churn_mrr FROM report""",
+        0.0 AS contraction_mrr, 0.0 AS churn_mrr FROM bounds""",
     "kpi_deltas": """SELECT k.month_date, k.ending_mrr,
         round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
               ELSE 0.0 END, 6) AS delta_mrr_pct,
