@@ -88,7 +88,10 @@ def _checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _activity(spark: SparkSession, sf: str, pattern: str | None = None) -> DataFrame:
-    return K.activity_ledger(_ledger(spark, sf), _report_month(spark, sf), pattern)
+    """One month's activity from the as-of snapshot: no dense history is built."""
+    month = _report_month(spark, sf)
+    plans, customers, events = _inputs(spark, sf)
+    return K.activity_ledger(asof_snapshot(events, month, customers, plans), month, pattern)
 
 
 def _snapshot(spark: SparkSession, sf: str, months_back: int = 0) -> DataFrame:
@@ -155,16 +158,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "waterfall_equation": lambda s, d: _out(K.waterfall_equation(_kpi_row(s, d))),
     "trend": lambda s, d: _out(K.trend_from_rollup(_rollup(s, d))),
     "trend_filtered": lambda s, d: _out(K.trend_from_rollup(_rollup(s, d, segment=True))),
+    "segment_trend": lambda s, d: _out(monthly_rollup(
+        fixture.model_events(s, d), fixture.customers(s, d), by=["company_size"]).select(
+        "month_date", "company_size", "ending_mrr", "starting_mrr", "churn_mrr",
+        F.col("active_customers").cast("bigint"), F.col("ledger_rows").cast("bigint"))),
     "growth_cagr": lambda s, d: _out(K.growth(K.trend_from_rollup(_rollup(s, d)))),
-    "segment_mix": lambda s, d: _out(K.segment_mix(_ledger(s, d), _report_month(s, d))),
+    "segment_mix": lambda s, d: _out(K.segment_mix(
+        asof_snapshot(fixture.model_events(s, d), _report_month(s, d), fixture.customers(s, d)),
+        _report_month(s, d))),
     "activity_ledger": lambda s, d: _out(_activity(s, d)),
     "ledger_search": lambda s, d: _out(_activity(s, d, oracles.NAME_PATTERN)),
     "ledger_count": lambda s, d: K.row_count(_activity(s, d)),
     "segment_filter_count": lambda s, d: K.row_count(
         K.segment_filter(_ledger(s, d), oracles.COUNTRIES, oracles.INDUSTRIES)),
-    "options_country": lambda s, d: K.filter_options(_ledger(s, d), "country"),
-    "options_industry": lambda s, d: K.filter_options(_ledger(s, d), "industry"),
-    "options_month": lambda s, d: K.filter_options(_ledger(s, d), "month_date", descending=True),
+    "options_country": lambda s, d: K.customer_options(fixture.customers(s, d), fixture.model_events(s, d),
+                                                       "country"),
+    "options_industry": lambda s, d: K.customer_options(fixture.customers(s, d), fixture.model_events(s, d),
+                                                        "industry"),
+    "options_month": lambda s, d: K.month_options(fixture.model_events(s, d)),
     # sources
     "read_plans": lambda s, d: _out(conform(fixture.plans(s, d), S.PLANS)[0]),
     "read_customers": lambda s, d: conform(fixture.customers(s, d), S.CUSTOMERS)[0],

@@ -268,6 +268,12 @@ QUERIES = {
     "trend_filtered": f"""SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
         CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers
         FROM mv WHERE {SEGMENT} GROUP BY month_date""",
+    "segment_trend": """SELECT month_date, company_size, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
+        CAST(sum(prev_mrr) AS DOUBLE) AS starting_mrr,
+        CAST(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS DOUBLE) AS churn_mrr,
+        CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
+        CAST(count(*) AS BIGINT) AS ledger_rows
+        FROM mv GROUP BY month_date, company_size""",
     "growth_cagr": """SELECT CAST(n AS BIGINT) AS n_months,
         round(CASE WHEN n > 1 AND fm > 0 THEN (lm - fm) / fm * 100 ELSE 0.0 END, 6) AS mrr_growth_pct,
         round(CASE WHEN n > 1 AND fc > 0 THEN (lc - fc) / fc * 100 ELSE 0.0 END, 6) AS customer_growth_pct,

@@ -42,24 +42,30 @@ def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: li
         F.sum(F.when(F.col("month_date") == F.col("first_month"), F.lit(1)).otherwise(F.lit(0))).alias("_dnew"),
     )
     # Every month from a group's first month to the global last month exists in
-    # the dense ledger, with or without movements: add zero rows for all of them.
-    dense = sparse.groupBy(*by).agg(F.min("month_date").alias("_from")).select(
-        *by, F.explode(F.sequence("_from", last_month(bounds), _one_month())).alias("month_date"))
-    zeros = dense.select(
-        "month_date", *by, zero_money().alias("_net"),
-        *[zero_money().alias(a) for a in WATERFALL_ALIASES],
-        F.lit(0).cast("bigint").alias("_dactive"), F.lit(0).cast("bigint").alias("_dnew"))
-    monthly = sparse.unionByName(zeros, allowMissingColumns=False).groupBy("month_date", *by).agg(
-        F.sum("_net").alias("_net"), *[F.sum(a).alias(a) for a in WATERFALL_ALIASES],
-        F.sum("_dactive").alias("_dactive"), F.sum("_dnew").alias("_dnew"))
-    # Running sums over at most (#months) rows per group.
+    # the dense ledger, with or without movements. Each (month, group) row of
+    # deltas covers the months up to the group's next row (or the global last
+    # month), the same way a month-close row covers its segment; only the first
+    # month of such a span carries the deltas. At most #months rows per group.
+    by_month = Window.partitionBy(*by).orderBy("month_date")
+    spans = sparse.select(
+        "*", F.coalesce(F.add_months(F.lead("month_date").over(by_month), -1), last_month(bounds))
+        .alias("_until"))
+    filled = spans.select(
+        *by, *[c for c in spans.columns if c.startswith("_") and c not in ("_until",)],
+        *WATERFALL_ALIASES,
+        F.posexplode(F.sequence("month_date", "_until", _one_month())).alias("_pos", "month_date"))
+    first = F.col("_pos") == 0
+
+    def on_first(c):
+        return F.when(first, F.col(c)).otherwise(F.lit(0))
+
     run = Window.partitionBy(*by).orderBy("month_date").rowsBetween(Window.unboundedPreceding, 0)
-    ending = F.sum("_net").over(run)
-    return monthly.select(
+    ending = F.sum(on_first("_net")).over(run)
+    return filled.select(
         "month_date", *by,
-        (ending - F.col("_net")).alias("starting_mrr"),
+        (ending - on_first("_net")).alias("starting_mrr"),
         ending.alias("ending_mrr"),
-        *WATERFALL_ALIASES,
-        F.sum("_dactive").over(run).alias("active_customers"),
-        F.sum("_dnew").over(run).alias("ledger_rows"),
+        *[on_first(a).alias(a) for a in WATERFALL_ALIASES],
+        F.sum(on_first("_dactive")).over(run).alias("active_customers"),
+        F.sum(on_first("_dnew")).over(run).alias("ledger_rows"),
     )

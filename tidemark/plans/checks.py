@@ -110,12 +110,26 @@ def orphan_plan_rows(ledger: DataFrame, plans: DataFrame) -> DataFrame:
         plans.select(F.col("plan_id").alias("current_plan_id")), "current_plan_id", "left_anti")
 
 
+def _orphan_count(name: str, rows_per_key: DataFrame, parent_keys: DataFrame, key: str) -> DataFrame:
+    """Anti join of per-key row counts (pre-aggregated, so a hot key is one row)."""
+    n = rows_per_key.join(parent_keys, key, "left_anti").agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
+    return n.select(F.lit(name).alias("check_name"), (F.col("violations") == 0).alias("passed"),
+                    "violations")
+
+
 def check_orphan_customers(ledger: DataFrame, customers: DataFrame) -> DataFrame:
-    return _summary("orphan_customers", orphan_customer_rows(ledger, customers))
+    """V5 summary: ledger rows whose customer is missing from the dimension."""
+    per_key = ledger.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return _orphan_count("orphan_customers", per_key, customers.select("customer_id"), "customer_id")
 
 
 def check_orphan_plans(ledger: DataFrame, plans: DataFrame) -> DataFrame:
-    return _summary("orphan_plans", orphan_plan_rows(ledger, plans))
+    """V6 summary: ledger rows whose non-NULL current plan is missing."""
+    per_key = ledger.where(F.col("current_plan_id").isNotNull()).groupBy("current_plan_id").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return _orphan_count("orphan_plans", per_key,
+                         plans.select(F.col("plan_id").alias("current_plan_id")), "current_plan_id")
 
 
 def check_integrity(ledger: DataFrame, customers: DataFrame, plans: DataFrame) -> DataFrame:

@@ -31,6 +31,20 @@ def filter_options(ledger: DataFrame, column: str, descending: bool = False) ->
     return values.orderBy(F.col(column).desc() if descending else F.col(column).asc())
 
 
+def customer_options(customers: DataFrame, events: DataFrame, column: str) -> DataFrame:
+    """F1/F2 without the ledger: values of ``column`` among customers that have
+    events (the ledger's customers), sorted. Event keys are de-duplicated with
+    partial aggregation before the semi join."""
+    with_events = events.select("customer_id").distinct()
+    return filter_options(customers.join(with_events, "customer_id", "left_semi"), column)
+
+
+def month_options(events: DataFrame) -> DataFrame:
+    """F3 without the ledger: every month of the spine, newest first."""
+    from tidemark.operators.movement import month_spine
+    return month_spine(events).orderBy(F.col("month_date").desc())
+
+
 def segment_filter(df: DataFrame, countries: list[str] | None = None,
                    industries: list[str] | None = None) -> DataFrame:
     """country IN list AND industry IN list; an empty list means no filter."""

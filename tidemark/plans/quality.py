@@ -68,10 +68,14 @@ def check_min(df: DataFrame, column: str, lowest, rule: str) -> DataFrame:
 
 
 def check_fk(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, rule: str) -> DataFrame:
-    """Non-NULL child keys missing from the parent (anti join)."""
+    """Non-NULL child keys missing from the parent. Child rows are first
+    counted per key (partial aggregation collapses a hot key on the map side),
+    then the per-key counts are anti-joined with the parent keys."""
     keys = parent.select(F.col(parent_key).alias(child_key))
-    missing = child.where(F.col(child_key).isNotNull()).join(keys, child_key, "left_anti")
-    return _rule(rule, _count(missing))
+    per_key = child.where(F.col(child_key).isNotNull()).groupBy(child_key).agg(
+        F.count(F.lit(1)).alias("n"))
+    missing = per_key.join(keys, child_key, "left_anti")
+    return _rule(rule, missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")))
 
 
 def check_row_count(df: DataFrame, expected: int, rule: str) -> DataFrame:
