@@ -239,10 +239,11 @@ QUERIES = {
         CAST(violations AS BIGINT) AS violations FROM checks""",
     "monthly_kpis": f"SELECT {KPI_COLS} FROM kpis",
     "kpis_at_month": f"SELECT {KPI_COLS} FROM kpi_report",
-    "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date, 0.0 AS ending_mrr,
-        0.0 AS starting_mrr, CAST(0 AS BIGINT) AS active_customers, 0.0 AS arpu, 100.0 AS nrr,
-        0.0 AS gross_churn, 0.0 AS new_mrr, 0.0 AS expansion_mrr, 0.0 AS reactivation_mrr,
-        0.0 AS contraction_mrr, 0.0 AS churn_mrr FROM bounds""",
+    "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date,
+        CAST(0 AS DOUBLE) AS ending_mrr, CAST(0 AS DOUBLE) AS starting_mrr, CAST(0 AS BIGINT) AS active_customers,
+        CAST(0 AS DOUBLE) AS arpu, CAST(100 AS DOUBLE) AS nrr, CAST(0 AS DOUBLE) AS gross_churn,
+        CAST(0 AS DOUBLE) AS new_mrr, CAST(0 AS DOUBLE) AS expansion_mrr, CAST(0 AS DOUBLE) AS reactivation_mrr,
+        CAST(0 AS DOUBLE) AS contraction_mrr, CAST(0 AS DOUBLE) AS churn_mrr FROM bounds""",
     "kpi_deltas": """SELECT k.month_date, k.ending_mrr,
         round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
               ELSE 0.0 END, 6) AS delta_mrr_pct,
@@ -293,7 +294,8 @@ QUERIES = {
     "options_country": "SELECT DISTINCT country FROM mv",
     "options_industry": "SELECT DISTINCT industry FROM mv",
     "options_month": "SELECT DISTINCT month_date FROM mv",
-    "read_plans": "SELECT * FROM sub_plans",
+    "read_plans": """SELECT plan_id, plan_name, CAST(monthly_price AS DOUBLE) AS monthly_price, billing_cycle
+        FROM sub_plans""",
     "read_customers": "SELECT * FROM sub_customers",
     "read_events": """SELECT event_id, customer_id, plan_id, event_type, event_date,
         CAST(monthly_amount AS DOUBLE) AS monthly_amount FROM sub_events""",

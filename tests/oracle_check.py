@@ -51,10 +51,19 @@ def _rows(names, rows):
     return Counter(tuple(repr(_norm(r[i])) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "DateType()": "DATE", "DoubleType()": "DOUBLE",
+                 "LongType()": "BIGINT", "IntegerType()": "INTEGER", "BooleanType()": "BOOLEAN"}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+
+
 def compare(spark, con, name, spark_fn, sql, sf_dir):
     t0 = time.time()
     sdf = spark_fn(spark, sf_dir)
     s_names = sdf.columns
+    s_types = spark_types(sdf)
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
@@ -64,6 +73,12 @@ def compare(spark, con, name, spark_fn, sql, sf_dir):
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_sec": round(t1 - t0, 2), "oracle_sec": round(t2 - t1, 2)}
     out["columns_match"] = sorted(s_names) == sorted(d_names)
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
     out["values_match"] = out["columns_match"] and _rows(s_names, s_rows) == _rows(d_names, d_rows)
     if not out["values_match"]:
         out["spark_columns"], out["oracle_columns"] = s_names, d_names
@@ -93,7 +108,7 @@ def main(argv):
             r = compare(spark, con, name, fn, sqls[name], sf_dir)
         except Exception as exc:  # report and continue
             r = {"name": name, "error": f"{type(exc).__name__}: {str(exc)[:400]}"}
-        ok = r.get("values_match", False)
+        ok = r.get("values_match", False) and r.get("types_match", False)
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{len(qs) - bad if not wanted else len(wanted) - bad} ok, {bad} bad")

@@ -27,4 +27,4 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
-    assert r["values_match"], r
+    assert r["values_match"] and r["types_match"], r
