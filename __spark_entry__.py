@@ -119,6 +119,16 @@ def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
                        "events": fixture.events(spark, sf)})
 
 
+def _load_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows handed to the load vs rows that survive conformance."""
+    from tidemark.sources.publish import load_counts
+    inputs = {"plans": (fixture.plans(spark, sf), S.PLANS),
+              "customers": (fixture.customers(spark, sf), S.CUSTOMERS),
+              "events": (fixture.events(spark, sf), S.EVENTS)}
+    return load_counts({k: v[0] for k, v in inputs.items()},
+                       {k: conform(v[0], v[1])[0] for k, v in inputs.items()})
+
+
 def _quality(spark: SparkSession, sf: str, rules) -> DataFrame:
     plans, customers = fixture.plans(spark, sf), fixture.customers(spark, sf)
     events = fixture.events(spark, sf)
@@ -152,6 +162,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # KPIs and reports
     "monthly_kpis": lambda s, d: _out(_kpis(s, d)),
     "kpis_at_month": lambda s, d: _out(_kpi_row(s, d)),
+    "kpis_prior_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(_report_month(s, d), -1))),
+    "kpis_filtered": lambda s, d: _out(K.kpis_from_rollup(_rollup(s, d, segment=True))),
     "kpis_at_empty_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(M.last_month(fixture.model_events(s, d)), 1))),
     "kpi_deltas": lambda s, d: _out(K.kpi_deltas(_kpis(s, d))),
     "waterfall_steps": lambda s, d: _out(K.waterfall_steps(_kpi_row(s, d))),
@@ -181,6 +193,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_customers": lambda s, d: conform(fixture.customers(s, d), S.CUSTOMERS)[0],
     "read_events": lambda s, d: _out(conform(fixture.events(s, d), S.EVENTS)[0]),
     "conform_summary": _conform_summary,
+    "load_check": _load_check,
     "load_counts": _load_counts,
     # lifecycle and data quality
     "derive_event_type": lambda s, d: derive_event_type(fixture.raw_events(s, d)).select(

@@ -239,6 +239,27 @@ QUERIES = {
         CAST(violations AS BIGINT) AS violations FROM checks""",
     "monthly_kpis": f"SELECT {KPI_COLS} FROM kpis",
     "kpis_at_month": f"SELECT {KPI_COLS} FROM kpi_report",
+    "kpis_prior_month": f"""SELECT {KPI_COLS} FROM kpis
+        WHERE month_date = (SELECT CAST(m - INTERVAL 1 MONTH AS DATE) FROM report)""",
+    "kpis_filtered": f"""SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
+        CAST(sum(prev_mrr) AS DOUBLE) AS starting_mrr,
+        CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
+        round(CASE WHEN sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) > 0
+          THEN CAST(sum(current_mrr) AS DOUBLE) / sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END)
+          ELSE 0.0 END, 6) AS arpu,
+        round(CASE WHEN sum(prev_mrr) > 0 THEN CAST(sum(prev_mrr) + sum(CASE WHEN mrr_category IN
+          ('Expansion', 'Reactivation', 'Contraction', 'Churn') THEN mrr_change ELSE 0 END) AS DOUBLE)
+          / CAST(sum(prev_mrr) AS DOUBLE) * 100.0 ELSE 100.0 END, 6) AS nrr,
+        round(CASE WHEN sum(prev_mrr) > 0 THEN CAST(abs(sum(CASE WHEN mrr_category IN ('Contraction', 'Churn')
+          THEN mrr_change ELSE 0 END)) AS DOUBLE) / CAST(sum(prev_mrr) AS DOUBLE) * 100.0 ELSE 0.0 END, 6)
+          AS gross_churn,
+        CAST(sum(CASE WHEN mrr_category = 'New' THEN mrr_change ELSE 0 END) AS DOUBLE) AS new_mrr,
+        CAST(sum(CASE WHEN mrr_category = 'Expansion' THEN mrr_change ELSE 0 END) AS DOUBLE) AS expansion_mrr,
+        CAST(sum(CASE WHEN mrr_category = 'Reactivation' THEN mrr_change ELSE 0 END) AS DOUBLE)
+          AS reactivation_mrr,
+        CAST(sum(CASE WHEN mrr_category = 'Contraction' THEN mrr_change ELSE 0 END) AS DOUBLE) AS contraction_mrr,
+        CAST(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS DOUBLE) AS churn_mrr
+        FROM mv WHERE {SEGMENT} GROUP BY month_date""",
     "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date,
         CAST(0 AS DOUBLE) AS ending_mrr, CAST(0 AS DOUBLE) AS starting_mrr, CAST(0 AS BIGINT) AS active_customers,
         CAST(0 AS DOUBLE) AS arpu, CAST(100 AS DOUBLE) AS nrr, CAST(0 AS DOUBLE) AS gross_churn,
@@ -303,6 +324,10 @@ QUERIES = {
           CAST(0 AS BIGINT) AS rejected_rows FROM sub_plans
         UNION ALL SELECT 'customers', count(*), 0 FROM sub_customers
         UNION ALL SELECT 'events', count(*), 0 FROM sub_events""",
+    "load_check": """SELECT t AS table_name, CAST(n AS BIGINT) AS input_rows, CAST(n AS BIGINT) AS stored_rows,
+        true AS passed FROM (SELECT 'plans' AS t, count(*) AS n FROM sub_plans
+        UNION ALL SELECT 'customers', count(*) FROM sub_customers
+        UNION ALL SELECT 'events', count(*) FROM sub_events) x""",
     "load_counts": """SELECT 'plans' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM sub_plans
         UNION ALL SELECT 'customers', count(*) FROM sub_customers
         UNION ALL SELECT 'events', count(*) FROM sub_events""",

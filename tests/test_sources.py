@@ -72,3 +72,17 @@ def test_register_views(spark):
 def test_checkpoint_dir_comes_from_session(spark):
     from tidemark.session import checkpoint_dir
     assert checkpoint_dir(spark)
+
+
+def test_ledger_written_by_month_prunes_partitions(spark, tmp_dir):
+    from tidemark.operators.movement import movements
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-15", 19),
+                       ("evt_2", "cust_1", "plan_pro", "upgrade", "2025-03-02", 49)])
+    P.write_ledger(movements(e, customers(spark), plans(spark)), f"{tmp_dir}/ledger")
+    stored = spark.read.parquet(f"{tmp_dir}/ledger")
+    march = stored.where(F.col("month_date") == d("2025-03-01"))
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_date" in plan
+    assert [(r.mrr_category, r.current_mrr) for r in march.collect()] == [("Expansion", money(49))]
+    assert sorted(os.listdir(f"{tmp_dir}/ledger")) == ["_SUCCESS", "month_date=2025-01-01",
+                                                       "month_date=2025-02-01", "month_date=2025-03-01"]

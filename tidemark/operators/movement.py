@@ -98,7 +98,12 @@ def segments(events: DataFrame, customers: DataFrame | None = None,
     while the global last month still comes from ``bounds_events`` (default:
     ``events``), as a filter applied after the model would.
     """
-    close = month_close(events)
+    # The stage after this exchange multiplies rows (up to #months per segment),
+    # so its parallelism must follow the session's partition count rather than
+    # the (small) size of the month-close rows: an explicit count is not
+    # coalesced by AQE. The customer join and the window reuse this partitioning.
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    close = month_close(events).repartition(n, "customer_id")
     if customers is not None:
         attrs = list(attributes if attributes is not None else S.CUSTOMER_ATTRIBUTES)
         close = close.join(customers.select("customer_id", *attrs), "customer_id", "inner")

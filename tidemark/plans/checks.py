@@ -206,9 +206,15 @@ def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame,
         .unionByName(orphan_rows.select(F.lit("referential_integrity").alias("check_name"),
                                         (F.col("violations") == 0).alias("passed"), "violations"))
     )
-    overall = parts.agg(F.lit("all_checks").alias("check_name"), F.bool_and("passed").alias("passed"),
-                        F.sum("violations").alias("violations"))
-    return parts.unionByName(overall)
+    return with_overall(parts)
+
+
+def with_overall(parts: DataFrame) -> DataFrame:
+    """Check rows plus an ``all_checks`` row, from one rollup over the check rows."""
+    return parts.rollup("check_name").agg(
+        F.bool_and("passed").alias("passed"), F.sum("violations").alias("violations")
+    ).select(F.coalesce("check_name", F.lit("all_checks")).alias("check_name"), "passed",
+             F.col("violations").cast("bigint").alias("violations"))
 
 
 # The report's wording for each check (name, formula, tolerance).

@@ -80,6 +80,13 @@ def read_published(spark: SparkSession, base: str, name: str, version: str | Non
     return spark.read.parquet(f"{base}/{v}/{name}")
 
 
+def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write a ledger partitioned by ``month_date``: a month filter on the stored
+    ledger then prunes whole folders instead of scanning every month. Rows are
+    clustered by month first so each task writes few month folders."""
+    (ledger.repartition("month_date").write.mode(mode).partitionBy("month_date").parquet(path))
+
+
 def register_views(views: dict[str, DataFrame]) -> None:
     """(re)register DataFrames as temporary views for SQL users."""
     for name, df in views.items():
