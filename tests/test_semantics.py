@@ -193,3 +193,19 @@ def test_model_matches_brute_force(spark, raw):
     for m in {x["month_date"] for x in expect}:
         snap = asof_snapshot(e, m, c, p, bounds_events=e)
         assert rows_of(snap) == rows_of(mv.where(F.col("month_date") == m))
+
+
+def test_snapshot_month_filter_reaches_the_scan(spark, tmp_dir):
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-15", 19),
+                       ("evt_2", "cust_1", "plan_pro", "upgrade", "2025-05-02", 49)])
+    e.write.parquet(f"{tmp_dir}/events")
+    stored = spark.read.parquet(f"{tmp_dir}/events")
+    snap = asof_snapshot(stored, "2025-03-01", customers(spark), plans(spark))
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_date), LessThan(event_date,2025-04-01)" in plan
+    # only the columns the snapshot reads are scanned
+    assert "ReadSchema: struct<event_id:string,customer_id:string,plan_id:string,event_date:date," \
+           "monthly_amount:decimal(10,2)>" in plan
+    r = snap.collect()[0]
+    assert (r.month_date, r.prev_mrr, r.current_mrr, r.mrr_category) == (d("2025-03-01"), money(19), money(19),
+                                                                         "No Change")
