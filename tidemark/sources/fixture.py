@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.plans.lifecycle import derive_event_type
@@ -22,8 +23,16 @@ SMB_BELOW = 4500
 MID_MARKET_BELOW = 8350
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table; its schema is inferred once per path (inference runs a
+    job) and given explicitly afterwards."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _customer_key(c) -> F.Column:
