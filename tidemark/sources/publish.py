@@ -82,9 +82,15 @@ def read_published(spark: SparkSession, base: str, name: str, version: str | Non
 
 def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a ledger partitioned by ``month_date``: a month filter on the stored
-    ledger then prunes whole folders instead of scanning every month. Rows are
-    clustered by month first so each task writes few month folders."""
-    (ledger.repartition("month_date").write.mode(mode).partitionBy("month_date").parquet(path))
+    ledger then prunes whole folders instead of scanning every month.
+
+    Rows are range-partitioned on (month_date, customer_id) first: each task
+    holds a contiguous slice, so it writes into one or two month folders, and a
+    large month is split across many tasks by customer ranges (partitioning by
+    the month alone would send a whole month to a single task)."""
+    n = int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (ledger.repartitionByRange(n, "month_date", "customer_id")
+     .write.mode(mode).partitionBy("month_date").parquet(path))
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
