@@ -61,6 +61,12 @@ def _ledger(spark: SparkSession, sf: str) -> DataFrame:
     return M.movements(events, customers, plans)
 
 
+def _composed(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger built step by step (state -> prior month -> classify -> enrich)."""
+    plans, customers, events = _inputs(spark, sf)
+    return M.enrich(M.classify(M.with_prior_month(M.monthly_state(events))), customers, plans)
+
+
 def _report_month(spark: SparkSession, sf: str):
     """The reporting month: the last complete month, i.e. the month before the
     last month with events (a scalar subquery over the events)."""
@@ -145,6 +151,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_over_month": lambda s, d: _out(M.month_over_month(fixture.model_events(s, d))),
     "classified_movements": lambda s, d: _out(M.classified_movements(fixture.model_events(s, d))),
     "movements": lambda s, d: _out(_ledger(s, d)),
+    "movements_composed": lambda s, d: _out(_composed(s, d)),
     "category_counts": lambda s, d: M.category_counts(_ledger(s, d)),
     # validators
     "monthly_waterfall": lambda s, d: _out(V.monthly_waterfall(_ledger(s, d))),

@@ -206,6 +206,7 @@ QUERIES = {
         CAST(prev_mrr AS DOUBLE) AS prev_mrr, current_plan_id, prev_plan_id,
         CAST(mrr_change AS DOUBLE) AS mrr_change, mrr_category FROM classified""",
     "movements": f"SELECT {MONEY_MV} FROM mv",
+    "movements_composed": f"SELECT {MONEY_MV} FROM mv",
     "category_counts": "SELECT mrr_category, CAST(count(*) AS BIGINT) AS n_rows FROM mv GROUP BY mrr_category",
     "monthly_waterfall": f"SELECT {WF_COLS} FROM waterfall",
     "monthly_waterfall_fast": f"SELECT {WF_COLS} FROM waterfall",

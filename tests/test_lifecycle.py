@@ -65,3 +65,10 @@ def test_price_audit(spark):
     got = {r.event_id: r.reason for r in Q.price_violations(e, plans(spark)).collect()}
     assert got == {"e2": "amount_not_plan_price", "e3": "cancel_with_amount", "e4": "active_without_plan",
                    "e5": "unknown_plan"}
+
+
+def test_check_range_bounds(spark):
+    e = events(spark, [("e1", "c", "plan_basic", "signup", "2025-01-01", 19),
+                       ("e2", "c", "plan_pro", "upgrade", "2025-02-01", 500)])
+    assert Q.check_range(e, "monthly_amount", 0, 199, "amount.range").collect()[0]["violations"] == 1
+    assert Q.check_range(e, "monthly_amount", lowest=0, rule="amount.min").collect()[0]["passed"] is True

@@ -182,6 +182,48 @@ def movements(events: DataFrame, customers: DataFrame, plans: DataFrame,
     return expand(seg).select(*S.MOVEMENT_COLUMNS)
 
 
+# ------------------------------------------------- composable step-by-step form
+# For callers holding their own dense monthly state: the same semantics as
+# ``movements`` applied step by step. Each window is per customer over at most
+# one row per month, so no customer can make it large.
+
+def with_prior_month(state: DataFrame) -> DataFrame:
+    """M8-M9 over a dense state (customer_id, month_date, current_mrr,
+    current_plan_id): previous month's amount (default 0) and plan."""
+    w = Window.partitionBy("customer_id").orderBy("month_date")
+    return state.select(
+        "*",
+        F.coalesce(F.lag("current_mrr").over(w), zero_money()).alias("prev_mrr"),
+        F.lag("current_plan_id").over(w).alias("prev_plan_id"),
+    )
+
+
+def classify(mom: DataFrame) -> DataFrame:
+    """Change and category; ``first_month`` is taken from the input if
+    present, else computed per customer."""
+    if "first_month" not in mom.columns:
+        mom = mom.withColumn("first_month", F.min("month_date").over(Window.partitionBy("customer_id")))
+    return mom.select(
+        "*",
+        (F.col("current_mrr") - F.col("prev_mrr")).alias("mrr_change"),
+        movement_category("current_mrr", "prev_mrr", "month_date", "first_month").alias("mrr_category"),
+    )
+
+
+def enrich(classified: DataFrame, customers: DataFrame, plans: DataFrame) -> DataFrame:
+    """Customer attributes (inner join) and plan names in two roles
+    (left joins against a size-checked plan dimension)."""
+    names = lookup_side(plans.select("plan_id", "plan_name"))
+    out = (
+        classified.join(customers.select("customer_id", *S.CUSTOMER_ATTRIBUTES), "customer_id", "inner")
+        .join(names.select(F.col("plan_id").alias("prev_plan_id"), F.col("plan_name").alias("prev_plan_name")),
+              "prev_plan_id", "left")
+        .join(names.select(F.col("plan_id").alias("current_plan_id"),
+                           F.col("plan_name").alias("current_plan_name")), "current_plan_id", "left")
+    )
+    return out.select(*S.MOVEMENT_COLUMNS)
+
+
 def category_counts(ledger: DataFrame) -> DataFrame:
     """Rows per movement category."""
     return ledger.groupBy("mrr_category").agg(F.count(F.lit(1)).alias("n_rows"))

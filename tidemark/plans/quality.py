@@ -67,6 +67,16 @@ def check_min(df: DataFrame, column: str, lowest, rule: str) -> DataFrame:
     return _rule(rule, _count(df.where(F.col(column) < F.lit(lowest))))
 
 
+def check_range(df: DataFrame, column: str, lowest=None, highest=None, rule: str = "") -> DataFrame:
+    """C8 in general form: values outside [lowest, highest] (either bound optional)."""
+    cond = F.lit(False)
+    if lowest is not None:
+        cond = cond | (F.col(column) < F.lit(lowest))
+    if highest is not None:
+        cond = cond | (F.col(column) > F.lit(highest))
+    return _rule(rule or f"{column}.range", _count(df.where(cond)))
+
+
 def check_fk(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, rule: str) -> DataFrame:
     """Non-NULL child keys missing from the parent. Child rows are first
     counted per key (partial aggregation collapses a hot key on the map side),
@@ -153,3 +163,8 @@ def reason_counts(violations: DataFrame) -> DataFrame:
     """(rule, violations) per reason."""
     return violations.groupBy(F.col("reason").alias("rule")).agg(
         F.count(F.lit(1)).alias("violations"))
+
+
+# Names used by the inventory.
+audit_lifecycle = lifecycle_violations
+audit_price = price_violations
