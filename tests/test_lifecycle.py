@@ -3,9 +3,8 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
-from helpers import d, events, money, plans
+from helpers import events, plans
 from tidemark.operators.sequence import ordered_lag
 from tidemark.plans import quality as Q
 from tidemark.plans.lifecycle import derive_event_type

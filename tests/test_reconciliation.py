@@ -1,10 +1,8 @@
 """The reference's test cases, as DataFrame-in / DataFrame-out checks."""
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import customers, d, events, ledger, money, plans
 from tidemark.operators.movement import movements

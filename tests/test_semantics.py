@@ -1,7 +1,6 @@
 """Edge cases of the movement model and equivalence of the fast paths."""
 
 import datetime as dt
-from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -10,7 +10,7 @@ never touch customer-level rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
