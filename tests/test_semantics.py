@@ -208,3 +208,14 @@ def test_snapshot_month_filter_reaches_the_scan(spark, tmp_dir):
     r = snap.collect()[0]
     assert (r.month_date, r.prev_mrr, r.current_mrr, r.mrr_category) == (d("2025-03-01"), money(19), money(19),
                                                                          "No Change")
+
+
+def test_kpi_deltas_treat_a_gap_as_missing_prior(spark):
+    rows = [("c1", d("2025-01-01"), money(0), money(19), money(19), "New"),
+            ("c1", d("2025-03-01"), money(19), money(49), money(30), "Expansion")]
+    led = spark.createDataFrame(rows, "customer_id string, month_date date, prev_mrr decimal(10,2), "
+                                      "current_mrr decimal(10,2), mrr_change decimal(11,2), mrr_category string")
+    out = {r.month_date: r for r in K.kpi_deltas(K.monthly_kpis(led)).collect()}
+    mar = out[d("2025-03-01")]
+    assert mar.has_prior is False and mar.delta_mrr_pct == 0.0 and mar.delta_customers == 1
+    assert abs(mar.delta_nrr - (mar.nrr - 100.0)) < 1e-12

@@ -10,7 +10,7 @@ never touch customer-level rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -144,25 +144,35 @@ def kpis_at(kpis: DataFrame, month) -> DataFrame:
 
 def kpi_deltas(kpis: DataFrame) -> DataFrame:
     """K13-K18 for every month: change against the previous calendar month's
-    KPIs, where a missing previous month counts with the defaults."""
-    prev = kpis.select(
-        F.add_months("month_date", 1).alias("month_date"),
-        *[F.col(c).alias(f"p_{c}") for c in ("ending_mrr", "active_customers", "arpu", "nrr", "gross_churn")])
-    j = kpis.join(prev, "month_date", "left")
-    p_end = F.coalesce("p_ending_mrr", F.lit(0))
-    p_arpu = F.coalesce("p_arpu", F.lit(0.0))
+    KPIs, where a missing previous month counts with the defaults. One ordered
+    pass over the KPI rows (one per month) instead of a self-join, so the KPI
+    table is computed once."""
+    by_month = Window.orderBy("month_date")  # one row per month
+    prior = F.lag("month_date").over(by_month) == F.add_months("month_date", -1)
+
+    def prev(c, default):
+        return F.when(prior, F.lag(c).over(by_month)).otherwise(F.lit(default))
+
+    j = kpis.select(
+        "*",
+        prev("ending_mrr", 0).alias("p_ending_mrr"),
+        prev("active_customers", 0).alias("p_active_customers"),
+        prev("arpu", 0.0).alias("p_arpu"),
+        prev("nrr", 100.0).alias("p_nrr"),
+        prev("gross_churn", 0.0).alias("p_gross_churn"),
+    )
     return j.select(
         "month_date", "ending_mrr",
-        pct_change("ending_mrr", p_end).alias("delta_mrr_pct"),
+        pct_change("ending_mrr", "p_ending_mrr").alias("delta_mrr_pct"),
         "active_customers",
-        (F.col("active_customers") - F.coalesce("p_active_customers", F.lit(0))).alias("delta_customers"),
+        (F.col("active_customers") - F.col("p_active_customers")).alias("delta_customers"),
         "arpu",
-        pct_change("arpu", p_arpu).alias("delta_arpu_pct"),
+        pct_change("arpu", "p_arpu").alias("delta_arpu_pct"),
         "nrr",
-        (F.col("nrr") - F.coalesce("p_nrr", F.lit(100.0))).alias("delta_nrr"),
+        (F.col("nrr") - F.col("p_nrr")).alias("delta_nrr"),
         "gross_churn",
-        (F.col("gross_churn") - F.coalesce("p_gross_churn", F.lit(0.0))).alias("delta_churn"),
-        (p_end > 0).alias("has_prior"),
+        (F.col("gross_churn") - F.col("p_gross_churn")).alias("delta_churn"),
+        (F.col("p_ending_mrr") > 0).alias("has_prior"),
     )
 
 
