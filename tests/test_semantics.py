@@ -219,3 +219,11 @@ def test_kpi_deltas_treat_a_gap_as_missing_prior(spark):
     mar = out[d("2025-03-01")]
     assert mar.has_prior is False and mar.delta_mrr_pct == 0.0 and mar.delta_customers == 1
     assert abs(mar.delta_nrr - (mar.nrr - 100.0)) < 1e-12
+
+
+def test_activity_ledger_display_labels(spark):
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-03", 19)])
+    out = K.activity_ledger(M.movements(e, customers(spark), plans(spark)), "2025-01-01", display_labels=True)
+    assert out.columns == K.LEDGER_DISPLAY_LABELS
+    r = out.collect()[0]
+    assert (r["Customer Name"], r["New Plan"], r["Action Category"]) == ("C cust_1", "Basic", "New")

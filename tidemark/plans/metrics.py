@@ -274,10 +274,18 @@ LEDGER_COLUMNS = [
 ]
 
 
-def activity_ledger(ledger: DataFrame, month, pattern: str | None = None) -> DataFrame:
-    """R9 (+F6, F9, F10): one month's non-quiet rows, projected and renamed."""
+# The activity ledger's display labels, in column order.
+LEDGER_DISPLAY_LABELS = ["Customer Name", "Country", "Industry", "Segment", "Previous Plan", "New Plan",
+                         "Monthly MRR Change", "Action Category"]
+
+
+def activity_ledger(ledger: DataFrame, month, pattern: str | None = None,
+                    display_labels: bool = False) -> DataFrame:
+    """R9 (+F6, F9, F10): one month's non-quiet rows, projected and renamed
+    (snake_case names, or the report's display labels)."""
     rows = search_name(active_movements(at_month(ledger, month)), pattern)
-    return rows.select(*[F.col(src).alias(dst) for src, dst in LEDGER_COLUMNS])
+    names = LEDGER_DISPLAY_LABELS if display_labels else [dst for _, dst in LEDGER_COLUMNS]
+    return rows.select(*[F.col(src).alias(dst) for (src, _), dst in zip(LEDGER_COLUMNS, names)])
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
