@@ -22,8 +22,10 @@ Plan, built for skewed customers:
    from the segment itself, so no second window (and no second sort) is needed
    over the dense rows.
 
-Two exchanges in total (the aggregate and the window), no cross join, no
-range join. The global month bounds are an uncorrelated scalar subquery.
+Two exchanges of the fact in total (the partial aggregate's, and an explicit
+hash repartition of the month-close rows by customer that the customer join
+and the window reuse), no cross join, no range join. The global month bounds
+are an uncorrelated scalar subquery.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from tidemark import schemas as S
 from tidemark.functions.columns import month_of, movement_category, zero_money
 from tidemark.operators.joins import lookup_side
 
+
 def _one_month():
     return F.expr("INTERVAL 1 MONTH")
 
