@@ -199,7 +199,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_plans": lambda s, d: _out(conform(fixture.plans(s, d), S.PLANS)[0]),
     "read_customers": lambda s, d: conform(fixture.customers(s, d), S.CUSTOMERS)[0],
     "read_events": lambda s, d: _out(conform(fixture.events(s, d), S.EVENTS)[0]),
-    "conform_summary": _conform_summary,
+    "conform_rejects": _conform_summary,
     "load_check": _load_check,
     "load_counts": _load_counts,
     # lifecycle and data quality

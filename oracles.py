@@ -321,7 +321,7 @@ QUERIES = {
     "read_customers": "SELECT * FROM sub_customers",
     "read_events": """SELECT event_id, customer_id, plan_id, event_type, event_date,
         CAST(monthly_amount AS DOUBLE) AS monthly_amount FROM sub_events""",
-    "conform_summary": """SELECT 'plans' AS table_name, CAST(count(*) AS BIGINT) AS ok_rows,
+    "conform_rejects": """SELECT 'plans' AS table_name, CAST(count(*) AS BIGINT) AS ok_rows,
           CAST(0 AS BIGINT) AS rejected_rows FROM sub_plans
         UNION ALL SELECT 'customers', count(*), 0 FROM sub_customers
         UNION ALL SELECT 'events', count(*), 0 FROM sub_events""",
