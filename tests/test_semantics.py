@@ -227,3 +227,13 @@ def test_activity_ledger_display_labels(spark):
     assert out.columns == K.LEDGER_DISPLAY_LABELS
     r = out.collect()[0]
     assert (r["Customer Name"], r["New Plan"], r["Action Category"]) == ("C cust_1", "Basic", "New")
+
+
+def test_snapshot_outside_the_spine_is_empty(spark):
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-02-03", 19),
+                       ("evt_2", "cust_1", "plan_pro", "upgrade", "2025-04-03", 49)])
+    c, p = customers(spark), plans(spark)
+    assert asof_snapshot(e, "2025-01-01", c, p).count() == 0
+    assert asof_snapshot(e, "2025-05-01", c, p).count() == 0
+    assert [(r.prev_mrr, r.current_mrr) for r in asof_snapshot(e, "2025-04-20", c, p).collect()] == \
+        [(money(19), money(49))]
