@@ -26,7 +26,7 @@ def inputs(spark):
 def test_refresh_then_validate(spark, inputs):
     base = f"{inputs}/warehouse"
     v = jobs.refresh(spark, f"{inputs}/in/plans", f"{inputs}/in/customers", f"{inputs}/in/events", base,
-                     expected_plans=5)
+                     expected_plans=5, validate=True)
     assert P.current_version(spark, base) == v
     out = {r.check_name: r.passed for r in jobs.validate(spark, base).collect()}
     assert out["all_checks"] is True
@@ -58,3 +58,17 @@ def test_cli_validate(spark, inputs):
     if P.current_version(spark, base) is None:
         jobs.refresh(spark, f"{inputs}/in/plans", f"{inputs}/in/customers", f"{inputs}/in/events", base)
     assert main(["validate", base]) == 0
+
+
+def test_version_is_listed_only_with_its_ledger(spark, inputs):
+    base = f"{inputs}/warehouse_derived_fails"
+    p = spark.read.parquet(f"{inputs}/in/plans")
+
+    def broken(stored):
+        def write(path):
+            raise RuntimeError("ledger build failed")
+        return {"ledger": write}
+
+    with pytest.raises(RuntimeError):
+        P.publish(spark, {"plans": p}, base, derived=broken)
+    assert P.current_version(spark, base) is None

@@ -3,7 +3,8 @@
 ``refresh`` reads the three inputs with their declared types, refuses rows that
 do not cast, checks every declared constraint, publishes the inputs as a new
 version (listed only after all checks pass), writes the ledger of that version
-partitioned by month and registers temporary views. ``validate`` runs every
+partitioned by month and registers temporary views; the version becomes
+visible only after its ledger is stored (and, optionally, validated). ``validate`` runs every
 validator on a published version and returns the summary DataFrame.
 """
 
@@ -31,10 +32,11 @@ def _conformed(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataF
 
 
 def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_path: str, base: str,
-            expected_plans: int | None = None) -> str:
-    """Load, check and publish the inputs, then build and store the ledger.
-    Returns the published version. Raises when rows do not cast or a
-    constraint fails; nothing becomes visible in that case."""
+            expected_plans: int | None = None, validate: bool = False) -> str:
+    """Load, check and store the inputs, build and store the ledger in the same
+    version, optionally validate it, and only then list the version. Returns
+    the version. Raises when rows do not cast, a constraint fails or (with
+    ``validate``) a validator fails; nothing becomes visible in that case."""
     loaded = {
         "plans": _conformed(spark, plans_path, S.PLANS),
         "customers": _conformed(spark, customers_path, S.CUSTOMERS),
@@ -49,10 +51,15 @@ def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_pa
     def constraints(stored: dict[str, DataFrame]) -> DataFrame:
         return Q.check_inputs(stored["plans"], stored["customers"], stored["events"], expected_plans)
 
-    version = P.publish(spark, tables, base, checks=constraints)
-    stored = {name: P.read_published(spark, base, name, version) for name in tables}
-    P.write_ledger(movements(stored["events"], stored["customers"], stored["plans"]),
-                   f"{base}/{version}/{LEDGER}")
+    def ledger(stored: dict[str, DataFrame]) -> dict:
+        built = movements(stored["events"], stored["customers"], stored["plans"])
+        return {LEDGER: lambda path: P.write_ledger(built, path)}
+
+    def ledger_checks(stored: dict[str, DataFrame]) -> DataFrame:
+        return V.run_checks(stored[LEDGER], stored["customers"], stored["plans"])
+
+    version = P.publish(spark, tables, base, checks=constraints, derived=ledger,
+                        post_checks=ledger_checks if validate else None)
     register(spark, base, version)
     return version
 

@@ -42,10 +42,19 @@ def load_counts(inputs: dict[str, DataFrame], stored: dict[str, DataFrame]) -> D
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
-            checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None) -> str:
-    """Write ``tables`` as a new version under ``base``; list it only if
-    the stored counts equal the input counts and ``checks`` (a function of the
-    stored tables returning rows with a ``passed`` column) all pass."""
+            checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+            derived: Callable[[dict[str, DataFrame]], dict[str, Callable[[str], None]]] | None = None,
+            post_checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None) -> str:
+    """Write ``tables`` as a new version under ``base`` and list it only
+    when everything belonging to it is stored and checked.
+
+    Order: write the tables; the stored counts must equal the input counts;
+    ``checks`` (a function of the stored tables returning rows with a
+    ``passed`` column) must all pass; ``derived`` (a function of the stored
+    tables returning ``{name: writer(path)}``) writes tables built from them,
+    e.g. the ledger, into the same version; ``post_checks`` (a function of
+    stored and derived tables) must pass; only then is the version appended
+    to the manifest. A failure at any step leaves the version unlisted."""
     version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     stage = f"{base}/{version}"
     for name, df in tables.items():
@@ -58,6 +67,14 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
         bad = checks(stored).where(~F.col("passed")).count()
         if bad:
             raise PublishError(f"{bad} check(s) failed; version {version} not listed")
+    if derived is not None:
+        for name, write in derived(stored).items():
+            write(f"{stage}/{name}")
+            stored[name] = spark.read.parquet(f"{stage}/{name}")
+    if post_checks is not None:
+        bad = post_checks(stored).where(~F.col("passed")).count()
+        if bad:
+            raise PublishError(f"{bad} check(s) on derived tables failed; version {version} not listed")
     (spark.range(1).select(F.lit(version).alias("version"),
                            F.current_timestamp().alias("published_at"))
      .write.mode("append").parquet(f"{base}/{MANIFEST}"))
