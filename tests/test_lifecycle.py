@@ -5,7 +5,9 @@ import random
 
 
 from helpers import events, plans
-from tidemark.operators.sequence import ordered_lag
+from pyspark.sql import functions as F
+
+from tidemark.operators.sequence import hot_group_cuts, ordered_lag
 from tidemark.plans import quality as Q
 from tidemark.plans.lifecycle import derive_event_type
 
@@ -71,3 +73,18 @@ def test_check_range_bounds(spark):
                        ("e2", "c", "plan_pro", "upgrade", "2025-02-01", 500)])
     assert Q.check_range(e, "monthly_amount", 0, 199, "amount.range").collect()[0]["violations"] == 1
     assert Q.check_range(e, "monthly_amount", lowest=0, rule="amount.min").collect()[0]["passed"] is True
+
+
+def test_ordered_lag_splits_a_hot_key_day_exactly(spark):
+    rnd = random.Random(11)
+    rows = [("hot", dt.date(2024, 1, 1), f"id{rnd.randint(0, 10**9):010d}-{i}", i) for i in range(4000)]
+    rows += [(f"k{i % 7}", dt.date(2024, 1, 1 + i % 20), f"x{i}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, day date, id string, v int")
+    out = ordered_lag(df, "k", ["day", "id"], ["v"], split_rows=200, pieces=16)
+    got = {r.id: r.prev_v for r in out.collect()}
+    pdf = df.toPandas().sort_values(["k", "day", "id"])
+    pdf["pv"] = pdf.groupby("k")["v"].shift(1)
+    assert all(got[r.id] == (None if r.pv != r.pv else int(r.pv)) for r in pdf.itertuples())
+    # the hot day is really split into many pieces; the small groups are not
+    cuts = hot_group_cuts(df, "k", ["day", "id"], F.col("day"), split_rows=200, pieces=16).collect()
+    assert [r.k for r in cuts] == ["hot"] and len(cuts[0]["_cuts"]) >= 8

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import ordered_lag
+from tidemark.operators.sequence import HOT_GROUP_ROWS, ordered_lag
 
 ORDER = ["event_date", "event_id"]
 
@@ -23,11 +23,12 @@ def event_type_rule(amount, prev_amount) -> F.Column:
     )
 
 
-def derive_event_type(events: DataFrame) -> DataFrame:
+def derive_event_type(events: DataFrame, split_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """Add ``event_type`` (replacing any existing one) from the previous amount of
-    the same customer in (event_date, event_id) order."""
+    the same customer in (event_date, event_id) order. Customer-days above
+    ``split_rows`` events are split further (None: never)."""
     base = events.drop("event_type") if "event_type" in events.columns else events
-    lagged = ordered_lag(base, "customer_id", ORDER, ["monthly_amount"], prefix="_prev_")
+    lagged = ordered_lag(base, "customer_id", ORDER, ["monthly_amount"], prefix="_prev_", split_rows=split_rows)
     return lagged.select(
         *base.columns,
         event_type_rule("monthly_amount", "_prev_monthly_amount").alias("event_type"),

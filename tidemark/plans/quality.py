@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.joins import lookup_side
-from tidemark.operators.sequence import ordered_lag
+from tidemark.operators.sequence import HOT_GROUP_ROWS, ordered_lag
 
 
 def _rule(name: str, violations: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def check_inputs(plans: DataFrame, customers: DataFrame, events: DataFrame,
 
 # ------------------------------------------------------------- lifecycle (L2/L3)
 
-def lifecycle_violations(events: DataFrame) -> DataFrame:
+def lifecycle_violations(events: DataFrame, split_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """L2: events breaking the lifecycle, one reason each (first match wins).
 
     Active means the previous amount is positive. The first event must be a
@@ -126,7 +126,8 @@ def lifecycle_violations(events: DataFrame) -> DataFrame:
     needs a cancelled one."""
     lagged = ordered_lag(events.select("event_id", "customer_id", "event_type", "event_date",
                                        "monthly_amount"),
-                         "customer_id", ["event_date", "event_id"], ["event_id", "monthly_amount"])
+                         "customer_id", ["event_date", "event_id"], ["event_id", "monthly_amount"],
+                         split_rows=split_rows)
     t, amt = F.col("event_type"), F.col("monthly_amount")
     first = F.col("prev_event_id").isNull()
     prev = F.col("prev_monthly_amount")
