@@ -38,7 +38,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder; a cluster session without one is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
