@@ -93,19 +93,22 @@ def month_close(events: DataFrame) -> DataFrame:
 
 
 def segments(events: DataFrame, customers: DataFrame | None = None,
-             attributes: list[str] | None = None, bounds_events: DataFrame | None = None) -> DataFrame:
+             attributes: list[str] | None = None, bounds_events: DataFrame | None = None,
+             partitions: int | None = None) -> DataFrame:
     """Month-close rows with the previous close, the segment end and the first month.
 
     ``customers`` (optional) is inner-joined here, before any dense row exists,
     carrying ``attributes``; filtering it restricts the model to those customers
     while the global last month still comes from ``bounds_events`` (default:
-    ``events``), as a filter applied after the model would.
+    ``events``), as a filter applied after the model would. ``partitions``
+    (default: ``spark.sql.shuffle.partitions``) sets the parallelism of the
+    stage that builds the dense rows; size it by the ledger, not the events.
     """
     # The stage after this exchange multiplies rows (up to #months per segment),
     # so its parallelism must follow the session's partition count rather than
     # the (small) size of the month-close rows: an explicit count is not
     # coalesced by AQE. The customer join and the window reuse this partitioning.
-    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     close = month_close(events).repartition(n, "customer_id")
     if customers is not None:
         attrs = list(attributes if attributes is not None else S.CUSTOMER_ATTRIBUTES)
@@ -178,10 +181,11 @@ def classified_movements(events: DataFrame) -> DataFrame:
 
 
 def movements(events: DataFrame, customers: DataFrame, plans: DataFrame,
-              bounds_events: DataFrame | None = None) -> DataFrame:
+              bounds_events: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """The full ledger, enriched with customer attributes (inner join)
     and prior/current plan names (left joins), in the model's column order."""
-    seg = with_plan_names(segments(events, customers, bounds_events=bounds_events), plans)
+    seg = with_plan_names(segments(events, customers, bounds_events=bounds_events, partitions=partitions),
+                          plans)
     return expand(seg).select(*S.MOVEMENT_COLUMNS)
 
 

@@ -97,7 +97,8 @@ def read_published(spark: SparkSession, base: str, name: str, version: str | Non
     return spark.read.parquet(f"{base}/{v}/{name}")
 
 
-def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists",
+                 partitions: int | None = None) -> None:
     """Write a ledger partitioned by ``month_date``: a month filter on the stored
     ledger then prunes whole folders instead of scanning every month.
 
@@ -105,7 +106,7 @@ def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists") -> N
     holds a contiguous slice, so it writes into one or two month folders, and a
     large month is split across many tasks by customer ranges (partitioning by
     the month alone would send a whole month to a single task)."""
-    n = int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (ledger.repartitionByRange(n, "month_date", "customer_id")
      .write.mode(mode).partitionBy("month_date").parquet(path))
 
