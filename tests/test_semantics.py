@@ -237,3 +237,11 @@ def test_snapshot_outside_the_spine_is_empty(spark):
     assert asof_snapshot(e, "2025-05-01", c, p).count() == 0
     assert [(r.prev_mrr, r.current_mrr) for r in asof_snapshot(e, "2025-04-20", c, p).collect()] == \
         [(money(19), money(49))]
+
+
+def test_negative_amount_falls_to_inactive(spark):
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-03", -5),
+                       ("evt_2", "cust_1", "plan_basic", "upgrade", "2025-02-03", 19),
+                       ("evt_3", "cust_1", "plan_basic", "downgrade", "2025-03-03", -1)])
+    got = [r.mrr_category for r in M.movements(e, customers(spark), plans(spark)).orderBy("month_date").collect()]
+    assert got == ["Inactive", "Reactivation", "Inactive"]
