@@ -86,3 +86,13 @@ def test_ledger_written_by_month_prunes_partitions(spark, tmp_dir):
     assert [(r.mrr_category, r.current_mrr) for r in march.collect()] == [("Expansion", money(49))]
     folders = sorted(n for n in os.listdir(f"{tmp_dir}/ledger") if n.startswith("month_date="))
     assert folders == ["month_date=2025-01-01", "month_date=2025-02-01", "month_date=2025-03-01"]
+
+
+def test_reader_reports_rejects(spark, tmp_dir):
+    raw = spark.createDataFrame([("p1", "Basic", "19.00", "monthly"), ("p2", "Pro", "lots", "monthly")],
+                                "plan_id string, plan_name string, monthly_price string, billing_cycle string")
+    raw.write.parquet(f"{tmp_dir}/plans")
+    ok, rejects = T.read_plans(spark, f"{tmp_dir}/plans", with_rejects=True)
+    assert [r.plan_id for r in ok.collect()] == ["p1"]
+    assert [(r.plan_id, r.reject_columns) for r in rejects.collect()] == [("p2", ["monthly_price"])]
+    assert T.read_plans(spark, f"{tmp_dir}/plans").count() == 1

@@ -38,24 +38,26 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
             .groupBy("column_name").agg(F.count(F.lit(1)).alias("rejects")))
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    ok, _ = conform(spark.read.parquet(path), schema)
-    return ok
+def _read(spark: SparkSession, path: str, schema: T.StructType, with_rejects: bool):
+    ok, rejects = conform(spark.read.parquet(path), schema)
+    return (ok, rejects) if with_rejects else ok
 
 
-def read_plans(spark: SparkSession, path: str) -> DataFrame:
-    """Plan dimension in its declared types."""
-    return _read(spark, path, S.PLANS)
+def read_plans(spark: SparkSession, path: str, with_rejects: bool = False):
+    """Plan dimension in its declared types. Rows that do not cast are left
+    out; with ``with_rejects`` the result is ``(ok, rejects)``."""
+    return _read(spark, path, S.PLANS, with_rejects)
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """Customer dimension; string dates become DATE."""
-    return _read(spark, path, S.CUSTOMERS)
+def read_customers(spark: SparkSession, path: str, with_rejects: bool = False):
+    """Customer dimension; string dates become DATE (see ``read_plans``)."""
+    return _read(spark, path, S.CUSTOMERS, with_rejects)
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """S3: event fact; string dates become DATE, floats DECIMAL(10,2)."""
-    return _read(spark, path, S.EVENTS)
+def read_events(spark: SparkSession, path: str, with_rejects: bool = False):
+    """S3: event fact; string dates become DATE, floats DECIMAL(10,2) (see
+    ``read_plans``)."""
+    return _read(spark, path, S.EVENTS, with_rejects)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
