@@ -138,3 +138,12 @@ def test_duplicate_primary_keys_rejected(spark):
     out = Q.check_unique(dup_c, "customer_id", "customers.customer_id.unique").collect()[0]
     assert (out["violations"], out["passed"]) == (1, False)
     assert Q.duplicate_keys(dup_c, "customer_id").collect()[0]["n"] == 2
+
+
+def test_double_money_does_not_fail_on_binary_noise(spark):
+    rows = [("c1", d("2025-01-01"), 0.0, 0.1, 0.1, "New"), ("c2", d("2025-01-01"), 0.0, 0.2, 0.2, "New"),
+            ("c1", d("2025-02-01"), 0.1, 0.1, 0.0, "No Change"), ("c2", d("2025-02-01"), 0.2, 0.2, 0.0, "No Change")]
+    led = spark.createDataFrame(rows, "customer_id string, month_date date, prev_mrr double, current_mrr double, "
+                                      "mrr_change double, mrr_category string")
+    assert passed(V.check_reconciliation(led)) == {"mrr_reconciliation": True}
+    assert passed(V.check_continuity(led)) == {"mrr_continuity": True}

@@ -46,12 +46,18 @@ def _summary(name: str, bad: DataFrame) -> DataFrame:
         F.lit(name).alias("check_name"), (F.col("violations") == 0).alias("passed"), "violations")
 
 
+def _cents_apart(a, b) -> F.Column:
+    """|a - b| rounded to the cent: exact for decimals, and free of binary
+    noise when a stand-in table carries money as DOUBLE."""
+    return F.round(F.abs(a - b), 2)
+
+
 def reconciliation_violations(waterfall: DataFrame) -> DataFrame:
-    """V2 rows: months where start + movements != end (decimals, so exact)."""
+    """V2 rows: months where start + movements and end differ by a cent or more."""
     expected = F.col("starting_mrr") + sum(F.col(a) for a in WATERFALL_ALIASES)
     return waterfall.select(
         "month_date", expected.alias("expected_ending_mrr"), "ending_mrr",
-        F.abs(expected - F.col("ending_mrr")).alias("difference"),
+        _cents_apart(expected, F.col("ending_mrr")).alias("difference"),
     ).where(F.col("difference") != 0)
 
 
@@ -70,7 +76,7 @@ def continuity_violations(ledger: DataFrame) -> DataFrame:
         monthly.select("month_date", "starting_mrr",
                        F.lag("ending_mrr").over(by_month).alias("prior_ending_mrr"))
         .where(F.col("prior_ending_mrr").isNotNull()
-               & (F.col("starting_mrr") != F.col("prior_ending_mrr")))
+               & (_cents_apart(F.col("starting_mrr"), F.col("prior_ending_mrr")) != 0))
     )
 
 
@@ -184,7 +190,7 @@ def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame,
         F.sum("n_rows").alias("n_rows"))
     by_month = Window.orderBy("month_date")  # one row per month
     gaps = (monthly.select("starting_mrr", F.lag("ending_mrr").over(by_month).alias("prior"))
-            .where(F.col("prior").isNotNull() & (F.col("starting_mrr") != F.col("prior"))))
+            .where(F.col("prior").isNotNull() & (_cents_apart(F.col("starting_mrr"), F.col("prior")) != 0)))
     # V4 and V5 in one join: distinct dimension keys against the per-customer
     # row counts of the profile (both sides hold each customer once).
     dim_keys = customers.select("customer_id").distinct().withColumn("_in_dim", F.lit(True))
