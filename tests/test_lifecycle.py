@@ -88,3 +88,12 @@ def test_ordered_lag_splits_a_hot_key_day_exactly(spark):
     # the hot day is really split into many pieces; the small groups are not
     cuts = hot_group_cuts(df, "k", ["day", "id"], F.col("day"), split_rows=200, pieces=16).collect()
     assert [r.k for r in cuts] == ["hot"] and len(cuts[0]["_cuts"]) >= 8
+
+
+def test_unique_counts_null_keys_and_row_rules(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4), ("b", -1)], "k string, v int")
+    out = Q.check_unique(df, "k", "k.unique").collect()[0]
+    assert out["violations"] == 3  # one duplicated key + two NULL-key rows
+    rules = {r.rule: r.violations for r in
+             Q.row_rules(df, "t", ["k"], {"k": ["a"]}, {"v": 0}).collect()}
+    assert rules == {"t.k.not_null": 2, "t.k.domain": 1, "t.v.min": 1}
