@@ -184,6 +184,16 @@ def test_model_matches_brute_force(spark, raw):
     c, p = customers(spark, tuple(cust)), plans(spark)
     mv = M.movements(e, c, p)
     assert rows_of(mv) == sorted(tuple(x[k] for k in COLS) for x in expect)
+    # the step-by-step form gives the same ledger
+    composed = M.enrich(M.classify(M.with_prior_month(M.monthly_state(e))), c, p)
+    assert rows_of(composed) == rows_of(mv)
+    # the combined validator agrees with each single one
+    combined = {r.check_name: (r.passed, r.violations) for r in V.run_checks(mv, c, p).collect()}
+    singles = V.check_reconciliation(mv).unionByName(V.check_continuity(mv)).unionByName(
+        V.check_customer_counts(c, mv)).unionByName(V.check_integrity(mv, c, p))
+    for r in singles.collect():
+        assert combined[r.check_name] == (r.passed, r.violations), r
+    assert combined["all_checks"][0] == all(v[0] for k, v in combined.items() if k != "all_checks")
     # rollup fast path == dense rollup
     dense = K.monthly_kpis(mv)
     assert rows_of(K.kpis_from_rollup(monthly_rollup(e, c, bounds_events=e)), K.KPI_COLUMNS) == \
