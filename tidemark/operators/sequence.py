@@ -35,6 +35,8 @@ def hot_group_cuts(df: DataFrame, key: str, order: list[str], base: Column, spli
     collected once, so every use of the boundaries sees the same ones. Returns ``(key, _b0, _cuts)`` or None
     when no group is that large."""
     spark = df.sparkSession
+    if df.limit(split_rows + 1).count() <= split_rows:  # no group can be larger than the input
+        return None
     staged = df.withColumn("_b0", base)
     hot = (staged.groupBy(key, "_b0").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > split_rows).orderBy(F.col("_n").desc()).limit(max_hot).collect())
