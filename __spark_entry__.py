@@ -28,7 +28,7 @@ from tidemark.plans import metrics as K  # noqa: E402
 from tidemark.plans import quality as Q  # noqa: E402
 from tidemark.plans.lifecycle import derive_event_type  # noqa: E402
 from tidemark.sources import fixture  # noqa: E402
-from tidemark.sources.tables import conform  # noqa: E402
+from tidemark.sources.tables import conform, conform_counts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -107,16 +107,13 @@ def _snapshot(spark: SparkSession, sf: str, months_back: int = 0) -> DataFrame:
 
 
 def _conform_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that conform to the declared schema and rows rejected, per table."""
     tables = {"plans": (fixture.plans(spark, sf), S.PLANS),
               "customers": (fixture.customers(spark, sf), S.CUSTOMERS),
               "events": (fixture.events(spark, sf), S.EVENTS)}
-    parts = []
-    for name, (df, schema) in tables.items():
-        ok, rejects = conform(df, schema)
-        parts.append(ok.agg(F.count(F.lit(1)).alias("ok_rows")).select(
-            F.lit(name).alias("table_name"), "ok_rows",
-            rejects.agg(F.count(F.lit(1))).scalar().alias("rejected_rows")))
-    return Q.union_all(parts)
+    return Q.union_all([conform_counts(df, schema).select(F.lit(name).alias("table_name"), "ok_rows",
+                                                          "rejected_rows")
+                        for name, (df, schema) in tables.items()])
 
 
 def _load_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -96,3 +96,11 @@ def test_reader_reports_rejects(spark, tmp_dir):
     assert [r.plan_id for r in ok.collect()] == ["p1"]
     assert [(r.plan_id, r.reject_columns) for r in rejects.collect()] == [("p2", ["monthly_price"])]
     assert T.read_plans(spark, f"{tmp_dir}/plans").count() == 1
+
+
+def test_conform_counts_in_one_pass(spark):
+    raw = spark.createDataFrame([("p1", "Basic", "19.00", "monthly"), ("p2", "Pro", "lots", "monthly"),
+                                 ("p3", "Max", None, "monthly")],
+                                "plan_id string, plan_name string, monthly_price string, billing_cycle string")
+    r = T.conform_counts(raw, S.PLANS).collect()[0]
+    assert (r.ok_rows, r.rejected_rows) == (2, 1)

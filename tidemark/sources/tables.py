@@ -32,6 +32,15 @@ def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     return ok, rejects
 
 
+def conform_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(ok_rows, rejected_rows) of conforming ``df`` to ``schema``, in one pass."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    return df.agg(F.count(F.when(~bad, F.lit(1))).alias("ok_rows"),
+                  F.count(F.when(bad, F.lit(1))).alias("rejected_rows"))
+
+
 def reject_counts(rejects: DataFrame) -> DataFrame:
     """Rejected values per column: (column_name, rejects)."""
     return (rejects.select(F.explode("reject_columns").alias("column_name"))
