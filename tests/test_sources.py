@@ -104,3 +104,9 @@ def test_conform_counts_in_one_pass(spark):
                                 "plan_id string, plan_name string, monthly_price string, billing_cycle string")
     r = T.conform_counts(raw, S.PLANS).collect()[0]
     assert (r.ok_rows, r.rejected_rows) == (2, 1)
+
+
+def test_to_client_refuses_large_results(spark):
+    assert len(T.to_client(plans(spark), max_rows=3)) == 3
+    with pytest.raises(T.ResultTooLarge):
+        T.to_client(plans(spark), max_rows=2)
