@@ -26,6 +26,8 @@ def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: li
     five category sums, active customers and ledger rows; identical to the
     same rollup of ``movements(...)``. ``by`` should be low-cardinality."""
     by = list(by)
+    if by and customers is None:
+        raise ValueError("`by` names customer attributes: pass `customers`")
     bounds = bounds_events if bounds_events is not None else events
     seg = segments(events, customers, attributes=by if customers is not None else None,
                    bounds_events=bounds)
