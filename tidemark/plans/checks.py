@@ -174,13 +174,19 @@ def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame,
 
     All checks read one profile of the ledger. With ``materialize`` (default)
     the profile is computed once by a reliable ``checkpoint()`` into the
-    session's checkpoint folder (this starts one job); otherwise each check
-    branch recomputes it, because column pruning makes the branches differ.
+    session's checkpoint folder (this starts one job); otherwise, or when a
+    cluster names no checkpoint folder, each check branch recomputes it
+    (column pruning makes the branches differ), which is slower but never
+    writes to a machine-local folder.
     """
     prof = ledger_profile(ledger)
     if materialize:
-        checkpoint_dir(ledger.sparkSession)
-        prof = prof.checkpoint(eager=True)
+        try:
+            usable = bool(checkpoint_dir(ledger.sparkSession))
+        except RuntimeError:  # a cluster without spark.checkpoint.dir
+            usable = False
+        if usable:
+            prof = prof.checkpoint(eager=True)
     monthly = prof.where(F.col("_no_month") == 0).select(
         "month_date",
         *[F.round(F.col(c), 2).alias(c) for c in ["starting_mrr", "ending_mrr", *WATERFALL_ALIASES]])
