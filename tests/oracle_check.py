@@ -31,6 +31,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
@@ -38,7 +41,7 @@ def _norm(v):
         return v
     if isinstance(v, (float, decimal.Decimal)):
         f = float(v)
-        return round(f, 6) + 0.0
+        return f if EXACT else round(f, 6) + 0.0
     if isinstance(v, dt.datetime):
         return v.date().isoformat() if v.time() == dt.time(0) else v.isoformat()
     if isinstance(v, dt.date):
