@@ -168,6 +168,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpis_at_month": lambda s, d: _out(_kpi_row(s, d)),
     "kpis_prior_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(_report_month(s, d), -1))),
     "kpis_filtered": lambda s, d: _out(K.kpis_from_rollup(_rollup(s, d, segment=True))),
+    "month_report": lambda s, d: _out(K.month_report(
+        fixture.model_events(s, d), fixture.customers(s, d), _report_month(s, d),
+        oracles.COUNTRIES, oracles.INDUSTRIES)),
     "kpis_at_empty_month": lambda s, d: _out(K.kpis_at(_kpis(s, d), F.add_months(M.last_month(fixture.model_events(s, d)), 1))),
     "kpi_deltas": lambda s, d: _out(K.kpi_deltas(_kpis(s, d))),
     "waterfall_steps": lambda s, d: _out(K.waterfall_steps(_kpi_row(s, d))),

@@ -183,6 +183,20 @@ KPI_COLS = """month_date, ending_mrr, starting_mrr, active_customers, round(arpu
 
 SEGMENT = f"country IN ({_in(COUNTRIES)}) AND industry IN ({_in(INDUSTRIES)})"
 
+SEGMENT_KPIS = f"""SELECT month_date, ending_mrr, active_customers,
+    CASE WHEN active_customers > 0 THEN ending_mrr / active_customers ELSE 0.0 END AS arpu,
+    CASE WHEN start_dec > 0 THEN CAST(start_dec + retained AS DOUBLE) / CAST(start_dec AS DOUBLE) * 100.0
+         ELSE 100.0 END AS nrr,
+    CASE WHEN start_dec > 0 THEN CAST(abs(losses) AS DOUBLE) / CAST(start_dec AS DOUBLE) * 100.0
+         ELSE 0.0 END AS gross_churn
+  FROM (SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
+          CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
+          sum(CASE WHEN mrr_category IN ('Expansion', 'Reactivation', 'Contraction', 'Churn')
+              THEN mrr_change ELSE 0 END) AS retained,
+          sum(CASE WHEN mrr_category IN ('Contraction', 'Churn') THEN mrr_change ELSE 0 END) AS losses,
+          sum(prev_mrr) AS start_dec
+        FROM mv WHERE {SEGMENT} GROUP BY month_date) s"""
+
 ACTIVITY = """SELECT customer_name, country, industry, company_size AS segment, prev_plan_name AS previous_plan,
   current_plan_name AS new_plan, CAST(mrr_change AS DOUBLE) AS mrr_change, mrr_category AS action_category
   FROM mv WHERE month_date = (SELECT m FROM report) AND mrr_category NOT IN ('No Change', 'Inactive')"""
@@ -261,6 +275,20 @@ QUERIES = {
         CAST(sum(CASE WHEN mrr_category = 'Contraction' THEN mrr_change ELSE 0 END) AS DOUBLE) AS contraction_mrr,
         CAST(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS DOUBLE) AS churn_mrr
         FROM mv WHERE {SEGMENT} GROUP BY month_date""",
+    "month_report": f"""SELECT k.month_date, k.ending_mrr,
+          round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
+                ELSE 0.0 END, 6) AS delta_mrr_pct,
+          k.active_customers, k.active_customers - COALESCE(p.active_customers, 0) AS delta_customers,
+          round(k.arpu, 6) AS arpu,
+          round(CASE WHEN COALESCE(p.arpu, 0) > 0 THEN (k.arpu - p.arpu) / p.arpu * 100 ELSE 0.0 END, 6)
+            AS delta_arpu_pct,
+          round(k.nrr, 6) AS nrr, round(k.nrr - COALESCE(p.nrr, 100.0), 6) AS delta_nrr,
+          round(k.gross_churn, 6) AS gross_churn,
+          round(k.gross_churn - COALESCE(p.gross_churn, 0.0), 6) AS delta_churn,
+          COALESCE(p.ending_mrr, 0) > 0 AS has_prior
+        FROM ({SEGMENT_KPIS}) k LEFT JOIN ({SEGMENT_KPIS}) p
+          ON p.month_date = CAST(k.month_date - INTERVAL 1 MONTH AS DATE)
+        WHERE k.month_date = (SELECT m FROM report)""",
     "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date,
         CAST(0 AS DOUBLE) AS ending_mrr, CAST(0 AS DOUBLE) AS starting_mrr, CAST(0 AS BIGINT) AS active_customers,
         CAST(0 AS DOUBLE) AS arpu, CAST(100 AS DOUBLE) AS nrr, CAST(0 AS DOUBLE) AS gross_churn,

@@ -291,3 +291,16 @@ def activity_ledger(ledger: DataFrame, month, pattern: str | None = None,
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     """A one-row count."""
     return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def month_report(events: DataFrame, customers: DataFrame, month, countries: list[str] | None = None,
+                 industries: list[str] | None = None) -> DataFrame:
+    """K1-K18 for one reporting month under the segment filters (F4/F5): the
+    month's KPIs with their change against the previous calendar month, from
+    the movement-only rollup (no dense ledger). The global last month stays
+    that of all events, as when the filter is applied after the model."""
+    from tidemark.operators.rollup import monthly_rollup
+
+    kept = segment_filter(customers, countries, industries)
+    deltas = kpi_deltas(kpis_from_rollup(monthly_rollup(events, kept, bounds_events=events)))
+    return deltas.where(F.col("month_date") == as_month(month))
