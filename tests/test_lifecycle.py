@@ -3,6 +3,9 @@
 import datetime as dt
 import random
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 
 from helpers import events, plans
 from pyspark.sql import functions as F
@@ -97,3 +100,27 @@ def test_unique_counts_null_keys_and_row_rules(spark):
     rules = {r.rule: r.violations for r in
              Q.row_rules(df, "t", ["k"], {"k": ["a"]}, {"v": 0}).collect()}
     assert rules == {"t.k.not_null": 2, "t.k.domain": 1, "t.v.min": 1}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(0, 3), st.integers(0, 10**6)),
+                min_size=1, max_size=300),
+       st.sampled_from([None, 5, 20]), st.sampled_from([2, 4, 16]))
+def test_ordered_lag_property(spark, raw, split_rows, pieces):
+    seen, rows = set(), []
+    for k, day, n in raw:
+        rid = f"r{n}"
+        if rid in seen:
+            continue
+        seen.add(rid)
+        rows.append((k, dt.date(2024, 1, 1) + dt.timedelta(days=day), rid, n))
+    df = spark.createDataFrame(rows, "k string, day date, id string, v long")
+    got = {r.id: r.prev_v for r in
+           ordered_lag(df, "k", ["day", "id"], ["v"], split_rows=split_rows, pieces=pieces).collect()}
+    exp = {}
+    for k in {r[0] for r in rows}:
+        prev = None
+        for r in sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])):
+            exp[r[2]] = prev
+            prev = r[3]
+    assert got == exp
