@@ -21,7 +21,7 @@ from tidemark.plans.checks import WATERFALL_ALIASES
 
 
 def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: list[str] | tuple = (),
-                   bounds_events: DataFrame | None = None) -> DataFrame:
+                   bounds_events: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Per month (and per ``by`` customer attributes): starting/ending MRR, the
     five category sums, active customers and ledger rows; identical to the
     same rollup of ``movements(...)``. ``by`` should be low-cardinality."""
@@ -30,7 +30,7 @@ def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: li
         raise ValueError("`by` names customer attributes: pass `customers`")
     bounds = bounds_events if bounds_events is not None else events
     seg = segments(events, customers, attributes=by if customers is not None else None,
-                   bounds_events=bounds)
+                   bounds_events=bounds, partitions=partitions)
     prior = F.coalesce(F.col("prior_mrr"), zero_money())
     cur = F.col("current_mrr")
     change = cur - prior
