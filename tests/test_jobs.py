@@ -72,3 +72,21 @@ def test_version_is_listed_only_with_its_ledger(spark, inputs):
     with pytest.raises(RuntimeError):
         P.publish(spark, {"plans": p}, base, derived=broken)
     assert P.current_version(spark, base) is None
+
+
+def test_refresh_with_failing_validation_lists_nothing(spark, inputs):
+    import datetime as dt
+
+    from tidemark import schemas as S
+    extra = spark.createDataFrame([("cust_without_events", "Idle", dt.date(2000, 1, 1), "X", "Y", "SMB")],
+                                  S.CUSTOMERS)
+    spark.read.parquet(f"{inputs}/in/customers").unionByName(extra).write.parquet(f"{inputs}/in/customers_plus")
+    base = f"{inputs}/warehouse_invalid"
+    with pytest.raises(P.PublishError):
+        jobs.refresh(spark, f"{inputs}/in/plans", f"{inputs}/in/customers_plus", f"{inputs}/in/events", base,
+                     validate=True)
+    assert P.current_version(spark, base) is None
+    # without validation the same load is published (the reference loads, then validates separately)
+    v = jobs.refresh(spark, f"{inputs}/in/plans", f"{inputs}/in/customers_plus", f"{inputs}/in/events", base)
+    out = {r.check_name: r.passed for r in jobs.validate(spark, base, v).collect()}
+    assert out["customer_counts"] is False and out["all_checks"] is False
