@@ -257,3 +257,19 @@ def test_negative_amount_falls_to_inactive(spark):
     # -5 -> 19 is not a rise "from 0" and the previous amount is not positive,
     # so every test of the CASE fails and it falls through to Inactive.
     assert got == ["Inactive", "Inactive", "Inactive"]
+
+
+def test_month_report_and_options(spark):
+    c = spark.createDataFrame(
+        [("cust_1", "A", d("2025-01-01"), "US", "Tech", "SMB"),
+         ("cust_2", "B", d("2025-01-01"), "UK", "Retail", "SMB"),
+         ("cust_3", "C", d("2025-01-01"), "DE", "Tech", "SMB")], S.CUSTOMERS)
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-03", 19),
+                       ("evt_2", "cust_1", "plan_pro", "upgrade", "2025-02-03", 49),
+                       ("evt_3", "cust_2", "plan_pro", "signup", "2025-02-05", 49)])
+    r = K.month_report(e, c, "2025-02-01", ["US"], ["Tech"]).collect()
+    assert len(r) == 1 and r[0].ending_mrr == money(49) and r[0].has_prior
+    assert abs(r[0].delta_mrr_pct - (49 - 19) / 19 * 100) < 1e-9
+    assert K.month_report(e, c, "2025-02-01", ["FR"], None).count() == 0
+    assert [x.country for x in K.customer_options(c, e, "country").collect()] == ["UK", "US"]
+    assert [x.month_date for x in K.month_options(e).collect()] == [d("2025-02-01"), d("2025-01-01")]
