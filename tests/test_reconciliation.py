@@ -147,3 +147,10 @@ def test_double_money_does_not_fail_on_binary_noise(spark):
                                       "mrr_change double, mrr_category string")
     assert passed(V.check_reconciliation(led)) == {"mrr_reconciliation": True}
     assert passed(V.check_continuity(led)) == {"mrr_continuity": True}
+
+
+def test_run_checks_same_with_and_without_checkpoint(built):
+    p, c, _, mv = built
+    a = sorted(tuple(r) for r in V.run_checks(mv, c, p, materialize=True).collect())
+    b = sorted(tuple(r) for r in V.run_checks(mv, c, p, materialize=False).collect())
+    assert a == b
