@@ -273,3 +273,12 @@ def test_month_report_and_options(spark):
     assert K.month_report(e, c, "2025-02-01", ["FR"], None).count() == 0
     assert [x.country for x in K.customer_options(c, e, "country").collect()] == ["UK", "US"]
     assert [x.month_date for x in K.month_options(e).collect()] == [d("2025-02-01"), d("2025-01-01")]
+
+
+def test_ledger_stage_parallelism_follows_partitions(spark):
+    e = events(spark, [(f"evt_{i}", f"cust_{i % 5}", "plan_basic", "signup", "2025-01-03", 19) for i in range(20)])
+    c = customers(spark, tuple(f"cust_{i}" for i in range(5)))
+    ledger = M.movements(e, c, plans(spark), partitions=7)
+    per_task = ledger.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) <= 7 and sum(r["count"] for r in per_task) == 5
+    assert ledger.rdd.getNumPartitions() == 7
