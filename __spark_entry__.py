@@ -30,6 +30,12 @@ from tidemark.plans.lifecycle import derive_event_type  # noqa: E402
 from tidemark.sources import fixture  # noqa: E402
 from tidemark.sources.tables import conform, conform_counts  # noqa: E402
 
+try:
+    from tidemark.llm.oracles import ORACLES as LLM_ORACLES
+    from tidemark.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:  # the library works without its subpackage for training data
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 MONEY = {"prev_mrr", "current_mrr", "mrr_change", "starting_mrr", "ending_mrr", "new_mrr",
@@ -236,9 +242,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracles.oracle_sql()
-    return {name: sql[name] for name in _QUERIES if name in sql}
+    return {name: sql[name] for name in _QUERIES if name in sql} | LLM_ORACLES
