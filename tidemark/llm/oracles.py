@@ -51,8 +51,8 @@ shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JO
            WHERE a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
           WHERE 100 * k >= 80 * (x.n + y.n - k)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT a, b FROM both UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, l.b FROM reach r JOIN edges l ON r.b = l.a),
 component AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id, d.doc_id = coalesce(c, d.doc_id) AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component ON a = d.doc_id
