@@ -45,7 +45,7 @@ WITH RECURSIVE words AS (
                                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 shingles AS (SELECT DISTINCT doc_id, hash(unnest(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')) END)) AS sh FROM words),
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END)) AS sh FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b USING (sh)
            WHERE a.doc_id < b.doc_id GROUP BY ALL),

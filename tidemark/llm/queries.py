@@ -7,15 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat_format import conversation_digests, format_conversations
+from tidemark.llm.common import scratch, staged
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.mixing import mixed
 from tidemark.llm.near_dup import near_duplicates
+from tidemark.llm.quality import quality_scores
+from tidemark.llm.suffix_dedup import repeated_passages
+from tidemark.llm.token_store import read_store, write_store
+from tidemark.llm.toxicity import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)],
+                                  "conv_id long, turn long, role string, text string")
+    return conversation_digests(staged(format_conversations(rows.union(extra)), "formatted"))
+
+
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -28,8 +51,28 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("passage")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    write_store(table(spark, sf_dir, "documents"), path)
+    return read_store(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_chat_format": op2_chat_format,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_minhash": op7_minhash,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_quality": op9_quality,
+    "op10_token_store": op10_token_store,
 }

@@ -1,8 +1,7 @@
 """Word hashes of Arrow text batches, vectorised over bytes.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as
-a-z. Words get 64-bit hashes (random byte values times position weights, then
-mixed), so equal words agree on every executor and unequal ones collide with
+a-z. Words get 64-bit hashes (a polynomial over random byte values, then mixed), so equal words agree on every executor and unequal ones collide with
 a probability of about 2**-64.
 """
 
@@ -18,10 +17,20 @@ SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _BYTES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_WEIGHTS = np.cumprod(np.full(1 << 12, _STEP, np.uint64))
-#: Bytes hashed at a time.
-BLOCK = 1 << 20
+_FOLDED = _BYTES[LOWER]
+_BASE = 0x9E3779B97F4A7C15
+_STEP = np.uint64(_BASE)
+#: Bytes hashed at a time (a longer word is one block).
+BLOCK = 1 << 17
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_UP, _DOWN = _powers(_BASE, BLOCK + 1), _powers(pow(_BASE, -1, 2**64), BLOCK + 1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -31,17 +40,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _weights(n: int) -> np.ndarray:
-    global _WEIGHTS
-    if n > len(_WEIGHTS):
-        _WEIGHTS = np.cumprod(np.full(1 << int(n - 1).bit_length(), _STEP, np.uint64))
-    return _WEIGHTS
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ascending byte spans, A-Z folded; empty spans give 0.
+
+    The sum of byte value times base**position, from running sums, moved back to
+    the span's own start (the base is odd, so it has an inverse modulo 2**64).
+    """
+    global _UP, _DOWN
+    out = np.zeros(len(starts), np.uint64)
+    full = np.flatnonzero(ends > starts)
+    s, e = starts[full], ends[full]
+    i = 0
+    while i < len(full):
+        j = max(i + 1, int(np.searchsorted(e, s[i] + BLOCK, "right")))
+        lo, n = s[i], int(e[j - 1] - s[i])
+        if n >= len(_UP):
+            _UP, _DOWN = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 2**64), 2 * n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_FOLDED[data[lo:lo + n]] * _UP[:n], out=sums[1:])
+        a, b = s[i:j] - lo, e[i:j] - lo
+        out[full[i:j]] = mix((sums[b] - sums[a]) * _DOWN[a] + (b - a).astype(np.uint64) * _STEP)
+        i = j
+    return out
 
 
 class Words:
     """Words of a batch of texts: byte `starts`/`ends` in `data`, `hashes`, and `ptr` (first word of each text)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, trim: bool = False) -> None:
         self.data, self.offsets = data, offsets
         solid = ~SEPARATOR[data]
         first = np.zeros(len(data) + 1, bool)
@@ -52,21 +78,7 @@ class Words:
         self.starts = np.flatnonzero(solid & (before | first[:-1]))
         self.ends = np.flatnonzero(solid & (after | first[1:])) + 1
         self.ptr = np.searchsorted(self.starts, offsets)
-        self.hashes = self._hashed()
-
-    def _hashed(self) -> np.ndarray:
-        out = np.empty(len(self.starts), np.uint64)
-        i = 0
-        while i < len(out):
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + BLOCK)))
-            lens = self.ends[i:j] - self.starts[i:j]
-            at = np.concatenate(([0], np.cumsum(lens)[:-1]))
-            inside = np.arange(int(lens.sum())) - np.repeat(at, lens)
-            seg = LOWER[self.data[inside + np.repeat(self.starts[i:j], lens)]]
-            terms = _BYTES[seg] * _weights(int(lens.max()))[inside]
-            out[i:j] = mix(np.add.reduceat(terms, at) + lens.astype(np.uint64) * _STEP)
-            i = j
-        return out
+        self.hashes = hash_spans(data, *(trimmed(self) if trim else (self.starts, self.ends)))
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -80,12 +92,32 @@ class Words:
         return bytes(self.data[self.starts[a]:self.ends[b - 1]]).decode("utf-8", "replace") if b > a else ""
 
 
-def text_words(column: pa.Array) -> Words:
-    """The words of a string column (without nulls)."""
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[0x21:0x30] = _PUNCTUATION[0x3A:0x41] = _PUNCTUATION[0x5B:0x61] = _PUNCTUATION[0x7B:0x7F] = True
+
+
+def trimmed(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The words' spans without ASCII punctuation at either end (a word of punctuation alone becomes empty)."""
+    starts, ends = words.starts.copy(), words.ends.copy()
+    left = np.arange(len(starts))
+    while len(left):
+        left = left[_PUNCTUATION[words.data[ends[left] - 1]]]
+        ends[left] -= 1
+        left = left[ends[left] > starts[left]]
+    left = np.flatnonzero(ends > starts)
+    while len(left):
+        left = left[_PUNCTUATION[words.data[starts[left]]]]
+        starts[left] += 1
+        left = left[ends[left] > starts[left]]
+    return starts, ends
+
+
+def text_words(column: pa.Array, trim: bool = False) -> Words:
+    """The words of a string column (without nulls); `trim`: hashed without punctuation at their ends."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return Words(data, offsets.astype(np.int64) - int(offsets[0]))
+    return Words(data, offsets.astype(np.int64) - int(offsets[0]), trim)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
