@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm.chat_format import conversation_digests, format_conversations
 from tidemark.llm.common import scratch, staged
@@ -13,6 +13,7 @@ from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.mixing import mixed
 from tidemark.llm.near_dup import near_duplicates
+from tidemark.llm.pii import personal_data_digest
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.suffix_dedup import repeated_passages
 from tidemark.llm.token_store import read_store, write_store
@@ -47,6 +48,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -71,8 +76,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repeated_passages": op3_repeated_passages,
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_personal_data": op6_personal_data,
     "op7_minhash": op7_minhash,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_token_store": op10_token_store,
+    "pipeline": corpus_pipeline.run,
 }
