@@ -85,6 +85,42 @@ def _verifier(k: int, percent: int):
     return verify
 
 
+def _setter(k: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                words = text_words(batch.column(1))
+                found = [shingle_set(words.of(i), k).view(np.int64) for i in range(len(words))]
+                yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+    return sets
+
+
+def _prefix_pairs(nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among `nodes` (node, n, component) that could be similar enough.
+
+    Prefix filtering, which loses no link: with every set in one order, rarest
+    shingles first, two sets of n1 and n2 elements with at least `need` in common
+    share one of their first n1-need+1 and n2-need+1. Rare shingles are those of
+    few of these nodes, so what all copies share stays out of the prefixes.
+    """
+    sets = staged(texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
+                  .mapInArrow(_setter(k), "node long, shingles array<long>"), "sets")
+    each = sets.select("node", F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("df"))
+    first = F.ceil(F.col("n") * (100 - percent) / 100) + 1  # at least what any partner asks for
+    prefix = (each.join(common, "s").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("order"))
+              .join(nodes, "node").select("node", "n", "component", F.posexplode(F.slice("order", F.lit(1), first.cast("int"))).alias("i", "x"))
+              .where("x.df > 1").select("node", "n", "component", "i", F.col("x.s").alias("s")))
+    prefix = staged(prefix, "prefix")
+    mixed = prefix.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
+    prefix = prefix.join(mixed, "s")
+    other = prefix.select("s", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "component", "i")])
+    need = F.ceil((F.col("n") + F.col("n2")) * percent / (100 + percent) - 1e-9)
+    return (prefix.join(other, "s").where((F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2")))
+            .where(F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) >= need)
+            .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity, from the whole texts."""
     rows = (pairs.select("a", "b")
@@ -95,7 +131,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = 128, band: int = 4,
-                    hub_rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Words are runs of non-blank characters, A-Z folded; a document's set holds
@@ -107,11 +143,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
        (a pair at 0.8 shares no band of 4 with a probability of 5e-8).
     2. Documents with equal sets form a class, represented by its smallest id;
        only representatives go on, so copies cost nothing further.
-    3. Verify: in each bucket the members are compared with one hub, then, in
-       `hub_rounds` more rounds, members of buckets that still hold several
-       components with another hub. What is then still apart within a bucket is
-       compared across components, so no candidate link is lost; pairs inside a
-       component would change nothing.
+    3. Verify: in each bucket the members are compared with its smallest, which
+       joins most copies at once. The members of buckets that still hold several
+       components are then compared across components, but for pairs that prefix
+       filtering rules out, so no candidate link is lost; pairs inside a component
+       would change nothing. Comparisons read the full sets.
     4. Components by union-find (`groups.components`).
 
     Null or blank texts have an empty set and are linked with nothing; a null
@@ -136,37 +172,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
     texts = staged(base.where("doc_id is not null").join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]),
                    "texts")
 
-    def near_size(pairs: DataFrame) -> DataFrame:
-        """Sets of too different sizes cannot be that similar."""
-        return pairs.where((100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))).select("a", "b").distinct()
-
     size = reps.select(F.col("node").alias("hub"), F.col("n").alias("n2"))
     size = size.join(members.select("hub").distinct(), "hub", "left_semi")
-    pairs = near_size(members.where("node <> hub").select("node", "n", "hub").distinct().join(size, "hub")
-                      .withColumns({"a": F.col("hub"), "b": F.col("node")}))
+    pairs = (members.where("node <> hub").select("node", "n", "hub").distinct().join(size, "hub")
+             # sets of too different sizes cannot be that similar
+             .where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+             .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     links = staged(_linked(pairs, texts, shingle, percent), "links")
-    for step in range(hub_rounds + 1):
-        labels = components(links)
-        labelled = (members.join(labels, "node", "left")
-                    .select("slot", "value", "node", "n", F.coalesce("component", "node").alias("component")))
-        split = (labelled.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                       F.max_by("node", F.xxhash64("node", F.lit(step))).alias("hub"))
-                 .where("lo < hi").drop("lo", "hi"))
-        open_ = staged(labelled.join(split, ["slot", "value"]), "open")
-        if open_.isEmpty():
-            break
-        if step < hub_rounds:
-            hub = open_.where("node = hub").select("slot", "value", F.col("component").alias("own"), F.col("n").alias("n2"))
-            pairs = (open_.join(hub, ["slot", "value"]).where("component <> own")
-                     .withColumns({"a": F.least("hub", "node"), "b": F.greatest("hub", "node")}))
-        else:
-            other = open_.select("slot", "value", F.col("node").alias("b"), F.col("n").alias("n2"),
-                                 F.col("component").alias("own"))
-            pairs = open_.withColumnRenamed("node", "a").join(other, ["slot", "value"]).where(
-                (F.col("a") < F.col("b")) & (F.col("component") != F.col("own")))
-        links = staged(links.union(_linked(near_size(pairs), texts, shingle, percent)), "links")
-        if step == hub_rounds:
-            labels = components(links)
+    labels = components(links)
+    labelled = (members.join(labels, "node", "left")
+                .select("slot", "value", "node", "n", F.coalesce("component", "node").alias("component")))
+    split = (labelled.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select("slot", "value"))
+    open_ = staged(labelled.join(split, ["slot", "value"]).select("node", "n", "component").distinct(), "open")
+    if not open_.isEmpty():
+        more = _linked(_prefix_pairs(open_, texts, shingle, percent), texts, shingle, percent)
+        labels = components(staged(links.union(more), "links"))
 
     of_class = (classes.join(labels, "node", "left")
                 .select("set_key", F.coalesce("component", "node").alias("component_id")))
