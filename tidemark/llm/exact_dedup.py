@@ -23,9 +23,9 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000,
     with the `keep` ("smallest" or "largest") identifier stays.
 
     Content sort: splitters that Spark samples range-partition the normalised
-    texts, each partition is sorted (spilling where needed), so that equal texts
-    lie side by side, and a running window compares each full text with its
-    neighbour. A text held by more than 1/`share` of all rows (there are at most
+    texts (by their first characters and a hash of the rest), each partition is
+    sorted (spilling where needed), so that equal texts lie side by side, and a
+    running window compares each full text with its neighbour. A text held by more than 1/`share` of all rows (there are at most
     `share` such texts) is dealt into `pieces` runs by a hash of the identifier,
     because one run of a third of all rows would be one task. The runs of such a
     text, and the identifiers of every group, meet again on the text's SHA-256
@@ -46,8 +46,10 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000,
              .select("doc_id", ascii_lower(F.col("text")).alias("norm"),
                      F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(pieces))).otherwise(F.lit(0)).alias("piece")))
     order = F.col("doc_id").desc_nulls_last() if keep == "largest" else F.col("doc_id").asc_nulls_last()
-    run = Window.partitionBy("norm", "piece").orderBy(order)
-    rows = staged(keyed.repartitionByRange("norm", "piece")
+    # the splitters are samples of the sort key's bounded part, so the driver never holds whole texts
+    head = ["head", "h", "piece"]
+    run = Window.partitionBy(*head, "norm").orderBy(order)
+    rows = staged(keyed.withColumns({"head": F.substring("norm", 1, 32), "h": F.xxhash64("norm")}).repartitionByRange(*head)
                   .select("doc_id", "norm", "piece", F.row_number().over(run).alias("nth"),
                           F.first("doc_id").over(run.rowsBetween(Window.unboundedPreceding, 0)).alias("run_keep"))
                   .select("doc_id", "piece", "nth", "run_keep", F.sha2("norm", 256).alias("text_sha256")), "sorted")
