@@ -15,7 +15,7 @@ from tidemark.llm.common import id_and_text, prepare, staged
 from tidemark.llm.words import Words, grams, slices, text_words
 
 #: Words of a seed; share of an item's n-grams, the rarest ones, that seed it; seeds that a window needs.
-SEED, RAREST, LEAST_SEEDS = 4, 0.75, 2
+SEED, RAREST, LEAST_SEEDS = 3, 0.75, 2
 #: Alignment scores, and bytes of benchmark text handled in one pass over the documents.
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 32 << 20
@@ -152,14 +152,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
     least `least_score`; start and end count words, end exclusive. Words are
     compared without case (A-Z) and without punctuation at their ends.
 
-    1. Corpus counts of the items' 4-grams, over all documents.
-    2. Of each item the rarest three quarters of its 4-grams are seeds: rarity is
+    1. Corpus counts of the items' 3-grams, over all documents.
+    2. Of each item the rarest three quarters of its 3-grams are seeds: rarity is
        relative to the item, so a passage that very many documents copy keeps
        its seeds. A text's stretches with at least two seeds on nearby diagonals are aligned.
 
     Documents never move: the items' index goes to them, in blocks of at most
     32 MB of benchmark text, each a pass over all documents. Null and empty
-    texts and items match nothing; an item of fewer than four words is a seed as
+    texts and items match nothing; an item of fewer than three words is a seed as
     a whole; repeated rows of documents give repeated results, repeated items
     one each; empty tables give no rows; other columns are ignored.
     """
