@@ -149,8 +149,28 @@ def test_double_money_does_not_fail_on_binary_noise(spark):
     assert passed(V.check_continuity(led)) == {"mrr_continuity": True}
 
 
-def test_run_checks_same_with_and_without_checkpoint(built):
+def test_run_checks_is_lazy_and_agrees_with_the_single_checks(spark, built):
     p, c, _, mv = built
-    a = sorted(tuple(r) for r in V.run_checks(mv, c, p, materialize=True).collect())
-    b = sorted(tuple(r) for r in V.run_checks(mv, c, p, materialize=False).collect())
-    assert a == b
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    df = V.run_checks(mv, c, p)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    got = {r.check_name: r.violations for r in df.collect()}
+    single = [V.check_reconciliation(mv), V.check_continuity(mv), V.check_customer_counts(c, mv), V.check_integrity(mv, c, p)]
+    assert got == {r.check_name: r.violations for x in single for r in x.collect()} | {"all_checks": 0}
+
+
+def test_null_ids_and_null_money(spark):
+    schema = ("customer_id string, month_date date, prev_mrr decimal(10,2), current_mrr decimal(10,2), "
+              "mrr_change decimal(10,2), mrr_category string, current_plan_id string")
+    rows = [("a", d("2025-01-01"), money(0), None, money(19), "New", None),
+            (None, d("2025-02-01"), money(5), money(5), money(0), "No Change", None)]
+    led = spark.createDataFrame(rows, schema)
+    dim = spark.createDataFrame([("a",)], "customer_id string")
+    plan = spark.createDataFrame([("p",)], "plan_id string")
+    got = {r.check_name: r.violations for r in V.run_checks(led, dim, plan).collect()}
+    # a NULL balance is a difference; a NULL id is no customer to count, but an orphan row
+    assert got == {"mrr_reconciliation": 1, "mrr_continuity": 1, "customer_counts": 0, "referential_integrity": 1, "all_checks": 3}
+    assert V.check_continuity(led).first()["violations"] == 1
+    assert V.check_reconciliation(led).first()["violations"] == 1
+    assert V.check_customer_counts(dim, led).first()["passed"]

@@ -270,7 +270,10 @@ def test_month_report_and_options(spark):
     r = K.month_report(e, c, "2025-02-01", ["US"], ["Tech"]).collect()
     assert len(r) == 1 and r[0].ending_mrr == money(49) and r[0].has_prior
     assert abs(r[0].delta_mrr_pct - (49 - 19) / 19 * 100) < 1e-9
-    assert K.month_report(e, c, "2025-02-01", ["FR"], None).count() == 0
+    # no customer in the filter, or none yet: one row of defaults
+    for month, countries in (("2025-02-01", ["FR"]), ("2025-01-01", ["UK"])):
+        r = K.month_report(e, c, month, countries, None).collect()
+        assert [(x.ending_mrr, x.active_customers, x.nrr, x.has_prior, x.delta_mrr_pct) for x in r] == [(0, 0, 100.0, False, 0.0)]
     assert [x.country for x in K.customer_options(c, e, "country").collect()] == ["UK", "US"]
     assert [x.month_date for x in K.month_options(e).collect()] == [d("2025-02-01"), d("2025-01-01")]
 
@@ -282,3 +285,19 @@ def test_ledger_stage_parallelism_follows_partitions(spark):
     per_task = ledger.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) <= 7 and sum(r["count"] for r in per_task) == 5
     assert ledger.rdd.getNumPartitions() == 7
+
+
+def test_search_folds_case_beyond_ascii(spark):
+    df = spark.createDataFrame([("\u00c9COLE",), ("\u00e9cole",), ("ecole",), (None,)], "customer_name string")
+    assert K.search_name(df, "\u00e9cole").count() == 2
+    assert K.search_name(df, "\u00c9COLE").count() == 2
+
+
+def test_kpis_over_a_spine(spark):
+    c = customers(spark, ("cust_1",))
+    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-03-03", 19)])
+    from tidemark.operators.rollup import monthly_rollup
+    kpis = K.kpis_from_rollup(monthly_rollup(e, c, bounds_events=e))
+    months = spark.createDataFrame([(d("2025-01-01"),), (d("2025-03-01"),)], "month_date date")
+    got = {r.month_date: (r.ending_mrr, r.nrr) for r in K.kpis_over(kpis, months).collect()}
+    assert got == {d("2025-01-01"): (0, 100.0), d("2025-03-01"): (money(19), 100.0)}

@@ -1,6 +1,6 @@
 """Command line for the batch jobs (run with spark-submit or python -m tidemark).
 
-  refresh  PLANS CUSTOMERS EVENTS BASE [--expected-plans N]
+  refresh  PLANS CUSTOMERS EVENTS BASE [--expected-plans N] [--validate] [--partitions N]
   validate BASE   (exit code 1 when a check fails)
 """
 
@@ -23,12 +23,15 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("events")
     r.add_argument("base")
     r.add_argument("--expected-plans", type=int, default=None)
+    r.add_argument("--validate", action="store_true", help="list the version only if all validators pass")
+    r.add_argument("--partitions", type=int, default=None, help="tasks of the stages that build and write the ledger")
     v = sub.add_parser("validate")
     v.add_argument("base")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark-{args.command}").getOrCreate()
     if args.command == "refresh":
-        print(jobs.refresh(spark, args.plans, args.customers, args.events, args.base, args.expected_plans))
+        print(jobs.refresh(spark, args.plans, args.customers, args.events, args.base, args.expected_plans,
+                           validate=args.validate, partitions=args.partitions))
         return 0
     result = jobs.validate(spark, args.base)
     result.show(truncate=False)

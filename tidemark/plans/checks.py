@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.session import checkpoint_dir
 
 SUMMARY_COLUMNS = ["check_name", "passed", "violations"]
 
@@ -48,17 +47,23 @@ def _summary(name: str, bad: DataFrame) -> DataFrame:
 
 def _cents_apart(a, b) -> F.Column:
     """|a - b| rounded to the cent: exact for decimals, and free of binary
-    noise when a stand-in table carries money as DOUBLE."""
+    noise when a stand-in table carries money as DOUBLE. NULL on one side counts
+    as apart (the difference itself stays NULL)."""
     return F.round(F.abs(a - b), 2)
 
 
+def _differ(a, b) -> F.Column:
+    """Apart by a cent or more, or NULL on one side only."""
+    return F.coalesce(_cents_apart(a, b) != 0, ~a.eqNullSafe(b))
+
+
 def reconciliation_violations(waterfall: DataFrame) -> DataFrame:
     """V2 rows: months where start + movements and end differ by a cent or more."""
     expected = F.col("starting_mrr") + sum(F.col(a) for a in WATERFALL_ALIASES)
     return waterfall.select(
         "month_date", expected.alias("expected_ending_mrr"), "ending_mrr",
         _cents_apart(expected, F.col("ending_mrr")).alias("difference"),
-    ).where(F.col("difference") != 0)
+    ).where(_differ(F.col("expected_ending_mrr"), F.col("ending_mrr")))
 
 
 def check_reconciliation(ledger: DataFrame) -> DataFrame:
@@ -68,15 +73,14 @@ def check_reconciliation(ledger: DataFrame) -> DataFrame:
 
 def continuity_violations(ledger: DataFrame) -> DataFrame:
     """V3 rows: a month whose starting MRR differs from the previous row's ending
-    MRR (adjacent rows of the monthly rollup; the first month is skipped)."""
+    MRR (adjacent rows of the monthly rollup; the first month has none)."""
     monthly = ledger.groupBy("month_date").agg(
         _money_sum("prev_mrr").alias("starting_mrr"), _money_sum("current_mrr").alias("ending_mrr"))
     by_month = Window.orderBy("month_date")  # one row per month
     return (
-        monthly.select("month_date", "starting_mrr",
-                       F.lag("ending_mrr").over(by_month).alias("prior_ending_mrr"))
-        .where(F.col("prior_ending_mrr").isNotNull()
-               & (_cents_apart(F.col("starting_mrr"), F.col("prior_ending_mrr")) != 0))
+        monthly.select("month_date", "starting_mrr", F.lag("ending_mrr").over(by_month).alias("prior_ending_mrr"),
+                       F.row_number().over(by_month).alias("_n"))
+        .where((F.col("_n") > 1) & _differ(F.col("starting_mrr"), F.col("prior_ending_mrr"))).drop("_n")
     )
 
 
@@ -148,82 +152,41 @@ def check_integrity(ledger: DataFrame, customers: DataFrame, plans: DataFrame) -
     )
 
 
-def ledger_profile(ledger: DataFrame) -> DataFrame:
-    """One pass over the ledger feeding every validator: a grouping-sets
-    aggregate by month (balances and category sums) and by (customer, current
-    plan) (row counts). Partial aggregation runs before the shuffle; the result
-    has about #months + #customers rows."""
-    cat = F.col("mrr_category")
-    return ledger.groupingSets(
-        [["month_date"], ["customer_id", "current_plan_id"]],
-        "month_date", "customer_id", "current_plan_id",
-    ).agg(
-        F.sum("prev_mrr").alias("starting_mrr"),
-        F.sum("current_mrr").alias("ending_mrr"),
-        *[F.sum(F.when(cat == name, F.col("mrr_change")).otherwise(F.lit(0))).alias(alias)
-          for name, alias in zip(S.WATERFALL_CATEGORIES, WATERFALL_ALIASES)],
-        F.count(F.lit(1)).alias("n_rows"),
-        F.grouping("month_date").alias("_no_month"),
-    )
-
-
-def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame,
-               materialize: bool = True) -> DataFrame:
+def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame) -> DataFrame:
     """V8: every check runs (none short-circuits), plus an ``all_checks`` row
     that ANDs them.
 
-    All checks read one profile of the ledger. With ``materialize`` (default)
-    the profile is computed once by a reliable ``checkpoint()`` into the
-    session's checkpoint folder (this starts one job); otherwise, or when a
-    cluster names no checkpoint folder, each check branch recomputes it
-    (column pruning makes the branches differ), which is slower but never
-    writes to a machine-local folder.
-    """
-    prof = ledger_profile(ledger)
-    if materialize:
-        try:
-            usable = bool(checkpoint_dir(ledger.sparkSession))
-        except RuntimeError:  # a cluster without spark.checkpoint.dir
-            usable = False
-        if usable:
-            prof = prof.checkpoint(eager=True)
-    monthly = prof.where(F.col("_no_month") == 0).select(
-        "month_date",
-        *[F.round(F.col(c), 2).alias(c) for c in ["starting_mrr", "ending_mrr", *WATERFALL_ALIASES]])
-    pairs = prof.where(F.col("_no_month") == 1).select("customer_id", "current_plan_id", "n_rows")
-    per_customer = pairs.groupBy("customer_id").agg(F.sum("n_rows").alias("n_rows"))
-    per_plan = pairs.where(F.col("current_plan_id").isNotNull()).groupBy("current_plan_id").agg(
-        F.sum("n_rows").alias("n_rows"))
+    The ledger is read by two aggregations, each with the columns it needs: one
+    by month (a few hundred rows; V2 and V3) and one that counts rows by
+    (customer, current plan) (V4-V7), both combined before their shuffle. Lazy:
+    no job runs and nothing is stored."""
     by_month = Window.orderBy("month_date")  # one row per month
-    gaps = (monthly.select("starting_mrr", F.lag("ending_mrr").over(by_month).alias("prior"))
-            .where(F.col("prior").isNotNull() & (_cents_apart(F.col("starting_mrr"), F.col("prior")) != 0)))
-    # V4 and V5 in one join: distinct dimension keys against the per-customer
-    # row counts of the profile (both sides hold each customer once).
-    dim_keys = customers.select("customer_id").distinct().withColumn("_in_dim", F.lit(True))
-    cust = per_customer.join(dim_keys, "customer_id", "full").agg(
-        F.count(F.when(F.col("_in_dim"), F.lit(1))).alias("dim"),
-        F.count("n_rows").alias("mod"),
-        F.coalesce(F.sum(F.when(F.col("_in_dim").isNull(), F.col("n_rows"))), F.lit(0)).alias("orphan_rows"),
-    )
-    orphan_plans = per_plan.join(plans.select(F.col("plan_id").alias("current_plan_id")),
-                                 "current_plan_id", "left_anti").agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
-    # Both customer-based rows come out of one projection of ``cust``, so it is
-    # computed once; integrity adds the orphan-plan rows.
-    keyed = cust.select(F.inline(F.array(
-        F.struct(F.lit("customer_counts").alias("check_name"),
-                 F.abs(F.col("dim") - F.col("mod")).alias("violations")),
-        F.struct(F.lit("referential_integrity").alias("check_name"),
-                 F.col("orphan_rows").alias("violations")),
-    ))).unionByName(orphan_plans.select(F.lit("referential_integrity").alias("check_name"), "violations"))
-    dims = keyed.groupBy("check_name").agg(F.sum("violations").alias("violations")).select(
-        "check_name", (F.col("violations") == 0).alias("passed"), "violations")
-    parts = (
-        _summary("mrr_reconciliation", reconciliation_violations(monthly))
-        .unionByName(_summary("mrr_continuity", gaps))
-        .unionByName(dims)
-    )
-    return with_overall(parts)
+    expected = F.col("starting_mrr") + sum(F.col(a) for a in WATERFALL_ALIASES)
+    balances = monthly_waterfall(ledger).select(
+        _differ(expected, F.col("ending_mrr")).alias("unbalanced"),
+        ((F.row_number().over(by_month) > 1)
+         & _differ(F.col("starting_mrr"), F.lag("ending_mrr").over(by_month))).alias("broken"))
+    money = balances.agg(F.count_if("unbalanced").alias("unbalanced"), F.count_if("broken").alias("broken"))
+
+    pairs = ledger.groupBy("customer_id", "current_plan_id").agg(F.count(F.lit(1)).alias("n"))
+    known_plans = plans.select(F.col("plan_id").alias("current_plan_id"), F.lit(True).alias("_plan")).distinct()
+    per_customer = (pairs.join(known_plans, "current_plan_id", "left").groupBy("customer_id").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("current_plan_id").isNotNull() & F.col("_plan").isNull(), F.col("n")).otherwise(0)).alias("planless")))
+    # V4 and V5 in one join: both sides hold each customer once
+    dim_keys = customers.select("customer_id").distinct().withColumn("_dim", F.lit(True))
+    keys = per_customer.join(dim_keys, "customer_id", "full").agg(
+        F.count_if(F.col("_dim") & F.col("customer_id").isNotNull()).alias("dim"),
+        F.count_if(F.col("n").isNotNull() & F.col("customer_id").isNotNull()).alias("mod"),
+        F.coalesce(F.sum(F.when(F.col("_dim").isNull(), F.col("n")).otherwise(0) + F.coalesce("planless", F.lit(0))),
+                   F.lit(0)).alias("orphans"))
+
+    def rows(df: DataFrame, **violations) -> DataFrame:
+        return df.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check_name"), v.cast("bigint").alias("violations"))
+                                            for name, v in violations.items()])))
+    found = rows(money, mrr_reconciliation=F.col("unbalanced"), mrr_continuity=F.col("broken")).unionByName(
+        rows(keys, customer_counts=F.abs(F.col("dim") - F.col("mod")), referential_integrity=F.col("orphans")))
+    return with_overall(found.select("check_name", (F.col("violations") == 0).alias("passed"), "violations"))
 
 
 def with_overall(parts: DataFrame) -> DataFrame:

@@ -32,11 +32,12 @@ def _conformed(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataF
 
 
 def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_path: str, base: str,
-            expected_plans: int | None = None, validate: bool = False) -> str:
+            expected_plans: int | None = None, validate: bool = False, partitions: int | None = None) -> str:
     """Load, check and store the inputs, build and store the ledger in the same
     version, optionally validate it, and only then list the version. Returns
     the version. Raises when rows do not cast, a constraint fails or (with
-    ``validate``) a validator fails; nothing becomes visible in that case."""
+    ``validate``) a validator fails; nothing becomes visible in that case.
+    ``partitions`` sizes the stages that build and write the ledger."""
     loaded = {
         "plans": _conformed(spark, plans_path, S.PLANS),
         "customers": _conformed(spark, customers_path, S.CUSTOMERS),
@@ -52,8 +53,8 @@ def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_pa
         return Q.check_inputs(stored["plans"], stored["customers"], stored["events"], expected_plans)
 
     def ledger(stored: dict[str, DataFrame]) -> dict:
-        built = movements(stored["events"], stored["customers"], stored["plans"])
-        return {LEDGER: lambda path: P.write_ledger(built, path)}
+        built = movements(stored["events"], stored["customers"], stored["plans"], partitions=partitions)
+        return {LEDGER: lambda path: P.write_ledger(built, path, partitions=partitions)}
 
     def ledger_checks(stored: dict[str, DataFrame]) -> DataFrame:
         return V.run_checks(stored[LEDGER], stored["customers"], stored["plans"])

@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import HOT_GROUP_ROWS, ordered_lag
+from tidemark.operators.sequence import SPLIT_ROWS, ordered_lag
 
 ORDER = ["event_date", "event_id"]
 
 
 def event_type_rule(amount, prev_amount) -> F.Column:
-    """0 -> cancel; first event -> signup; from 0 -> reactivate; not cheaper ->
-    upgrade; cheaper -> downgrade."""
+    """First event -> signup, whatever its amount; 0 -> cancel; from 0 -> reactivate;
+    not cheaper (a move at the same price too) -> upgrade; cheaper -> downgrade."""
     a, p = F.col(amount), F.col(prev_amount)
     return (
-        F.when(a == 0, F.lit("cancel"))
-        .when(p.isNull(), F.lit("signup"))
+        F.when(p.isNull(), F.lit("signup"))
+        .when(a == 0, F.lit("cancel"))
         .when(p == 0, F.lit("reactivate"))
         .when(a >= p, F.lit("upgrade"))
         .otherwise(F.lit("downgrade"))
     )
 
 
-def derive_event_type(events: DataFrame, split_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+def derive_event_type(events: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Add ``event_type`` (replacing any existing one) from the previous amount of
     the same customer in (event_date, event_id) order. Customer-days above
     ``split_rows`` events are split further (None: never)."""

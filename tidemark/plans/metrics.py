@@ -76,11 +76,11 @@ def active_movements(ledger: DataFrame) -> DataFrame:
 
 
 def search_name(df: DataFrame, pattern: str | None, column: str = "customer_name") -> DataFrame:
-    """case-insensitive regular-expression search (Java regex dialect);
+    """case-insensitive regular-expression search, also beyond ASCII (Java regex dialect);
     NULL names never match; an empty pattern means no filter."""
     if not pattern:
         return df
-    return df.where(F.col(column).rlike("(?i)" + pattern))
+    return df.where(F.col(column).rlike("(?iu)" + pattern))
 
 
 # ------------------------------------------------------------------- KPIs (K*)
@@ -134,11 +134,14 @@ def _defaults() -> dict[str, Column]:
 def kpis_at(kpis: DataFrame, month) -> DataFrame:
     """K12 (+F6): the KPI row of one month; a month without rows gets the
     defaults (all zero, NRR 100) instead of vanishing."""
-    spark = kpis.sparkSession
-    wanted = spark.range(1).select(as_month(month).alias("month_date"))
-    joined = wanted.join(F.broadcast(kpis), "month_date", "left")  # one-row probe side
+    return kpis_over(kpis, kpis.sparkSession.range(1).select(as_month(month).alias("month_date")))
+
+
+def kpis_over(kpis: DataFrame, months: DataFrame) -> DataFrame:
+    """K12 for every row of ``months`` (month_date), e.g. ``month_spine(events)``: a
+    segment's months before its first customer get the defaults."""
     d = _defaults()
-    return joined.select(
+    return months.join(kpis, "month_date", "left").select(
         "month_date", *[F.coalesce(F.col(c), d[c]).alias(c) for c in KPI_COLUMNS[1:]])
 
 
@@ -297,10 +300,12 @@ def month_report(events: DataFrame, customers: DataFrame, month, countries: list
                  industries: list[str] | None = None) -> DataFrame:
     """K1-K18 for one reporting month under the segment filters (F4/F5): the
     month's KPIs with their change against the previous calendar month, from
-    the movement-only rollup (no dense ledger). The global last month stays
+    the movement-only rollup (no dense ledger). Always one row: without customers
+    in the filter, or before the first of them, with the defaults. The global last month stays
     that of all events, as when the filter is applied after the model."""
     from tidemark.operators.rollup import monthly_rollup
 
     kept = segment_filter(customers, countries, industries)
-    deltas = kpi_deltas(kpis_from_rollup(monthly_rollup(events, kept, bounds_events=events)))
-    return deltas.where(F.col("month_date") == as_month(month))
+    kpis = kpis_from_rollup(monthly_rollup(events, kept, bounds_events=events))
+    two = kpis.sparkSession.range(2).select(F.add_months(as_month(month), -F.col("id").cast("int")).alias("month_date"))
+    return kpi_deltas(kpis_over(kpis, two)).where(F.col("month_date") == as_month(month))

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.operators.joins import lookup_side
-from tidemark.operators.sequence import HOT_GROUP_ROWS, ordered_lag
+from tidemark.operators.sequence import SPLIT_ROWS, ordered_lag
 
 
 def _rule(name: str, violations: DataFrame) -> DataFrame:
@@ -134,13 +133,15 @@ def check_inputs(plans: DataFrame, customers: DataFrame, events: DataFrame,
 
 # ------------------------------------------------------------- lifecycle (L2/L3)
 
-def lifecycle_violations(events: DataFrame, split_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+def lifecycle_violations(events: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """L2: events breaking the lifecycle, one reason each (first match wins).
 
     Active means the previous amount is positive. The first event must be a
-    signup and only the first; upgrades/downgrades need an active customer and
-    a dearer/cheaper amount; a cancel needs an active customer; a reactivation
-    needs a cancelled one."""
+    signup and only the first; an upgrade needs an active customer and an amount
+    that is not lower, a downgrade an active customer and a lower one; a cancel
+    needs an active customer; a reactivation a cancelled one. What
+    ``derive_event_type`` writes can only break the cancel rule (two zero amounts
+    in a row)."""
     lagged = ordered_lag(events.select("event_id", "customer_id", "event_type", "event_date",
                                        "monthly_amount"),
                          "customer_id", ["event_date", "event_id"], ["event_id", "monthly_amount"],
@@ -152,10 +153,10 @@ def lifecycle_violations(events: DataFrame, split_rows: int | None = HOT_GROUP_R
     reason = (
         F.when(first & (t != "signup"), F.lit("first_event_not_signup"))
         .when(~first & (t == "signup"), F.lit("signup_after_first_event"))
-        .when((t == "upgrade") & ~(active & (amt > prev)), F.lit("upgrade_not_to_dearer_plan_while_active"))
-        .when((t == "downgrade") & ~(active & (amt < prev)), F.lit("downgrade_not_to_cheaper_plan_while_active"))
-        .when((t == "cancel") & ~active, F.lit("cancel_while_inactive"))
-        .when((t == "reactivate") & ~(prev == 0), F.lit("reactivate_without_cancel"))
+        .when((t == "upgrade") & ~F.coalesce(active & (amt >= prev), F.lit(False)), F.lit("upgrade_to_cheaper_plan_or_while_inactive"))
+        .when((t == "downgrade") & ~F.coalesce(active & (amt < prev), F.lit(False)), F.lit("downgrade_not_to_cheaper_plan_while_active"))
+        .when((t == "cancel") & ~F.coalesce(active, F.lit(False)), F.lit("cancel_while_inactive"))
+        .when((t == "reactivate") & ~F.coalesce(prev == 0, F.lit(False)), F.lit("reactivate_without_cancel"))
     )
     return lagged.select("event_id", "customer_id", "event_type", "event_date",
                          reason.alias("reason")).where(F.col("reason").isNotNull())
@@ -164,8 +165,7 @@ def lifecycle_violations(events: DataFrame, split_rows: int | None = HOT_GROUP_R
 def price_violations(events: DataFrame, plans: DataFrame) -> DataFrame:
     """L3: a cancel must carry amount 0; any other event must name a known plan
     and carry exactly its price."""
-    price = lookup_side(plans.select("plan_id", "monthly_price"))
-    j = events.join(price, "plan_id", "left")
+    j = events.join(plans.select("plan_id", "monthly_price"), "plan_id", "left")
     t, amt = F.col("event_type"), F.col("monthly_amount")
     reason = (
         F.when((t == "cancel") & (amt != 0), F.lit("cancel_with_amount"))

@@ -61,7 +61,7 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that have at least one order, with the first order date as signup."""
+    """Every customer; the signup date is the first order's (NULL without orders)."""
     c, n, o = (_read(spark, sf_dir, t) for t in ("customer", "nation", "orders"))
     first = o.groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("signup_date"))
     size = (
@@ -71,7 +71,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         c.join(n, c.c_nationkey == n.n_nationkey, "inner")
-        .join(first, c.c_custkey == first.o_custkey, "inner")
+        .join(first, c.c_custkey == first.o_custkey, "left")
         .select(
             _customer_key("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_name"),
@@ -83,17 +83,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer row, with or without orders (signup date may be NULL)."""
-    c, n, o = (_read(spark, sf_dir, t) for t in ("customer", "nation", "orders"))
-    first = o.groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("signup_date"))
-    return (
-        c.join(n, c.c_nationkey == n.n_nationkey, "inner")
-        .join(first, c.c_custkey == first.o_custkey, "left")
-        .select(_customer_key("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("customer_name"), "signup_date",
-                F.col("n_name").alias("country"), F.col("c_mktsegment").alias("industry"))
-    )
+def supplier_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of another table in the customers' form: a parent that lacks most customers."""
+    return _read(spark, sf_dir, "supplier").select(_customer_key("s_suppkey").alias("customer_id"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +111,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the movement model reads them: it never reads ``event_type``, so the
-    (sequential, Python-assisted) derivation of that column is left out."""
+    (sequential) derivation of that column is left out."""
     return raw_events(spark, sf_dir)
 
 

@@ -12,8 +12,10 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST = "_manifest"
@@ -41,6 +43,14 @@ def load_counts(inputs: dict[str, DataFrame], stored: dict[str, DataFrame]) -> D
     )
 
 
+def stored_counts(written: dict[str, int], stored: dict[str, DataFrame]) -> DataFrame:
+    """S6 against counts taken while writing: (table_name, input_rows, stored_rows, passed)."""
+    parts = [stored[name].agg(F.count(F.lit(1)).alias("stored_rows")).select(
+        F.lit(name).alias("table_name"), F.lit(n).cast("bigint").alias("input_rows"), "stored_rows")
+        for name, n in written.items()]
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("input_rows") == F.col("stored_rows"))
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
             checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
             derived: Callable[[dict[str, DataFrame]], dict[str, Callable[[str], None]]] | None = None,
@@ -48,7 +58,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     """Write ``tables`` as a new version under ``base`` and list it only
     when everything belonging to it is stored and checked.
 
-    Order: write the tables; the stored counts must equal the input counts;
+    Order: write the tables, counting the rows in the job that writes them; the
+    stored counts must equal these;
     ``checks`` (a function of the stored tables returning rows with a
     ``passed`` column) must all pass; ``derived`` (a function of the stored
     tables returning ``{name: writer(path)}``) writes tables built from them,
@@ -57,10 +68,13 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     to the manifest. A failure at any step leaves the version unlisted."""
     version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     stage = f"{base}/{version}"
+    written: dict[str, int] = {}
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{stage}/{name}")
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{stage}/{name}")
+        written[name] = seen.get["n"]
     stored = {name: spark.read.parquet(f"{stage}/{name}") for name in tables}
-    failed = load_counts(tables, stored).where(~F.col("passed")).count()
+    failed = stored_counts(written, stored).where(~F.col("passed")).count()
     if failed:
         raise PublishError(f"{failed} table(s) stored a different row count; version {version} not listed")
     if checks is not None:
@@ -82,12 +96,19 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    """Newest listed version, or None before the first successful publication."""
+    """The version published last, or None before the first successful publication.
+
+    The order is that of listing, not of starting: a long load that ends last is
+    the newest. Only a missing manifest means that nothing is published; any
+    other failure to read it is raised."""
     try:
-        row = spark.read.parquet(f"{base}/{MANIFEST}").agg(F.max("version").alias("v")).first()
-    except Exception:  # no manifest yet
+        manifest = spark.read.schema("version string, published_at timestamp").parquet(f"{base}/{MANIFEST}")
+        row = manifest.agg(F.max(F.struct("published_at", "version")).alias("last")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return row["v"] if row else None
+    return row["last"]["version"] if row and row["last"] else None
 
 
 def read_published(spark: SparkSession, base: str, name: str, version: str | None = None) -> DataFrame:
@@ -102,13 +123,12 @@ def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists",
     """Write a ledger partitioned by ``month_date``: a month filter on the stored
     ledger then prunes whole folders instead of scanning every month.
 
-    Rows are range-partitioned on (month_date, customer_id) first: each task
-    holds a contiguous slice, so it writes into one or two month folders, and a
-    large month is split across many tasks by customer ranges (partitioning by
-    the month alone would send a whole month to a single task)."""
-    n = partitions or int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (ledger.repartitionByRange(n, "month_date", "customer_id")
-     .write.mode(mode).partitionBy("month_date").parquet(path))
+    A rebalance on the month puts a month's rows together; at run time AQE merges
+    small months into one task and splits a large one over several, by the sizes
+    of the shuffle. There is no sampling pass, so the ledger is evaluated once.
+    ``partitions`` sets the shuffle's initial count."""
+    keys = [partitions, "month_date"] if partitions else ["month_date"]
+    ledger.hint("rebalance", *keys).write.mode(mode).partitionBy("month_date").parquet(path)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:

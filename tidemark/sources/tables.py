@@ -86,8 +86,8 @@ class ResultTooLarge(RuntimeError):
 def to_client(df: DataFrame, max_rows: int = 100_000):
     """A small result as a pandas frame for a client (a report, a chart).
 
-    Reads at most ``max_rows + 1`` rows; a larger result raises instead of
-    being pulled through the driver. Ledgers belong in a table, not here."""
+    ``max_rows`` is the caller's bound: a larger result raises instead of being
+    pulled through the driver, which never holds more than ``max_rows + 1`` rows. Ledgers belong in a table, not here."""
     pdf = df.limit(max_rows + 1).toPandas()
     if len(pdf) > max_rows:
         raise ResultTooLarge(f"result has more than {max_rows} rows; write it to a table instead")
