@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,11 +25,15 @@ from tidemark.operators import movement as M  # noqa: E402
 from tidemark.operators.rollup import monthly_rollup  # noqa: E402
 from tidemark.operators.snapshot import asof_snapshot  # noqa: E402
 from tidemark.plans import checks as V  # noqa: E402
+from tidemark.plans import jobs as J  # noqa: E402
 from tidemark.plans import metrics as K  # noqa: E402
 from tidemark.plans import quality as Q  # noqa: E402
 from tidemark.plans.lifecycle import derive_event_type  # noqa: E402
+from tidemark.session import checkpoint_dir  # noqa: E402
 from tidemark.sources import fixture  # noqa: E402
-from tidemark.sources.tables import conform, conform_counts  # noqa: E402
+from tidemark.sources import publish as P  # noqa: E402
+from tidemark.sources.publish import load_counts  # noqa: E402
+from tidemark.sources.tables import conform, conform_counts, row_counts  # noqa: E402
 
 try:
     from tidemark.llm.oracles import ORACLES as LLM_ORACLES
@@ -96,7 +101,7 @@ def _kpi_row(spark: SparkSession, sf: str) -> DataFrame:
 
 def _checks(spark: SparkSession, sf: str) -> DataFrame:
     plans, customers, _ = _inputs(spark, sf)
-    return V.run_checks(_ledger(spark, sf), fixture.all_customers(spark, sf), plans)
+    return V.run_checks(_ledger(spark, sf), fixture.customers(spark, sf), plans)
 
 
 def _activity(spark: SparkSession, sf: str, pattern: str | None = None) -> DataFrame:
@@ -123,14 +128,12 @@ def _conform_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
-    from tidemark.sources.tables import row_counts
     return row_counts({"plans": fixture.plans(spark, sf), "customers": fixture.customers(spark, sf),
                        "events": fixture.events(spark, sf)})
 
 
 def _load_check(spark: SparkSession, sf: str) -> DataFrame:
     """Rows handed to the load vs rows that survive conformance."""
-    from tidemark.sources.publish import load_counts
     inputs = {"plans": (fixture.plans(spark, sf), S.PLANS),
               "customers": (fixture.customers(spark, sf), S.CUSTOMERS),
               "events": (fixture.events(spark, sf), S.EVENTS)}
@@ -144,6 +147,56 @@ def _quality(spark: SparkSession, sf: str, rules) -> DataFrame:
     return Q.union_all(rules(plans, customers, events))
 
 
+def _broken(spark: SparkSession, sf: str):
+    """A ledger whose June starting balances are off by one per row, and dimensions that lack
+    customers and plans which the ledger has: every validator has something to find."""
+    plans, customers, _ = _inputs(spark, sf)
+    ledger = _ledger(spark, sf).withColumn("prev_mrr", F.when(
+        F.month("month_date") == 6, (F.col("prev_mrr") + 1).cast(S.MONEY)).otherwise(F.col("prev_mrr")))
+    return ledger, customers.where("industry = 'BUILDING'"), plans.where("monthly_price > 40")
+
+
+def _broken_plans(spark: SparkSession, sf: str) -> DataFrame:
+    """Plans as text, with prices that do not cast for two of them."""
+    return fixture.plans(spark, sf).withColumn("monthly_price", F.when(
+        F.col("plan_id").rlike("^[12]"), F.lit("n/a")).otherwise(F.col("monthly_price").cast("string")))
+
+
+def _mislabelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose type follows from their plan instead of their order."""
+    kinds = {"1": "signup", "2": "upgrade", "3": "downgrade", "4": "reactivate"}
+    kind = F.lit("cancel")
+    for digit, name in kinds.items():
+        kind = F.when(F.col("plan_id").startswith(digit), F.lit(name)).otherwise(kind)
+    return fixture.raw_events(spark, sf).withColumn("event_type", kind)
+
+
+def _published(spark: SparkSession, sf: str) -> None:
+    """Publish inputs and ledger as one version, and register the views over it."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    plans, customers, events = _inputs(spark, sf)
+    events = events.withColumn("event_type", F.lit("signup")).select(*S.EVENTS.fieldNames())
+    version = P.publish(
+        spark, {"plans": plans, "customers": customers, "events": events}, base,
+        checks=lambda t: Q.union_all([Q.check_unique(t["plans"], "plan_id", "plans.plan_id.unique"),
+                                      Q.check_fk(t["events"], t["customers"], "customer_id", "customer_id", "fk")]),
+        derived=lambda t: {J.LEDGER: lambda path: P.write_ledger(M.movements(t["events"], t["customers"], t["plans"]), path)})
+    J.register(spark, base, version)
+
+
+def _scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored ledger, read through its view."""
+    _published(spark, sf)
+    return spark.sql(f"SELECT {', '.join(S.MOVEMENT_COLUMNS)} FROM mrr_movements")
+
+
+def _view_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every published view."""
+    _published(spark, sf)
+    views = ["dim_customers", "dim_plans", "mrr_movements", "subscription_events"]
+    return row_counts({v: spark.table(v) for v in views})
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # movement model
     "month_bounds": lambda s, d: M.month_bounds(fixture.model_events(s, d)),
@@ -162,7 +215,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "month_date", "starting_mrr", "ending_mrr", *V.WATERFALL_ALIASES)),
     "check_reconciliation": lambda s, d: V.check_reconciliation(_ledger(s, d)),
     "check_continuity": lambda s, d: V.check_continuity(_ledger(s, d)),
-    "check_customer_counts": lambda s, d: V.check_customer_counts(fixture.all_customers(s, d), _ledger(s, d)),
+    "check_customer_counts": lambda s, d: V.check_customer_counts(fixture.customers(s, d), _ledger(s, d)),
     "check_orphan_customers": lambda s, d: V.check_orphan_customers(_ledger(s, d), fixture.customers(s, d)),
     "check_orphan_plans": lambda s, d: V.check_orphan_plans(_ledger(s, d), fixture.plans(s, d)),
     "check_integrity": lambda s, d: V.check_integrity(_ledger(s, d), fixture.customers(s, d),
@@ -231,6 +284,50 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         Q.check_fk(e, p, "plan_id", "plan_id", "events.plan_id.fk")]),
     "check_plan_count": lambda s, d: Q.check_row_count(fixture.plans(s, d), oracles.EXPECTED_PLANS,
                                                        "plans.row_count"),
+    # the dense paths beside the rollups
+    "monthly_kpis_dense": lambda s, d: _out(K.monthly_kpis(_ledger(s, d))),
+    "trend_dense": lambda s, d: _out(K.trend(_ledger(s, d))),
+    "movements_prior_month": lambda s, d: _out(K.at_prior_month(_ledger(s, d), _report_month(s, d))),
+    "month_report_empty": lambda s, d: _out(K.month_report(
+        fixture.model_events(s, d), fixture.customers(s, d), _report_month(s, d), ["NOWHERE"])),
+    "search_accented": lambda s, d: K.search_name(
+        fixture.customers(s, d).select("customer_id", F.replace("customer_name", F.lit("Customer"), F.lit("CLI\u00c9NT"))
+                                       .alias("customer_name")), oracles.ACCENTED_PATTERN),
+    # the stored, published ledger
+    "published_movements": lambda s, d: _out(_scan(s, d)),
+    "published_counts": _view_counts,
+    # checks over defective data: each has violations to find
+    "run_checks_broken": lambda s, d: V.run_checks(*_broken(s, d)),
+    "validation_report_broken": lambda s, d: V.validation_report(V.run_checks(*_broken(s, d))),
+    "reconciliation_violations": lambda s, d: V.reconciliation_violations(V.monthly_waterfall(_broken(s, d)[0])).select(
+        "month_date", F.col("difference").cast("double")),
+    "continuity_violations": lambda s, d: _out(V.continuity_violations(_broken(s, d)[0]).select("month_date", "starting_mrr")),
+    "check_reconciliation_broken": lambda s, d: V.check_reconciliation(_broken(s, d)[0]),
+    "check_continuity_broken": lambda s, d: V.check_continuity(_broken(s, d)[0]),
+    "check_customer_counts_broken": lambda s, d: V.check_customer_counts(_broken(s, d)[1], _broken(s, d)[0]),
+    "check_orphan_customers_broken": lambda s, d: V.check_orphan_customers(*_broken(s, d)[:2]),
+    "check_orphan_plans_broken": lambda s, d: V.check_orphan_plans(_broken(s, d)[0], _broken(s, d)[2]),
+    "check_integrity_broken": lambda s, d: V.check_integrity(*_broken(s, d)),
+    "orphan_customer_rows": lambda s, d: V.orphan_customer_rows(*_broken(s, d)[:2]).select("customer_id", "month_date"),
+    "conform_rejects_broken": lambda s, d: conform_counts(_broken_plans(s, d), S.PLANS).select("ok_rows", "rejected_rows"),
+    "load_check_broken": lambda s, d: load_counts({"plans": _broken_plans(s, d)}, {"plans": conform(_broken_plans(s, d), S.PLANS)[0]}),
+    "check_unique_broken": lambda s, d: _quality(s, d, lambda p, c, e: [
+        Q.check_unique(p, "billing_cycle", "plans.billing_cycle.unique"),
+        Q.check_unique(c, "country", "customers.country.unique"),
+        Q.check_unique(e, "customer_id", "events.customer_id.unique")]),
+    "check_rows_broken": lambda s, d: _quality(s, d, lambda p, c, e: [
+        Q.check_not_null(e, ["plan_id", "event_id"], "events"),
+        Q.check_domain(c, "industry", oracles.INDUSTRIES, "customers.industry.domain"),
+        Q.check_min(e, "monthly_amount", 20, "events.monthly_amount.min"),
+        Q.check_range(p, "monthly_price", 20, 100, "plans.monthly_price.range"),
+        Q.check_row_count(p, 3, "plans.row_count")]),
+    "check_foreign_keys_broken": lambda s, d: _quality(s, d, lambda p, c, e: [
+        Q.check_fk(e, fixture.supplier_keys(s, d), "customer_id", "customer_id", "events.customer_id.fk"),
+        Q.check_fk(e, p.where("monthly_price > 40"), "plan_id", "plan_id", "events.plan_id.fk")]),
+    "audit_lifecycle_broken": lambda s, d: Q.reason_counts(Q.lifecycle_violations(_mislabelled(s, d))),
+    "audit_price_broken": lambda s, d: Q.reason_counts(Q.price_violations(
+        _mislabelled(s, d), fixture.plans(s, d).where("monthly_price < 100").withColumn(
+            "monthly_price", F.when(F.col("plan_id").startswith("4"), 30).otherwise(F.col("monthly_price"))))),
     "asof_snapshot": lambda s, d: _out(_snapshot(s, d)),
     "asof_snapshot_year_before": lambda s, d: _out(_snapshot(s, d, 12)),
 }

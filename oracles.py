@@ -1,8 +1,8 @@
 """DuckDB SQL oracles for the registered queries.
 
-Written independently of the Spark plans, in the literal shape of the
-movement model: a month spine crossed with customers, the month-end event
-picked by row_number over all earlier events, LAG for the prior month.
+Written from the rules, independently of the Spark plans: each customer's month
+series takes its state from the last monthly close by ASOF JOIN, the movement
+follows from the sign of the change, and monthly figures are pivoted by category.
 The three model inputs are derived from the driver tables (orders,
 customer, nation) by the same mapping as ``tidemark.sources.fixture``.
 Money is compared as DOUBLE, ratios rounded to 6 places, counts as BIGINT.
@@ -12,6 +12,7 @@ COUNTRIES = ["NATION_3", "NATION_7", "NATION_12"]
 INDUSTRIES = ["BUILDING", "MACHINERY"]
 NAME_PATTERN = "customer#0000001[0-4]"
 EXPECTED_PLANS = 5
+ACCENTED_PATTERN = "cli\u00e9nt#0000001[0-4]"
 
 
 def _in(values):
@@ -26,18 +27,13 @@ sub_plans AS (
   SELECT DISTINCT o_orderpriority AS plan_id, substr(o_orderpriority, 3) AS plan_name,
     {PRICE} AS monthly_price, 'monthly' AS billing_cycle
   FROM orders),
-sub_first_order AS (
-  SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS signup_date FROM orders GROUP BY o_custkey),
 sub_customers AS (
   SELECT concat('cust_', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS customer_id,
-    c_name AS customer_name, f.signup_date, n_name AS country, c_mktsegment AS industry,
+    c_name AS customer_name, (SELECT CAST(min(o_orderdate) AS DATE) FROM orders WHERE o_custkey = c_custkey) AS signup_date,
+    n_name AS country, c_mktsegment AS industry,
     CASE WHEN c_acctbal < 4500 THEN 'SMB' WHEN c_acctbal < 8350 THEN 'Mid-Market'
          ELSE 'Enterprise' END AS company_size
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  JOIN sub_first_order f ON f.o_custkey = c_custkey),
-sub_all_customers AS (
-  SELECT concat('cust_', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS customer_id FROM customer
-  JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 sub_raw AS (
   SELECT concat('evt_', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS event_id,
     concat('cust_', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) AS customer_id,
@@ -50,9 +46,9 @@ sub_seq AS (
     lag(event_id) OVER (PARTITION BY customer_id ORDER BY event_date, event_id) AS pe
   FROM sub_raw),
 sub_typed AS (
-  SELECT *, CASE WHEN monthly_amount = 0 THEN 'cancel' WHEN pa IS NULL THEN 'signup'
-       WHEN pa = 0 THEN 'reactivate' WHEN monthly_amount >= pa THEN 'upgrade'
-       ELSE 'downgrade' END AS event_type
+  SELECT *, CASE WHEN pe IS NULL THEN 'signup' WHEN monthly_amount = 0 THEN 'cancel'
+       WHEN pa = 0 THEN 'reactivate' WHEN monthly_amount < pa THEN 'downgrade'
+       ELSE 'upgrade' END AS event_type
   FROM sub_seq),
 sub_events AS (
   SELECT event_id, customer_id, plan_id, event_type, event_date, monthly_amount FROM sub_typed)"""
@@ -64,108 +60,131 @@ bounds AS (
 months AS (
   SELECT CAST(unnest(generate_series(CAST(first_month AS TIMESTAMP), CAST(last_month AS TIMESTAMP),
          INTERVAL 1 MONTH)) AS DATE) AS month_date FROM bounds),
-customer_range AS (
-  SELECT customer_id, CAST(date_trunc('month', min(event_date)) AS DATE) AS first_month
-  FROM sub_events GROUP BY customer_id),
+closes AS (
+  SELECT customer_id, CAST(date_trunc('month', event_date) AS DATE) AS closed,
+    max({'day': event_date, 'id': event_id, 'amount': monthly_amount, 'plan': plan_id}) AS last_event
+  FROM sub_events GROUP BY ALL),
+customer_range AS (SELECT customer_id, min(closed) AS first_month FROM closes GROUP BY customer_id),
 customer_months AS (
-  SELECT cr.customer_id, cr.first_month, m.month_date
-  FROM customer_range cr CROSS JOIN months m WHERE m.month_date >= cr.first_month),
-spend AS (
-  SELECT cm.customer_id, cm.first_month, cm.month_date, e.monthly_amount, e.plan_id,
-    row_number() OVER (PARTITION BY cm.customer_id, cm.month_date
-                       ORDER BY e.event_date DESC, e.event_id DESC) AS rn
-  FROM customer_months cm
-  LEFT JOIN sub_events e ON e.customer_id = cm.customer_id
-   AND e.event_date < cm.month_date + INTERVAL 1 MONTH),
+  SELECT customer_id, r.first_month, CAST(unnest(generate_series(CAST(r.first_month AS TIMESTAMP),
+    CAST((SELECT last_month FROM bounds) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month_date
+  FROM customer_range r),
 state AS (
-  SELECT customer_id, first_month, month_date,
-    CAST(COALESCE(monthly_amount, 0) AS DECIMAL(10,2)) AS current_mrr, plan_id AS current_plan_id
-  FROM spend WHERE rn = 1),
+  SELECT g.customer_id, g.first_month, g.month_date,
+    CAST(COALESCE(c.last_event.amount, 0) AS DECIMAL(10,2)) AS current_mrr, c.last_event.plan AS current_plan_id
+  FROM customer_months g ASOF JOIN closes c ON g.customer_id = c.customer_id AND g.month_date >= c.closed),
 mom AS (
-  SELECT *,
-    CAST(COALESCE(lag(current_mrr) OVER (PARTITION BY customer_id ORDER BY month_date), 0)
-         AS DECIMAL(10,2)) AS prev_mrr,
-    lag(current_plan_id) OVER (PARTITION BY customer_id ORDER BY month_date) AS prev_plan_id
-  FROM state),
+  SELECT s.*, CAST(COALESCE(b.current_mrr, 0) AS DECIMAL(10,2)) AS prev_mrr, b.current_plan_id AS prev_plan_id
+  FROM state s LEFT JOIN state b ON b.customer_id = s.customer_id AND b.month_date + INTERVAL 1 MONTH = s.month_date),
 classified AS (
   SELECT *, current_mrr - prev_mrr AS mrr_change,
-    CASE WHEN current_mrr = prev_mrr THEN 'No Change'
-         WHEN prev_mrr = 0 AND current_mrr > 0 THEN
-           CASE WHEN month_date = first_month THEN 'New' ELSE 'Reactivation' END
-         WHEN prev_mrr > 0 AND current_mrr > prev_mrr THEN 'Expansion'
-         WHEN prev_mrr > 0 AND current_mrr < prev_mrr AND current_mrr > 0 THEN 'Contraction'
-         WHEN prev_mrr > 0 AND current_mrr = 0 THEN 'Churn'
-         ELSE 'Inactive' END AS mrr_category
+    CASE sign(current_mrr - prev_mrr)
+      WHEN 0 THEN 'No Change'
+      WHEN 1 THEN CASE WHEN prev_mrr > 0 THEN 'Expansion' WHEN prev_mrr < 0 THEN 'Inactive'
+                       WHEN month_date > first_month THEN 'Reactivation' ELSE 'New' END
+      ELSE CASE WHEN prev_mrr <= 0 OR current_mrr < 0 THEN 'Inactive'
+                WHEN current_mrr = 0 THEN 'Churn' ELSE 'Contraction' END
+    END AS mrr_category
   FROM mom),
 mv AS (
-  SELECT cm.customer_id, c.customer_name, c.country, c.industry, c.company_size, c.signup_date,
-    cm.month_date, cm.prev_mrr, cm.current_mrr, cm.mrr_change, cm.mrr_category,
-    cm.prev_plan_id, pp.plan_name AS prev_plan_name, cm.current_plan_id, pc.plan_name AS current_plan_name
-  FROM classified cm
-  JOIN sub_customers c ON cm.customer_id = c.customer_id
-  LEFT JOIN sub_plans pp ON cm.prev_plan_id = pp.plan_id
-  LEFT JOIN sub_plans pc ON cm.current_plan_id = pc.plan_id),
-report AS (SELECT CAST(last_month - INTERVAL 1 MONTH AS DATE) AS m FROM bounds),
-waterfall AS (
-  SELECT month_date,
-    round(sum(prev_mrr), 2) AS starting_mrr, round(sum(current_mrr), 2) AS ending_mrr,
-    round(sum(CASE WHEN mrr_category = 'New' THEN mrr_change ELSE 0 END), 2) AS new_mrr,
-    round(sum(CASE WHEN mrr_category = 'Expansion' THEN mrr_change ELSE 0 END), 2) AS expansion_mrr,
-    round(sum(CASE WHEN mrr_category = 'Reactivation' THEN mrr_change ELSE 0 END), 2) AS reactivation_mrr,
-    round(sum(CASE WHEN mrr_category = 'Contraction' THEN mrr_change ELSE 0 END), 2) AS contraction_mrr,
-    round(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END), 2) AS churn_mrr
-  FROM mv GROUP BY month_date),
-kpi_sums AS (
-  SELECT month_date, sum(current_mrr) AS ending_mrr, sum(prev_mrr) AS starting_mrr,
-    CAST(count(DISTINCT CASE WHEN current_mrr > 0 THEN customer_id END) AS BIGINT) AS active_customers,
-    sum(CASE WHEN mrr_category = 'New' THEN mrr_change ELSE 0 END) AS new_mrr,
-    sum(CASE WHEN mrr_category = 'Expansion' THEN mrr_change ELSE 0 END) AS expansion_mrr,
-    sum(CASE WHEN mrr_category = 'Reactivation' THEN mrr_change ELSE 0 END) AS reactivation_mrr,
-    sum(CASE WHEN mrr_category = 'Contraction' THEN mrr_change ELSE 0 END) AS contraction_mrr,
-    sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS churn_mrr
-  FROM mv GROUP BY month_date),
-kpis AS (
-  SELECT month_date, CAST(ending_mrr AS DOUBLE) AS ending_mrr, CAST(starting_mrr AS DOUBLE) AS starting_mrr,
+  SELECT d.*, x.* EXCLUDE (customer_id, first_month),
+    (SELECT plan_name FROM sub_plans WHERE plan_id = x.prev_plan_id) AS prev_plan_name,
+    (SELECT plan_name FROM sub_plans WHERE plan_id = x.current_plan_id) AS current_plan_name
+  FROM sub_customers d, classified x WHERE d.customer_id = x.customer_id)"""
+
+
+def _by_month(rows):
+    """Balances and the movement of each category per month of ledger rows."""
+    return f"""SELECT month_date, starting_mrr, ending_mrr, active_customers, COALESCE("New", 0) AS new_mrr,
+    COALESCE("Expansion", 0) AS expansion_mrr, COALESCE("Reactivation", 0) AS reactivation_mrr,
+    COALESCE("Contraction", 0) AS contraction_mrr, COALESCE("Churn", 0) AS churn_mrr
+  FROM (SELECT month_date, sum(prev_mrr) AS starting_mrr, sum(current_mrr) AS ending_mrr,
+               count(*) FILTER (current_mrr > 0) AS active_customers FROM {rows} GROUP BY month_date)
+  LEFT JOIN (PIVOT (SELECT month_date, mrr_category, mrr_change FROM {rows})
+             ON mrr_category IN ('New', 'Expansion', 'Reactivation', 'Contraction', 'Churn')
+             USING sum(mrr_change) GROUP BY month_date) USING (month_date)"""
+
+
+def _kpis(monthly):
+    return f"""SELECT month_date, CAST(ending_mrr AS DOUBLE) AS ending_mrr, CAST(starting_mrr AS DOUBLE) AS starting_mrr,
     active_customers,
     CASE WHEN active_customers > 0 THEN CAST(ending_mrr AS DOUBLE) / active_customers ELSE 0.0 END AS arpu,
-    CASE WHEN starting_mrr > 0 THEN CAST(starting_mrr + expansion_mrr + reactivation_mrr + contraction_mrr
-         + churn_mrr AS DOUBLE) / CAST(starting_mrr AS DOUBLE) * 100.0 ELSE 100.0 END AS nrr,
-    CASE WHEN starting_mrr > 0 THEN CAST(abs(contraction_mrr + churn_mrr) AS DOUBLE)
-         / CAST(starting_mrr AS DOUBLE) * 100.0 ELSE 0.0 END AS gross_churn,
+    CASE WHEN starting_mrr > 0 THEN 100.0 * (CAST(starting_mrr + expansion_mrr + reactivation_mrr + contraction_mrr
+         + churn_mrr AS DOUBLE) / CAST(starting_mrr AS DOUBLE)) ELSE 100.0 END AS nrr,
+    CASE WHEN starting_mrr > 0 THEN 100.0 * (CAST(abs(contraction_mrr + churn_mrr) AS DOUBLE)
+         / CAST(starting_mrr AS DOUBLE)) ELSE 0.0 END AS gross_churn,
     CAST(new_mrr AS DOUBLE) AS new_mrr, CAST(expansion_mrr AS DOUBLE) AS expansion_mrr,
     CAST(reactivation_mrr AS DOUBLE) AS reactivation_mrr, CAST(contraction_mrr AS DOUBLE) AS contraction_mrr,
     CAST(churn_mrr AS DOUBLE) AS churn_mrr
-  FROM kpi_sums),
-kpi_report AS (
-  SELECT r.m AS month_date, COALESCE(k.ending_mrr, 0.0) AS ending_mrr,
-    COALESCE(k.starting_mrr, 0.0) AS starting_mrr, COALESCE(k.active_customers, 0) AS active_customers,
-    COALESCE(k.arpu, 0.0) AS arpu, COALESCE(k.nrr, 100.0) AS nrr, COALESCE(k.gross_churn, 0.0) AS gross_churn,
-    COALESCE(k.new_mrr, 0.0) AS new_mrr, COALESCE(k.expansion_mrr, 0.0) AS expansion_mrr,
-    COALESCE(k.reactivation_mrr, 0.0) AS reactivation_mrr,
-    COALESCE(k.contraction_mrr, 0.0) AS contraction_mrr, COALESCE(k.churn_mrr, 0.0) AS churn_mrr
-  FROM report r LEFT JOIN kpis k ON k.month_date = r.m),
-trend AS (
-  SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
-    CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers
-  FROM mv GROUP BY month_date),
-checks AS (
-  SELECT 'mrr_reconciliation' AS check_name, count(*) AS violations FROM waterfall
-    WHERE starting_mrr + new_mrr + expansion_mrr + reactivation_mrr + contraction_mrr + churn_mrr <> ending_mrr
+  FROM {monthly}"""
+
+
+def _with_defaults(months, kpis):
+    """The KPI row of every month of `months` (month_date), zeros and NRR 100 where there is none."""
+    zero = ["ending_mrr", "starting_mrr", "arpu", "gross_churn", "new_mrr", "expansion_mrr", "reactivation_mrr",
+            "contraction_mrr", "churn_mrr"]
+    return f"""SELECT m.month_date, COALESCE(k.nrr, 100.0) AS nrr, COALESCE(k.active_customers, 0) AS active_customers,
+    {', '.join(f'COALESCE(k.{c}, 0.0) AS {c}' for c in zero)}
+  FROM {months} m LEFT JOIN {kpis} k ON k.month_date = m.month_date"""
+
+
+def _deltas(kpis):
+    """Each month of `kpis` against the month before."""
+    return f"""SELECT k.month_date, k.ending_mrr,
+        round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
+              ELSE 0.0 END, 6) AS delta_mrr_pct,
+        k.active_customers, k.active_customers - COALESCE(p.active_customers, 0) AS delta_customers,
+        round(k.arpu, 6) AS arpu,
+        round(CASE WHEN COALESCE(p.arpu, 0) > 0 THEN (k.arpu - p.arpu) / p.arpu * 100 ELSE 0.0 END, 6)
+          AS delta_arpu_pct,
+        round(k.nrr, 6) AS nrr, round(k.nrr - COALESCE(p.nrr, 100.0), 6) AS delta_nrr,
+        round(k.gross_churn, 6) AS gross_churn,
+        round(k.gross_churn - COALESCE(p.gross_churn, 0.0), 6) AS delta_churn,
+        COALESCE(p.ending_mrr, 0) > 0 AS has_prior
+        FROM {kpis} k LEFT JOIN {kpis} p ON p.month_date + INTERVAL 1 MONTH = k.month_date"""
+
+
+def _validators(rows, customers="sub_customers", plans="sub_plans"):
+    """(check_name, violations) of the four validators over ledger rows."""
+    return f"""SELECT 'mrr_reconciliation' AS check_name, count(*) AS violations FROM ({_by_month(rows)})
+    WHERE ending_mrr - starting_mrr IS DISTINCT FROM new_mrr + expansion_mrr + reactivation_mrr + contraction_mrr + churn_mrr
   UNION ALL
   SELECT 'mrr_continuity', count(*) FROM (
-    SELECT starting_mrr, lag(ending_mrr) OVER (ORDER BY month_date) AS pe FROM waterfall) t
-    WHERE pe IS NOT NULL AND starting_mrr <> pe
+    SELECT starting_mrr, row_number() OVER o AS n, lag(ending_mrr) OVER o AS before
+    FROM ({_by_month(rows)}) WINDOW o AS (ORDER BY month_date)) WHERE n > 1 AND starting_mrr IS DISTINCT FROM before
   UNION ALL
-  SELECT 'customer_counts', abs((SELECT count(DISTINCT customer_id) FROM sub_all_customers)
-                                - (SELECT count(DISTINCT customer_id) FROM mv))
+  SELECT 'customer_counts', abs((SELECT count(DISTINCT customer_id) FROM {customers})
+                                - (SELECT count(DISTINCT customer_id) FROM {rows}))
   UNION ALL
-  SELECT 'referential_integrity',
-    (SELECT count(*) FROM mv v LEFT JOIN sub_customers c ON v.customer_id = c.customer_id
-      WHERE c.customer_id IS NULL)
-    + (SELECT count(*) FROM mv v LEFT JOIN sub_plans p ON v.current_plan_id = p.plan_id
-      WHERE v.current_plan_id IS NOT NULL AND p.plan_id IS NULL))"""
+  SELECT 'referential_integrity', (SELECT n FROM ({_orphans(rows, "customer_id", customers, "customer_id")}))
+    + (SELECT n FROM ({_orphans(rows, "current_plan_id", plans, "plan_id", "v.current_plan_id IS NOT NULL AND")}))"""
+
+
+def _orphans(rows, key, parent, parent_key, only=""):
+    return (f"SELECT count(*) AS n FROM {rows} v WHERE {only} NOT EXISTS "
+            f"(SELECT 1 FROM {parent} d WHERE d.{parent_key} = v.{key})")
+
+
+SEGMENT = f"country IN ({_in(COUNTRIES)}) AND industry IN ({_in(INDUSTRIES)})"
 
-HEAD = f"WITH {INPUTS},{MODEL}\n"
+REPORTS = f"""
+report AS (SELECT CAST(last_month - INTERVAL 1 MONTH AS DATE) AS month_date FROM bounds),
+waterfall AS ({_by_month("mv")}),
+kpis AS ({_kpis("waterfall")}),
+segment_rows AS (SELECT * FROM mv WHERE {SEGMENT}),
+segment_kpis AS ({_kpis(f'({_by_month("segment_rows")})')}),
+kpi_report AS ({_with_defaults("report", "kpis")}),
+trend AS (SELECT month_date, CAST(ending_mrr AS DOUBLE) AS ending_mrr, active_customers FROM waterfall),
+checks AS ({_validators("mv")}),
+broken AS (SELECT * REPLACE (CAST(CASE WHEN month(month_date) = 6 THEN prev_mrr + 1 ELSE prev_mrr END AS DECIMAL(10,2))
+           AS prev_mrr) FROM mv),
+few_customers AS (SELECT * FROM sub_customers WHERE industry = 'BUILDING'),
+few_plans AS (SELECT * FROM sub_plans WHERE monthly_price > 40),
+broken_checks AS ({_validators("broken", "few_customers", "few_plans")}),
+mislabelled AS (SELECT * EXCLUDE (event_type), CASE substr(plan_id, 1, 1) WHEN '1' THEN 'signup' WHEN '2' THEN 'upgrade'
+    WHEN '3' THEN 'downgrade' WHEN '4' THEN 'reactivate' ELSE 'cancel' END AS event_type FROM sub_typed)"""
+
+HEAD = f"WITH {INPUTS},{MODEL},{REPORTS}\n"
 
 MONEY_MV = """customer_id, customer_name, country, industry, company_size, signup_date, month_date,
   CAST(prev_mrr AS DOUBLE) AS prev_mrr, CAST(current_mrr AS DOUBLE) AS current_mrr,
@@ -181,30 +200,31 @@ KPI_COLS = """month_date, ending_mrr, starting_mrr, active_customers, round(arpu
   round(nrr, 6) AS nrr, round(gross_churn, 6) AS gross_churn, new_mrr, expansion_mrr, reactivation_mrr,
   contraction_mrr, churn_mrr"""
 
-SEGMENT = f"country IN ({_in(COUNTRIES)}) AND industry IN ({_in(INDUSTRIES)})"
-
-SEGMENT_KPIS = f"""SELECT month_date, ending_mrr, active_customers,
-    CASE WHEN active_customers > 0 THEN ending_mrr / active_customers ELSE 0.0 END AS arpu,
-    CASE WHEN start_dec > 0 THEN CAST(start_dec + retained AS DOUBLE) / CAST(start_dec AS DOUBLE) * 100.0
-         ELSE 100.0 END AS nrr,
-    CASE WHEN start_dec > 0 THEN CAST(abs(losses) AS DOUBLE) / CAST(start_dec AS DOUBLE) * 100.0
-         ELSE 0.0 END AS gross_churn
-  FROM (SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
-          CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
-          sum(CASE WHEN mrr_category IN ('Expansion', 'Reactivation', 'Contraction', 'Churn')
-              THEN mrr_change ELSE 0 END) AS retained,
-          sum(CASE WHEN mrr_category IN ('Contraction', 'Churn') THEN mrr_change ELSE 0 END) AS losses,
-          sum(prev_mrr) AS start_dec
-        FROM mv WHERE {SEGMENT} GROUP BY month_date) s"""
-
 ACTIVITY = """SELECT customer_name, country, industry, company_size AS segment, prev_plan_name AS previous_plan,
   current_plan_name AS new_plan, CAST(mrr_change AS DOUBLE) AS mrr_change, mrr_category AS action_category
-  FROM mv WHERE month_date = (SELECT m FROM report) AND mrr_category NOT IN ('No Change', 'Inactive')"""
+  FROM mv WHERE month_date = (SELECT month_date FROM report) AND mrr_category NOT IN ('No Change', 'Inactive')"""
 
 
-def _checks_summary(names):
+def _checks_summary(names, checks="checks"):
     return (f"SELECT check_name, violations = 0 AS passed, CAST(violations AS BIGINT) AS violations "
-            f"FROM checks WHERE check_name IN ({_in(names)})")
+            f"FROM {checks} WHERE check_name IN ({_in(names)})")
+
+
+def _orphan_summary(name, orphans):
+    return f"SELECT '{name}' AS check_name, n = 0 AS passed, CAST(n AS BIGINT) AS violations FROM ({orphans})"
+
+
+def _rules(**counts):
+    """One row per rule of its count; names written with two underscores for the dot."""
+    parts = " UNION ALL ".join(f"SELECT '{k.replace('__', '.')}' AS rule, ({v}) AS n" for k, v in counts.items())
+    return f"SELECT rule, CAST(n AS BIGINT) AS violations, n = 0 AS passed FROM ({parts})"
+
+
+def _repeated(rows, key):
+    return f"SELECT count(*) FROM (SELECT {key} FROM {rows} GROUP BY {key} HAVING count(*) > 1)"
+
+
+ALL_CHECKS = ["mrr_reconciliation", "mrr_continuity", "customer_counts", "referential_integrity"]
 
 
 QUERIES = {
@@ -227,12 +247,10 @@ QUERIES = {
     "check_reconciliation": _checks_summary(["mrr_reconciliation"]),
     "check_continuity": _checks_summary(["mrr_continuity"]),
     "check_customer_counts": _checks_summary(["customer_counts"]),
-    "check_orphan_customers": """SELECT 'orphan_customers' AS check_name, count(*) = 0 AS passed,
-        CAST(count(*) AS BIGINT) AS violations FROM mv v LEFT JOIN sub_customers c
-        ON v.customer_id = c.customer_id WHERE c.customer_id IS NULL""",
-    "check_orphan_plans": """SELECT 'orphan_plans' AS check_name, count(*) = 0 AS passed,
-        CAST(count(*) AS BIGINT) AS violations FROM mv v LEFT JOIN sub_plans p
-        ON v.current_plan_id = p.plan_id WHERE v.current_plan_id IS NOT NULL AND p.plan_id IS NULL""",
+    "check_orphan_customers": f"""SELECT 'orphan_customers' AS check_name, n = 0 AS passed, CAST(n AS BIGINT) AS violations
+        FROM ({_orphans("mv", "customer_id", "sub_customers", "customer_id")})""",
+    "check_orphan_plans": f"""SELECT 'orphan_plans' AS check_name, n = 0 AS passed, CAST(n AS BIGINT) AS violations
+        FROM ({_orphans("mv", "current_plan_id", "sub_plans", "plan_id", "v.current_plan_id IS NOT NULL AND")})""",
     "check_integrity": _checks_summary(["referential_integrity"]),
     "run_checks": f"""{_checks_summary(["mrr_reconciliation", "mrr_continuity", "customer_counts",
                                           "referential_integrity"])}
@@ -255,57 +273,16 @@ QUERIES = {
     "monthly_kpis": f"SELECT {KPI_COLS} FROM kpis",
     "kpis_at_month": f"SELECT {KPI_COLS} FROM kpi_report",
     "kpis_prior_month": f"""SELECT {KPI_COLS} FROM kpis
-        WHERE month_date = (SELECT CAST(m - INTERVAL 1 MONTH AS DATE) FROM report)""",
-    "kpis_filtered": f"""SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
-        CAST(sum(prev_mrr) AS DOUBLE) AS starting_mrr,
-        CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
-        round(CASE WHEN sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) > 0
-          THEN CAST(sum(current_mrr) AS DOUBLE) / sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END)
-          ELSE 0.0 END, 6) AS arpu,
-        round(CASE WHEN sum(prev_mrr) > 0 THEN CAST(sum(prev_mrr) + sum(CASE WHEN mrr_category IN
-          ('Expansion', 'Reactivation', 'Contraction', 'Churn') THEN mrr_change ELSE 0 END) AS DOUBLE)
-          / CAST(sum(prev_mrr) AS DOUBLE) * 100.0 ELSE 100.0 END, 6) AS nrr,
-        round(CASE WHEN sum(prev_mrr) > 0 THEN CAST(abs(sum(CASE WHEN mrr_category IN ('Contraction', 'Churn')
-          THEN mrr_change ELSE 0 END)) AS DOUBLE) / CAST(sum(prev_mrr) AS DOUBLE) * 100.0 ELSE 0.0 END, 6)
-          AS gross_churn,
-        CAST(sum(CASE WHEN mrr_category = 'New' THEN mrr_change ELSE 0 END) AS DOUBLE) AS new_mrr,
-        CAST(sum(CASE WHEN mrr_category = 'Expansion' THEN mrr_change ELSE 0 END) AS DOUBLE) AS expansion_mrr,
-        CAST(sum(CASE WHEN mrr_category = 'Reactivation' THEN mrr_change ELSE 0 END) AS DOUBLE)
-          AS reactivation_mrr,
-        CAST(sum(CASE WHEN mrr_category = 'Contraction' THEN mrr_change ELSE 0 END) AS DOUBLE) AS contraction_mrr,
-        CAST(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS DOUBLE) AS churn_mrr
-        FROM mv WHERE {SEGMENT} GROUP BY month_date""",
-    "month_report": f"""SELECT k.month_date, k.ending_mrr,
-          round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
-                ELSE 0.0 END, 6) AS delta_mrr_pct,
-          k.active_customers, k.active_customers - COALESCE(p.active_customers, 0) AS delta_customers,
-          round(k.arpu, 6) AS arpu,
-          round(CASE WHEN COALESCE(p.arpu, 0) > 0 THEN (k.arpu - p.arpu) / p.arpu * 100 ELSE 0.0 END, 6)
-            AS delta_arpu_pct,
-          round(k.nrr, 6) AS nrr, round(k.nrr - COALESCE(p.nrr, 100.0), 6) AS delta_nrr,
-          round(k.gross_churn, 6) AS gross_churn,
-          round(k.gross_churn - COALESCE(p.gross_churn, 0.0), 6) AS delta_churn,
-          COALESCE(p.ending_mrr, 0) > 0 AS has_prior
-        FROM ({SEGMENT_KPIS}) k LEFT JOIN ({SEGMENT_KPIS}) p
-          ON p.month_date = CAST(k.month_date - INTERVAL 1 MONTH AS DATE)
-        WHERE k.month_date = (SELECT m FROM report)""",
+        WHERE month_date = (SELECT CAST(month_date - INTERVAL 1 MONTH AS DATE) FROM report)""",
+    "kpis_filtered": f"SELECT {KPI_COLS} FROM segment_kpis",
+    "month_report": f"""SELECT r.* FROM ({_deltas("(" + _with_defaults("months", "segment_kpis") + ")")}) r
+        WHERE r.month_date = (SELECT month_date FROM report)""",
     "kpis_at_empty_month": """SELECT CAST(last_month + INTERVAL 1 MONTH AS DATE) AS month_date,
         CAST(0 AS DOUBLE) AS ending_mrr, CAST(0 AS DOUBLE) AS starting_mrr, CAST(0 AS BIGINT) AS active_customers,
         CAST(0 AS DOUBLE) AS arpu, CAST(100 AS DOUBLE) AS nrr, CAST(0 AS DOUBLE) AS gross_churn,
         CAST(0 AS DOUBLE) AS new_mrr, CAST(0 AS DOUBLE) AS expansion_mrr, CAST(0 AS DOUBLE) AS reactivation_mrr,
         CAST(0 AS DOUBLE) AS contraction_mrr, CAST(0 AS DOUBLE) AS churn_mrr FROM bounds""",
-    "kpi_deltas": """SELECT k.month_date, k.ending_mrr,
-        round(CASE WHEN COALESCE(p.ending_mrr, 0) > 0 THEN (k.ending_mrr - p.ending_mrr) / p.ending_mrr * 100
-              ELSE 0.0 END, 6) AS delta_mrr_pct,
-        k.active_customers, k.active_customers - COALESCE(p.active_customers, 0) AS delta_customers,
-        round(k.arpu, 6) AS arpu,
-        round(CASE WHEN COALESCE(p.arpu, 0) > 0 THEN (k.arpu - p.arpu) / p.arpu * 100 ELSE 0.0 END, 6)
-          AS delta_arpu_pct,
-        round(k.nrr, 6) AS nrr, round(k.nrr - COALESCE(p.nrr, 100.0), 6) AS delta_nrr,
-        round(k.gross_churn, 6) AS gross_churn,
-        round(k.gross_churn - COALESCE(p.gross_churn, 0.0), 6) AS delta_churn,
-        COALESCE(p.ending_mrr, 0) > 0 AS has_prior
-        FROM kpis k LEFT JOIN kpis p ON p.month_date = CAST(k.month_date - INTERVAL 1 MONTH AS DATE)""",
+    "kpi_deltas": _deltas("kpis"),
     "waterfall_steps": """SELECT month_date, step_order, step, measure, amount FROM kpi_report,
         (VALUES (1, 'Starting MRR', 'absolute'), (2, 'New MRR', 'relative'), (3, 'Expansion', 'relative'),
                 (4, 'Reactivation', 'relative'), (5, 'Contraction', 'relative'), (6, 'Churn', 'relative'),
@@ -316,9 +293,7 @@ QUERIES = {
     "waterfall_equation": """SELECT month_date, starting_mrr, new_mrr + expansion_mrr + reactivation_mrr
         AS total_increases, abs(contraction_mrr + churn_mrr) AS total_decreases, ending_mrr FROM kpi_report""",
     "trend": "SELECT month_date, ending_mrr, active_customers FROM trend",
-    "trend_filtered": f"""SELECT month_date, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
-        CAST(sum(CASE WHEN current_mrr > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers
-        FROM mv WHERE {SEGMENT} GROUP BY month_date""",
+    "trend_filtered": "SELECT month_date, ending_mrr, active_customers FROM segment_kpis",
     "segment_trend": """SELECT month_date, company_size, CAST(sum(current_mrr) AS DOUBLE) AS ending_mrr,
         CAST(sum(prev_mrr) AS DOUBLE) AS starting_mrr,
         CAST(sum(CASE WHEN mrr_category = 'Churn' THEN mrr_change ELSE 0 END) AS DOUBLE) AS churn_mrr,
@@ -336,7 +311,7 @@ QUERIES = {
               CAST(arg_min(active_customers, month_date) AS DOUBLE) AS fc,
               CAST(arg_max(active_customers, month_date) AS DOUBLE) AS lc FROM trend) t""",
     "segment_mix": """SELECT company_size, CAST(sum(current_mrr) AS DOUBLE) AS mrr_contribution FROM mv
-        WHERE month_date = (SELECT m FROM report) AND current_mrr > 0 GROUP BY company_size""",
+        WHERE month_date = (SELECT month_date FROM report) AND current_mrr > 0 GROUP BY company_size""",
     "activity_ledger": ACTIVITY,
     "ledger_search": ACTIVITY + f" AND regexp_matches(customer_name, '{NAME_PATTERN}', 'i')",
     "ledger_count": f"SELECT CAST(count(*) AS BIGINT) AS n_rows FROM ({ACTIVITY}) t",
@@ -365,8 +340,8 @@ QUERIES = {
         SELECT CASE
           WHEN pe IS NULL AND event_type <> 'signup' THEN 'first_event_not_signup'
           WHEN pe IS NOT NULL AND event_type = 'signup' THEN 'signup_after_first_event'
-          WHEN event_type = 'upgrade' AND NOT (COALESCE(pa > 0 AND monthly_amount > pa, false))
-            THEN 'upgrade_not_to_dearer_plan_while_active'
+          WHEN event_type = 'upgrade' AND NOT (COALESCE(pa > 0 AND monthly_amount >= pa, false))
+            THEN 'upgrade_to_cheaper_plan_or_while_inactive'
           WHEN event_type = 'downgrade' AND NOT (COALESCE(pa > 0 AND monthly_amount < pa, false))
             THEN 'downgrade_not_to_cheaper_plan_while_active'
           WHEN event_type = 'cancel' AND NOT COALESCE(pa > 0, false) THEN 'cancel_while_inactive'
@@ -424,11 +399,69 @@ QUERIES = {
         ) t""",
     "check_plan_count": f"""SELECT 'plans.row_count' AS rule, CAST(abs(count(*) - {EXPECTED_PLANS}) AS BIGINT)
         AS violations, count(*) = {EXPECTED_PLANS} AS passed FROM sub_plans""",
-    "asof_snapshot": f"SELECT {MONEY_MV} FROM mv WHERE month_date = (SELECT m FROM report)",
+    "monthly_kpis_dense": f"SELECT {KPI_COLS} FROM kpis",
+    "trend_dense": "SELECT month_date, ending_mrr, active_customers FROM trend",
+    "movements_prior_month": f"""SELECT {MONEY_MV} FROM mv
+        WHERE month_date = (SELECT CAST(month_date - INTERVAL 1 MONTH AS DATE) FROM report)""",
+    "month_report_empty": f"""SELECT r.* FROM ({_deltas("(" + _with_defaults("months", "(SELECT * FROM kpis WHERE false)") + ")")}) r
+        WHERE r.month_date = (SELECT month_date FROM report)""",
+    "search_accented": f"""SELECT customer_id, replace(customer_name, 'Customer', 'CLI\u00c9NT') AS customer_name FROM sub_customers
+        WHERE regexp_matches(replace(customer_name, 'Customer', 'CLI\u00c9NT'), '{ACCENTED_PATTERN}', 'i')""",
+    "published_movements": f"SELECT {MONEY_MV} FROM mv",
+    "published_counts": """SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM sub_customers
+        UNION ALL SELECT 'dim_plans', count(*) FROM sub_plans UNION ALL SELECT 'mrr_movements', count(*) FROM mv
+        UNION ALL SELECT 'subscription_events', count(*) FROM sub_events""",
+    "run_checks_broken": f"""{_checks_summary(ALL_CHECKS, "broken_checks")}
+        UNION ALL SELECT 'all_checks', bool_and(violations = 0), CAST(sum(violations) AS BIGINT) FROM broken_checks""",
+    "reconciliation_violations": f"""SELECT month_date, CAST(abs(starting_mrr + new_mrr + expansion_mrr + reactivation_mrr
+        + contraction_mrr + churn_mrr - ending_mrr) AS DOUBLE) AS difference FROM ({_by_month("broken")})
+        WHERE starting_mrr + new_mrr + expansion_mrr + reactivation_mrr + contraction_mrr + churn_mrr <> ending_mrr""",
+    "continuity_violations": f"""SELECT b.month_date, CAST(b.starting_mrr AS DOUBLE) AS starting_mrr FROM ({_by_month("broken")}) b
+        JOIN ({_by_month("broken")}) a ON a.month_date + INTERVAL 1 MONTH = b.month_date
+        WHERE a.ending_mrr <> b.starting_mrr""",
+    "check_reconciliation_broken": _checks_summary(["mrr_reconciliation"], "broken_checks"),
+    "check_continuity_broken": _checks_summary(["mrr_continuity"], "broken_checks"),
+    "check_customer_counts_broken": _checks_summary(["customer_counts"], "broken_checks"),
+    "check_integrity_broken": _checks_summary(["referential_integrity"], "broken_checks"),
+    "check_orphan_customers_broken": _orphan_summary("orphan_customers", _orphans(
+        "broken", "customer_id", "few_customers", "customer_id")),
+    "check_orphan_plans_broken": _orphan_summary("orphan_plans", _orphans(
+        "broken", "current_plan_id", "few_plans", "plan_id", "v.current_plan_id IS NOT NULL AND")),
+    "orphan_customer_rows": """SELECT customer_id, month_date FROM mv
+        WHERE customer_id NOT IN (SELECT customer_id FROM few_customers)""",
+    "conform_rejects_broken": """SELECT count(*) FILTER (plan_id NOT SIMILAR TO '[12].*') AS ok_rows,
+        count(*) FILTER (plan_id SIMILAR TO '[12].*') AS rejected_rows FROM sub_plans""",
+    "load_check_broken": """SELECT 'plans' AS table_name, count(*) AS input_rows,
+        count(*) FILTER (plan_id NOT SIMILAR TO '[12].*') AS stored_rows,
+        count(*) FILTER (plan_id SIMILAR TO '[12].*') = 0 AS passed FROM sub_plans""",
+    "check_unique_broken": _rules(
+        plans__billing_cycle__unique=_repeated("sub_plans", "billing_cycle"),
+        customers__country__unique=_repeated("sub_customers", "country"),
+        events__customer_id__unique=_repeated("sub_events", "customer_id")),
+    "check_rows_broken": _rules(
+        events__plan_id__not_null="SELECT count(*) - count(plan_id) FROM sub_events",
+        events__event_id__not_null="SELECT count(*) - count(event_id) FROM sub_events",
+        customers__industry__domain=f"SELECT count(*) FROM sub_customers WHERE industry NOT IN ({_in(INDUSTRIES)})",
+        events__monthly_amount__min="SELECT count(*) FROM sub_events WHERE monthly_amount < 20",
+        plans__monthly_price__range="SELECT count(*) FROM sub_plans WHERE monthly_price NOT BETWEEN 20 AND 100",
+        plans__row_count="SELECT abs(count(*) - 3) FROM sub_plans"),
+    "check_foreign_keys_broken": _rules(
+        events__customer_id__fk="""SELECT count(*) FROM orders WHERE NOT EXISTS
+            (SELECT 1 FROM supplier WHERE s_suppkey = o_custkey)""",
+        events__plan_id__fk="""SELECT count(*) FROM sub_events e WHERE plan_id IS NOT NULL AND NOT EXISTS
+            (SELECT 1 FROM few_plans p WHERE p.plan_id = e.plan_id)"""),
+    "asof_snapshot": f"SELECT {MONEY_MV} FROM mv WHERE month_date = (SELECT month_date FROM report)",
     "asof_snapshot_year_before": f"""SELECT {MONEY_MV} FROM mv
-        WHERE month_date = (SELECT CAST(m - INTERVAL 12 MONTH AS DATE) FROM report)""",
+        WHERE month_date = (SELECT CAST(month_date - INTERVAL 12 MONTH AS DATE) FROM report)""",
 }
 
+# The same rules over other inputs.
+QUERIES["validation_report_broken"] = QUERIES["validation_report"].replace("FROM checks", "FROM broken_checks")
+QUERIES["audit_lifecycle_broken"] = QUERIES["audit_lifecycle"].replace("sub_typed", "mislabelled")
+QUERIES["audit_price_broken"] = QUERIES["audit_price"].replace("sub_events", "mislabelled").replace(
+    "sub_plans", """(SELECT * REPLACE (CASE WHEN plan_id LIKE '4%' THEN 30 ELSE monthly_price END AS monthly_price)
+        FROM sub_plans WHERE monthly_price < 100)""")
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: HEAD + body for name, body in QUERIES.items()}
