@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.columns import month_of, movement_category, zero_money
-from tidemark.operators.joins import lookup_side
 
 
 def _one_month():
@@ -126,7 +125,7 @@ def segments(events: DataFrame, customers: DataFrame | None = None,
 
 def with_plan_names(seg: DataFrame, plans: DataFrame) -> DataFrame:
     """Attach current and prior plan names to segment rows (dimension in two roles)."""
-    names = lookup_side(plans.select("plan_id", "plan_name"))
+    names = plans.select("plan_id", "plan_name")
     cur = names.select(F.col("plan_id").alias("current_plan_id"),
                        F.col("plan_name").alias("current_plan_name"))
     pri = names.select(F.col("plan_id").alias("prior_plan_id"),
@@ -219,8 +218,8 @@ def classify(mom: DataFrame) -> DataFrame:
 
 def enrich(classified: DataFrame, customers: DataFrame, plans: DataFrame) -> DataFrame:
     """Customer attributes (inner join) and plan names in two roles
-    (left joins against a size-checked plan dimension)."""
-    names = lookup_side(plans.select("plan_id", "plan_name"))
+    (left joins; AQE broadcasts the plans if they turn out small)."""
+    names = plans.select("plan_id", "plan_name")
     out = (
         classified.join(customers.select("customer_id", *S.CUSTOMER_ATTRIBUTES), "customer_id", "inner")
         .join(names.select(F.col("plan_id").alias("prev_plan_id"), F.col("plan_name").alias("prev_plan_name")),

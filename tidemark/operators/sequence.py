@@ -7,63 +7,45 @@ monotone function of the ordering (by default the first ordering column, a
 day), so a hot key is spread over as many tasks as it has buckets. The first
 row of each bucket takes its predecessor from the last row of the key's
 previous non-empty bucket: a pre-aggregated table with one row per
-(key, bucket), joined back on the same hash partitioning as the window, so
-the large side is shuffled once. Everything is deterministic and JVM-side.
-If a single (key, bucket) group is itself huge, ``split_rows`` splits it
-further on the next ordering column (``hot_group_cuts``).
+(key, bucket), joined back on the same hash partitioning as the window.
+Everything is deterministic, lazy and JVM-side. Groups of more than
+``split_rows`` rows are split further on the next ordering column
+(``hot_group_cuts``), however many there are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
 # (key, bucket) groups above this many rows are split further by default.
-HOT_GROUP_ROWS = 1_000_000
+SPLIT_ROWS = 1_000_000
+_SAMPLE_SPACE = 1 << 30
 
 
 def hot_group_cuts(df: DataFrame, key: str, order: list[str], base: Column, split_rows: int,
-                   max_hot: int = 1000, pieces: int = 64, seed: int = 7) -> DataFrame | None:
-    """Boundaries that split (key, bucket) groups above ``split_rows`` rows.
+                   per_piece: int = 4) -> DataFrame:
+    """(key, _b0, _cuts): boundaries that cut every (key, bucket) group above
+    ``split_rows`` rows into pieces of about that many.
 
-    The heaviest groups (at most ``max_hot``: a proven bound) are found with a
-    pre-aggregated count; a seeded sample of their next ordering column gives
-    up to ``pieces - 1`` boundaries per group. The sample (in expectation
-    ``4 * pieces`` values per group, for at most ``max_hot`` groups) is
-    collected once, so every use of the boundaries sees the same ones. Returns ``(key, _b0, _cuts)`` or None
-    when no group is that large."""
-    spark = df.sparkSession
-    if df.limit(split_rows + 1).count() <= split_rows:  # no group can be larger than the input
-        return None
+    Groups are counted with partial aggregation. The boundaries come from a
+    sample of the next ordering column, ``per_piece`` values per piece in
+    expectation, taken by a hash of the value: every evaluation sees the same
+    boundaries, and no row leaves the executors."""
     staged = df.withColumn("_b0", base)
-    hot = (staged.groupBy(key, "_b0").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > split_rows).orderBy(F.col("_n").desc()).limit(max_hot).collect())
-    if not hot:
-        return None
+    hot = (staged.groupBy(key, "_b0").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
+           .withColumn("_pieces", F.ceil(F.col("_n") / split_rows)))
     nxt = order[1]
-    group_schema = T.StructType([staged.schema[key], staged.schema["_b0"], T.StructField("_n", T.LongType())])
-    hot_df = spark.createDataFrame([(r[key], r["_b0"], r["_n"]) for r in hot], group_schema)
-    sample = (staged.join(F.broadcast(hot_df), [key, "_b0"])
-              .where(F.rand(seed) < F.lit(4.0 * pieces) / F.col("_n"))
-              .select(key, "_b0", nxt).collect())
-    by_group: dict = {}
-    for r in sample:
-        by_group.setdefault((r[key], r["_b0"]), []).append(r[nxt])
-    rows = []
-    for (k, b0), values in by_group.items():
-        values.sort()
-        step = max(1, len(values) // pieces)
-        rows.append((k, b0, sorted(set(values[step::step]))))
-    return spark.createDataFrame(rows, T.StructType([
-        staged.schema[key], staged.schema["_b0"],
-        T.StructField("_cuts", T.ArrayType(df.schema[nxt].dataType))]))
+    share = F.col("_pieces") * per_piece / F.col("_n")
+    sample = (staged.select(key, "_b0", nxt).join(hot, [key, "_b0"])
+              .where(F.pmod(F.xxhash64(nxt), F.lit(_SAMPLE_SPACE)) < share * _SAMPLE_SPACE))
+    values = sample.groupBy(key, "_b0").agg(F.sort_array(F.collect_set(nxt)).alias("_v"))
+    return values.select(key, "_b0", F.filter("_v", lambda _, i: i % per_piece == per_piece - 1).alias("_cuts"))
 
 
 def ordered_lag(df: DataFrame, key: str, order: list[str], cols: list[str],
-                prefix: str = "prev_", bucket: Column | None = None, split_rows: int | None = None,
-                max_hot: int = 1000, pieces: int = 64, seed: int = 7) -> DataFrame:
+                prefix: str = "prev_", bucket: Column | None = None,
+                split_rows: int | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``
     in ``order`` (NULL on a key's first row). ``order`` must make rows unique
     within a key; ``bucket`` must be non-decreasing along ``order``.
@@ -75,12 +57,11 @@ def ordered_lag(df: DataFrame, key: str, order: list[str], cols: list[str],
     them."""
     base = bucket if bucket is not None else F.col(order[0])
     staged = df.withColumn("_bucket", base)
-    cuts = (hot_group_cuts(df, key, order, base, split_rows, max_hot, pieces, seed)
-            if split_rows is not None and len(order) > 1 else None)
-    if cuts is not None:
+    if split_rows is not None and len(order) > 1:
         nxt = F.col(order[1])
         sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= nxt)), F.lit(0))
-        staged = (df.withColumn("_b0", base).join(F.broadcast(cuts), [key, "_b0"], "left")
+        staged = (df.withColumn("_b0", base)
+                  .join(hot_group_cuts(df, key, order, base, split_rows), [key, "_b0"], "left")
                   .withColumn("_bucket", F.struct(F.col("_b0").alias("b"), sub.alias("s")))
                   .drop("_b0", "_cuts"))
     w = Window.partitionBy(key, "_bucket").orderBy(*order)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.columns import as_month, month_of, movement_category, zero_money
-from tidemark.operators.joins import lookup_side
 from tidemark.operators.movement import last_month
 
 
@@ -48,7 +47,7 @@ def asof_snapshot(events: DataFrame, month, customers: DataFrame | None = None,
     if customers is not None:
         rows = rows.join(customers.select("customer_id", *S.CUSTOMER_ATTRIBUTES), "customer_id", "inner")
     if plans is not None:
-        names = lookup_side(plans.select("plan_id", "plan_name"))
+        names = plans.select("plan_id", "plan_name")
         rows = (
             rows.join(names.select(F.col("plan_id").alias("current_plan_id"),
                                    F.col("plan_name").alias("current_plan_name")), "current_plan_id", "left")
