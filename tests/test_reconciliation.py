@@ -1,8 +1,7 @@
-"""The reference's test cases, as DataFrame-in / DataFrame-out checks."""
-
-from decimal import Decimal
+"""Validators and constraints: clean fixture data, then the same data with one thing wrong at a time."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import customers, d, events, ledger, money, plans
 from tidemark.operators.movement import movements
@@ -17,127 +16,101 @@ def passed(df):
     return {r["check_name"]: r["passed"] for r in df.collect()}
 
 
+def found(df):
+    return [r["violations"] for r in df.collect()]
+
+
 @pytest.fixture(scope="module")
 def built(spark):
     p, c, e = fixture.plans(spark, SF), fixture.customers(spark, SF), fixture.model_events(spark, SF)
-    return p, c, fixture.events(spark, SF), movements(e, c, p)
-
-
-# ---------------------------------------------------------------- happy path
-
-def test_mrr_reconciliation_math(built):
-    assert passed(V.check_reconciliation(built[3])) == {"mrr_reconciliation": True}
-
-
-def test_mrr_continuity(built):
-    assert passed(V.check_continuity(built[3])) == {"mrr_continuity": True}
-
-
-def test_customer_counts(built):
-    assert passed(V.check_customer_counts(built[1], built[3])) == {"customer_counts": True}
-
+    return p, c, fixture.events(spark, SF), movements(e, c, p).cache()
 
-def test_foreign_key_referential_integrity(built):
-    assert passed(V.check_integrity(built[3], built[1], built[0])) == {"referential_integrity": True}
 
-
-def test_run_checks_all_pass(built):
-    out = passed(V.run_checks(built[3], built[1], built[0]))
-    assert out == {"mrr_reconciliation": True, "mrr_continuity": True, "customer_counts": True,
-                   "referential_integrity": True, "all_checks": True}
-
-
-def test_database_schema_constraints(built):
-    p, c, e, _ = built
+def test_clean_data_passes_everything(built):
+    p, c, e, mv = built
+    single = [V.check_reconciliation(mv), V.check_continuity(mv), V.check_integrity(mv, c, p)]
+    assert all(ok for check in single for ok in passed(check).values())
     rules = {r["rule"]: r["violations"] for r in Q.check_inputs(p, c, e, expected_plans=5).collect()}
-    assert rules["plans.row_count"] == 0
-    assert rules["events.monthly_amount.min"] == 0
-    assert rules["customers.company_size.domain"] == 0
-    assert rules["events.event_type.domain"] == 0
-    assert all(v == 0 for v in rules.values()), rules
+    assert len(rules) > 20 and not any(rules.values()), rules
 
 
-# -------------------------------------------------------------- negative cases
+# ----------------------------------------------- one thing wrong in the fixture ledger
 
-LEDGER_COLUMNS = ("customer_id string, customer_name string, country string, industry string, "
-                  "company_size string, signup_date date, month_date date, prev_mrr decimal(10,2), "
-                  "current_mrr decimal(10,2), mrr_change decimal(10,2), mrr_category string, "
-                  "prev_plan_id string, prev_plan_name string, current_plan_id string, "
-                  "current_plan_name string")
-
-
-def test_validate_mrr_reconciliation_failure(spark):
-    bad = ledger(spark, [("cust_001", "Test Co", "US", "Tech", "SMB", d("2025-01-01"), d("2025-01-01"),
-                          money(10), money(20), money(0), "No Change", "plan_basic", "Basic",
-                          "plan_basic", "Basic")], LEDGER_COLUMNS)
-    assert passed(V.check_reconciliation(bad)) == {"mrr_reconciliation": False}
+def test_one_changed_amount_unbalances_its_month_only(built):
+    mv = built[3]
+    victim = mv.where("mrr_category = 'Expansion'").orderBy("month_date", "customer_id").first()
+    hit = (F.col("customer_id") == victim.customer_id) & (F.col("month_date") == victim.month_date)
+    bad = mv.withColumn("mrr_change", F.when(hit, F.col("mrr_change") + money(7)).otherwise(F.col("mrr_change")))
     rows = V.reconciliation_violations(V.monthly_waterfall(bad)).collect()
-    assert len(rows) == 1 and rows[0]["difference"] == Decimal("10.00")
-
+    assert [(r.month_date, r.difference) for r in rows] == [(victim.month_date, money(7))]
+    assert found(V.check_reconciliation(bad)) == [1] and found(V.check_continuity(bad)) == [0]
 
-def test_validate_mrr_continuity_failure(spark):
-    bad = ledger(spark, [(d("2025-01-01"), money(0), money(19)), (d("2025-02-01"), money(50), money(50))],
-                 "month_date date, prev_mrr decimal(10,2), current_mrr decimal(10,2)")
-    assert passed(V.check_continuity(bad)) == {"mrr_continuity": False}
-    assert V.continuity_violations(bad).count() == 1
 
+def test_a_missing_month_breaks_continuity_once(built):
+    mv = built[3]
+    months = [r.month_date for r in mv.select("month_date").distinct().orderBy("month_date").collect()]
+    gap = mv.where(F.col("month_date") != months[len(months) // 2])
+    rows = V.continuity_violations(gap).collect()
+    assert [r.month_date for r in rows] == [months[len(months) // 2 + 1]]
+    assert found(V.check_reconciliation(gap)) == [0]
 
-def test_validate_customer_counts_failure(spark):
-    dim = customers(spark, ("cust_1", "cust_2"))
-    model = ledger(spark, [("cust_1",)], "customer_id string")
-    assert passed(V.check_customer_counts(dim, model)) == {"customer_counts": False}
 
+def test_counts_see_customers_that_one_side_lacks(built):
+    _, c, _, mv = built
+    active = mv.select("customer_id").distinct()
+    some = active.orderBy("customer_id").limit(3)
+    assert found(V.check_customer_counts(active, mv)) == [0]
+    assert found(V.check_customer_counts(some, mv)) == [active.count() - 3]
+    assert found(V.check_customer_counts(active, mv.join(some, "customer_id", "left_anti"))) == [3]
 
-def test_validate_referential_integrity_failure(spark):
-    model = ledger(spark, [("cust_orphan", "plan_basic")], "customer_id string, current_plan_id string")
-    empty_c = customers(spark, ())
-    empty_p = plans(spark, [])
-    assert V.orphan_customer_rows(model, empty_c).count() == 1
-    assert V.orphan_plan_rows(model, empty_p).count() == 1
-    assert passed(V.check_integrity(model, empty_c, empty_p)) == {"referential_integrity": False}
 
-
-def test_orphan_plan_alone(spark):
-    model = ledger(spark, [("cust_1", "plan_gone"), ("cust_1", None)], "customer_id string, current_plan_id string")
-    assert passed(V.check_orphan_customers(model, customers(spark))) == {"orphan_customers": True}
-    out = V.check_orphan_plans(model, plans(spark)).collect()[0]
-    assert (out["passed"], out["violations"]) == (False, 1)
-
-
-# ------------------------------------------------------------------ edge cases
-
-def test_single_customer_lifecycle(spark):
-    p, c = plans(spark), customers(spark)
-    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-15", 19)])
+def test_orphans_are_counted_by_row(built):
+    p, c, _, mv = built
+    gone = mv.groupBy("customer_id").count().orderBy(F.desc("count"), "customer_id").first()
+    fewer = c.where(F.col("customer_id") != gone.customer_id)
+    assert found(V.check_orphan_customers(mv, fewer)) == [gone["count"]] == [V.orphan_customer_rows(mv, fewer).count()]
+    assert passed(V.check_integrity(mv, fewer, p)) == {"referential_integrity": False}
+    cheap = p.where("monthly_price < 50")
+    rows = mv.join(p.where("monthly_price >= 50"), mv.current_plan_id == p.plan_id, "left_semi").count()
+    assert rows > 0
+    assert found(V.check_orphan_plans(mv, cheap)) == [rows] == [V.orphan_plan_rows(mv, cheap).count()]
+    everything = {r.check_name: r.violations for r in V.run_checks(mv, fewer, cheap).collect()}
+    assert everything["referential_integrity"] == gone["count"] + rows and everything["mrr_reconciliation"] == 0
+
+
+def test_rows_without_a_plan_are_no_orphans(spark):
+    model = ledger(spark, [("x", None), ("x", "nowhere"), ("y", "plan_pro")], "customer_id string, current_plan_id string")
+    assert found(V.check_orphan_plans(model, plans(spark))) == [1]
+    assert found(V.check_orphan_customers(model, customers(spark, ("x",)))) == [1]
+
+
+# ----------------------------------------------------------------- lifecycles by hand
+
+def test_three_customers_over_half_a_year(spark):
+    p, c = plans(spark), customers(spark, ("ann", "bob", "cyd"))
+    e = events(spark, [("1", "ann", "plan_pro", "signup", "2024-10-31", 49),
+                       ("2", "bob", "plan_enterprise", "signup", "2024-11-01", 199),
+                       ("3", "ann", None, "cancel", "2024-12-24", 0),
+                       ("4", "bob", "plan_basic", "downgrade", "2025-01-02", 19),
+                       ("5", "ann", "plan_basic", "reactivate", "2025-02-28", 19),
+                       ("6", "bob", "plan_pro", "upgrade", "2025-03-01", 49)])
     mv = movements(e, c, p)
-    rows = mv.collect()
-    assert len(rows) == 1
-    r = rows[0]
-    assert (r.month_date, r.prev_mrr, r.current_mrr, r.mrr_category) == (d("2025-01-01"), money(0), money(19), "New")
-    assert r.current_plan_name == "Basic" and r.prev_plan_id is None
-    assert all(passed(V.run_checks(mv, c, p)).values())
-
-
-def test_customer_signup_and_churn(spark):
-    p, c = plans(spark), customers(spark)
-    e = events(spark, [("evt_1", "cust_1", "plan_basic", "signup", "2025-01-10", 19),
-                       ("evt_2", "cust_1", None, "cancel", "2025-02-10", 0)])
-    rows = {r.month_date: r for r in movements(e, c, p).collect()}
-    assert float(rows[d("2025-01-01")].current_mrr) == 19.0
-    assert rows[d("2025-01-01")].mrr_category == "New"
-    assert float(rows[d("2025-02-01")].current_mrr) == 0.0
-    assert rows[d("2025-02-01")].mrr_category == "Churn"
-    assert rows[d("2025-02-01")].mrr_change == Decimal("-19.00")
-
-
-def test_duplicate_primary_keys_rejected(spark):
-    dup_plans = plans(spark, [("plan_dup", "P1", money(10), "monthly"), ("plan_dup", "P2", money(20), "monthly")])
-    out = Q.check_unique(dup_plans, "plan_id", "plans.plan_id.unique").collect()[0]
-    assert (out["violations"], out["passed"]) == (1, False)
-    dup_c = customers(spark, ("cust_dup", "cust_dup"))
-    out = Q.check_unique(dup_c, "customer_id", "customers.customer_id.unique").collect()[0]
-    assert (out["violations"], out["passed"]) == (1, False)
-    assert Q.duplicate_keys(dup_c, "customer_id").collect()[0]["n"] == 2
+    got = {}
+    for r in mv.orderBy("month_date").collect():
+        got.setdefault(r.customer_id, []).append((r.mrr_category, float(r.mrr_change), r.current_plan_name))
+    assert got["ann"] == [("New", 49.0, "Professional"), ("No Change", 0.0, "Professional"), ("Churn", -49.0, None),
+                          ("No Change", 0.0, None), ("Reactivation", 19.0, "Basic"), ("No Change", 0.0, "Basic")]
+    assert got["bob"] == [("New", 199.0, "Enterprise"), ("No Change", 0.0, "Enterprise"), ("Contraction", -180.0, "Basic"),
+                          ("No Change", 0.0, "Basic"), ("Expansion", 30.0, "Professional")]
+    assert "cyd" not in got, "a customer without events has no rows"
+    assert passed(V.run_checks(mv, c.where("customer_id <> 'cyd'"), p))["all_checks"]
+    assert not passed(V.run_checks(mv, c, p))["customer_counts"]
+
+
+def test_repeated_and_missing_keys(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("b",), ("c",), (None,)], "k string")
+    assert [(r.violations, r.passed) for r in Q.check_unique(df, "k", "k.unique").collect()] == [(3, False)]
+    assert {r.k: r.n for r in Q.duplicate_keys(df, "k").collect()} == {"a": 3, "b": 2}
 
 
 def test_double_money_does_not_fail_on_binary_noise(spark):

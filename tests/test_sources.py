@@ -110,3 +110,44 @@ def test_to_client_refuses_large_results(spark):
     assert len(T.to_client(plans(spark), max_rows=3)) == 3
     with pytest.raises(T.ResultTooLarge):
         T.to_client(plans(spark), max_rows=2)
+
+
+def test_the_version_listed_last_is_current(spark, tmp_dir):
+    """Two overlapping loads: the one that started first is listed last, and is current."""
+    base = f"{tmp_dir}/overlap"
+    df = spark.createDataFrame([(1,)], "x int")
+    listed = {}
+
+    def slow(stored):  # while the first load is checked, a second one starts and ends
+        listed["second"] = P.publish(spark, {"t": df}, base)
+        return spark.createDataFrame([(True,)], "passed boolean")
+    first = P.publish(spark, {"t": df.union(df)}, base, checks=slow)
+    assert first < listed["second"], "names follow the start"
+    assert P.current_version(spark, base) == first
+    assert P.read_published(spark, base, "t").count() == 2
+
+
+def test_unreadable_manifest_is_an_error(spark, tmp_dir):
+    import os
+
+    import pytest
+    os.makedirs(f"{tmp_dir}/broken/{P.MANIFEST}")
+    with open(f"{tmp_dir}/broken/{P.MANIFEST}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    assert P.current_version(spark, f"{tmp_dir}/nothing") is None
+    with pytest.raises(Exception):  # noqa: B017
+        P.current_version(spark, f"{tmp_dir}/broken")
+
+
+def test_a_large_month_is_split_over_files(spark, tmp_dir):
+    df = (spark.range(60000).select((F.col("id") % 3).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+          .withColumn("month_date", F.when(F.col("k") < 2, F.lit("2025-01-01")).otherwise(F.lit("2025-02-01")).cast("date")))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        P.write_ledger(df, f"{tmp_dir}/split", partitions=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    import glob
+    assert len(glob.glob(f"{tmp_dir}/split/month_date=2025-01-01/*.parquet")) > 2
+    assert spark.read.parquet(f"{tmp_dir}/split").count() == 60000
