@@ -23,6 +23,8 @@ CANDIDATE = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Characters before an identifier in which its two context words are looked for.
 REACH = 80
+#: Matches whose lengths are added up at a time.
+BLOCK = 128
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -51,12 +53,21 @@ def _located(df: DataFrame, out: str, pattern: str, wanted: Column) -> DataFrame
         # the text between the matches; searched again only where there are some
         f"{out}_g": F.when(F.size(f"{out}_m") > 0, F.transform(F.split("text", pattern, -1), F.length)).otherwise(F.array().cast("array<int>")),
         f"{out}_n": F.transform(f"{out}_m", F.length)})
-    add = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
-    start = lambda i: add(F.slice(f"{out}_g", F.lit(1), i + 1)) + add(F.slice(f"{out}_n", F.lit(1), i))
-    df = df.withColumn(out, F.transform(f"{out}_m", lambda m, i: F.struct(m.alias("value"), start(i).alias("start"))))
-    df = df.withColumn(out, F.transform(out, lambda s: F.struct(s["value"].alias("value"), s["start"].alias("start"),
-                                                                (s["start"] + F.length(s["value"])).alias("end"))))
-    return df.drop(f"{out}_m", f"{out}_g", f"{out}_n")
+    # starts are running sums; by blocks, so that a text with very many matches takes n * BLOCK steps
+    blocks = F.sequence(F.lit(0), F.floor(F.size(f"{out}_n") / BLOCK).cast("int"))
+    df = df.withColumn(f"{out}_s", F.zip_with(F.slice(f"{out}_g", F.lit(1), F.size(f"{out}_n")), f"{out}_n", lambda g, n: g + n))
+    df = df.withColumn(f"{out}_b", F.transform(blocks, lambda j: _sum(F.slice(f"{out}_s", j * BLOCK + 1, F.lit(BLOCK)))))
+    df = df.withColumn(f"{out}_p", F.transform(blocks, lambda j: _sum(F.slice(f"{out}_b", F.lit(1), j))))
+
+    def located(m: Column, i: Column) -> Column:
+        block = F.floor(i / BLOCK).cast("int")
+        start = (F.get(f"{out}_p", block) + _sum(F.slice(f"{out}_s", block * BLOCK + 1, i % BLOCK)) + F.get(f"{out}_g", i))
+        return F.struct(m.alias("value"), start.alias("start"), (start + F.length(m)).alias("end"))
+    return df.withColumn(out, F.transform(f"{out}_m", located)).drop(*[f"{out}_{x}" for x in "mgnsbp"])
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
 
 def _checked(number: int, kind: str) -> Column:
@@ -84,9 +95,13 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = _located(df, "words", CANDIDATE, F.lit(True))
     df = df.withColumn("base", F.concat(*[_checked(k, kind) for k, kind in enumerate(KINDS)]))
 
-    def candidate(w: Column) -> Column:
+    def near(w: Column) -> Column:
         before = F.substring("text", F.greatest(w["start"] - REACH, F.lit(0)) + 1, F.least(w["start"], F.lit(REACH)))
-        near = F.split(F.lower(F.trim(F.regexp_replace(before, BLANKS, " "))), " ")
+        return F.split(F.lower(F.trim(F.regexp_replace(before, BLANKS, " "))), " ")
+    df = df.withColumn("near", F.transform("words", near))
+
+    def candidate(w: Column, i: Column) -> Column:
+        near = F.get("near", i)
         head = F.length(F.regexp_extract(w["value"], "^[^A-Za-z0-9]*", 0))
         tail = F.length(F.regexp_extract(w["value"], "[^A-Za-z0-9]*$", 0))
         begun = F.filter("base", lambda s: (s["start"] >= w["start"]) & (s["start"] < w["end"]))
