@@ -72,7 +72,8 @@ class Network:
         return np.tanh(x @ self.w[0] + self.w[1]) @ self.w[2] + self.w[3]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.logits(self._inputs(x)) / self.t)
+        """Probabilities, rounded so that a row's does not depend on the rows multiplied with it."""
+        return np.round(sigmoid(self.logits(self._inputs(x)) / self.t), 9)
 
 
 class Prior:
