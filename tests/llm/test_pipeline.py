@@ -24,7 +24,7 @@ def corpus():
         docs.append((i, text, "en", f"s{i % 3}", len(text)))
         labels.append((i, int(not bad), 0))
     near = docs[1][1].split()
-    near[3] = "changed"
+    near[0] = "changed"
     docs.append((400, " ".join(near), "en", None, None))
     docs.append((401, docs[2][1], None, "s1", 3))
     docs.append((402, docs[4][1] + " " + prose(30, 777), "en", "s2", 1))
