@@ -129,7 +129,7 @@ def _conform_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
     return row_counts({"plans": fixture.plans(spark, sf), "customers": fixture.customers(spark, sf),
-                       "events": fixture.events(spark, sf)})
+                       "events": fixture.raw_events(spark, sf)})
 
 
 def _load_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,10 +141,9 @@ def _load_check(spark: SparkSession, sf: str) -> DataFrame:
                        {k: conform(v[0], v[1])[0] for k, v in inputs.items()})
 
 
-def _quality(spark: SparkSession, sf: str, rules) -> DataFrame:
-    plans, customers = fixture.plans(spark, sf), fixture.customers(spark, sf)
-    events = fixture.events(spark, sf)
-    return Q.union_all(rules(plans, customers, events))
+def _quality(spark: SparkSession, sf: str, rules, events=fixture.raw_events) -> DataFrame:
+    """Rules over the three inputs; `events` derives the event type only for rules that read it."""
+    return Q.union_all(rules(fixture.plans(spark, sf), fixture.customers(spark, sf), events(spark, sf)))
 
 
 def _broken(spark: SparkSession, sf: str):
@@ -273,12 +272,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_not_null": lambda s, d: _quality(s, d, lambda p, c, e: [
         Q.check_not_null(p, S.NOT_NULL["plans"], "plans"),
         Q.check_not_null(c, S.NOT_NULL["customers"], "customers"),
-        Q.check_not_null(e, S.NOT_NULL["events"], "events")]),
+        Q.check_not_null(e, S.NOT_NULL["events"], "events")], fixture.events),
     "check_domains": lambda s, d: _quality(s, d, lambda p, c, e: [
         Q.check_domain(p, "billing_cycle", S.BILLING_CYCLES, "plans.billing_cycle.domain"),
         Q.check_domain(c, "company_size", S.COMPANY_SIZES, "customers.company_size.domain"),
         Q.check_domain(e, "event_type", S.EVENT_TYPES, "events.event_type.domain"),
-        Q.check_min(e, "monthly_amount", 0, "events.monthly_amount.min")]),
+        Q.check_min(e, "monthly_amount", 0, "events.monthly_amount.min")], fixture.events),
     "check_foreign_keys": lambda s, d: _quality(s, d, lambda p, c, e: [
         Q.check_fk(e, c, "customer_id", "customer_id", "events.customer_id.fk"),
         Q.check_fk(e, p, "plan_id", "plan_id", "events.plan_id.fk")]),

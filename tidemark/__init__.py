@@ -1,7 +1,8 @@
 """tidemark: recurring-revenue movement analytics as Spark DataFrame operators.
 
-Every public function takes DataFrames and returns a lazy DataFrame; nothing
-collects customer-level data to the driver.
+Every operator of this part takes DataFrames and returns a lazy DataFrame (the jobs
+in `plans.jobs` and `sources.publish` load, write and publish); nothing collects
+customer-level data to the driver.
 """
 
 from tidemark.operators.movement import movements, monthly_state, segments
