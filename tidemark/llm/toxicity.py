@@ -89,9 +89,9 @@ class Finder:
     """Finds a lexicon's hits in a batch of words.
 
     Words that are exactly a term are found by their hashes. Others go to the
-    automaton if their first or last two letters (bytes) are those of a term or
-    their first letters those of a stem: a misspelling is looked for where at
-    least one end of the term stands.
+    automaton if their first or last three bytes are those of a term, or their
+    first three those of a stem: a misspelling is looked for where at least one
+    end of the term stands.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
