@@ -121,16 +121,21 @@ def bootstrapped(found: DataFrame, texts: DataFrame, rounds: int = 3, support: i
     A pattern is the pair of words before an identifier. Seeds are the base spans.
     Patterns that precede at least `support` different seed values of a kind form a
     graph with the values that stand behind them. In each round a pattern's score is
-    the sum of its occurrences' value scores over all its occurrences in the corpus,
-    whatever follows it there, and a value that is no seed takes the score of its best
+    the sum of its occurrences' value scores (base spans of other kinds count nothing)
+    over all its occurrences in the corpus, whatever follows it there, and a value that is no seed takes the score of its best
     pattern. Candidates behind patterns of at least `confidence`, and further
     occurrences of values that reach it, are found.
     """
     rows = found.select("row_key", F.explode("candidates").alias("c")).select("row_key", "c.*").where("context is not null")
     seeds = rows.where("kind >= 0")
-    patterns = staged(seeds.groupBy("context", "kind").agg(F.countDistinct("value").alias("values"))
-                      .where(F.col("values") >= support).groupBy("context")
-                      .agg(F.max(F.struct("values", "kind")).alias("best")).select("context", F.col("best.kind").alias("of")), "patterns")
+    best = (seeds.groupBy("context", "kind").agg(F.countDistinct("value").alias("values"), F.count("*").alias("own"))
+            .groupBy("context").agg(F.max(F.struct("values", "kind", "own")).alias("best"), F.sum("own").alias("seeds")))
+    # base entities of another kind never count for a pattern, so where they exceed 1 - confidence of
+    # the candidates behind it, no score of the others can lift it
+    behind = rows.where("kind <> -2").groupBy("context").agg(F.count("*").alias("behind"))
+    patterns = staged(best.where(F.col("best.values") >= support).join(behind, "context")
+                      .where(F.col("behind") - (F.col("seeds") - F.col("best.own")) >= confidence * F.col("behind"))
+                      .select("context", F.col("best.kind").alias("of")), "patterns")
     words = F.split(F.lower(F.trim(F.regexp_replace("text", BLANKS, " "))), " ")
     pairs = F.when(F.size("w") > 2, F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.concat_ws(
         " ", F.element_at("w", i), F.element_at("w", i + 1))))
@@ -138,7 +143,7 @@ def bootstrapped(found: DataFrame, texts: DataFrame, rounds: int = 3, support: i
               .groupBy("context").agg(F.count("*").alias("total")))
     patterns = staged(patterns.join(totals, "context"), "patterns")
     # one edge per pattern and value: how often, and whether the value is a seed of the pattern's kind
-    edges = staged(rows.where("kind <> -2").join(patterns, "context")
+    edges = staged(rows.where("kind <> -2").join(patterns, "context").where("kind = -1 or kind = of")
                    .groupBy("context", "of", "total", "value")
                    .agg(F.count("*").alias("n"), F.max((F.col("kind") == F.col("of")).cast("double")).alias("score")), "edges")
     scores = edges.select("value", "of", "score")
