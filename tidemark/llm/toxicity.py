@@ -38,28 +38,55 @@ class Lexicon:
 
     def __init__(self, terms: list[str], stems: list[str]) -> None:
         self.terms, self.stems = sorted(terms), sorted(stems)
-        self.trie: dict = {}
-        for term in self.terms:
-            node = self.trie
+        self.trie, self.reversed = self._trie(self.terms), self._trie(t[::-1] for t in self.terms)
+        self._stems = frozenset(self.stems)
+        self._stem_lengths = sorted({len(s) for s in self.stems})
+
+    @staticmethod
+    def _trie(terms) -> dict:
+        trie: dict = {}
+        for term in terms:
+            node = trie
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = term
-        self._stems = frozenset(self.stems)
-        self._stem_lengths = sorted({len(s) for s in self.stems})
+        return trie
 
     @staticmethod
     def edits(n: int) -> int:
         """Misspellings allowed in a word of n letters."""
         return 0 if n < 5 else 1 if n < 8 else 2
 
-    def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its distance, or None."""
+    def match(self, word: str, standing: int = 0) -> tuple[str, int] | None:
+        """The nearest term and its distance, or None. With `standing`, of the terms whose first or
+        whose last so many letters are the word's: the walk then begins below those letters."""
+        found = [self._walk(self.trie, word, standing)]
+        if standing:
+            back = self._walk(self.reversed, word[::-1], standing)
+            found.append(back and (back[0], back[1][::-1]))
+        best = min(filter(None, found), default=None)
+        return (best[1], best[0]) if best else None
+
+    def _walk(self, node: dict, word: str, standing: int) -> tuple[int, str] | None:
         k, n = self.edits(len(word)), len(word)
         letters: dict[str, int] = {}
         for i, c in enumerate(word):
             letters[c] = letters.get(c, 0) | (2 << i)
         best, goal = None, 1 << n
-        stack = [(self.trie, tuple((1 << (j + 1)) - 1 for j in range(k + 1)))]
+
+        def step(rows: tuple, c: str) -> tuple:
+            hit = letters.get(c, 0)
+            new = [(rows[0] << 1) & hit]
+            for j in range(1, k + 1):
+                new.append(((rows[j] << 1) & hit) | rows[j - 1] | (rows[j - 1] << 1) | (new[j - 1] << 1))
+            return tuple(new)
+
+        rows = tuple((1 << (j + 1)) - 1 for j in range(k + 1))
+        for c in word[:standing]:
+            if c not in node:
+                return None
+            node, rows = node[c], step(rows, c)
+        stack = [(node, rows)]
         while stack:
             node, rows = stack.pop()
             term = node.get("")
@@ -69,13 +96,10 @@ class Lexicon:
                     best = (d, term)
             for c, below in node.items():
                 if c:
-                    hit = letters.get(c, 0)
-                    new = [(rows[0] << 1) & hit]
-                    for j in range(1, k + 1):
-                        new.append(((rows[j] << 1) & hit) | rows[j - 1] | (rows[j - 1] << 1) | (new[j - 1] << 1))
+                    new = step(rows, c)
                     if any(r & ((goal << 1) - 1) for r in new):
-                        stack.append((below, tuple(new)))
-        return (best[1], best[0]) if best else None
+                        stack.append((below, new))
+        return best
 
     def stem(self, word: str) -> str | None:
         return next((word[:n] for n in self._stem_lengths if word[:n] in self._stems), None)
@@ -91,7 +115,7 @@ class Finder:
     Words that are exactly a term are found by their hashes. Others go to the
     automaton if their first or last three bytes are those of a term, or their
     first three those of a stem: a misspelling is looked for where at least one
-    end of the term stands.
+    end of the term stands, and the walk begins below its two letters there.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
@@ -129,7 +153,7 @@ class Finder:
             hit = cache.get(raw, 0)
             if hit == 0:
                 word = raw.decode("utf-8", "replace").lower()
-                m = self.lexicon.match(word) if len(word) <= self.longest else None
+                m = self.lexicon.match(word, 2) if len(word) <= self.longest else None
                 if m:
                     hit = (0 if m[1] == 0 else 1, m[0])
                 else:
