@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text, prepare
 from tidemark.llm.labelled import fitted, labelled_sample
 from tidemark.llm.quality import scored
-from tidemark.llm.words import Words, hash_spans, slices, text_words, trimmed
+from tidemark.llm.words import FOLDED, LOWER, Words, member, mix, powers, slices, text_words, trimmed
 
 #: Words on either side of a hit that its window holds.
 WINDOW = 6
@@ -38,7 +38,7 @@ class Lexicon:
 
     def __init__(self, terms: list[str], stems: list[str]) -> None:
         self.terms, self.stems = sorted(terms), sorted(stems)
-        self.trie, self.reversed = self._trie(self.terms), self._trie(t[::-1] for t in self.terms)
+        self.trie = self._trie(self.terms)
         self._stems = frozenset(self.stems)
         self._stem_lengths = sorted({len(s) for s in self.stems})
 
@@ -55,19 +55,10 @@ class Lexicon:
     @staticmethod
     def edits(n: int) -> int:
         """Misspellings allowed in a word of n letters."""
-        return 0 if n < 5 else 1 if n < 8 else 2
-
-    def match(self, word: str, standing: int = 0) -> tuple[str, int] | None:
-        """The nearest term and its distance, or None. With `standing`, of the terms whose first or
-        whose last so many letters are the word's: the walk then begins below those letters."""
-        found = [self._walk(self.trie, word, standing)]
-        if standing:
-            back = self._walk(self.reversed, word[::-1], standing)
-            found.append(back and (back[0], back[1][::-1]))
-        best = min(filter(None, found), default=None)
-        return (best[1], best[0]) if best else None
+        return 0 if n < 5 else 1
 
-    def _walk(self, node: dict, word: str, standing: int) -> tuple[int, str] | None:
+    def match(self, word: str) -> tuple[str, int] | None:
+        """The nearest term and its distance, or None."""
         k, n = self.edits(len(word)), len(word)
         letters: dict[str, int] = {}
         for i, c in enumerate(word):
@@ -82,11 +73,7 @@ class Lexicon:
             return tuple(new)
 
         rows = tuple((1 << (j + 1)) - 1 for j in range(k + 1))
-        for c in word[:standing]:
-            if c not in node:
-                return None
-            node, rows = node[c], step(rows, c)
-        stack = [(node, rows)]
+        stack = [(self.trie, rows)]
         while stack:
             node, rows = stack.pop()
             term = node.get("")
@@ -99,34 +86,43 @@ class Lexicon:
                     new = step(rows, c)
                     if any(r & ((goal << 1) - 1) for r in new):
                         stack.append((below, new))
-        return best
+        return (best[1], best[0]) if best else None
 
     def stem(self, word: str) -> str | None:
         return next((word[:n] for n in self._stem_lengths if word[:n] in self._stems), None)
 
 
-def _code(b: bytes) -> int:
-    return int.from_bytes(b, "little")
+def _variants(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Polynomial hashes of byte spans; of the spans without one byte, for every byte; and the span of each."""
+    up, down = powers(len(data) + 2)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(FOLDED[data] * up[:len(data)], out=sums[1:])
+    whole = mix((sums[ends] - sums[starts]) * down[starts])
+    lens = ends - starts
+    span = np.repeat(np.arange(len(starts)), lens)
+    at = np.arange(len(span)) - np.repeat(np.cumsum(lens) - lens, lens) + starts[span]
+    cut = (sums[at] - sums[starts][span] + (sums[ends][span] - sums[at + 1]) * down[1]) * down[starts][span]
+    return whole, mix(cut), span
 
 
 class Finder:
     """Finds a lexicon's hits in a batch of words.
 
-    Words that are exactly a term are found by their hashes. Others go to the
-    automaton if their first or last three bytes are those of a term, or their
-    first three those of a stem: a misspelling is looked for where at least one
-    end of the term stands, and the walk begins below its two letters there.
+    Words that are exactly a term are found by their hashes. The automaton reads
+    those others that could be one edit (of a byte) away: two words within one edit
+    are equal, or one is the other without a byte, or both are equal without one.
+    Beginnings are looked up for words that start like a stem.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
         terms = [t.encode() for t in lexicon.terms]
         data = np.frombuffer(b"\n".join(terms), np.uint8) if terms else np.zeros(0, np.uint8)
-        ends = np.cumsum([len(t) + 1 for t in terms]) - 1 if terms else np.zeros(0, int)
-        starts = ends - np.array([len(t) for t in terms], int)
-        self.hashes = np.sort(hash_spans(data, starts, ends))
-        self.first = np.unique([_code(t[:3]) for t in terms + [s.encode() for s in lexicon.stems]] or [0])
-        self.last = np.unique([_code(t[-3:]) for t in terms] or [0])
+        lens = np.array([len(t) for t in terms], np.int64)
+        ends = np.cumsum(lens + 1) - 1 if terms else np.zeros(0, np.int64)
+        whole, cut, _ = _variants(data, ends - lens, ends)
+        self.hashes, self.near = np.unique(whole), np.unique(np.concatenate((whole, cut)))
+        self.stem_codes = np.unique([int.from_bytes(t.encode()[:3], "little") for t in lexicon.stems] or [0])
         self.longest = max((len(t) for t in terms), default=0) + 2
         self.key = (tuple(lexicon.terms), tuple(lexicon.stems))
 
@@ -136,24 +132,27 @@ class Finder:
         n = len(starts)
         if not n:
             return []
-        exact = np.isin(hash_spans(words.data, starts, ends), self.hashes)
-        lower = words.data | np.where((words.data >= 0x41) & (words.data <= 0x5A), 32, 0).astype(np.uint8)
         lens = ends - starts
-        long_enough = lens >= 4
-        s, e = np.minimum(starts, max(len(lower) - 3, 0)), np.maximum(ends - 3, 0)
-        wide = lower.astype(np.int64) if len(lower) >= 3 else np.zeros(3, np.int64)
-        code = wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16
-        near = long_enough & ((np.isin(code[s], self.first)) | (np.isin(code[np.minimum(e, len(code) - 1)], self.last) & (lens <= 4 * self.longest)))
+        lower = LOWER[words.data]
+        whole, exact, near = np.zeros(n, np.uint64), np.zeros(n, bool), np.zeros(n, bool)
+        some = np.flatnonzero((lens >= 3) & (lens <= self.longest))
+        whole, cut, span = _variants(words.data, starts[some], ends[some])
+        exact[some] = member(whole, self.hashes)
+        near[some] = member(whole, self.near)
+        near[some[span[member(cut, self.near)]]] = True
+        wide = lower.astype(np.int64)
+        code = wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16 if len(wide) >= 3 else np.zeros(1, np.int64)
+        begins = (lens >= 4) & np.isin(code[np.minimum(starts, len(code) - 1)], self.stem_codes)
         cache = _CACHE.setdefault(self.key, {})
         if len(cache) > 500_000:
             cache.clear()
         out = []
-        for i in np.flatnonzero(exact | near).tolist():
+        for i in np.flatnonzero(exact | near | begins).tolist():
             raw = lower[starts[i]:ends[i]].tobytes()
             hit = cache.get(raw, 0)
             if hit == 0:
                 word = raw.decode("utf-8", "replace").lower()
-                m = self.lexicon.match(word, 2) if len(word) <= self.longest else None
+                m = (word, 0) if exact[i] else self.lexicon.match(word) if near[i] else None
                 if m:
                     hit = (0 if m[1] == 0 else 1, m[0])
                 else:

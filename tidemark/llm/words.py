@@ -17,7 +17,7 @@ SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _BYTES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_FOLDED = _BYTES[LOWER]
+FOLDED = _BYTES[LOWER]
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_BASE)
 #: Bytes hashed at a time (a longer word is one block).
@@ -46,7 +46,6 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     The sum of byte value times base**position, from running sums, moved back to
     the span's own start (the base is odd, so it has an inverse modulo 2**64).
     """
-    global _UP, _DOWN
     out = np.zeros(len(starts), np.uint64)
     full = np.flatnonzero(ends > starts)
     s, e = starts[full], ends[full]
@@ -54,16 +53,33 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     while i < len(full):
         j = max(i + 1, int(np.searchsorted(e, s[i] + BLOCK, "right")))
         lo, n = s[i], int(e[j - 1] - s[i])
-        if n >= len(_UP):
-            _UP, _DOWN = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 2**64), 2 * n)
+        up, down = powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_FOLDED[data[lo:lo + n]] * _UP[:n], out=sums[1:])
+        np.cumsum(FOLDED[data[lo:lo + n]] * up[:n], out=sums[1:])
         a, b = s[i:j] - lo, e[i:j] - lo
-        out[full[i:j]] = mix((sums[b] - sums[a]) * _DOWN[a] + (b - a).astype(np.uint64) * _STEP)
+        out[full[i:j]] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _STEP)
         i = j
     return out
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base's first n powers at least, and their inverses."""
+    global _UP, _DOWN
+    if n > len(_UP):
+        _UP, _DOWN = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 2**64), 2 * n)
+    return _UP, _DOWN
+
+
+def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which 64-bit values are among the sorted `known`; a bit table answers for most."""
+    low = np.uint64((1 << 20) - 1)
+    sieve = np.zeros(1 << 20, bool)
+    sieve[(known & low).astype(np.int64)] = True
+    out = sieve[(values & low).astype(np.int64)]
+    out[out] = np.isin(values[out], known)
+    return out
+
+
 class Words:
     """Words of a batch of texts: byte `starts`/`ends` in `data`, `hashes`, and `ptr` (first word of each text)."""
 
