@@ -121,3 +121,25 @@ def test_contaminated_hot_item_and_empty(spark):
     assert {r.doc_id for r in contaminated(docs, bench(spark, [(1, item)])).collect()} == set(range(0, 600, 3))
     assert contaminated(docs, bench(spark, [])).count() == 0
     assert contaminated(frame(spark, []), bench(spark, [(1, item)])).count() == 0
+
+
+def test_passage_many_times_in_one_document(spark):
+    passage = prose(60, 31)
+    docs = [(1, " ".join(f"{prose(3, 100 + i)} {passage}" for i in range(50))), (2, f"{prose(30, 7)} {passage} {prose(9, 8)}"), (3, prose(90, 9))]
+    got = defaultdict(set)
+    for r in repeated_passages(frame(spark, docs)).collect():
+        got[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert dict(got) == covered(docs, 50)
+
+
+def test_partner_behind_many_longer_right_matches(spark):
+    """Twenty rows share 49 words further to the right, one row 52 words further to the left."""
+    docs = []
+    for k in range(10):
+        w = prose(80, 600 + k).split()
+        docs += [(100 * k, " ".join(w)), (100 * k + 1, " ".join(w[:52] + prose(30, 700 + k).split()))]
+        docs += [(100 * k + 2 + i, f"{prose(30, 10**5 + 100 * k + i)} {' '.join(w[8:57])} {prose(30, 10**6 + 100 * k + i)}") for i in range(20)]
+    got = defaultdict(set)
+    for r in repeated_passages(frame(spark, docs)).collect():
+        got[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert dict(got) == covered(docs, 50)

@@ -10,23 +10,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, prepare, staged
-from tidemark.llm.words import Words, grams, slices, text_words
+from tidemark.llm.words import Words, grams, mix, powers, slices, text_words
 
-#: Words of a minimiser; suffixes behind a row, in sorted order, that it is compared with.
-MINIMISER, NEIGHBOURS = 8, 4
+#: Words of a minimiser.
+MINIMISER = 8
 _LOCAL = np.uint64((1 << 24) - 1)
 
 
-def anchors(words: Words, window: int) -> np.ndarray:
-    """Positions (in the batch) whose 8-gram is the least of some run of `window` successive ones.
+class Runs:
+    """Hashes of any runs of a batch's words, from running sums; equal runs agree wherever they stand."""
 
-    The choice depends on content alone: equal passages choose equal positions
-    wherever they stand. Ties go to the leftmost.
+    def __init__(self, words: Words) -> None:
+        n = len(words.hashes)
+        up, self.down = powers(n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(words.hashes * up[:n], out=self.sums[1:])
+
+    def __call__(self, at: np.ndarray, length: int) -> np.ndarray:
+        return mix((self.sums[at + length] - self.sums[at]) * self.down[at])
+
+
+def owned(words: Words, window: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Retained positions, and for each the first and last passage of `least` words that it stands for.
+
+    A passage belongs to the position whose 8-gram is the least of the passage's first
+    `window` ones (ties go to the leftmost), so equal passages choose equal positions wherever
+    they stand. The passages of one position begin side by side.
     """
     h = grams(words.hashes, MINIMISER)
     n = len(h) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
+    if n <= 0 or len(words.hashes) < least:
+        return (np.zeros(0, np.int64),) * 3
     low = (h & ~_LOCAL) | (np.arange(len(h), dtype=np.uint64) & _LOCAL)
     size = 1
     while 2 * size <= window:  # minima of runs of 1, 2, 4, ...
@@ -34,104 +48,62 @@ def anchors(words: Words, window: int) -> np.ndarray:
         size *= 2
     low = np.minimum(low[:n], low[window - size:window - size + n])
     text_of = np.repeat(np.arange(len(words)), np.diff(words.ptr))
-    inside = text_of[:n] == text_of[window + MINIMISER - 2:window + MINIMISER - 2 + n]
-    return np.unique((low[inside] & _LOCAL).astype(np.int64))
-
-
-def _suffixes(window: int, shared: int):
-    """(key, doc_id, pos) of the retained suffixes; key: hash of the suffix's first `shared` words."""
+    n = len(text_of) - least + 1
+    begin = np.flatnonzero(text_of[:n] == text_of[least - 1:])
+    at = begin + ((low[begin] - begin.astype(np.uint64)) & _LOCAL).astype(np.int64)
+    change = np.flatnonzero(at[1:] != at[:-1])
+    first = np.concatenate((np.zeros(min(1, len(at)), np.int64), change + 1))
+    last = np.concatenate((change, np.full(min(1, len(at)), len(at) - 1)))
+    return at[first], begin[first], begin[last]
+
+
+def _retained(words: Words, window: int, least: int):
+    """Of every retained position: key (hash of the words from there that all its passages hold),
+    context (hash of all its passages' words), first passage, its number of passages, text."""
+    at, first, last = owned(words, window, least)
+    run = Runs(words)
+    keys = run(at, least - window + 1)
+    with np.errstate(over="ignore"):
+        contexts = mix(run(first, least) * np.uint64(0xD6E8FEB86659FD93) + run(last, least) + (last - first).astype(np.uint64))
+    return keys.view(np.int64), contexts.view(np.int64), first, last - first + 1, np.searchsorted(words.ptr, first, "right") - 1, run
+
+
+def _suffixes(window: int, least: int):
+    """(key, context, doc_id, place) of the retained positions; place: first passage * window + passages - 1."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 words = text_words(batch.column(1))
-                at = anchors(words, window)
-                text = np.searchsorted(words.ptr, at, "right") - 1
-                keep = at + shared <= words.ptr[text + 1]
-                at, text = at[keep], text[keep]
-                keys = grams(words.hashes, shared)
-                yield pa.record_batch([pa.array(keys[at].view(np.int64)), batch.column(0).take(pa.array(text)),
-                                       pa.array((at - words.ptr[text]).astype(np.int32))], names=["key", "doc_id", "pos"])
+                keys, contexts, first, n, text, _ = _retained(words, window, least)
+                yield pa.record_batch([pa.array(keys), pa.array(contexts), batch.column(0).take(pa.array(text)),
+                                       pa.array((first - words.ptr[text]) * window + n - 1)], names=["key", "context", "doc_id", "place"])
     return find
 
 
-def _contexts(window: int, shared: int):
-    """The words around each suffix's shared part, 16 bits a word, nearest first; 0 beyond the text."""
-    reach = window - 1
-
+def _passages(window: int, least: int):
+    """Every passage of the marked contexts, each with its hash: (key, passage, context, nth, lo, hi)."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 words = text_words(batch.column(1))
                 marks = batch.column(2)
-                n = np.diff(np.asarray(marks.offsets))
-                text = np.repeat(np.arange(len(words)), n)
-                at = words.ptr[text] + np.asarray(marks.flatten())
-                own = at + shared <= words.ptr[text + 1]  # an identifier's other row may be longer
-                at, text = at[own], text[own]
-                keys = grams(words.hashes, shared)
-                short = (words.hashes & np.uint64(0xFFFF)).astype(">u2")
-                short[short == 0] = 1
-                padded = np.concatenate((np.zeros(reach, ">u2"), short, np.zeros(reach + shared, ">u2"))) if len(short) else short
-                step = np.arange(reach)
-                left = at[:, None] - 1 - step
-                right = at[:, None] + shared + step
-                left = np.where(left >= words.ptr[text][:, None], padded[left + reach], 0).astype(">u2")
-                right = np.where(right < words.ptr[text + 1][:, None], padded[right + reach], 0).astype(">u2")
-                width = pa.binary(2 * reach)
-                yield pa.record_batch([
-                    pa.array(keys[at].view(np.int64)),
-                    pa.FixedSizeBinaryArray.from_buffers(width, len(at), [None, pa.py_buffer(right.tobytes())]).cast(pa.binary()),
-                    pa.FixedSizeBinaryArray.from_buffers(width, len(at), [None, pa.py_buffer(left.tobytes())]).cast(pa.binary()),
-                    batch.column(0).take(pa.array(text)), pa.array((at - words.ptr[text]).astype(np.int32))],
-                    names=["key", "after", "before", "doc_id", "pos"])
+                marked = np.repeat(np.arange(len(words)), np.diff(np.asarray(marks.offsets)))
+                flat = marks.flatten()
+                place, key, context, hi = (np.asarray(flat.field(i)) for i in range(4))
+                keys, contexts, first, n, _, run = _retained(words, window, least)
+                row = np.searchsorted(first, words.ptr[marked] + place // window)
+                own = row < len(first)
+                own[own] = (keys[row[own]] == key[own]) & (contexts[row[own]] == context[own])  # else of an identifier's other row
+                row, marked, hi = row[own], marked[own], hi[own]
+                of = np.repeat(np.arange(len(row)), n[row])
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(n[row]) - n[row], n[row])
+                yield pa.record_batch([pa.array(keys[row][of]), pa.array(run(first[row][of] + nth, least).view(np.int64)),
+                                       pa.array(contexts[row][of]), pa.array(nth.astype(np.int32)),
+                                       batch.column(0).take(pa.array(marked[of])), pa.array(hi[of])],
+                                      names=["key", "passage", "context", "nth", "lo", "hi"])
     return find
 
 
-def _neighbours(window: int, shared: int, least: int, edges: bool):
-    """Compares sorted suffixes with their next neighbours of other documents and extends the match
-    to both sides; with `edges`, also passes on the partition's first and last rows."""
-    reach = window - 1
-
-    def words_of(column: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), ">u2").reshape(-1, reach)
-
-    def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.logical_and.accumulate((a == b) & (a != 0), axis=1).sum(1)
-
-    names = ["kind", "key", "after", "before", "doc_id", "pos", "start", "end", "other"]
-
-    def passed(table: pa.Table) -> pa.RecordBatch:
-        n, none = table.num_rows, pa.nulls(table.num_rows, pa.int64())
-        return pa.record_batch([pa.array([1] * n, pa.int32()), *[c.combine_chunks() for c in table.columns], none, none, none], names=names)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = None, 0
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if edges and seen < NEIGHBOURS and batch.num_rows:
-                yield passed(table.slice(0, NEIGHBOURS - seen))
-            seen += batch.num_rows
-            table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
-            key, doc, pos = (np.asarray(table.column(c).combine_chunks()) for c in ("key", "doc_id", "pos"))
-            after, before = (words_of(table.column(c)) for c in ("after", "before"))
-            for o in range(1, min(NEIGHBOURS, len(key) - 1) + 1):
-                i = np.flatnonzero((key[:-o] == key[o:]) & (doc[:-o] != doc[o:]))
-                if not len(i):
-                    continue
-                r, l = common(after[i], after[i + o]), common(before[i], before[i + o])
-                ok = shared + l + r >= least
-                i, r, l = i[ok], r[ok], l[ok]
-                for me, you in ((i, i + o), (i + o, i)):
-                    none = pa.nulls(len(i), pa.binary())
-                    yield pa.record_batch([pa.array(np.zeros(len(i), np.int32)), pa.array(key[me]), none, none, pa.array(doc[me]),
-                                           pa.array(pos[me].astype(np.int32)), pa.array((pos[me] - l).astype(np.int64)),
-                                           pa.array((pos[me] + shared + r).astype(np.int64)), pa.array(doc[you])], names=names)
-            held = table.slice(max(0, table.num_rows - NEIGHBOURS))
-        if edges and held is not None and seen > NEIGHBOURS:
-            yield passed(held.slice(max(0, held.num_rows - min(NEIGHBOURS, seen - NEIGHBOURS))))
-    return compare
-
-
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlapping spans of a document become one."""
     for batch in batches:
@@ -154,39 +126,47 @@ def repeated_passages(docs: DataFrame, least: int = 50, window: int = 20, id_col
 
     One row per maximal stretch of a document that such passages cover: doc_id,
     start_word, end_word (exclusive), n_words, other_doc (the smallest identifier
-    seen to share part of it). Words are runs of non-blank characters, A-Z folded.
+    that shares part of it; in the document of the smallest, the smallest of the
+    largest that share a part). Words are runs of non-blank characters, A-Z folded.
 
     Sparse suffix array: of a document's suffixes those at minimiser positions
-    are retained, about 2 in window+1. Every passage of `least` words has one
-    among its first `window` words, so copies share at least
+    are retained, about 2 in window+1. Every passage of `least` words belongs to
+    one among its first `window` words, so copies share at least
     least-window+1 words from there on. Suffixes whose first so many words stand
-    in one document only are dropped (a pre-aggregated count). The others are
-    sorted by content (shared part, what follows, what precedes), each
-    is compared with its next neighbours of other documents, and the match is
-    extended to the right and left word by word. A stretch longer than the reach of
-    one suffix is covered by the next ones. A run of very many equal
-    suffixes is split by the range partitioner, since their content and document
-    are part of the sort key; the few rows at partition edges are compared again together.
+    in one document only are dropped (a pre-aggregated count). The others are counted by
+    their context, all words of their passages: where a key has one context
+    only, its passages are repeated as a whole. Of the contexts of other keys one
+    copy each is read again, its passages are hashed, and the least and largest
+    identifier per passage tell which stand in more than one document. So every
+    passage is compared with all others of the corpus, by 64-bit hashes of all its words
+    within equal keys, and a hot passage is added up before it is shuffled.
 
     Null and short texts have no such passage; rows with a null identifier are
     left out, since a result could not name them; rows that repeat an identifier are one
     document; an empty table gives no rows; other columns are ignored.
     """
     prepare(docs.sparkSession)
-    shared = least - window + 1
     base = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
-    suffixes = staged(base.mapInArrow(_suffixes(window, shared), "key long, doc_id long, pos int"), "suffixes")
+    suffixes = staged(base.mapInArrow(_suffixes(window, least), "key long, context long, doc_id long, place long"), "suffixes")
     repeated = (suffixes.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                 .where("lo < hi").select("key"))
-    marks = (suffixes.join(repeated, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("marks")))
-    rows = (base.join(marks, "doc_id").select("doc_id", "text", "marks")
-            .mapInArrow(_contexts(window, shared), "key long, after binary, before binary, doc_id long, pos int"))
-    schema = ("kind int, key long, after binary, before binary, doc_id long, pos int, start long, end long, other long")
-    order = ["key", "after", "before", "doc_id", "pos"]
-    compared = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                      .mapInArrow(_neighbours(window, shared, least, True), schema), "compared")
-    edges = (compared.where("kind = 1").select(*order).distinct().repartition(1).sortWithinPartitions(*order)
-             .mapInArrow(_neighbours(window, shared, least, False), schema))  # a few rows per partition
-    spans = compared.unionByName(edges).where("kind = 0").select("doc_id", "start", "end", "other").distinct()
+    candidates = staged(suffixes.join(repeated, "key"), "candidates")
+    contexts = staged(candidates.groupBy("key", "context")
+                      .agg(F.min(F.struct("doc_id", "place")).alias("least"), F.max("doc_id").alias("hi"))
+                      .select("key", "context", F.col("least.doc_id").alias("lo"), "least.place", "hi"), "contexts")
+    contexts = contexts.join(contexts.groupBy("key").agg(F.count("*").alias("n")), "key")
+    alone = contexts.where("n = 1").select("key", "context", F.lit(0).alias("a"), (F.col("place") % window).cast("int").alias("b"), "lo", "hi")
+    marks = (contexts.where("n > 1").groupBy(F.col("lo").alias("doc_id"))
+             .agg(F.collect_list(F.struct("place", "key", "context", "hi")).alias("marks")))
+    passages = staged(base.join(marks, "doc_id").select("doc_id", "text", "marks")
+                      .mapInArrow(_passages(window, least), "key long, passage long, context long, nth int, lo long, hi long"), "passages")
+    shared = passages.groupBy("key", "passage").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
+    some = (passages.select("key", "passage", "context", "nth").join(shared, ["key", "passage"]).groupBy("key", "context")
+            .agg(F.min("nth").alias("a"), F.max("nth").alias("b"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    # passages of one context overlap, so those from its first shared one to its last cover one stretch
+    start = F.floor(F.col("place") / window)
+    spans = (candidates.join(alone.unionByName(some), ["key", "context"])
+             .select("doc_id", (start + F.col("a")).alias("start"), (start + F.col("b") + least).alias("end"),
+                     F.when(F.col("lo") != F.col("doc_id"), F.col("lo")).otherwise(F.col("hi")).alias("other")).distinct())
     return (spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "other"))).alias("spans"))
             .mapInArrow(_merged, "doc_id long, start_word long, end_word long, n_words long, other_doc long"))
