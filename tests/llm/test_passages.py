@@ -143,3 +143,19 @@ def test_partner_behind_many_longer_right_matches(spark):
     for r in repeated_passages(frame(spark, docs)).collect():
         got[r.doc_id] |= set(range(r.start_word, r.end_word))
     assert dict(got) == covered(docs, 50)
+
+
+def test_words_that_agree_in_16_bits_differ(spark):
+    """49 shared words, then two words whose hashes have the same last 16 bits."""
+    import pyarrow as pa
+
+    from tidemark.llm.words import text_words
+    h = text_words(pa.array([" ".join(f"q{i}" for i in range(2000))])).hashes & 0xFFFF
+    seen, pair = {}, None
+    for i, x in enumerate(h.tolist()):
+        if x in seen:
+            pair = (f"q{seen[x]}", f"q{i}")
+            break
+        seen[x] = i
+    shared = prose(49, 88)
+    assert pair and repeated_passages(frame(spark, [(1, f"{shared} {pair[0]}"), (2, f"{shared} {pair[1]}")])).count() == 0
