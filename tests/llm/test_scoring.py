@@ -46,6 +46,20 @@ def test_automaton_against_edit_distance():
         assert (got and (got[1], got[0])) == (min(reach) if reach else None), w
 
 
+def test_two_misspelt_letters_in_long_words():
+    terms = ["disgusting", "pathetic", "worthless", "moron", "idiots"]
+    finder = Finder(Lexicon(terms, []))
+    words = ["d1sgust1ng", "p4th3tic", "w0rthl3ss", "dsgustin", "disgustingly", "m0r0n", "id1ots", "1d1ots", "p4th3t1c", "plain"]
+    hits = finder.find(text_words(pa.array([" ".join(words)])))
+    allowed = lambda n: 0 if n < 5 else 1 if n < 8 else 2
+    want = []
+    for at, w in enumerate(words):
+        near = min((edits(w, t), t) for t in terms)
+        if near[0] <= min(allowed(len(w)), allowed(len(near[1]))):
+            want.append((at, 1, near[1]))
+    assert hits == want and len(want) == 6
+
+
 def test_quoted_and_used():
     finder = Finder(Lexicon(["moron", "worthless"], []))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text, prepare
 from tidemark.llm.labelled import fitted, labelled_sample
 from tidemark.llm.quality import scored
-from tidemark.llm.words import FOLDED, LOWER, Words, member, mix, powers, slices, text_words, trimmed
+from tidemark.llm.words import Words, member, mix, powers, slices, text_words
 
 #: Words on either side of a hit that its window holds.
 WINDOW = 6
@@ -28,6 +29,17 @@ STEMS = (4, 5, 6)
 _CACHE: dict = {}
 
 
+def plain(raw: bytes) -> str:
+    """A word in lower case, without punctuation and symbols (of all scripts) at either end."""
+    word = raw.decode("utf-8", "replace")
+    a, b = 0, len(word)
+    while a < b and unicodedata.category(word[a])[0] in "PS":
+        a += 1
+    while a < b and unicodedata.category(word[b - 1])[0] in "PS":
+        b -= 1
+    return word[a:b].lower()
+
+
 class Lexicon:
     """A trie of terms; `match` walks it together with a word's Levenshtein automaton.
 
@@ -55,10 +67,10 @@ class Lexicon:
     @staticmethod
     def edits(n: int) -> int:
         """Misspellings allowed in a word of n letters."""
-        return 0 if n < 5 else 1
+        return 0 if n < 5 else 1 if n < 8 else 2
 
-    def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its distance, or None."""
+    def match(self, word: str, among: list[str] | None = None) -> tuple[str, int] | None:
+        """The nearest term (`among` some, or of all) and its distance, or None."""
         k, n = self.edits(len(word)), len(word)
         letters: dict[str, int] = {}
         for i, c in enumerate(word):
@@ -73,7 +85,7 @@ class Lexicon:
             return tuple(new)
 
         rows = tuple((1 << (j + 1)) - 1 for j in range(k + 1))
-        stack = [(self.trie, rows)]
+        stack = [(self.trie if among is None else self._trie(among), rows)]
         while stack:
             node, rows = stack.pop()
             term = node.get("")
@@ -92,76 +104,88 @@ class Lexicon:
         return next((word[:n] for n in self._stem_lengths if word[:n] in self._stems), None)
 
 
-def _variants(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Polynomial hashes of byte spans; of the spans without one byte, for every byte; and the span of each."""
-    up, down = powers(len(data) + 2)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(FOLDED[data] * up[:len(data)], out=sums[1:])
-    whole = mix((sums[ends] - sums[starts]) * down[starts])
-    lens = ends - starts
-    span = np.repeat(np.arange(len(starts)), lens)
-    at = np.arange(len(span)) - np.repeat(np.cumsum(lens) - lens, lens) + starts[span]
-    cut = (sums[at] - sums[starts][span] + (sums[ends][span] - sums[at + 1]) * down[1]) * down[starts][span]
-    return whole, mix(cut), span
+def _deletions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, and of the words without any one or two characters (as many as they
+    may be misspelt in); and the word of each."""
+    up, down = powers(max(map(len, words), default=0) + 1)
+    lens = np.array([len(w) for w in words], np.int64)
+    hashes, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n in np.unique(lens).tolist():
+        same = np.flatnonzero(lens == n)
+        for some in np.split(same, range(1024, len(same), 1024)):
+            points = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32).reshape(len(some), n)
+            sums = np.zeros((len(some), n + 1), np.uint64)
+            np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * up[:n], axis=1, out=sums[:, 1:])
+            found = [sums[:, n:]]
+            if Lexicon.edits(n) > 0:
+                found.append(sums[:, :n] + (sums[:, n:] - sums[:, 1:]) * down[1])
+            if Lexicon.edits(n) > 1:
+                i, j = np.triu_indices(n, 1)
+                found.append(sums[:, i] + (sums[:, j] - sums[:, i + 1]) * down[1] + (sums[:, n:] - sums[:, j + 1]) * down[2])
+            found = np.concatenate(found, axis=1)
+            hashes.append(mix(found).ravel())
+            of.append(np.repeat(some, found.shape[1]))
+    return np.concatenate(hashes), np.concatenate(of)
 
 
 class Finder:
     """Finds a lexicon's hits in a batch of words.
 
-    Words that are exactly a term are found by their hashes. The automaton reads
-    those others that could be one edit (of a byte) away: two words within one edit
-    are equal, or one is the other without a byte, or both are equal without one.
-    Beginnings are looked up for words that start like a stem.
+    A worker looks at each different word once. Two words within k edits become equal
+    when at most k characters of each are left out, so the automaton reads those words that
+    share such a remainder with a term, over the trie of these terms. The comparison
+    is by characters of the lower-cased word, whatever their bytes.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
-        terms = [t.encode() for t in lexicon.terms]
-        data = np.frombuffer(b"\n".join(terms), np.uint8) if terms else np.zeros(0, np.uint8)
-        lens = np.array([len(t) for t in terms], np.int64)
-        ends = np.cumsum(lens + 1) - 1 if terms else np.zeros(0, np.int64)
-        whole, cut, _ = _variants(data, ends - lens, ends)
-        self.hashes, self.near = np.unique(whole), np.unique(np.concatenate((whole, cut)))
-        self.stem_codes = np.unique([int.from_bytes(t.encode()[:3], "little") for t in lexicon.stems] or [0])
-        self.longest = max((len(t) for t in terms), default=0) + 2
+        self.terms = frozenset(lexicon.terms)
+        near, owner = _deletions(lexicon.terms)
+        order = np.argsort(near, kind="stable")
+        self.near, self.owner = near[order], owner[order]
+        self.longest = max(map(len, lexicon.terms), default=0) + 2
         self.key = (tuple(lexicon.terms), tuple(lexicon.stems))
 
+    def _nearest(self, words: list[str]) -> dict[str, tuple[str, int]]:
+        """The nearest terms of those words that have one within reach."""
+        hashes, of = _deletions(words)
+        some = np.flatnonzero(member(hashes, self.near))
+        first, last = (np.searchsorted(self.near, hashes[some], side) for side in ("left", "right"))
+        among: dict[int, set[int]] = {}
+        for i, a, b in zip(of[some].tolist(), first.tolist(), last.tolist(), strict=True):
+            among.setdefault(i, set()).update(self.owner[a:b].tolist())
+        found = {words[i]: self.lexicon.match(words[i], [self.lexicon.terms[t] for t in terms]) for i, terms in among.items()}
+        return {word: m for word, m in found.items() if m}
+
+    def _hits(self, words: list[str]) -> list[tuple[int, str] | None]:
+        """(kind, term) of lower-cased words."""
+        near = self._nearest(list({w for w in words if 5 <= len(w) <= self.longest and w not in self.terms}))
+        out: list[tuple[int, str] | None] = []
+        for w in words:
+            if w in self.terms:
+                out.append((0, w))
+            elif w in near:
+                out.append((1, near[w][0]))
+            else:
+                stem = self.lexicon.stem(w)
+                out.append((2, stem) if stem else None)
+        return out
+
     def find(self, words: Words) -> list[tuple[int, int, str]]:
         """(word, kind, term): kind 0 exact, 1 misspelt, 2 stem."""
-        starts, ends = trimmed(words)
-        n = len(starts)
-        if not n:
+        if not len(words.starts):
             return []
-        lens = ends - starts
-        lower = LOWER[words.data]
-        whole, exact, near = np.zeros(n, np.uint64), np.zeros(n, bool), np.zeros(n, bool)
-        some = np.flatnonzero((lens >= 3) & (lens <= self.longest))
-        whole, cut, span = _variants(words.data, starts[some], ends[some])
-        exact[some] = member(whole, self.hashes)
-        near[some] = member(whole, self.near)
-        near[some[span[member(cut, self.near)]]] = True
-        wide = lower.astype(np.int64)
-        code = wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16 if len(wide) >= 3 else np.zeros(1, np.int64)
-        begins = (lens >= 4) & np.isin(code[np.minimum(starts, len(code) - 1)], self.stem_codes)
+        hashes, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
         cache = _CACHE.setdefault(self.key, {})
         if len(cache) > 500_000:
             cache.clear()
-        out = []
-        for i in np.flatnonzero(exact | near | begins).tolist():
-            raw = lower[starts[i]:ends[i]].tobytes()
-            hit = cache.get(raw, 0)
-            if hit == 0:
-                word = raw.decode("utf-8", "replace").lower()
-                m = (word, 0) if exact[i] else self.lexicon.match(word) if near[i] else None
-                if m:
-                    hit = (0 if m[1] == 0 else 1, m[0])
-                else:
-                    t = self.lexicon.stem(word)
-                    hit = (2, t) if t else None
-                cache[raw] = hit
-            if hit:
-                out.append((i, *hit))
-        return out
+        hashes = hashes.tolist()
+        new = [k for k, h in enumerate(hashes) if h not in cache]
+        spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
+        cache.update(zip((hashes[k] for k in new), self._hits([plain(words.data[s:e].tobytes()) for s, e in spans]), strict=True))
+        hits = [cache[h] for h in hashes]
+        at = np.flatnonzero(np.array([h is not None for h in hits])[which])
+        return [(i, *hits[k]) for i, k in zip(at.tolist(), which[at].tolist(), strict=True)]
 
 
 def context(words: Words, text: int, at: int) -> tuple[bool, bool]:
@@ -201,11 +225,11 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", 1 << 20):
             words = text_words(batch.column(1))
-            starts, ends = trimmed(words)
             counts: dict[tuple[str, int], list[int]] = {}
             for i, y in enumerate(batch.column(2).to_pylist()):
-                raw = {bytes(words.data[s:e]).decode("utf-8", "replace").lower()
-                       for s, e in zip(starts[words.ptr[i]:words.ptr[i + 1]], ends[words.ptr[i]:words.ptr[i + 1]], strict=True) if e - s >= 3}
+                a, b = words.ptr[i], words.ptr[i + 1]
+                raw = {plain(r) for r in {words.data[s:e].tobytes() for s, e in zip(words.starts[a:b], words.ends[a:b], strict=True)}}
+                raw = {w for w in raw if len(w.encode()) >= 3}
                 for term in [(w, 0) for w in raw if len(w) <= 40] + [(w, 1) for w in {w[:n] for w in raw for n in STEMS if len(w) > n}]:
                     c = counts.setdefault(term, [0, 0])
                     c[y] += 1
