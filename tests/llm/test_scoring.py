@@ -60,6 +60,30 @@ def test_two_misspelt_letters_in_long_words():
     assert hits == want and len(want) == 6
 
 
+def test_misspellings_of_accented_words():
+    rng = random.Random(4)
+    terms = ["imbécil", "idiot", "stüpide", "дурак", "dégoûtant", "größenwahn", "naïveté"]
+    finder = Finder(Lexicon(terms, []))
+    allowed = lambda n: 0 if n < 5 else 1 if n < 8 else 2
+
+    def found(word):
+        hits = finder.find(text_words(pa.array([word])))
+        return hits[0][1:] if hits else None
+    for word, term in (("imbecil", "imbécil"), ("idiót", "idiot"), ("stupide", "stüpide"), ("дурок", "дурак")):
+        assert found(word) == (1, term)
+    for word, term in (("¡idiot!", "idiot"), ("«ДУРАК»", "дурак"), ("DÉGOÛTANT…", "dégoûtant"), ("idiot🙂", "idiot")):
+        assert found(word) == (0, term)
+    for _ in range(1500):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w) + 1)
+            w[k:k + rng.randint(0, 1)] = [rng.choice("aeiéüдû")] * rng.randint(0, 1)
+        w = "".join(w)
+        near = min((edits(w, t), t) for t in terms if edits(w, t) <= min(allowed(len(w)), allowed(len(t)))) if any(
+            edits(w, t) <= min(allowed(len(w)), allowed(len(t))) for t in terms) else None
+        assert found(w.upper() if w.upper().lower() == w else w) == (near and (min(near[0], 1), near[1])), w
+
+
 def test_quoted_and_used():
     finder = Finder(Lexicon(["moron", "worthless"], []))
 
