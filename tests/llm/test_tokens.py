@@ -27,6 +27,15 @@ def test_pieces_give_the_ids_of_the_whole():
     assert got == [x.tobytes() for x in ids_of(texts)]
 
 
+def test_added_tokens_as_the_library_encodes_them():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(T.tokenizer_path())
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b c", "no such token", "<|endoftext| >"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in T.encode_all(T.tokenizer_path(), texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[1] == [plain.token_to_id("<|endoftext|>")]
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes(kind):
     ids = np.random.default_rng(1).integers(0, 2**32, 1001, dtype=np.uint64).astype("<u4")

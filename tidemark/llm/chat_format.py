@@ -82,7 +82,7 @@ def masked_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np
 
 def _formatter(path: str, id_type: pa.DataType):
     def rows(runs: list, part: int, seq: int) -> pa.RecordBatch:
-        tokenizer = load(path)[0]
+        tokenizer = load(path, special_as_text=True)[0]
         rendered = [render(turns) for _, turns in runs]
         encoded = tokenizer.encode_batch([text for text, _ in rendered], add_special_tokens=False)
         masks = [masked_tokens(np.array(e.offsets, np.int64).reshape(-1, 2), spans)

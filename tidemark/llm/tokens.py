@@ -21,7 +21,7 @@ def _splits(text: str) -> bool:
 
 #: Encoded pieces that a worker keeps (some 200 bytes each); later ones are encoded anew.
 CACHE = 1_000_000
-_TOKENIZERS: dict[str, tuple] = {}
+_TOKENIZERS: dict[tuple, tuple] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -29,22 +29,24 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def load(path: str):
-    """The tokenizer of a file, the byte length of each id, and the worker's pieces for it;
-    special tokens' strings are ordinary text."""
-    if path not in _TOKENIZERS:
+def load(path: str, special_as_text: bool = False):
+    """The tokenizer of a file, the byte length of each id, and the worker's pieces for it; with
+    `special_as_text`, special tokens' strings are ordinary text."""
+    key = path, special_as_text
+    if key not in _TOKENIZERS:
         import os
 
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        if special_as_text:
+            tokenizer.encode_special_tokens = True
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             lengths[i] = len(token)  # a byte-level vocabulary writes every byte as one character
-        _TOKENIZERS[path] = (tokenizer, lengths, {})
-    return _TOKENIZERS[path]
+        _TOKENIZERS[key] = (tokenizer, lengths, {})
+    return _TOKENIZERS[key]
 
 
 def _whole(tokenizer, texts: list[str]) -> list[bytes]:
@@ -72,12 +74,14 @@ def encode_all(path: str, texts: list[str]) -> list[bytes]:
 
     The vocabulary's splitting rule never joins a blank to what stands before
     it, so a text with single blanks falls apart in front of each space and line
-    break, and each different piece needs the library only once.
+    break, and each different piece needs the library only once. Texts that hold
+    an added token's string are encoded whole.
     """
     tokenizer, lengths, cache = load(path)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     split, whole = {}, []
     for i, text in enumerate(texts):
-        if not _splits(text):
+        if not _splits(text) or any(t in text for t in added):
             whole.append(i)
         else:
             split[i] = (" " + text if text[:1] != "\n" else text).replace("\n", " \n").split(" ")[1:]
