@@ -19,6 +19,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this module's that a later one has replaced (not under Spark Connect, where the server owns it)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """`df` written once to the shared folder and read back.
 

@@ -58,4 +58,39 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS componen
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component ON a = d.doc_id
 """
 
-ORACLES = {"op4_mix_sources": OP4, "op5_exact_dedup": OP5, "op7_minhash": OP7}
+OP11 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def _kmeans(k: int = 40, rounds: int = 5, size: int = 64) -> str:
+    """Lloyd's rounds written out one after the other, every vector against every centroid."""
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT"
+    parts = [f"""
+v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+      WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, x FROM v
+       ORDER BY sha256('2:' || vec_id) LIMIT {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (SELECT vec_id, any_value(v.x) AS x, min({{'d': {distance}, 'k': c.k}}) AS best FROM v, c{r} c GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (SELECT best.k AS k, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, range(1, {size + 1}) t(i) GROUP BY ALL),
+m{r} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM s{r} GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON m.k = c.k)""")
+    return f"""WITH {','.join(parts)}
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance, sum(best.d) OVER (PARTITION BY best.k)::BIGINT AS cluster_inertia,
+       sum(best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.k = best.k
+"""
+
+
+ORACLES = {"op4_mix_sources": OP4, "op5_exact_dedup": OP5, "op7_minhash": OP7, "op11_warc_revisits": OP11,
+           "op12_heap_kmeans": _kmeans()}

@@ -11,6 +11,7 @@ from tidemark.llm.chat_format import conversation_digests, format_conversations
 from tidemark.llm.common import scratch, staged
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.heap_kmeans import heap_kmeans
 from tidemark.llm.mixing import mixed
 from tidemark.llm.near_dup import near_duplicates
 from tidemark.llm.pii import personal_data_digest
@@ -18,6 +19,8 @@ from tidemark.llm.quality import quality_scores
 from tidemark.llm.suffix_dedup import repeated_passages
 from tidemark.llm.token_store import read_store, write_store
 from tidemark.llm.toxicity import toxicity_scores
+from tidemark.llm.turn_repair import conversation_repairs, damaged
+from tidemark.llm.warc import read_archives, resolved_records, write_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,21 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, path)
 
 
+def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return resolved_records(read_archives(spark, path))
+
+
+def op12_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_kmeans(table(spark, sf_dir, "embeddings")).drop("rescanned")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repairs(conversations, damaged(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -81,5 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_token_store": op10_token_store,
+    "op11_warc_revisits": op11_warc_revisits,
+    "op12_heap_kmeans": op12_heap_kmeans,
+    "op13_turn_repair": op13_turn_repair,
     "pipeline": corpus_pipeline.run,
 }
