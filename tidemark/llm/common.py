@@ -27,14 +27,14 @@ def discard(spark: SparkSession, path: str) -> None:
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder and read back.
+def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """`df` written once to the shared folder (compressed by `codec`, else as the session says) and read back.
 
     Cuts lineage, so that a lost executor repeats a read instead of the work
     before it, and so that several readers share one evaluation.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

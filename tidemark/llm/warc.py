@@ -76,7 +76,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES,
                                F.col("url").cast("string").alias("url"),
                                F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
                   .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-                  .withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256)), "pages")
+                  .withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256)), "pages", "zstd")
     revisits = resolve(base.select("row", "page_id", "url", "payload_digest", "payload_bytes"), least_bytes)
     rows = base.join(revisits, "row", "left")
     now = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
