@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from tidemark import schemas as S  # noqa: E402
 from tidemark.operators import movement as M  # noqa: E402
+from tidemark.operators.asof import state_asof  # noqa: E402
 from tidemark.operators.rollup import monthly_rollup  # noqa: E402
 from tidemark.operators.snapshot import asof_snapshot  # noqa: E402
 from tidemark.plans import checks as V  # noqa: E402
@@ -196,6 +197,15 @@ def _view_counts(spark: SparkSession, sf: str) -> DataFrame:
     return row_counts({v: spark.table(v) for v in views})
 
 
+def _month_end_state(spark: SparkSession, sf: str) -> DataFrame:
+    """M5/M6 by the as-of join: each customer-month's last event before the next month."""
+    events = fixture.model_events(spark, sf)
+    grid = M.customer_months(events).withColumn("next_month", F.add_months("month_date", 1))
+    state = state_asof(grid, events, "next_month", strict=True, bucket=lambda t: F.trunc(t, "quarter"))
+    return state.select("customer_id", "first_month", "month_date", F.coalesce("monthly_amount", F.lit(0)).cast(S.MONEY).alias("current_mrr"),
+                        F.col("plan_id").alias("current_plan_id"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # movement model
     "month_bounds": lambda s, d: M.month_bounds(fixture.model_events(s, d)),
@@ -327,6 +337,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_price_broken": lambda s, d: Q.reason_counts(Q.price_violations(
         _mislabelled(s, d), fixture.plans(s, d).where("monthly_price < 100").withColumn(
             "monthly_price", F.when(F.col("plan_id").startswith("4"), 30).otherwise(F.col("monthly_price"))))),
+    # as-of joins: state at the month's end, and at times of other rows
+    "asof_month_state": lambda s, d: _out(_month_end_state(s, d)),
+    "asof_shipments": lambda s, d: _out(state_asof(fixture.shipments(s, d), fixture.model_events(s, d), "shipped")),
+    "asof_shipments_before": lambda s, d: _out(state_asof(fixture.shipments(s, d), fixture.model_events(s, d), "shipped",
+                                                          strict=True, how="inner")),
     "asof_snapshot": lambda s, d: _out(_snapshot(s, d)),
     "asof_snapshot_year_before": lambda s, d: _out(_snapshot(s, d, 12)),
 }

@@ -224,6 +224,16 @@ def _repeated(rows, key):
     return f"SELECT count(*) FROM (SELECT {key} FROM {rows} GROUP BY {key} HAVING count(*) > 1)"
 
 
+def _shipments(compare, join):
+    """Each order line with its customer's last event at (or before) the day of shipping; of a day the largest event counts."""
+    return f"""SELECT s.customer_id, l_orderkey, l_linenumber, shipped, CAST(d.last_event.amount AS DOUBLE) AS monthly_amount,
+        d.last_event.plan AS plan_id
+      FROM (SELECT concat('cust_', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) AS customer_id, l_orderkey, l_linenumber,
+                   CAST(l_shipdate AS DATE) AS shipped FROM lineitem JOIN orders ON o_orderkey = l_orderkey) s
+      {join} (SELECT customer_id, event_date, max({{'id': event_id, 'amount': monthly_amount, 'plan': plan_id}}) AS last_event
+              FROM sub_events GROUP BY ALL) d ON s.customer_id = d.customer_id AND s.shipped {compare} d.event_date"""
+
+
 ALL_CHECKS = ["mrr_reconciliation", "mrr_continuity", "customer_counts", "referential_integrity"]
 
 
@@ -450,6 +460,10 @@ QUERIES = {
             (SELECT 1 FROM supplier WHERE s_suppkey = o_custkey)""",
         events__plan_id__fk="""SELECT count(*) FROM sub_events e WHERE plan_id IS NOT NULL AND NOT EXISTS
             (SELECT 1 FROM few_plans p WHERE p.plan_id = e.plan_id)"""),
+    "asof_month_state": """SELECT customer_id, first_month, month_date, CAST(current_mrr AS DOUBLE) AS current_mrr,
+        current_plan_id FROM state""",
+    "asof_shipments": _shipments(">=", "ASOF LEFT JOIN"),
+    "asof_shipments_before": _shipments(">", "ASOF JOIN"),
     "asof_snapshot": f"SELECT {MONEY_MV} FROM mv WHERE month_date = (SELECT month_date FROM report)",
     "asof_snapshot_year_before": f"""SELECT {MONEY_MV} FROM mv
         WHERE month_date = (SELECT CAST(month_date - INTERVAL 12 MONTH AS DATE) FROM report)""",

@@ -2,15 +2,19 @@
 
 A plain ``lag().over(Window.partitionBy(key))`` sends every row of a key to
 one task, so a key holding a third of the data becomes one huge task. Here
-the window is partitioned by ``(key, bucket)``, where the bucket is a
-monotone function of the ordering (by default the first ordering column, a
-day), so a hot key is spread over as many tasks as it has buckets. The first
-row of each bucket takes its predecessor from the last row of the key's
-previous non-empty bucket: a pre-aggregated table with one row per
-(key, bucket), joined back on the same hash partitioning as the window.
-Everything is deterministic, lazy and JVM-side. Groups of more than
-``split_rows`` rows are split further on the next ordering column
-(``hot_group_cuts``), however many there are.
+the window is partitioned by ``(key, bucket, cut)``, where bucket and cut are
+fixed monotone functions of the ordering (by default the first ordering
+column, a day), so a hot key is spread over as many tasks as it has of them.
+What precedes a bucket is carried in: the last row of each bucket
+(pre-aggregated, one row per bucket) becomes an extra first row of the key's next bucket.
+The extra rows join the others by a union, so nothing is counted, sampled or
+joined back: three exchanges (buckets, keys, rows) and two scans, the first
+of them pruned to the columns that the lag reads. Everything is
+deterministic, lazy and JVM-side.
+
+Callers that cannot name a ``cut`` and have groups too large for a task can
+pass ``split_rows``: such groups are counted and cut at sampled boundaries
+(``hot_group_cuts``), at the price of that pass.
 """
 
 from __future__ import annotations
@@ -18,8 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# (key, bucket) groups above this many rows are split further by default.
-SPLIT_ROWS = 1_000_000
 _SAMPLE_SPACE = 1 << 30
 
 
@@ -45,41 +47,32 @@ def hot_group_cuts(df: DataFrame, key: str, order: list[str], base: Column, spli
 
 def ordered_lag(df: DataFrame, key: str, order: list[str], cols: list[str],
                 prefix: str = "prev_", bucket: Column | None = None,
-                split_rows: int | None = None) -> DataFrame:
+                split_rows: int | None = None, cut: Column | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``
     in ``order`` (NULL on a key's first row). ``order`` must make rows unique
-    within a key; ``bucket`` must be non-decreasing along ``order``.
+    within a key; ``bucket`` must be non-decreasing along ``order``, and ``cut``
+    non-decreasing along it within a bucket. The largest (key, bucket, cut) is
+    the most that one task gets.
 
     With ``split_rows``, (key, bucket) groups larger than that are split further
-    on the next ordering column: a row's sub-bucket is the number of boundaries
+    on the next ordering column: a row's cut is the number of boundaries
     not above its value, which is non-decreasing along ``order``, so the result
     stays exact whatever the sampled boundaries; only the balance depends on
     them."""
     base = bucket if bucket is not None else F.col(order[0])
-    staged = df.withColumn("_bucket", base)
     if split_rows is not None and len(order) > 1:
         nxt = F.col(order[1])
-        sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= nxt)), F.lit(0))
-        staged = (df.withColumn("_b0", base)
-                  .join(hot_group_cuts(df, key, order, base, split_rows), [key, "_b0"], "left")
-                  .withColumn("_bucket", F.struct(F.col("_b0").alias("b"), sub.alias("s")))
-                  .drop("_b0", "_cuts"))
-    w = Window.partitionBy(key, "_bucket").orderBy(*order)
-    inner = staged.select(
-        *df.columns, "_bucket",
-        *[F.lag(c).over(w).alias(f"_in_{i}") for i, c in enumerate(cols)],
-        (F.row_number().over(w) == 1).alias("_opens"),
-    )
-    last_row = F.max(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
-                              *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]))
-    tails = staged.groupBy(key, "_bucket").agg(last_row.alias("_tail"))
-    carry = tails.select(
-        key, "_bucket",
-        F.lag("_tail").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carry"),
-    )
-    joined = inner.join(carry, [key, "_bucket"], "left")
-    return joined.select(
-        *df.columns,
-        *[F.when(F.col("_opens"), F.col(f"_carry.v{i}")).otherwise(F.col(f"_in_{i}"))
-          .alias(prefix + c) for i, c in enumerate(cols)],
-    )
+        rows = (df.withColumn("_b0", base).join(hot_group_cuts(df, key, order, base, split_rows), [key, "_b0"], "left")
+                .withColumn("_b1", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= nxt)), F.lit(0))).drop("_cuts"))
+    else:
+        rows = df.withColumn("_b0", base).withColumn("_b1", cut if cut is not None else F.lit(0))
+    buckets = ["_b0", "_b1"]
+    taken = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    last = F.max(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], taken.alias("v")))
+    ends = rows.groupBy(key, *buckets).agg(last.alias("_end"))
+    carry = ends.select(key, *buckets, F.lag("_end.v").over(Window.partitionBy(key).orderBy(*buckets)).alias("_v"),
+                        F.lit(False).alias("_own")).where(F.col("_v").isNotNull())
+    merged = rows.select(*df.columns, *buckets, taken.alias("_v"), F.lit(True).alias("_own")).unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(key, *buckets).orderBy("_own", *order)
+    lagged = merged.select(*df.columns, "_own", F.lag("_v").over(w).alias("_before")).where("_own")
+    return lagged.select(*df.columns, *[F.col(f"_before.v{i}").alias(prefix + c) for i, c in enumerate(cols)])

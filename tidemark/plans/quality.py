@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.operators.sequence import SPLIT_ROWS, ordered_lag
+from tidemark.operators.sequence import ordered_lag
+from tidemark.plans.lifecycle import ID_PREFIX, ORDER, day_cut
 
 
 def _rule(name: str, violations: DataFrame) -> DataFrame:
@@ -133,7 +134,7 @@ def check_inputs(plans: DataFrame, customers: DataFrame, events: DataFrame,
 
 # ------------------------------------------------------------- lifecycle (L2/L3)
 
-def lifecycle_violations(events: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def lifecycle_violations(events: DataFrame, split_rows: int | None = None, id_prefix: int | None = ID_PREFIX) -> DataFrame:
     """L2: events breaking the lifecycle, one reason each (first match wins).
 
     Active means the previous amount is positive. The first event must be a
@@ -141,11 +142,11 @@ def lifecycle_violations(events: DataFrame, split_rows: int | None = SPLIT_ROWS)
     that is not lower, a downgrade an active customer and a lower one; a cancel
     needs an active customer; a reactivation a cancelled one. What
     ``derive_event_type`` writes can only break the cancel rule (two zero amounts
-    in a row)."""
+    in a row). ``split_rows`` and ``id_prefix`` as there."""
     lagged = ordered_lag(events.select("event_id", "customer_id", "event_type", "event_date",
                                        "monthly_amount"),
-                         "customer_id", ["event_date", "event_id"], ["event_id", "monthly_amount"],
-                         split_rows=split_rows)
+                         "customer_id", ORDER, ["event_id", "monthly_amount"],
+                         split_rows=split_rows, cut=day_cut(id_prefix))
     t, amt = F.col("event_type"), F.col("monthly_amount")
     first = F.col("prev_event_id").isNull()
     prev = F.col("prev_monthly_amount")

@@ -115,6 +115,13 @@ def model_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_events(spark, sf_dir)
 
 
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at other times than the events': one per order line, its customer and the day it was shipped."""
+    o, line = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "lineitem")
+    return line.join(o, line.l_orderkey == o.o_orderkey).select(
+        _customer_key("o_custkey").alias("customer_id"), "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("shipped"))
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(plans, customers, events)."""
     return plans(spark, sf_dir), customers(spark, sf_dir), events(spark, sf_dir)
