@@ -29,11 +29,16 @@ from tidemark.plans import checks as V  # noqa: E402
 from tidemark.plans import jobs as J  # noqa: E402
 from tidemark.plans import metrics as K  # noqa: E402
 from tidemark.plans import quality as Q  # noqa: E402
+from tidemark.plans import violations as W  # noqa: E402
+from tidemark.plans.bound import select_where  # noqa: E402
 from tidemark.plans.lifecycle import derive_event_type  # noqa: E402
 from tidemark.session import checkpoint_dir  # noqa: E402
 from tidemark.sources import fixture  # noqa: E402
 from tidemark.sources import publish as P  # noqa: E402
+from tidemark.sources.clustered import Clustering, read_clustered, write_clustered  # noqa: E402
+from tidemark.sources.pages import page_rows, read_page  # noqa: E402
 from tidemark.sources.publish import load_counts  # noqa: E402
+from tidemark.sources.stats import MonthBounds, stored_range  # noqa: E402
 from tidemark.sources.tables import conform, conform_counts, row_counts  # noqa: E402
 
 try:
@@ -171,17 +176,82 @@ def _mislabelled(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.raw_events(spark, sf).withColumn("event_type", kind)
 
 
-def _published(spark: SparkSession, sf: str) -> None:
-    """Publish inputs and ledger as one version, and register the views over it."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def _published(spark: SparkSession, sf: str) -> str:
+    """Publish inputs and ledger as one version, and register the views over it; the
+    base, published once per session and input folder."""
+    known = spark.sparkContext.applicationId, sf
+    if known not in _PUBLISHED:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+        plans, customers, events = _inputs(spark, sf)
+        events = events.withColumn("event_type", F.lit("signup")).select(*S.EVENTS.fieldNames())
+        P.publish(
+            spark, {"plans": plans, "customers": customers, "events": events}, base,
+            checks=lambda t: Q.union_all([Q.check_unique(t["plans"], "plan_id", "plans.plan_id.unique"),
+                                          Q.check_fk(t["events"], t["customers"], "customer_id", "customer_id", "fk")]),
+            derived=lambda t: {J.LEDGER: lambda path: P.write_ledger(M.movements(t["events"], t["customers"], t["plans"]), path)})
+        _PUBLISHED[known] = base
+    J.register(spark, _PUBLISHED[known])
+    return _PUBLISHED[known]
+
+
+def _stored(spark: SparkSession, sf: str, name: str) -> str:
+    base = _published(spark, sf)
+    return f"{base}/{P.current_version(spark, base)}/{name}"
+
+
+def _clustered_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """M15 from month-close rows and customers stored in buckets by customer; the last month from the files' footers."""
     plans, customers, events = _inputs(spark, sf)
-    events = events.withColumn("event_type", F.lit("signup")).select(*S.EVENTS.fieldNames())
-    version = P.publish(
-        spark, {"plans": plans, "customers": customers, "events": events}, base,
-        checks=lambda t: Q.union_all([Q.check_unique(t["plans"], "plan_id", "plans.plan_id.unique"),
-                                      Q.check_fk(t["events"], t["customers"], "customer_id", "customer_id", "fk")]),
-        derived=lambda t: {J.LEDGER: lambda path: P.write_ledger(M.movements(t["events"], t["customers"], t["plans"]), path)})
-    J.register(spark, base, version)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = Clustering("customer_id", n)
+    write_clustered(M.month_close(events), f"{base}/closes", by)
+    write_clustered(customers, f"{base}/customers", by)
+    end = MonthBounds(spark, f"{base}/closes", "month_date").end()
+    return M.movements_of_closes(read_clustered(spark, f"{base}/closes", by), read_clustered(spark, f"{base}/customers", by), plans, end)
+
+
+def _published_month(spark: SparkSession, sf: str, pick) -> DataFrame:
+    """F6/F7 on the stored ledger: the month is a subquery, and only its folder is read."""
+    _published(spark, sf)
+    return pick(spark.table("mrr_movements"), _report_month(spark, sf)).select(*S.MOVEMENT_COLUMNS)
+
+
+def _defective(spark: SparkSession, sf: str):
+    """Inputs that break every kind of rule: types outside the domain and missing, negative amounts, events loaded
+    twice, customers and plans that are not there, sizes outside the domain."""
+    plans, customers, events = _inputs(spark, sf)
+    kind = F.when(F.col("plan_id").startswith("4"), "renewal").when(F.col("plan_id").startswith("3"), F.lit(None)).otherwise("signup")
+    events = events.withColumn("event_type", kind).withColumn("monthly_amount", (F.col("monthly_amount") - 20).cast(S.MONEY))
+    events = events.unionByName(events.where(F.col("event_id").endswith("7")))
+    customers = customers.where("industry = 'BUILDING'").withColumn("company_size", F.replace("company_size", F.lit("SMB"), F.lit("Tiny")))
+    return plans.where("monthly_price > 40"), customers, events
+
+
+def _violating_events(spark: SparkSession, sf: str) -> DataFrame:
+    plans, customers, events = _defective(spark, sf)
+    rows = W.violating_rows(events, W.input_rules(plans, customers)["events"])
+    return rows.select("event_id", F.array_join(W.BROKEN, ",").alias("broken_rules"))
+
+
+PAGE_ORDER, PAGE_ROWS = ["country", "customer_name", "customer_id"], 50
+
+
+def _client_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The second page of one month's activity, behind the position where the first one ends."""
+    rows = K.active_movements(_snapshot(spark, sf)).select("customer_id", "customer_name", "country", "mrr_change", "mrr_category")
+    first = read_page(rows, PAGE_ORDER, PAGE_ROWS)
+    return page_rows(rows, PAGE_ORDER, PAGE_ROWS, first.after) if first.after else rows.where(F.lit(False))
+
+
+def _bound_segment(spark: SparkSession, sf: str, search: str | None = None) -> DataFrame:
+    """The stored ledger's view by bound SQL."""
+    _published(spark, sf)
+    return select_where(spark, "mrr_movements", S.MOVEMENT_COLUMNS, among={"country": oracles.COUNTRIES, "industry": oracles.INDUSTRIES},
+                        like={"customer_name": search})
 
 
 def _scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,6 +375,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # the stored, published ledger
     "published_movements": lambda s, d: _out(_scan(s, d)),
     "published_counts": _view_counts,
+    "movements_clustered": lambda s, d: _out(_clustered_ledger(s, d)),
+    "published_at_month": lambda s, d: _out(_published_month(s, d, K.at_month)),
+    "published_prior_month": lambda s, d: _out(_published_month(s, d, K.at_prior_month)),
+    "stored_event_range": lambda s, d: stored_range(s, _stored(s, d, "events")),
+    "stored_month_options": lambda s, d: MonthBounds(s, _stored(s, d, "events")).options(),
+    "bound_segment_rows": lambda s, d: _out(_bound_segment(s, d)),
+    "bound_segment_search": lambda s, d: _out(_bound_segment(s, d, oracles.NAME_PATTERN)),
+    "client_page": lambda s, d: _out(_client_page(s, d)),
+    # violating rows with the rules they break, and their counts
+    "violating_events": _violating_events,
+    "violation_counts": lambda s, d: W.input_violations(*_defective(s, d))[1],
     # checks over defective data: each has violations to find
     "run_checks_broken": lambda s, d: V.run_checks(*_broken(s, d)),
     "validation_report_broken": lambda s, d: V.validation_report(V.run_checks(*_broken(s, d))),

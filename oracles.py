@@ -184,7 +184,7 @@ broken_checks AS ({_validators("broken", "few_customers", "few_plans")}),
 mislabelled AS (SELECT * EXCLUDE (event_type), CASE substr(plan_id, 1, 1) WHEN '1' THEN 'signup' WHEN '2' THEN 'upgrade'
     WHEN '3' THEN 'downgrade' WHEN '4' THEN 'reactivate' ELSE 'cancel' END AS event_type FROM sub_typed)"""
 
-HEAD = f"WITH {INPUTS},{MODEL},{REPORTS}\n"
+HEAD = f"WITH {INPUTS},{MODEL},{REPORTS}\n"  # further tables are appended by the queries that read them
 
 MONEY_MV = """customer_id, customer_name, country, industry, company_size, signup_date, month_date,
   CAST(prev_mrr AS DOUBLE) AS prev_mrr, CAST(current_mrr AS DOUBLE) AS current_mrr,
@@ -234,6 +234,36 @@ def _shipments(compare, join):
               FROM sub_events GROUP BY ALL) d ON s.customer_id = d.customer_id AND s.shipped {compare} d.event_date"""
 
 
+# Events that break every kind of rule, and what each of them breaks.
+DEFECTIVE = """
+defective_once AS (SELECT event_id, customer_id, plan_id, CASE substr(plan_id, 1, 1) WHEN '4' THEN 'renewal' WHEN '3' THEN NULL
+    ELSE 'signup' END AS event_type, event_date, monthly_amount - 20 AS monthly_amount FROM sub_raw),
+defective AS (SELECT * FROM defective_once UNION ALL SELECT * FROM defective_once WHERE event_id LIKE '%7'),
+broken_events AS (SELECT event_id, list_filter([
+    CASE WHEN event_type IS NULL THEN 'events.event_type.not_null' END,
+    CASE WHEN event_type = 'renewal' THEN 'events.event_type.domain' END,
+    CASE WHEN monthly_amount < 0 THEN 'events.monthly_amount.min' END,
+    CASE WHEN event_id LIKE '%7' THEN 'events.event_id.unique' END,
+    CASE WHEN customer_id NOT IN (SELECT customer_id FROM few_customers) THEN 'events.customer_id.fk' END,
+    CASE WHEN plan_id IS NOT NULL AND plan_id NOT IN (SELECT plan_id FROM few_plans) THEN 'events.plan_id.fk' END],
+    lambda r: r IS NOT NULL) AS rules FROM defective),
+event_rule_counts AS (SELECT unnest(rules) AS rule FROM broken_events)"""
+
+_EVENT_RULES = ["event_id.not_null", "customer_id.not_null", "event_type.not_null", "event_date.not_null", "monthly_amount.not_null",
+                "event_type.domain", "monthly_amount.min", "event_id.unique", "customer_id.fk", "plan_id.fk"]
+
+
+def _violation_counts():
+    parts = [f"SELECT 'events.{r}' AS rule, (SELECT count(*) FROM event_rule_counts WHERE rule = 'events.{r}') AS n" for r in _EVENT_RULES]
+    clean = ["plans.plan_id.not_null", "plans.plan_name.not_null", "plans.monthly_price.not_null", "plans.billing_cycle.not_null",
+             "plans.billing_cycle.domain", "plans.plan_id.unique", "customers.customer_id.unique",
+             *[f"customers.{c}.not_null" for c in ("customer_id", "customer_name", "country", "industry", "company_size")]]
+    parts += [f"SELECT '{r}', 0" for r in clean]
+    parts.append("SELECT 'customers.signup_date.not_null', (SELECT count(*) - count(signup_date) FROM few_customers)")
+    parts.append("SELECT 'customers.company_size.domain', (SELECT count(*) FROM few_customers WHERE company_size = 'SMB')")
+    return f"SELECT rule, CAST(n AS BIGINT) AS violating_rows, n = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
+
+
 ALL_CHECKS = ["mrr_reconciliation", "mrr_continuity", "customer_counts", "referential_integrity"]
 
 
@@ -460,6 +490,19 @@ QUERIES = {
             (SELECT 1 FROM supplier WHERE s_suppkey = o_custkey)""",
         events__plan_id__fk="""SELECT count(*) FROM sub_events e WHERE plan_id IS NOT NULL AND NOT EXISTS
             (SELECT 1 FROM few_plans p WHERE p.plan_id = e.plan_id)"""),
+    "movements_clustered": f"SELECT {MONEY_MV} FROM mv",
+    "published_at_month": f"SELECT {MONEY_MV} FROM mv WHERE month_date = (SELECT month_date FROM report)",
+    "published_prior_month": f"""SELECT {MONEY_MV} FROM mv
+        WHERE month_date = (SELECT CAST(month_date - INTERVAL 1 MONTH AS DATE) FROM report)""",
+    "stored_event_range": "SELECT min(event_date) AS least, max(event_date) AS largest, count(*) AS n_rows FROM sub_events",
+    "stored_month_options": "SELECT DISTINCT month_date FROM mv",
+    "bound_segment_rows": f"SELECT {MONEY_MV} FROM segment_rows",
+    "bound_segment_search": f"SELECT {MONEY_MV} FROM segment_rows WHERE regexp_matches(customer_name, '{NAME_PATTERN}', 'i')",
+    "client_page": """SELECT customer_id, customer_name, country, CAST(mrr_change AS DOUBLE) AS mrr_change, mrr_category
+        FROM mv WHERE month_date = (SELECT month_date FROM report) AND mrr_category NOT IN ('No Change', 'Inactive')
+        ORDER BY country, customer_name, customer_id LIMIT 50 OFFSET 50""",
+    "violating_events": "SELECT event_id, array_to_string(rules, ',') AS broken_rules FROM broken_events WHERE len(rules) > 0",
+    "violation_counts": _violation_counts(),
     "asof_month_state": """SELECT customer_id, first_month, month_date, CAST(current_mrr AS DOUBLE) AS current_mrr,
         current_plan_id FROM state""",
     "asof_shipments": _shipments(">=", "ASOF LEFT JOIN"),
@@ -478,4 +521,4 @@ QUERIES["audit_price_broken"] = QUERIES["audit_price"].replace("sub_events", "mi
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: HEAD + body for name, body in QUERIES.items()}
+    return {name: (HEAD.rstrip() + "," + DEFECTIVE + "\n" if name.startswith("violat") else HEAD) + body for name, body in QUERIES.items()}

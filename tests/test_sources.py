@@ -132,8 +132,8 @@ def test_unreadable_manifest_is_an_error(spark, tmp_dir):
 
     import pytest
     os.makedirs(f"{tmp_dir}/broken/{P.MANIFEST}")
-    with open(f"{tmp_dir}/broken/{P.MANIFEST}/part-0.parquet", "w") as f:
-        f.write("not parquet")
+    with open(f"{tmp_dir}/broken/{P.MANIFEST}/{1:020d}.json", "w") as f:
+        f.write("not an entry")
     assert P.current_version(spark, f"{tmp_dir}/nothing") is None
     with pytest.raises(Exception):  # noqa: B017
         P.current_version(spark, f"{tmp_dir}/broken")

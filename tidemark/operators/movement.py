@@ -93,13 +93,14 @@ def month_close(events: DataFrame) -> DataFrame:
 
 def segments(events: DataFrame, customers: DataFrame | None = None,
              attributes: list[str] | None = None, bounds_events: DataFrame | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, end: Column | None = None) -> DataFrame:
     """Month-close rows with the previous close, the segment end and the first month.
 
     ``customers`` (optional) is inner-joined here, before any dense row exists,
     carrying ``attributes``; filtering it restricts the model to those customers
     while the global last month still comes from ``bounds_events`` (default:
-    ``events``), as a filter applied after the model would. ``partitions``
+    ``events``), as a filter applied after the model would. ``end`` gives that
+    month itself (e.g. from file statistics), and no events are read for it. ``partitions``
     (default: ``spark.sql.shuffle.partitions``) sets the parallelism of the
     stage that builds the dense rows; size it by the ledger, not the events.
     """
@@ -108,11 +109,19 @@ def segments(events: DataFrame, customers: DataFrame | None = None,
     # the (small) size of the month-close rows: an explicit count is not
     # coalesced by AQE. The customer join and the window reuse this partitioning.
     n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    close = month_close(events).repartition(n, "customer_id")
+    if end is None:
+        end = last_month(bounds_events if bounds_events is not None else events)
+    return close_segments(month_close(events).repartition(n, "customer_id"), end, customers, attributes)
+
+
+def close_segments(close: DataFrame, end: Column, customers: DataFrame | None = None,
+                   attributes: list[str] | None = None) -> DataFrame:
+    """``segments`` from month-close rows that are partitioned by customer already: by an
+    exchange, or by how they are stored (``sources.clustered``), where none is needed
+    here, nor for customers stored in the same buckets."""
     if customers is not None:
         attrs = list(attributes if attributes is not None else S.CUSTOMER_ATTRIBUTES)
         close = close.join(customers.select("customer_id", *attrs), "customer_id", "inner")
-    end = last_month(bounds_events if bounds_events is not None else events)
     w = Window.partitionBy("customer_id").orderBy("month_date")
     return close.select(
         "*",
@@ -180,14 +189,22 @@ def classified_movements(events: DataFrame) -> DataFrame:
 
 
 def movements(events: DataFrame, customers: DataFrame, plans: DataFrame,
-              bounds_events: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+              bounds_events: DataFrame | None = None, partitions: int | None = None,
+              end: Column | None = None) -> DataFrame:
     """The full ledger, enriched with customer attributes (inner join)
     and prior/current plan names (left joins), in the model's column order."""
-    seg = with_plan_names(segments(events, customers, bounds_events=bounds_events, partitions=partitions),
+    seg = with_plan_names(segments(events, customers, bounds_events=bounds_events, partitions=partitions, end=end),
                           plans)
     return expand(seg).select(*S.MOVEMENT_COLUMNS)
 
 
+def movements_of_closes(closes: DataFrame, customers: DataFrame, plans: DataFrame, end: Column | None = None) -> DataFrame:
+    """M7-M15 from month-close rows (``month_close``): the same ledger. Where ``closes`` and
+    ``customers`` are stored in the same buckets by customer, nothing is shuffled below the window."""
+    last = end if end is not None else closes.select(F.max("month_date")).scalar()
+    return expand(with_plan_names(close_segments(closes, last, customers), plans)).select(*S.MOVEMENT_COLUMNS)
+
+
 # ------------------------------------------------- composable step-by-step form
 # For callers holding their own dense monthly state: the same semantics as
 # ``movements`` applied step by step. Each window is per customer over at most

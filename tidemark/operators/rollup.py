@@ -11,7 +11,7 @@ months x groups rows -- instead of a pass over customers x months rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -21,16 +21,18 @@ from tidemark.plans.checks import WATERFALL_ALIASES
 
 
 def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: list[str] | tuple = (),
-                   bounds_events: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+                   bounds_events: DataFrame | None = None, partitions: int | None = None,
+                   end: Column | None = None) -> DataFrame:
     """Per month (and per ``by`` customer attributes): starting/ending MRR, the
     five category sums, active customers and ledger rows; identical to the
-    same rollup of ``movements(...)``. ``by`` should be low-cardinality."""
+    same rollup of ``movements(...)``. ``by`` should be low-cardinality. ``end`` as in ``segments``."""
     by = list(by)
     if by and customers is None:
         raise ValueError("`by` names customer attributes: pass `customers`")
-    bounds = bounds_events if bounds_events is not None else events
+    if end is None:
+        end = last_month(bounds_events if bounds_events is not None else events)
     seg = segments(events, customers, attributes=by if customers is not None else None,
-                   bounds_events=bounds, partitions=partitions)
+                   partitions=partitions, end=end)
     prior = F.coalesce(F.col("prior_mrr"), zero_money())
     cur = F.col("current_mrr")
     change = cur - prior
@@ -50,7 +52,7 @@ def monthly_rollup(events: DataFrame, customers: DataFrame | None = None, by: li
     # month of such a span carries the deltas. At most #months rows per group.
     by_month = Window.partitionBy(*by).orderBy("month_date")
     spans = sparse.select(
-        "*", F.coalesce(F.add_months(F.lead("month_date").over(by_month), -1), last_month(bounds))
+        "*", F.coalesce(F.add_months(F.lead("month_date").over(by_month), -1), end)
         .alias("_until"))
     filled = spans.select(
         *by, *[c for c in spans.columns if c.startswith("_") and c not in ("_until",)],

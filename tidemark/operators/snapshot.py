@@ -10,7 +10,7 @@ hot customer is reduced on the map side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -19,10 +19,13 @@ from tidemark.operators.movement import last_month
 
 
 def asof_snapshot(events: DataFrame, month, customers: DataFrame | None = None,
-                  plans: DataFrame | None = None, bounds_events: DataFrame | None = None) -> DataFrame:
-    """Rows equal to ``movements(...)`` restricted to ``month_date = month``."""
+                  plans: DataFrame | None = None, bounds_events: DataFrame | None = None,
+                  end: Column | None = None) -> DataFrame:
+    """Rows equal to ``movements(...)`` restricted to ``month_date = month``. ``end``: the global
+    last month, where it is known; else the events are read for it."""
     m = as_month(month)
-    end = last_month(bounds_events if bounds_events is not None else events)
+    if end is None:
+        end = last_month(bounds_events if bounds_events is not None else events)
     rec = F.struct("event_date", "event_id", "monthly_amount", "plan_id")
     upto = events.where(F.col("event_date") < F.add_months(m, 1))
     per = upto.groupBy("customer_id").agg(

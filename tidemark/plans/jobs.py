@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.operators.movement import movements
+from tidemark.operators.movement import month_close, movements_of_closes
 from tidemark.plans import checks as V
 from tidemark.plans import quality as Q
 from tidemark.sources import publish as P
+from tidemark.sources.clustered import Clustering, read_clustered, write_clustered
+from tidemark.sources.stats import MonthBounds
 from tidemark.sources.tables import conform
 
 LEDGER = "ledger"
+CLOSES = "closes"
 
 
 class RejectedRows(RuntimeError):
@@ -37,7 +40,11 @@ def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_pa
     version, optionally validate it, and only then list the version. Returns
     the version. Raises when rows do not cast, a constraint fails or (with
     ``validate``) a validator fails; nothing becomes visible in that case.
-    ``partitions`` sizes the stages that build and write the ledger."""
+    ``partitions`` (default: ``spark.sql.shuffle.partitions``) sizes the stages that build and write the ledger:
+    customers and month-close rows are stored in that many buckets by customer, from which this
+    and every later ledger is built without a shuffle of either."""
+    buckets = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layouts = {"customers": Clustering("customer_id", buckets), CLOSES: Clustering("customer_id", buckets, ("customer_id", "month_date"))}
     loaded = {
         "plans": _conformed(spark, plans_path, S.PLANS),
         "customers": _conformed(spark, customers_path, S.CUSTOMERS),
@@ -52,14 +59,20 @@ def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_pa
     def constraints(stored: dict[str, DataFrame]) -> DataFrame:
         return Q.check_inputs(stored["plans"], stored["customers"], stored["events"], expected_plans)
 
-    def ledger(stored: dict[str, DataFrame]) -> dict:
-        built = movements(stored["events"], stored["customers"], stored["plans"], partitions=partitions)
-        return {LEDGER: lambda path: P.write_ledger(built, path, partitions=partitions)}
+    def built(stored: dict[str, DataFrame]) -> dict:
+        closes = month_close(stored["events"])
+
+        def ledger(path: str) -> None:
+            version_path = path.removesuffix(f"/{LEDGER}")
+            stored_closes = read_clustered(spark, f"{version_path}/{CLOSES}", layouts[CLOSES])
+            end = MonthBounds(spark, f"{version_path}/events").end()
+            P.write_ledger(movements_of_closes(stored_closes, stored["customers"], stored["plans"], end), path, partitions=partitions)
+        return {CLOSES: lambda path: write_clustered(closes, path, layouts[CLOSES]), LEDGER: ledger}
 
     def ledger_checks(stored: dict[str, DataFrame]) -> DataFrame:
         return V.run_checks(stored[LEDGER], stored["customers"], stored["plans"])
 
-    version = P.publish(spark, tables, base, checks=constraints, derived=ledger,
+    version = P.publish(spark, tables, base, checks=constraints, derived=built, clustered=layouts,
                         post_checks=ledger_checks if validate else None)
     register(spark, base, version)
     return version

@@ -2,23 +2,26 @@
 
 Parquet folders have no multi-table transaction, so publication is staged:
 every table is written into a new version folder, counted back and checked,
-and only then is the version appended to a manifest. Readers resolve the
-newest version listed in the manifest, so a failed or half-written load is
+and only then is the version listed. Readers resolve the
+newest version listed, so a failed or half-written load is
 never visible (the "rollback" is simply never listing it).
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "_manifest"
+from tidemark.sources.clustered import Clustering, read_clustered, write_clustered
+from tidemark.sources.versions import FOLDER as MANIFEST
+from tidemark.sources.versions import current, list_version, new_version, versions
+
+
+__all__ = ["MANIFEST", "PublishError", "current_version", "load_counts", "publish", "read_published", "register_views",
+           "stored_counts", "write_ledger"]
 
 
 class PublishError(RuntimeError):
@@ -54,7 +57,8 @@ def stored_counts(written: dict[str, int], stored: dict[str, DataFrame]) -> Data
 def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
             checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
             derived: Callable[[dict[str, DataFrame]], dict[str, Callable[[str], None]]] | None = None,
-            post_checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None) -> str:
+            post_checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+            clustered: dict[str, Clustering] | None = None) -> str:
     """Write ``tables`` as a new version under ``base`` and list it only
     when everything belonging to it is stored and checked.
 
@@ -63,17 +67,31 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     ``checks`` (a function of the stored tables returning rows with a
     ``passed`` column) must all pass; ``derived`` (a function of the stored
     tables returning ``{name: writer(path)}``) writes tables built from them,
-    e.g. the ledger, into the same version; ``post_checks`` (a function of
-    stored and derived tables) must pass; only then is the version appended
-    to the manifest. A failure at any step leaves the version unlisted."""
-    version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    e.g. the ledger, into the same version, one after the other; ``post_checks`` (a function of
+    stored and derived tables) must pass; only then is the version listed
+    (``sources.versions``: several publishers may run at once, each version is listed once).
+    A failure at any step leaves the version unlisted, for ``remove_unlisted`` to clear.
+
+    ``clustered`` names tables, derived ones too, that are stored in buckets; those of
+    ``tables`` are written so here, a derived one by its own writer."""
+    layouts = clustered or {}
+    version = new_version()
     stage = f"{base}/{version}"
     written: dict[str, int] = {}
     for name, df in tables.items():
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{stage}/{name}")
+        counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if name in layouts:
+            write_clustered(counted, f"{stage}/{name}", layouts[name])
+        else:
+            counted.write.mode("errorifexists").parquet(f"{stage}/{name}")
         written[name] = seen.get["n"]
-    stored = {name: spark.read.parquet(f"{stage}/{name}") for name in tables}
+
+    def reader(name: str) -> DataFrame:
+        path = f"{stage}/{name}"
+        return read_clustered(spark, path, layouts[name]) if name in layouts else spark.read.parquet(path)
+
+    stored = {name: reader(name) for name in tables}
     failed = stored_counts(written, stored).where(~F.col("passed")).count()
     if failed:
         raise PublishError(f"{failed} table(s) stored a different row count; version {version} not listed")
@@ -84,38 +102,34 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     if derived is not None:
         for name, write in derived(stored).items():
             write(f"{stage}/{name}")
-            stored[name] = spark.read.parquet(f"{stage}/{name}")
+            stored[name] = reader(name)
     if post_checks is not None:
         bad = post_checks(stored).where(~F.col("passed")).count()
         if bad:
             raise PublishError(f"{bad} check(s) on derived tables failed; version {version} not listed")
-    (spark.range(1).select(F.lit(version).alias("version"),
-                           F.current_timestamp().alias("published_at"))
-     .write.mode("append").parquet(f"{base}/{MANIFEST}"))
+    list_version(spark, base, version, {name: c.as_list() for name, c in layouts.items()})
     return version
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    """The version published last, or None before the first successful publication.
+    """The version listed last, or None before the first successful publication.
 
-    The order is that of listing, not of starting: a long load that ends last is
-    the newest. Only a missing manifest means that nothing is published; any
-    other failure to read it is raised."""
-    try:
-        manifest = spark.read.schema("version string, published_at timestamp").parquet(f"{base}/{MANIFEST}")
-        row = manifest.agg(F.max(F.struct("published_at", "version")).alias("last")).first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return row["last"]["version"] if row and row["last"] else None
+    The order is that of listing, not of starting: a long load that ends last is the newest."""
+    entry = current(spark, base)
+    return entry["version"] if entry else None
 
 
 def read_published(spark: SparkSession, base: str, name: str, version: str | None = None) -> DataFrame:
-    v = version or current_version(spark, base)
-    if v is None:
-        raise PublishError(f"nothing published under {base}")
-    return spark.read.parquet(f"{base}/{v}/{name}")
+    """A table of a published version (default: the current one), in its buckets where it is stored in buckets."""
+    if version is None:
+        entry = current(spark, base)
+    else:
+        entry = versions(spark, base).where(F.col("version") == version).first()
+    if entry is None:
+        raise PublishError(f"nothing published under {base}" if version is None else f"version {version} is not listed under {base}")
+    path = f"{base}/{entry['version']}/{name}"
+    layout = (entry["clustered"] or {}).get(name)
+    return read_clustered(spark, path, Clustering.from_list(layout)) if layout else spark.read.parquet(path)
 
 
 def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists",
