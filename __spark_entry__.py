@@ -30,6 +30,7 @@ from tidemark.plans import jobs as J  # noqa: E402
 from tidemark.plans import metrics as K  # noqa: E402
 from tidemark.plans import quality as Q  # noqa: E402
 from tidemark.plans import violations as W  # noqa: E402
+from tidemark.plans.coverage import customer_coverage, customer_differences  # noqa: E402
 from tidemark.plans.bound import select_where  # noqa: E402
 from tidemark.plans.lifecycle import derive_event_type  # noqa: E402
 from tidemark.session import checkpoint_dir  # noqa: E402
@@ -383,6 +384,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bound_segment_rows": lambda s, d: _out(_bound_segment(s, d)),
     "bound_segment_search": lambda s, d: _out(_bound_segment(s, d, oracles.NAME_PATTERN)),
     "client_page": lambda s, d: _out(_client_page(s, d)),
+    # V4 by bitmaps, and the customers behind it
+    "customer_coverage": lambda s, d: customer_coverage(fixture.customers(s, d), fixture.model_events(s, d)),
+    "customer_differences": lambda s, d: customer_differences(_broken(s, d)[1], _ledger(s, d)),
     # violating rows with the rules they break, and their counts
     "violating_events": _violating_events,
     "violation_counts": lambda s, d: W.input_violations(*_defective(s, d))[1],

@@ -501,6 +501,12 @@ QUERIES = {
     "client_page": """SELECT customer_id, customer_name, country, CAST(mrr_change AS DOUBLE) AS mrr_change, mrr_category
         FROM mv WHERE month_date = (SELECT month_date FROM report) AND mrr_category NOT IN ('No Change', 'Inactive')
         ORDER BY country, customer_name, customer_id LIMIT 50 OFFSET 50""",
+    "customer_coverage": """SELECT (SELECT count(*) FROM sub_customers) AS dimension_customers,
+        (SELECT count(DISTINCT customer_id) FROM sub_raw) AS model_customers,
+        (SELECT count(*) FROM sub_customers) = (SELECT count(DISTINCT customer_id) FROM sub_raw) AS passed""",
+    "customer_differences": """SELECT customer_id, 'dimension' AS missing_in FROM (SELECT customer_id FROM mv
+          EXCEPT SELECT customer_id FROM few_customers)
+        UNION ALL SELECT customer_id, 'model' FROM (SELECT customer_id FROM few_customers EXCEPT SELECT customer_id FROM mv)""",
     "violating_events": "SELECT event_id, array_to_string(rules, ',') AS broken_rules FROM broken_events WHERE len(rules) > 0",
     "violation_counts": _violation_counts(),
     "asof_month_state": """SELECT customer_id, first_month, month_date, CAST(current_mrr AS DOUBLE) AS current_mrr,

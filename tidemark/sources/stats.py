@@ -29,7 +29,7 @@ def stored_range(spark: SparkSession, path: str, column: str = "event_date") ->
     """(least, largest, n_rows) of a date, number or boolean column of the Parquet files below `path`, from their footers."""
     found = _footer_session(spark).read.parquet(path).agg(F.min(column).alias("least"), F.max(column).alias("largest"),
                                                           F.count(F.lit(1)).alias("n_rows"))
-    return found.select("least", "largest", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))  # files without row groups answer null
+    return found.select("least", "largest", F.greatest("n_rows", F.lit(0)).alias("n_rows"))  # files without row groups answer null
 
 
 class MonthBounds:
