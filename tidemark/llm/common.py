@@ -57,6 +57,12 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
                      *[F.col(f"`{c}`") for c in more])
 
 
+def row_key(id_col: Column, text: Column) -> Column:
+    """128 bits of a row's identifier (null told from any text) and text, as 32 hex digits: one key per different row."""
+    known = F.coalesce(F.concat(F.lit("="), id_col.cast("string")), F.lit(""))
+    return F.md5(F.concat(known, F.lit("\0"), F.coalesce(text.cast("string"), F.lit(""))).cast("binary"))
+
+
 def held_out(id_col: Column) -> Column:
     """True where crc32 of the id as text leaves remainder 1 by 3; such rows are never learned from."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))

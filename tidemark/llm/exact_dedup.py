@@ -15,7 +15,7 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000, pieces: int = 64,
+def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000, most: int = 100_000, pieces: int = 64,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -25,8 +25,9 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000,
     Content sort: splitters that Spark samples range-partition the normalised
     texts (by their first characters and a hash of the rest), each partition is
     sorted (spilling where needed), so that equal texts lie side by side, and a
-    running window compares each full text with its neighbour. A text held by more than 1/`share` of all rows (there are at most
-    `share` such texts) is dealt into `pieces` runs by a hash of the identifier,
+    running window compares each full text with its neighbour. A text held by more than 1/`share` of all rows, or by more than `most` rows
+    (there are at most `share`, or one per `most` rows, of such texts), is dealt into
+    `pieces` runs or more by a hash of the identifier, so that a run has about `most` rows at the most,
     because one run of a third of all rows would be one task. The runs of such a
     text, and the identifiers of every group, meet again on the text's SHA-256
     in narrow pre-aggregated rows.
@@ -38,13 +39,13 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000,
     base = id_and_text(docs, id_col, text_col)
     # equal normalised texts have equal hashes of lower(); used only to see which contents are frequent
     counts = staged(base.groupBy(F.xxhash64(F.lower("text")).alias("h")).agg(F.count("*").alias("n")), "counts")
-    total = counts.agg((F.sum("n") / share).alias("limit"))
-    hot = counts.join(F.broadcast(total)).where("n > limit").select("h", F.lit(True).alias("hot"))
+    limit = counts.agg(F.least(F.sum("n") / share, F.lit(most))).scalar()
+    hot = counts.where(F.col("n") > limit).select("h", F.greatest(F.lit(pieces), F.ceil(F.col("n") / most)).alias("runs"))
 
     keyed = (base.withColumn("h", F.xxhash64(F.lower("text")))
-             .join(F.broadcast(hot), "h", "left")  # fewer than `share` rows
+             .join(F.broadcast(hot), "h", "left")  # 16 bytes for at most `share` texts, or one per `most` rows
              .select("doc_id", ascii_lower(F.col("text")).alias("norm"),
-                     F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(pieces))).otherwise(F.lit(0)).alias("piece")))
+                     F.when(F.col("runs").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("runs"))).otherwise(F.lit(0)).alias("piece")))
     order = F.col("doc_id").desc_nulls_last() if keep == "largest" else F.col("doc_id").asc_nulls_last()
     # the splitters are samples of the sort key's bounded part, so the driver never holds whole texts
     head = ["head", "h", "piece"]
@@ -56,7 +57,7 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", share: int = 1000,
 
     best = F.max if keep == "largest" else F.min
     runs = rows.groupBy("text_sha256", "piece").agg(best("run_keep").alias("run_best"), F.count("*").alias("n"))
-    whole = Window.partitionBy("text_sha256")  # at most `pieces` rows each
+    whole = Window.partitionBy("text_sha256")  # a row per run
     groups = runs.select("text_sha256", "piece", best("run_best").over(whole).alias("keep_id"),
                          F.sum("n").over(whole).alias("group_size"))
     return rows.join(groups, ["text_sha256", "piece"]).select(

@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, prepare, staged
+from tidemark.llm.common import id_and_text, prepare, row_key, staged
 from tidemark.llm.groups import components
+from tidemark.llm.spread import spread_join
 from tidemark.llm.words import mix, shingle_set, slices, text_words
 
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -52,7 +53,7 @@ def _signer(k: int, m: int, band: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                words = text_words(batch.column(1))
+                words = text_words(batch.column(2))
                 sizes, keys, bands = [], [], []
                 for i in range(len(words)):
                     s = shingle_set(words.of(i), k)
@@ -65,9 +66,9 @@ def _signer(k: int, m: int, band: int):
                     for t in range(band):
                         acc = mix(acc + sig[:, t])
                     bands.append(acc.view(np.int64) if len(s) else None)
-                yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                yield pa.record_batch([*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                                        pa.array(bands, pa.list_(pa.int64()))],
-                                      names=["doc_id", "n_shingles", "set_key", "bands"])
+                                      names=["row_key", "doc_id", "n_shingles", "set_key", "bands"])
     return sign
 
 
@@ -108,7 +109,7 @@ def _prefix_pairs(nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     each = sets.select("node", F.explode("shingles").alias("s"))
     common = each.groupBy("s").agg(F.count("*").alias("df"))
     first = F.ceil(F.col("n") * (100 - percent) / 100) + 1  # at least what any partner asks for
-    prefix = (each.join(common, "s").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("order"))
+    prefix = (spread_join(each, common, "s", F.col("node")).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("order"))
               .join(nodes, "node").select("node", "n", "component", F.posexplode(F.slice("order", F.lit(1), first.cast("int"))).alias("i", "x"))
               .where("x.df > 1").select("node", "n", "component", "i", F.col("x.s").alias("s")))
     prefix = staged(prefix, "prefix")
@@ -141,7 +142,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
 
     1. Sign: one SuperMinHash signature per document, cut into slots/band bands
        (a pair at 0.8 shares no band of 4 with a probability of 5e-8).
-    2. Documents with equal sets form a class, represented by its smallest id;
+    2. Documents with equal sets form a class, represented by its smallest row;
        only representatives go on, so copies cost nothing further.
     3. Verify: in each bucket the members are compared with its smallest, which
        joins most copies at once. The members of buckets that still hold several
@@ -150,29 +151,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
        would change nothing. Comparisons read the full sets.
     4. Components by union-find (`groups.components`).
 
-    Null or blank texts have an empty set and are linked with nothing; a null
-    doc_id stays alone (component_id null, kept). An empty table gives no rows;
-    repeated rows fall into one class and get equal rows; other columns are ignored.
+    Any type of identifier that can be ordered will do. Rows are told apart by
+    `row_key` (128 bits of identifier and text), so rows that repeat an
+    identifier with different texts are documents of their own; rows that repeat
+    both get equal rows. Null or blank texts have an empty set and are linked
+    with nothing. A null doc_id is no smallest identifier: its component_id is
+    that of the others it reaches, null if these have none either.
+
+    kept: doc_id is the component_id (without identifier: stays). Further columns: row_key, and
+    stays, true for exactly one row_key of every component (that of the smallest
+    identifier, then the smallest row_key) and for texts with an empty set. An
+    empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
-    base = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    base = id_and_text(docs, id_col, text_col).select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "doc_id", "text")
+    id_type = base.schema["doc_id"].dataType.simpleString()
     signed = staged(base.mapInArrow(_signer(shingle, slots, band),
-                                    "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signed")
-    sets = signed.where("set_key is not null and doc_id is not null")
-    classes = staged(sets.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")),
-                     "classes")
-    reps = (sets.join(classes, "set_key").where("doc_id = node").select("node", "n", "bands")
-            .dropDuplicates(["node"]))
-    members = reps.select("node", "n", F.posexplode("bands").alias("slot", "value"))
+                                    f"row_key string, doc_id {id_type}, n_shingles long, set_key binary, bands array<long>"), "signed")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
+    # equal sets have equal bands
+    classes = staged(signed.where("set_key is not null").groupBy("set_key")
+                     .agg(least.alias("least"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
+                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = classes.select("node", "n", F.posexplode("bands").alias("slot", "value"))
     buckets = members.groupBy("slot", "value").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     members = staged(members.join(buckets, ["slot", "value"]).select("slot", "value", "node", "n", "hub"), "members")
 
-    involved = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = staged(base.where("doc_id is not null").join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]),
-                   "texts")
+    involved = classes.select("node", F.col("least.row_key").alias("row_key")).join(members.select("node").distinct(), "node", "left_semi")
+    texts = staged(base.select("row_key", "text").join(involved, "row_key").dropDuplicates(["row_key"])
+                   .select(F.col("node").alias("doc_id"), "text"), "texts")
 
-    size = reps.select(F.col("node").alias("hub"), F.col("n").alias("n2"))
+    size = classes.select(F.col("node").alias("hub"), F.col("n").alias("n2"))
     size = size.join(members.select("hub").distinct(), "hub", "left_semi")
     pairs = (members.where("node <> hub").select("node", "n", "hub").distinct().join(size, "hub")
              # sets of too different sizes cannot be that similar
@@ -189,9 +199,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
         more = _linked(_prefix_pairs(open_, texts, shingle, percent), texts, shingle, percent)
         labels = components(staged(links.union(more), "links"))
 
-    of_class = (classes.join(labels, "node", "left")
-                .select("set_key", F.coalesce("component", "node").alias("component_id")))
-    return (signed.join(of_class, "set_key", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    grouped = classes.select("node", "set_key", "least").join(labels, "node")  # classes with links
+    first = grouped.groupBy("component").agg(F.min("least").alias("first"))
+    of_class = (classes.select("set_key", "least").join(grouped.join(first, "component").select("set_key", "first"), "set_key", "left")
+                .select("set_key", F.coalesce("first", "least").alias("first")))
+    rows = signed.drop("bands").join(of_class, "set_key", "left")
+    alone = F.col("set_key").isNull()
+    rows = rows.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+                       "row_key", (alone | (F.col("row_key") == F.col("first.row_key"))).alias("stays"))
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), "stays").alias("kept"),
+                       "row_key", "stays")

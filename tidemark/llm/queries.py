@@ -56,7 +56,8 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 PIECES = 256
 
 
-def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, how: str = "inner", pieces: int = PIECES) -> DataFrame:
-    """`many` joined with `one` (unique on `key`) without bringing a key's rows together.
+def spread_join(many: DataFrame, one: DataFrame, key: str | list[str], by: Column, how: str = "inner", pieces: int = PIECES) -> DataFrame:
+    """`many` joined with `one` (unique on `key`, one column or several) without bringing a key's rows together.
 
     `by` tells the rows of a key apart. Rows are dealt by (key, piece of `by`);
     the pieces that occur, at most `pieces` a key and counted by a combined
@@ -19,6 +19,7 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, how: str
     threshold and cold ones make one piece each. Rows with a null key meet
     nothing.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     dealt = many.withColumn("_piece", F.pmod(F.xxhash64(by), F.lit(pieces)).cast("int"))
-    found = dealt.where(F.col(key).isNotNull()).select(key, "_piece").distinct().join(one, key)
-    return dealt.join(found, [key, "_piece"], how).drop("_piece")
+    found = dealt.select(*keys, "_piece").dropna(subset=keys).distinct().join(one, keys)
+    return dealt.join(found, [*keys, "_piece"], how).drop("_piece")

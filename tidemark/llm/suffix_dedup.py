@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, prepare, staged
+from tidemark.llm.spread import spread_join
 from tidemark.llm.words import Words, grams, mix, powers, slices, text_words
 
 #: Words of a minimiser.
 MINIMISER = 8
+#: Parts into which the suffixes of a key are dealt where they meet its one row.
+PIECES = 64
 _LOCAL = np.uint64((1 << 24) - 1)
 
 
@@ -148,9 +151,11 @@ def repeated_passages(docs: DataFrame, least: int = 50, window: int = 20, id_col
     prepare(docs.sparkSession)
     base = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     suffixes = staged(base.mapInArrow(_suffixes(window, least), "key long, context long, doc_id long, place long"), "suffixes")
-    repeated = (suffixes.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                .where("lo < hi").select("key"))
-    candidates = staged(suffixes.join(repeated, "key"), "candidates")
+    # by key and piece first, so that a passage of a third of all documents is spread where its suffixes meet its count
+    dealt = suffixes.withColumn("piece", F.pmod(F.xxhash64("doc_id", "place"), F.lit(PIECES)).cast("int"))
+    pieces = staged(dealt.groupBy("key", "piece").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "pieces")
+    repeated = pieces.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("key")
+    candidates = staged(dealt.join(pieces.join(repeated, "key").select("key", "piece"), ["key", "piece"]).drop("piece"), "candidates")
     contexts = staged(candidates.groupBy("key", "context")
                       .agg(F.min(F.struct("doc_id", "place")).alias("least"), F.max("doc_id").alias("hi"))
                       .select("key", "context", F.col("least.doc_id").alias("lo"), "least.place", "hi"), "contexts")
@@ -165,7 +170,7 @@ def repeated_passages(docs: DataFrame, least: int = 50, window: int = 20, id_col
             .agg(F.min("nth").alias("a"), F.max("nth").alias("b"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
     # passages of one context overlap, so those from its first shared one to its last cover one stretch
     start = F.floor(F.col("place") / window)
-    spans = (candidates.join(alone.unionByName(some), ["key", "context"])
+    spans = (spread_join(candidates, alone.unionByName(some), ["key", "context"], F.struct("doc_id", "place"), pieces=PIECES)
              .select("doc_id", (start + F.col("a")).alias("start"), (start + F.col("b") + least).alias("end"),
                      F.when(F.col("lo") != F.col("doc_id"), F.col("lo")).otherwise(F.col("hi")).alias("other")).distinct())
     return (spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "other"))).alias("spans"))
