@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import row_key, staged
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Possessive where a retry could not match either, and begun only where a match
@@ -21,8 +21,6 @@ HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 #: A word that could be an identifier: it holds a digit or an at sign.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Characters before an identifier in which its two context words are looked for.
-REACH = 80
 #: Matches whose lengths are added up at a time.
 BLOCK = 128
 
@@ -70,6 +68,12 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
 
+def _last_words(text: Column) -> Column:
+    """The last two words of a text, fewer if it has no more."""
+    words = F.filter(F.split(text, BLANKS), lambda w: w != "")
+    return F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2))
+
+
 def _checked(number: int, kind: str) -> Column:
     """The valid matches of a kind as (kind number, start, end)."""
     return F.transform(F.filter(kind, lambda s: _valid(kind, s["value"])), lambda s: F.struct(
@@ -84,20 +88,27 @@ def _digest(spans: Column) -> Column:
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: row_key, doc_id, base (array of kind, start, end) and its candidate words.
 
-    A candidate carries its two words to the left (`context`, lower case), the kind of the base
+    A candidate carries its two words to the left (`context`, lower case; null for the first two words of a text), the kind of the base
     span that begins in it (else -1, or -2 where it lies within one), and its span.
     """
     df = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    df = df.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    df = df.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     for kind in KINDS:
         hint = F.contains("text", F.lit(HINTS[kind])) if HINTS[kind] else F.lit(True)
         df = _located(df, kind, PATTERNS[kind], hint)
     df = _located(df, "words", CANDIDATE, F.lit(True))
     df = df.withColumn("base", F.concat(*[_checked(k, kind) for k, kind in enumerate(KINDS)]))
 
-    def near(w: Column) -> Column:
-        before = F.substring("text", F.greatest(w["start"] - REACH, F.lit(0)) + 1, F.least(w["start"], F.lit(REACH)))
-        return F.split(F.lower(F.trim(F.regexp_replace(before, BLANKS, " "))), " ")
+    # candidates are whole words, so the two words before one are the last of those between it and the candidate
+    # before, that candidate, the last of those before this one, and the candidate before that
+    none = F.array().cast("array<string>")
+    between = F.when(F.size("words") > 0, F.transform(F.split(F.lower("text"), CANDIDATE, -1), _last_words)).otherwise(F.array().cast("array<array<string>>"))
+    df = df.withColumn("between", between)
+
+    def near(w: Column, i: Column) -> Column:
+        one, two = (F.when(i >= k, F.array(F.lower(F.get("words", i - k)["value"]))).otherwise(none) for k in (1, 2))
+        before = F.concat(two, F.when(i >= 1, F.get("between", i - 1)).otherwise(none), one, F.get("between", i))
+        return F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), F.lit(2))
     df = df.withColumn("near", F.transform("words", near))
 
     def candidate(w: Column, i: Column) -> Column:
@@ -107,8 +118,8 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         begun = F.filter("base", lambda s: (s["start"] >= w["start"]) & (s["start"] < w["end"]))
         within = F.exists("base", lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
         return F.struct(
-            F.lower(w["value"]).alias("value"),
-            F.when(F.size(near) >= 2, F.array_join(F.slice(near, F.size(near) - 1, F.lit(2)), " ")).alias("context"),
+            F.lower(F.regexp_replace(w["value"], "^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "")).alias("value"),  # without signs at its ends
+            F.when(F.size(near) == 2, F.array_join(near, " ")).alias("context"),
             F.when(F.size(begun) > 0, F.element_at(begun, 1)["kind"]).when(within, -2).otherwise(-1).alias("kind"),
             (w["start"] + head).alias("start"), F.greatest(w["end"] - tail, w["start"] + head).alias("end"))
 
@@ -126,7 +137,8 @@ def bootstrapped(found: DataFrame, texts: DataFrame, rounds: int = 3, support: i
     pattern. Candidates behind patterns of at least `confidence`, and further
     occurrences of values that reach it, are found.
     """
-    rows = found.select("row_key", F.explode("candidates").alias("c")).select("row_key", "c.*").where("context is not null")
+    every = found.select("row_key", F.explode("candidates").alias("c")).select("row_key", "c.*")
+    rows = every.where("context is not null")
     seeds = rows.where("kind >= 0")
     best = (seeds.groupBy("context", "kind").agg(F.countDistinct("value").alias("values"), F.count("*").alias("own"))
             .groupBy("context").agg(F.max(F.struct("values", "kind", "own")).alias("best"), F.sum("own").alias("seeds")))
@@ -155,7 +167,7 @@ def bootstrapped(found: DataFrame, texts: DataFrame, rounds: int = 3, support: i
         scores = staged(edges.drop("of").join(weighed, "context").select("value", "of", "context", F.greatest("score", "p").alias("score"), "p"), "scores")
     good = scores.where(F.col("p") >= confidence).select("context", F.col("of").alias("kind_c")).distinct() if rounds else patterns.limit(0)
     known = scores.where((F.col("score") >= confidence) & (F.col("p") >= confidence)).groupBy("value").agg(F.min("of").alias("kind_v"))
-    free = rows.where("kind = -1 and end - start >= 4").drop("kind")
+    free = every.where("kind = -1 and end - start >= 4").drop("kind")
     return (free.join(good, "context", "left").join(known, "value", "left")
             .withColumn("kind", F.coalesce("kind_c", "kind_v")).where("kind is not null")
             .select("row_key", "kind", "start", "end").distinct())
@@ -177,8 +189,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:
-    """The spans as counts and strings: n_email, n_ip, n_card, n_phone, base_sha256 (base), spans (all)."""
+    """The spans as counts and strings: n_email, n_ip, n_card, n_phone, base_sha256 (base), spans (all), n_spans (all)
+    and n_added (those beyond the base)."""
     df = personal_data(docs)
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return df.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
-                     F.sha2(_digest(F.col("base")), 256).alias("base_sha256"), _digest(F.col("all")).alias("spans"))
+                     F.sha2(_digest(F.col("base")), 256).alias("base_sha256"), _digest(F.col("all")).alias("spans"),
+                     F.size("all").cast("long").alias("n_spans"), (F.size("all") - F.size("base")).cast("long").alias("n_added"))
