@@ -97,3 +97,43 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
     assert set(got.values()) == {1} and len(got) == 60 + 300
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_that_repeat_an_identifier_with_other_texts(spark):
+    """Id 1 has two texts; a near copy of the second is linked with it, whatever the first is."""
+    one, two = prose(80, 1), prose(80, 2)
+    rows = [(1, one), (1, two), (5, two + " more"), (9, one + " end")]
+    got = near_duplicates(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (5, 1, False), (9, 1, False)}
+    assert len({r.row_key for r in got}) == 4 and sum(r.stays for r in got) == 2
+
+
+def test_null_and_text_identifiers(spark):
+    text = prose(60, 3)
+    rows = [(None, text), (None, text + " x"), (7, text + " y"), (None, prose(60, 4)), (None, prose(60, 4)), (None, "")]
+    got = sorted(((r.doc_id, r.component_id, r.kept, r.stays) for r in near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(None, 7, False, False), (None, 7, False, False), (7, 7, True, True), (None, None, True, True), (None, None, True, True),
+                          (None, None, True, True)], key=str)
+    texts = spark.createDataFrame([("b", text), ("a", text + " x"), ("c", prose(60, 5))], "doc_id string, text string")
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(texts).collect()) == [("a", "a", True), ("b", "a", False), ("c", "c", True)]
+
+
+def test_spread_join_equals_join(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.spread import spread_join
+
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), "id")
+    one = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "k string, v int")
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, many.join(one, "k", how).select("k", "id", "v").collect()), key=str)
+        assert sorted(map(tuple, spread_join(many, one, "k", F.col("id"), how).select("k", "id", "v").collect()), key=str) == want
+
+
+def test_exact_duplicates_beyond_the_absolute_limit(spark):
+    """A text of more rows than a run may have is dealt into more runs, with the same result."""
+    rows = [(i, "same text") for i in range(900)] + [(1000 + i, f"t{i}") for i in range(50)]
+    df = frame(spark, rows)
+    got = exact_duplicates(df, share=2, most=100, pieces=2).collect()
+    assert {(r.keep_id, r.group_size) for r in got if r.doc_id < 900} == {(0, 900)}
+    assert [r.doc_id for r in got if r.kept and r.doc_id < 900] == [0] and sum(r.kept for r in got) == 51

@@ -61,6 +61,24 @@ def test_stages(spark, tmp_path):
         start += len(want)
 
 
+def test_rows_without_or_with_repeated_identifiers(spark, tmp_path):
+    """Decisions are on rows: no identifier, one identifier with two texts, whole rows repeated."""
+    d = str(tmp_path)
+    a, b, item = prose(60, 1), prose(60, 2), prose(30, 777)
+    rows = [(None, a, "en", "s", 1), (None, a + " x", "en", "s", 1), (3, a + " y", "en", "s", 1),            # one group: 3 stays
+            (7, b, "en", "s", 1), (7, prose(60, 3), "en", "s", 1), (8, b + " z", "en", "s", 1),               # 8 goes, both of 7 stay
+            (9, prose(60, 4), "en", "s", 1), (9, prose(60, 4), "de", "t", 2), (None, prose(60, 5), None, None, None),
+            (None, prose(60, 5), None, None, None), (None, "", "en", "s", 0), (None, None, None, None, None),
+            (None, prose(20, 8) + " " + item, "en", "s", 1), (11, prose(20, 9) + " " + item + " " + prose(5, 3), "en", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    kept = Counter((r.doc_id, r.text) for r in P.near_dedup(spark, df, d).collect())
+    assert kept == Counter({(3, a + " y"): 1, (7, b): 1, (7, prose(60, 3)): 1, (9, prose(60, 4)): 1, (None, prose(60, 5)): 1, (None, ""): 1,
+                            (None, None): 1, (None, rows[12][1]): 1, (11, rows[13][1]): 1})
+    left = P.decontaminate(spark, df, d)
+    assert left.columns == P.COLUMNS and Counter(r.text for r in left.collect()) == Counter(r[1] for r in rows[:12])
+
+
 def test_empty_corpus(spark, tmp_path):
     d = str(tmp_path)
     spark.createDataFrame([], SCHEMA).write.parquet(f"{d}/documents.parquet")

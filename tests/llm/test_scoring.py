@@ -84,6 +84,25 @@ def test_misspellings_of_accented_words():
         assert found(w.upper() if w.upper().lower() == w else w) == (near and (min(near[0], 1), near[1])), w
 
 
+def test_words_and_terms_of_any_length():
+    """Around and beyond the length up to which deletion neighbourhoods are taken, the same hits as the whole trie gives."""
+    rng = random.Random(9)
+    terms = ["".join(rng.choice("abcdef") for _ in range(n)) for n in (30, 50, 61, 62, 63, 64, 65, 66, 67, 68, 90, 400) for _ in range(2)]
+    lexicon = Lexicon(terms, [])
+    finder = Finder(lexicon)
+    found = 0
+    for _ in range(400):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w) + 1)
+            w[k:k + rng.randint(0, 1)] = [rng.choice("abcdef")] * rng.randint(0, 1)
+        w = "".join(w)
+        hits, want = finder.find(text_words(pa.array([w]))), lexicon.match(w)
+        assert (hits[0][1:] if hits else None) == (want and (min(want[1], 1), want[0])), w
+        found += bool(want)
+    assert 200 < found < 400
+
+
 def test_quoted_and_used():
     finder = Finder(Lexicon(["moron", "worthless"], []))
 

@@ -26,6 +26,8 @@ QUOTES = "\"'`«»‘’“”„"
 LEAST_G2, LEAST_SHARE = 25.0, 0.7
 #: Letters of a word's beginning that may be a term of their own.
 STEMS = (4, 5, 6)
+#: Characters up to which a word's deletion neighbourhood is worth taking; a longer one is read beside the terms of its length.
+LONG = 64
 _CACHE: dict = {}
 
 
@@ -140,21 +142,29 @@ class Finder:
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
         self.terms = frozenset(lexicon.terms)
-        near, owner = _deletions(lexicon.terms)
+        self.short = [t for t in lexicon.terms if len(t) <= LONG + 2]
+        near, owner = _deletions(self.short)
         order = np.argsort(near, kind="stable")
         self.near, self.owner = near[order], owner[order]
+        self.long: dict[int, list[str]] = {}
+        for t in lexicon.terms:
+            if len(t) > LONG - 2:
+                self.long.setdefault(len(t), []).append(t)
         self.longest = max(map(len, lexicon.terms), default=0) + 2
         self.key = (tuple(lexicon.terms), tuple(lexicon.stems))
 
     def _nearest(self, words: list[str]) -> dict[str, tuple[str, int]]:
         """The nearest terms of those words that have one within reach."""
+        long = {w: [t for n in range(len(w) - 2, len(w) + 3) for t in self.long.get(n, ())] for w in words if len(w) > LONG}
+        words = [w for w in words if len(w) <= LONG]
         hashes, of = _deletions(words)
         some = np.flatnonzero(member(hashes, self.near))
         first, last = (np.searchsorted(self.near, hashes[some], side) for side in ("left", "right"))
         among: dict[int, set[int]] = {}
         for i, a, b in zip(of[some].tolist(), first.tolist(), last.tolist(), strict=True):
             among.setdefault(i, set()).update(self.owner[a:b].tolist())
-        found = {words[i]: self.lexicon.match(words[i], [self.lexicon.terms[t] for t in terms]) for i, terms in among.items()}
+        found = {words[i]: self.lexicon.match(words[i], [self.short[t] for t in terms]) for i, terms in among.items()}
+        found |= {w: self.lexicon.match(w, terms) for w, terms in long.items() if terms}
         return {word: m for word, m in found.items() if m}
 
     def _hits(self, words: list[str]) -> list[tuple[int, str] | None]:
@@ -230,7 +240,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = words.ptr[i], words.ptr[i + 1]
                 raw = {plain(r) for r in {words.data[s:e].tobytes() for s, e in zip(words.starts[a:b], words.ends[a:b], strict=True)}}
                 raw = {w for w in raw if len(w.encode()) >= 3}
-                for term in [(w, 0) for w in raw if len(w) <= 40] + [(w, 1) for w in {w[:n] for w in raw for n in STEMS if len(w) > n}]:
+                for term in [(w, 0) for w in raw] + [(w, 1) for w in {w[:n] for w in raw for n in STEMS if len(w) > n}]:
                     c = counts.setdefault(term, [0, 0])
                     c[y] += 1
             yield pa.record_batch([pa.array([k[0] for k in counts]), pa.array([k[1] for k in counts], pa.int32()),
@@ -238,8 +248,9 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                    pa.array([c[1] for c in counts.values()], pa.int64())], names=["term", "stem", "n0", "n1"])
 
 
-def learn_lexicon(sample: DataFrame, most: int = 2000) -> Lexicon:
-    """Words, and beginnings of words, that mark toxic documents: at most `most` of either, by their log-likelihood ratio."""
+def learn_lexicon(sample: DataFrame) -> Lexicon:
+    """Words of any length, and beginnings of words, that mark toxic documents of a bounded labelled sample, by their
+    log-likelihood ratio; its size bounds the lexicon's."""
     counts = sample.select("doc_id", "text", "y").mapInArrow(_term_counts, "term string, stem int, n0 long, n1 long")
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
@@ -250,7 +261,7 @@ def learn_lexicon(sample: DataFrame, most: int = 2000) -> Lexicon:
     g2 = 2 * (n1 * F.log(share / base) + F.when(n0 > 0, n0 * F.log((1 - share) / (1 - base))).otherwise(0.0))
     found = (counts.groupBy("term", "stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
              .where((n1 >= 3) & (share >= LEAST_SHARE)).withColumn("g2", g2).where(F.col("g2") >= LEAST_G2))
-    terms = [[r["term"] for r in found.where(F.col("stem") == k).orderBy(F.desc("g2"), "term").limit(most).collect()] for k in (0, 1)]
+    terms = [[r["term"] for r in found.where(F.col("stem") == k).collect()] for k in (0, 1)]
     return Lexicon(*terms)
 
 
