@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import prepare, scratch
+from tidemark.llm.common import prepare, row_key, scratch, staged
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.mixing import mixed
 from tidemark.llm.near_dup import near_duplicates
@@ -43,16 +43,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn("scored", F.coalesce("text", F.lit(""))).mapInArrow(keep, docs.schema)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key of identifier and text, so that decisions reach rows without an identifier and rows that repeat one."""
+    return docs.select(*COLUMNS, row_key(F.col("doc_id"), F.col("text")).alias("row_key"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: one document of each near-duplicate group stays (five words, 0.8), the smallest doc_id."""
-    kept = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_anti")
+    """Operator 7: one row of each near-duplicate group stays (five words, 0.8), that of the smallest doc_id.
+
+    Rows without doc_id take part; of rows that repeat identifier and text one stays. Texts without words all stay.
+    """
+    found = staged(near_duplicates(docs).select("row_key", "n_shingles", "stays"), "decisions")
+    gone = found.where("not stays").select("row_key").distinct()
+    again = staged(found.where("stays and n_shingles > 0").groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key"), "again")
+    rows = _keyed(docs)
+    once = rows.join(gone.union(again), "row_key", "left_anti")
+    return once.unionByName(rows.join(again, "row_key", "left_semi").dropDuplicates(["row_key"])).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents that hold a copy of a benchmark item go."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti")
+    """Operator 8: documents that hold a copy of a benchmark item go, with or without a doc_id."""
+    rows = _keyed(docs)
+    found = contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row_key").select(F.col("doc_id").alias("row_key"))
+    return rows.join(found.distinct(), "row_key", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
