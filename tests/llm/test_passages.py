@@ -61,12 +61,14 @@ def test_odd_rows_and_empty(spark):
     assert {r.doc_id for r in repeated_passages(frame(spark, twice)).collect()} == {1, 2}
 
 
-def plain_alignment(a, b):
+def plain_alignment(a, b, weights=None):
     rows, best = [[0] * (len(b) + 1)], 0
-    for x in a:
+    weights = weights or [1] * len(a)
+    aside = sum(weights) / max(len(weights), 1)
+    for x, w in zip(a, weights, strict=True):
         row = [0]
         for j, y in enumerate(b):
-            row.append(max(0, rows[-1][j] + (2 if x == y else -1), rows[-1][j + 1] - 1, row[j] - 1))
+            row.append(max(0, rows[-1][j] + (2 * w if x == y else -w), rows[-1][j + 1] - w, row[j] - aside))
         best = max(best, *row)
         rows.append(row)
     return best
@@ -79,6 +81,8 @@ def test_align_against_the_plain_recurrence():
         a = [rng.randrange(4) for _ in range(rng.randint(1, 12))]
         b = [rng.randrange(4) for _ in range(rng.randint(1, 15))]
         assert align(np.array(a), np.array(b))[0] == plain_alignment(a, b)
+        w = [rng.choice([0.05, 0.3, 1.0]) for _ in a]
+        assert abs(align(np.array(a), np.array(b), np.array(w))[0] - plain_alignment(a, b, w)) < 1e-6
 
 
 def bench(spark, rows):
@@ -115,6 +119,67 @@ def test_contaminated(spark):
     assert all(r.score == 1 for r in rows if r.doc_id % 5 in (0, 3) and r.item_id == want[r.doc_id])
 
 
+def item_weights(items):
+    """Per word of each item, from the number of different items that hold its rarest 3-gram."""
+    import math
+    found = {k: [tuple(w[p:p + 3]) for p in range(max(1, len(w) - 2))] for k, w in items.items()}
+    held = {}
+    for k, g in found.items():
+        for x in set(g):
+            held.setdefault(x, set()).add(tuple(items[k]))
+    n = len({tuple(w) for w in items.values()})
+    return {k: [max([0.05, *[math.log((n + 1) / len(held[x])) / math.log(n + 1) for p, x in enumerate(found[k]) if p <= i < p + 3]])
+                for i in range(len(items[k]))] for k in items}
+
+
+def test_every_pair_against_whole_alignments(spark):
+    """The whole query against aligning every item with every whole document: the same scores, and no copy of 0.75 or more missed (below, an item needs two seeds that the edits left)."""
+    rng = random.Random(12)
+    phrase = prose(8, 999).split()
+    items = {i: (phrase if i % 4 == 0 else []) + prose(rng.randint(8, 20), 400 + i).split() for i in range(24)}
+    items[30] = list(items[1])
+    docs = {}
+    for i in range(60):
+        w = prose(rng.randint(0, 25), 8000 + i).split()
+        if i % 3:
+            p = [x for x in items[rng.randrange(24)]]
+            for _ in range(rng.randrange(6)):
+                p[rng.randrange(len(p))] = f"y{rng.randrange(99)}"
+            w[len(w) // 2:len(w) // 2] = p if i % 2 else p[:len(p) * 2 // 3]
+        elif i % 2:
+            w += phrase
+        docs[i] = w
+    weights = item_weights(items)
+    want = {(d, k): plain_alignment(v, w, weights[k]) / (2 * sum(weights[k])) for d, w in docs.items() for k, v in items.items()}
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(
+        frame(spark, [(d, " ".join(w)) for d, w in docs.items()]), bench(spark, [(k, " ".join(w)) for k, w in items.items()])).collect()}
+    assert all(abs(want[pair] - score) < 1e-6 and score >= 0.5 for pair, score in got.items())
+    assert {pair for pair, score in want.items() if score >= 0.75} <= set(got) and len(got) > 20
+
+
+def test_a_stock_phrase_is_no_copy(spark):
+    """Hundreds of items begin with the same twelve words: a document with these is clean, one with a whole item is not,
+    and its cost does not grow with the number of items that share them."""
+    from tidemark.llm import decontaminate as D
+
+    phrase = prose(12, 5)
+    items = [(i, f"{phrase} {prose(9, 20_000 + i)}") for i in range(400)]
+    docs = [(1, " ".join(f"{phrase} {prose(6, 300 + j)}" for j in range(30))), (2, f"{prose(20, 1)} {items[77][1]} {prose(20, 2)}"),
+            (3, f"{prose(5, 3)} {phrase} {prose(30, 4)}"), (4, items[5][1].upper())]
+    index = D.Index([D.text_words(__import__("pyarrow").array([t]), trim=True).of(0) for _, t in items], {})
+    assert max(len({k for k, _ in v}) for v in index.where.values()) <= D.SHARED
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(frame(spark, docs), bench(spark, items)).collect()}
+    assert got == {(2, 77): 1.0, (4, 5): 1.0}
+
+
+def test_items_of_shared_grams_alone(spark):
+    """Items that hold nothing of their own keep seeds: versions of one text that ten items share in parts."""
+    words = prose(40, 17).split()
+    items = [(i, " ".join(words[i % 10:i % 10 + 28])) for i in range(30)]
+    got = {r.item_id for r in contaminated(frame(spark, [(1, prose(5, 2) + " " + items[3][1] + " " + prose(5, 4))]), bench(spark, items)).collect()}
+    assert {3, 13, 23} <= got
+
+
 def test_contaminated_hot_item_and_empty(spark):
     item = prose(30, 1)
     docs = frame(spark, [(i, f"{prose(9, i + 50)} {item}" if i % 3 == 0 else prose(40, i + 50)) for i in range(600)])

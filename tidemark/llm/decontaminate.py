@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,26 +16,33 @@ from tidemark.llm.words import Words, grams, slices, text_words
 
 #: Words of a seed; share of an item's n-grams, the rarest ones, that seed it; seeds that a window needs.
 SEED, RAREST, LEAST_SEEDS = 3, 0.75, 2
+#: Items that may share a seed, unless an item has too few others; least weight of a word in an alignment.
+SHARED, LEAST_WEIGHT = 8, 0.05
 #: Alignment scores, and bytes of benchmark text handled in one pass over the documents.
 MATCH, MISMATCH, GAP = 2, -1, -1
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 _LOW = np.uint64((1 << 22) - 1)
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Best local alignment score of two word sequences, and where it ends in `b` (exclusive)."""
+def align(a: np.ndarray, b: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, int]:
+    """Best local alignment score of two word sequences, and where it ends in `b` (exclusive).
+
+    A word of `a` scores `weights` (default 1) times MATCH, MISMATCH or GAP; a word that only `b` has costs GAP times their mean.
+    """
     at = np.arange(len(b) + 1)
-    row = np.zeros(len(b) + 1, np.int64)
-    best, end = 0, 0
-    for x in a:
+    w = np.ones(len(a)) if weights is None else weights
+    row = np.zeros(len(b) + 1)
+    best, end = 0.0, 0
+    aside = GAP * (float(w.mean()) if len(w) else 1.0) * at
+    for x, weight in zip(a, w.tolist(), strict=True):
         new = np.zeros_like(row)
-        new[1:] = np.maximum(row[:-1] + np.where(b == x, MATCH, MISMATCH), row[1:] + GAP)
+        new[1:] = np.maximum(row[:-1] + np.where(b == x, MATCH * weight, MISMATCH * weight), row[1:] + GAP * weight)
         # a gap of any length along b: the running maximum of score minus its cost so far
-        row = np.maximum(np.maximum.accumulate(new - GAP * at) + GAP * at, 0)
+        row = np.maximum(np.maximum.accumulate(new - aside) + aside, 0)
         row[0] = 0
         j = int(row.argmax())
-        if row[j] > best:
-            best, end = int(row[j]), j
+        if row[j] > best + 1e-9:
+            best, end = float(row[j]), j
     return best, end
 
 
@@ -45,25 +52,48 @@ def item_grams(hashes: np.ndarray, n: int = SEED) -> np.ndarray:
 
 
 class Index:
-    """Seeds of a block of items: sorted n-gram hashes, and for each where it stands in which items."""
+    """Seeds of a block of items: sorted n-gram hashes, and for each where it stands in which items.
+
+    With corpus `counts` only the rarest n-grams of each item are seeds, and of these only those that at most
+    SHARED items hold; an item that is left with fewer than LEAST_SEEDS takes its rarest, however many share them.
+    `weights` says for each word of each item how rare among the items its rarest n-gram is: 1 where no other item
+    has it, LEAST_WEIGHT at least, so that a phrase which many items share weighs little in an alignment with any.
+    """
 
     def __init__(self, items: list[np.ndarray], counts: dict[int, int] | None = None) -> None:
         self.items = items
-        where: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        held = [item_grams(h).tolist() for h in items]
+        shared = Counter(g for found in held for g in set(found))
         self.sizes = sorted({min(SEED, len(h)) for h in items if len(h)})
-        for k, h in enumerate(items):
-            all_grams = item_grams(h)
-            chosen = set(all_grams.tolist())
-            if counts is not None and len(chosen) > 4:
-                chosen = set(sorted(chosen, key=lambda g: (counts.get(g, 0), g))[:math.ceil(RAREST * len(chosen))])
-            for p, g in enumerate(all_grams.tolist()):
+        where: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for k, found in enumerate(held):
+            chosen = set(found) if counts is None else self._rarest(found, shared, counts)
+            for p, g in enumerate(found):
                 if g in chosen:
                     where[g].append((k, p))
+        self.weights = [self._weights(len(h), found, shared) for h, found in zip(items, held, strict=True)]
         self.where = dict(where)
         self.hashes = np.array(sorted(where), np.uint64)
         self.sieve = np.zeros(int(_LOW) + 1, bool)
         self.sieve[(self.hashes & _LOW).astype(np.int64)] = True
 
+    @staticmethod
+    def _rarest(found: list[int], shared: Counter, counts: dict[int, int]) -> set[int]:
+        order = sorted(set(found), key=lambda g: (shared[g] > SHARED, counts.get(g, 0), g))
+        if len(order) <= 4:
+            return set(order)
+        chosen = order[:math.ceil(RAREST * len(order))]
+        own = [g for g in chosen if shared[g] <= SHARED]
+        return set(own) if len(own) >= LEAST_SEEDS else set(chosen)
+
+    def _weights(self, n: int, found: list[int], shared: Counter) -> np.ndarray:
+        rare = np.full(n, LEAST_WEIGHT)
+        total = math.log(len(self.items) + 1)
+        for p, g in enumerate(found):
+            weight = math.log((len(self.items) + 1) / shared[g]) / total
+            rare[p:p + SEED] = np.maximum(rare[p:p + SEED], weight)
+        return rare
+
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Positions (in the batch's words) and hashes of all seeds in a batch."""
         at, found = [], []
@@ -107,7 +137,7 @@ def windows(hits: list[tuple[int, int]], m: int, least: int) -> list[tuple[int,
     return out
 
 
-def _finder(index: Index, keys: list, least_score: float, least_words: int, id_type: pa.DataType, item_type: pa.DataType):
+def _finder(index: Index, keys: list[list], least_score: float, least_words: int, id_type: pa.DataType, item_type: pa.DataType):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
@@ -120,17 +150,18 @@ def _finder(index: Index, keys: list, least_score: float, least_words: int, id_t
                         by_text[t, item].append((p - int(words.ptr[t]), q))
                 out = []
                 for (t, k), hits in by_text.items():
-                    item, mine = index.items[k], words.of(t)
-                    m = len(item)
+                    item, weights, mine = index.items[k], index.weights[k], words.of(t)
+                    m, full = len(item), MATCH * float(index.weights[k].sum())
                     best = (0.0, 0, 0)
                     for a, b in windows(hits, m, min(LEAST_SEEDS, max(1, m - SEED + 1))):
-                        score, end = align(item, mine[a:b])
-                        if score / (MATCH * m) > best[0]:
-                            back, length = align(item[::-1], mine[a:a + end][::-1])
-                            best = (score / (MATCH * m), a + end - length, a + end)
-                    if best[0] >= least_score and best[0] * m >= min(m, least_words) * least_score:
-                        out.append((batch.column(0)[t].as_py(), keys[k], best[0], best[1], best[2],
-                                    words.text(int(words.ptr[t]) + best[1], int(words.ptr[t]) + best[2])))
+                        score, end = align(item, mine[a:b], weights)
+                        if score / full > best[0] + 1e-9:
+                            _, length = align(item[::-1], mine[a:a + end][::-1], weights[::-1])
+                            best = (score / full, a + end - length, a + end)
+                    score = round(best[0], 9)  # sums of weights
+                    if score >= least_score and score * m >= min(m, least_words) * least_score:
+                        passage = words.text(int(words.ptr[t]) + best[1], int(words.ptr[t]) + best[2])
+                        out += [(batch.column(0)[t].as_py(), key, score, best[1], best[2], passage) for key in keys[k]]
                 columns = list(zip(*out, strict=True)) or [()] * 6
                 yield pa.record_batch([pa.array(c, ty) for c, ty in zip(columns, (
                     id_type, item_type, pa.float64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
@@ -148,20 +179,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
 
     One row per (document, item): the best Smith-Waterman alignment of the whole
     item with the document, scored from 0 to 1 (1: the item word for word;
-    match 2, mismatch and gap -1, over twice the item's words), where it is at
-    least `least_score`; start and end count words, end exclusive. Words are
+    match 2, mismatch and gap -1, times the word's weight, over twice the weights of the item's words), where it is at
+    least `least_score`; a word weighs log((n+1)/d) / log(n+1), at least 0.05, where d of the n items hold
+    the rarest 3-gram that it is part of, so a phrase that many items share is no copy of any of them; start and end count words, end exclusive. Words are
     compared without case (A-Z) and without punctuation at their ends.
 
     1. Corpus counts of the items' 3-grams, over all documents.
     2. Of each item the rarest three quarters of its 3-grams are seeds: rarity is
        relative to the item, so a passage that very many documents copy keeps
-       its seeds. A text's stretches with at least two seeds on nearby diagonals are aligned.
+       its seeds. 3-grams that more than 8 items share are left out where an item
+       has two others, so a hit leads to few items. A text's stretches with at least two seeds on nearby diagonals are aligned.
 
     Documents never move: the items' index goes to them, in blocks of at most
-    32 MB of benchmark text, each a pass over all documents. Null and empty
+    8 MB of benchmark text, each a pass over all documents. Null and empty
     texts and items match nothing; an item of fewer than three words is a seed as
     a whole; repeated rows of documents give repeated results, repeated items
-    one each; empty tables give no rows; other columns are ignored.
+    one each (items of equal words are aligned once); empty tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -175,11 +208,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
         mine = items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == block)
         rows = sorted(mine.distinct().collect(), key=lambda r: (r[0] is None, r[0], r[1]))  # a block, see above
         texts = text_words(pa.array([r[1] for r in rows], pa.string()), trim=True)
-        hashes = [texts.of(i) for i in range(len(rows))]
+        same: dict[bytes, list[int]] = {}
+        for i in range(len(rows)):
+            same.setdefault(texts.of(i).tobytes(), []).append(i)  # items of the same words are one
+        hashes = [texts.of(of[0]) for of in same.values()]
+        keys = [list(dict.fromkeys(rows[i][0] for i in of)) for of in same.values()]
         index = Index(hashes)
         grams_by_row = base.mapInArrow(_counter(index), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         counts = {int(index.hashes[r["gram"]]): r["n"] for r in grams_by_row.collect()}  # the block's n-grams
-        part = base.mapInArrow(_finder(Index(hashes, counts), [r[0] for r in rows], least_score, least_words,
+        part = base.mapInArrow(_finder(Index(hashes, counts), keys, least_score, least_words,
                                        _arrow(kind), _arrow(item_kind)),
                                f"doc_id {kind}, item_id {item_kind}, score double, start long, end long, passage string")
         part = staged(part, "leaks") if blocks > 1 else part
