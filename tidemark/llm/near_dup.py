@@ -170,10 +170,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
     signed = staged(base.mapInArrow(_signer(shingle, slots, band),
                                     f"row_key string, doc_id {id_type}, n_shingles long, set_key binary, bands array<long>"), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
-    # equal sets have equal bands
+    # equal sets have equal bands; nodes are numbered in the order of their smallest identifiers, so that the hub of a
+    # bucket is its smallest document: the one that copies are likely to have been made from, and close to most of them
     classes = staged(signed.where("set_key is not null").groupBy("set_key")
                      .agg(least.alias("least"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
-                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+                     .orderBy("least").withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", "n", F.posexplode("bands").alias("slot", "value"))
     buckets = members.groupBy("slot", "value").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     members = staged(members.join(buckets, ["slot", "value"]).select("slot", "value", "node", "n", "hub"), "members")
@@ -203,7 +204,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
     first = grouped.groupBy("component").agg(F.min("least").alias("first"))
     of_class = (classes.select("set_key", "least").join(grouped.join(first, "component").select("set_key", "first"), "set_key", "left")
                 .select("set_key", F.coalesce("first", "least").alias("first")))
-    rows = signed.drop("bands").join(of_class, "set_key", "left")
+    rows = spread_join(signed.drop("bands"), of_class, "set_key", F.col("row_key"), "left")
     alone = F.col("set_key").isNull()
     rows = rows.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
                        "row_key", (alone | (F.col("row_key") == F.col("first.row_key"))).alias("stays"))

@@ -159,7 +159,7 @@ def repeated_passages(docs: DataFrame, least: int = 50, window: int = 20, id_col
     contexts = staged(candidates.groupBy("key", "context")
                       .agg(F.min(F.struct("doc_id", "place")).alias("least"), F.max("doc_id").alias("hi"))
                       .select("key", "context", F.col("least.doc_id").alias("lo"), "least.place", "hi"), "contexts")
-    contexts = contexts.join(contexts.groupBy("key").agg(F.count("*").alias("n")), "key")
+    contexts = spread_join(contexts, contexts.groupBy("key").agg(F.count("*").alias("n")), "key", F.col("context"), pieces=PIECES)
     alone = contexts.where("n = 1").select("key", "context", F.lit(0).alias("a"), (F.col("place") % window).cast("int").alias("b"), "lo", "hi")
     marks = (contexts.where("n > 1").groupBy(F.col("lo").alias("doc_id"))
              .agg(F.collect_list(F.struct("place", "key", "context", "hi")).alias("marks")))
