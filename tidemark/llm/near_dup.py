@@ -124,8 +124,8 @@ def _prefix_pairs(nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> D
 
 def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity, from the whole texts."""
-    rows = (pairs.select("a", "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    # a hub may be compared with a third of all documents: its comparisons are dealt over tasks
+    rows = (spread_join(pairs.select("a", "b"), texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a", F.col("b"))
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
     return rows.mapInArrow(_verifier(k, percent), "a long, b long")
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
 
     size = classes.select(F.col("node").alias("hub"), F.col("n").alias("n2"))
     size = size.join(members.select("hub").distinct(), "hub", "left_semi")
-    pairs = (members.where("node <> hub").select("node", "n", "hub").distinct().join(size, "hub")
+    pairs = (spread_join(members.where("node <> hub").select("node", "n", "hub").distinct(), size, "hub", F.col("node"))
              # sets of too different sizes cannot be that similar
              .where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
              .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
