@@ -105,3 +105,24 @@ def test_lists_are_pushed_into_scans(spark, ledger, tmp_dir):
     spark.read.parquet(f"{tmp_dir}/v").createOrReplaceTempView("bound_stored")
     plan = select_where(spark, "bound_stored", among={"country": ["a", "b"]})._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(country, [a,b])]" in plan
+
+
+def test_a_session_without_context_needs_the_shared_folder():
+    """As under Spark Connect: there is no context to ask, and an empty folder would mean the root."""
+    from tidemark.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Remote:
+        def __init__(self, **conf):
+            self.conf = Conf(conf)
+
+        @property
+        def sparkContext(self):  # noqa: N802
+            raise NotImplementedError
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        checkpoint_dir(Remote())
+    assert checkpoint_dir(Remote(**{"spark.checkpoint.dir": "s3a://x/y"})) == "s3a://x/y"

@@ -41,7 +41,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return folder
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
