@@ -159,7 +159,8 @@ def run_checks(ledger: DataFrame, customers: DataFrame, plans: DataFrame) -> Dat
     The ledger is read by two aggregations, each with the columns it needs: one
     by month (a few hundred rows; V2 and V3) and one that counts rows by
     (customer, current plan) (V4-V7), both combined before their shuffle. Lazy:
-    no job runs and nothing is stored."""
+    no job runs and nothing is stored, so a ledger that is not stored is built
+    twice: pass the stored one (as ``jobs.validate`` does)."""
     by_month = Window.orderBy("month_date")  # one row per month
     expected = F.col("starting_mrr") + sum(F.col(a) for a in WATERFALL_ALIASES)
     balances = monthly_waterfall(ledger).select(
