@@ -5,10 +5,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from edge import ODD, frame, prose
+from edge import ODD, frame, prose, words as split
 
 from tidemark.llm.labelled import temperature
-from tidemark.llm.quality import quality_scores
+from tidemark.llm.quality import DIMENSIONS, WINDOW, fit_quality, index_vectors, pooled, quality_scores, word_vectors
 from tidemark.llm.toxicity import Finder, Lexicon, features, toxicity_scores
 from tidemark.llm.words import text_words
 
@@ -157,6 +157,67 @@ def test_quality_learns_junk(spark):
     assert np.mean([r.predicted == (r.doc_id % 3 != 0) for r in held]) > 0.97
 
 
+def plain_vectors(texts, one_in):
+    """Word vectors and pooled ones by the definition, word by word: (vector of each frequent word, pooled vector of each text)."""
+    index = {w: index_vectors(text_words(pa.array([w])).hashes)[0].astype(float) for t in texts for w in split(t)}
+
+    def context(ws, i):
+        return sum((index[ws[j]] for j in range(max(i - WINDOW, 0), min(i + WINDOW + 1, len(ws))) if j != i), np.zeros(DIMENSIONS))
+
+    total, count, sums = 0, {}, {}
+    for t in texts:
+        ws = split(t)
+        for i, w in enumerate(ws):
+            total += 1
+            count[w] = count.get(w, 0) + 1
+            sums[w] = sums.get(w, 0) + context(ws, i)
+    mean = sum(sums.values()) / total
+
+    def unit(v):
+        return v / max(np.linalg.norm(v), 1e-6)
+
+    known = {w: unit(sums[w] - n * mean) for w, n in count.items() if n * one_in >= total}
+    pools = []
+    for t in texts:
+        ws, weight, pool = split(t), 0, np.zeros(DIMENSIONS)
+        for i, w in enumerate(ws):
+            g = 1e-3 / (1e-3 + count[w] / total) if w in known else 1.0
+            pool += g * (known[w] if w in known else unit(context(ws, i) - mean))
+            weight += g
+        pools.append(pool / weight if ws else pool)
+    return known, np.array(pools)
+
+
+def test_word_vectors_against_definition(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.quality.BLOCK", 37)  # texts lie across blocks (here; the tasks keep theirs)
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)] + ["É", "stop,", "Stop,"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    texts = [" ".join(rng.choices(vocabulary, weights, k=rng.choice((0, 1, 2, 3, 30, 90)))) for _ in range(60)] + [None, " \n", "one"]
+    docs = spark.createDataFrame(list(enumerate(t or "" for t in texts)), "doc_id long, text string").repartition(5)
+    for one_in in (1 << 18, 40, 1):
+        tables = word_vectors(docs, one_in)
+        known, pools = plain_vectors(texts, one_in)
+        assert len(tables[0].hashes) == len(known) and (one_in > 40 or len(known) <= one_in)
+        row = {h: v for h, v in zip(tables[0].hashes.tolist(), tables[0].vectors)}
+        for w, v in known.items():
+            assert np.allclose(row[int(text_words(pa.array([w])).hashes[0])], v, atol=1e-5), w
+        got = pooled(text_words(pa.array([t or "" for t in texts])), tables)
+        assert np.allclose(got[:, :DIMENSIONS], pools, atol=1e-5)
+
+
+def test_quality_features_do_not_depend_on_the_batch(spark):
+    texts = [t or "" for _, t, _ in ODD] + [prose(n, n) for n in (1, 2, 70, 900)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables = word_vectors(docs, 500)
+    together = pooled(text_words(pa.array(texts)), tables)
+    alone = np.vstack([pooled(text_words(pa.array([t])), tables) for t in texts])
+    assert np.allclose(together, alone, atol=1e-9)
+    assert not together[[i for i, t in enumerate(texts) if not t.strip()]].any()
+    score = fit_quality(docs, labels(spark, []))
+    assert (score(pa.array(texts)) == 0.5).all()
+
+
 def test_without_labels_and_empty(spark):
     none = labels(spark, [])
     for scores in (quality_scores, toxicity_scores):

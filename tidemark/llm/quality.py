@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, id_and_text, prepare
+from tidemark.llm.common import discard, held_out, id_and_text, prepare, scratch
 from tidemark.llm.labelled import fitted, labelled_sample
 from tidemark.llm.words import Words, mix, slices, text_words
 
-#: Word buckets, shape buckets (behind them in one table), dimensions, words to either side.
-WORD_BUCKETS, SHAPE_BUCKETS, DIMENSIONS, WINDOW = 1 << 14, 1 << 11, 32, 2
-BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
+#: Dimensions (4 of an index vector are not zero, one in each quarter), words to either side.
+DIMENSIONS, WINDOW = 32, 2
+#: A word has a vector from the whole corpus if it makes one in so many of all words, or more; no more than so many words can.
+ONE_IN = 1 << 18
+#: Words counted at a time within a task; words whose vectors are held at a time, however long their text.
+CHUNK, BLOCK = 1 << 21, 1 << 16
 #: Bytes that are capitals, digits, ASCII punctuation.
 CLASSES = np.zeros((3, 256), bool)
 CLASSES[0, 0x41:0x5B] = CLASSES[1, 0x30:0x3A] = True
@@ -24,118 +28,222 @@ CLASSES[2] &= ~(CLASSES[0] | CLASSES[1])
 CLASSES[2, 0x61:0x7B] = False
 
 
-def index_vectors() -> np.ndarray:
-    """Each bucket's sparse random index vector: 2 entries of +1 and 2 of -1."""
-    rng = np.random.Generator(np.random.PCG64(11))
-    out = np.zeros((BUCKETS, DIMENSIONS), np.int8)
-    at = np.argsort(rng.random((BUCKETS, DIMENSIONS)), axis=1)[:, :4]
-    np.put_along_axis(out, at, np.array([1, 1, -1, -1], np.int8)[None, :], axis=1)
+class Table(NamedTuple):
+    """What the corpus says of its frequent words (or shapes): ascending hashes, unit vectors, weights; and the mean context of all words."""
+
+    hashes: np.ndarray
+    vectors: np.ndarray
+    weight: np.ndarray
+    mean: np.ndarray
+
+
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """Each hash's sparse random index vector, by its bits: +1 or -1 at one place of every quarter."""
+    bits = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
+    out = np.zeros((len(hashes), DIMENSIONS), np.int8)
+    row, quarter = np.arange(len(hashes)), DIMENSIONS // 4
+    for k in range(4):
+        place = ((bits >> np.uint64(16 * k)) % np.uint64(quarter)).astype(np.int64)
+        out[row, quarter * k + place] = 1 - 2 * ((bits >> np.uint64(16 * k + 15)) & np.uint64(1)).astype(np.int8)
     return out
 
 
-def buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """For every word its bucket, and the bucket of its shape: the class of its first two and
-    last two bytes (the byte itself unless a letter), its length, whether it repeats the word before."""
+def shapes(words: Words) -> np.ndarray:
+    """For every word a hash of its shape: the class of its first two and last two bytes (the byte
+    itself unless a letter), its length, whether it repeats the word before."""
     kind = np.arange(256, dtype=np.int64)
     kind[0x30:0x3A], kind[0x41:0x5B], kind[0x61:0x7B], kind[0x80:] = 1, 2, 3, 4
     data, s, e = words.data, words.starts, words.ends
     if not len(s):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     again = np.zeros(len(s), np.int64)
     again[1:] = words.hashes[1:] == words.hashes[:-1]
     shape = np.minimum(e - s, 15) * 2 + again
     for at in (s, np.minimum(s + 1, e - 1), np.maximum(e - 2, s), e - 1):
         shape = shape * 256 + kind[data[at]]
-    return ((words.hashes % np.uint64(WORD_BUCKETS)).astype(np.int64),
-            WORD_BUCKETS + (mix(shape.astype(np.uint64)) % np.uint64(SHAPE_BUCKETS)).astype(np.int64))
+    return mix(shape.astype(np.uint64))
+
+
+def streams(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The two sequences that get vectors: the words, and their shapes."""
+    return words.hashes, shapes(words)
+
+
+def text_of_words(words: Words) -> np.ndarray:
+    """For every word the number of its text in the batch."""
+    return np.repeat(np.arange(len(words)), np.diff(words.ptr))
 
 
-def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: every bucket's count and the sum of the index vectors around its words."""
-    index = index_vectors()
-    sums, counts = np.zeros((BUCKETS, DIMENSIONS), np.int64), np.zeros(BUCKETS, np.int64)
+def contexts(hashes: np.ndarray, text_of: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """For words lo to hi (exclusive) the sum of the index vectors of the words around each in its text."""
+    a, b = max(lo - WINDOW, 0), min(hi + WINDOW, len(hashes))
+    text_of = text_of[a:b]
+    different, which = np.unique(hashes[a:b], return_inverse=True)
+    vectors = index_vectors(different)[which]
+    around = np.zeros_like(vectors)
+    for o in range(1, WINDOW + 1):
+        same = (text_of[o:] == text_of[:-o])[:, None]
+        around[o:] += vectors[:-o] * same
+        around[:-o] += vectors[o:] * same
+    return around[lo - a:hi - a]
+
+
+def places(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where each hash stands among the ascending `known`, or -1."""
+    if not len(known):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at, -1)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chunk of a task's words: every different word and shape with its count."""
+    def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for k, parts in enumerate(zip(*held)):
+            found, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.record_batch([pa.array(np.full(len(found), k, np.int32)), pa.array(found.view(np.int64)), pa.array(n)],
+                                  names=["stream", "word", "n"])
+
+    held, size = [], 0
     for whole in batches:
         for batch in slices(whole, "text", 1 << 20):
             words = text_words(batch.column(1))
-            text_of = np.repeat(np.arange(len(words)), np.diff(words.ptr))
-            for row in buckets(words):
-                if not len(row):
-                    continue
-                around = np.zeros((len(row), DIMENSIONS), np.int8)
-                vectors = index[row]
-                for o in range(1, WINDOW + 1):
-                    same = (text_of[o:] == text_of[:-o])[:, None]
-                    around[o:] += vectors[:-o] * same
-                    around[:-o] += vectors[o:] * same
-                order = np.argsort(row, kind="stable")
-                uniq, first, n = np.unique(row[order], return_index=True, return_counts=True)
-                sums[uniq] += np.add.reduceat(around[order], first, axis=0, dtype=np.int64)
-                counts[uniq] += n
-    seen = np.flatnonzero(counts)
-    if len(seen):
-        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64()),
-                               pa.array(list(sums[seen]), pa.list_(pa.int64()))], names=["bucket", "n", "v"])
-
-
-def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Random-indexing vectors over all of `docs` (doc_id, text), and each bucket's share of all words.
-
-    Tasks add up their own tables, Spark adds the tables by bucket; the result
-    has a fixed number of buckets, whatever the vocabulary.
+            held.append(streams(words))
+            size += len(words.starts)
+            if size >= CHUNK:
+                yield from counted(held)
+                held, size = [], 0
+    yield from counted(held)
+
+
+def _context_sums(known: list[np.ndarray]) -> Callable:
+    """Per task: the sum of the contexts of every known word, and behind these that of all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((len(k) + 1, DIMENSIONS), np.int64) for k in known]
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 20):
+                words = text_words(batch.column(1))
+                text_of = text_of_words(words)
+                for total, table, hashes in zip(sums, known, streams(words)):
+                    for lo in range(0, len(hashes), BLOCK):
+                        hi = min(lo + BLOCK, len(hashes))
+                        around = contexts(hashes, text_of, lo, hi)
+                        total[-1] += around.sum(0, dtype=np.int64)
+                        at = places(hashes[lo:hi], table)
+                        order = np.argsort(at, kind="stable")
+                        order = order[np.searchsorted(at[order], 0):]
+                        found, first = np.unique(at[order], return_index=True)
+                        if len(found):
+                            total[found] += np.add.reduceat(around[order], first, axis=0, dtype=np.int64)
+        for k, total in enumerate(sums):
+            seen = np.flatnonzero(total.any(1))
+            for i in range(0, len(seen), 8192):
+                at = seen[i:i + 8192]
+                ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * DIMENSIONS)
+                yield pa.record_batch([pa.array(np.full(len(at), k, np.int32)), pa.array(at),
+                                       pa.ListArray.from_arrays(ends, pa.array(total[at].ravel()))], names=["stream", "at", "v"])
+    return run
+
+
+def word_vectors(docs: DataFrame, one_in: int = ONE_IN) -> list[Table]:
+    """Random-indexing vectors over all of `docs` (doc_id, text), one table for words and one for shapes.
+
+    All words are counted exactly by Spark; those that make one in `one_in` of
+    all words are at most `one_in`, and only they come to the driver. A second
+    pass sums their contexts over all texts: each task adds up its own, Spark
+    adds those of the tasks. A word's vector is this sum less what as many mean
+    contexts would give, at length one. No two words share a vector.
     """
-    prepare(docs.sparkSession)
-    tables = docs.mapInArrow(_context_sums, "bucket long, n long, v array<long>")
-    rows = tables.groupBy("bucket").agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(DIMENSIONS)])
-    vectors, share = np.zeros((BUCKETS, DIMENSIONS), np.float32), np.zeros(BUCKETS, np.float32)
-    got = rows.toPandas().to_numpy(np.float64)  # at most BUCKETS rows
-    if len(got):
-        at = got[:, 0].astype(int)
-        share[at] = got[:, 1] / got[:, 1].sum()
-        vectors[at] = got[:, 2:] / np.sqrt(got[:, 1:2])
-        vectors[at] -= vectors[at].mean(0)
+    spark = docs.sparkSession
+    prepare(spark)
+    path = scratch(spark, "word-counts")
+    (docs.mapInArrow(_counts, "stream int, word long, n long").groupBy("stream", "word").agg(F.sum("n").alias("n"))
+     .write.parquet(path))
+    counts = spark.read.schema("stream int, word long, n long").parquet(path)
+    total = counts.where("stream = 0").agg(F.sum("n")).first()[0] or 0
+    least = max(1, -(-total // one_in))
+    frequent = counts.where(F.col("n") >= least).toPandas()  # at most `one_in` rows of each stream
+    discard(spark, path)
+
+    known, n = [], []
+    for k in range(2):
+        rows = frequent[frequent["stream"] == k]
+        hashes = rows["word"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        known.append(hashes[order])
+        n.append(rows["n"].to_numpy(np.float64)[order])
+    sums = [np.zeros((len(k) + 1, DIMENSIONS)) for k in known]
+    rows = docs.mapInArrow(_context_sums(known), "stream int, at long, v array<long>")
+    got = rows.groupBy("stream", "at").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(DIMENSIONS)]).toPandas()
+    for k in range(2):
+        mine = got[got["stream"] == k]
+        sums[k][mine["at"].to_numpy(np.int64)] = mine.iloc[:, 2:].to_numpy(np.float64)
+    out = []
+    for hashes, count, v in zip(known, n, sums):
+        mean = v[-1] / max(total, 1)
+        vectors = v[:-1] - count[:, None] * mean
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
-    return vectors, share
+        out.append(Table(hashes, vectors.astype(np.float32), 1e-3 / (1e-3 + count / max(total, 1)), mean.astype(np.float32)))
+    return out
 
 
-def pooled(words: Words, vectors: np.ndarray, share: np.ndarray) -> np.ndarray:
+def pooled(words: Words, tables: list[Table]) -> np.ndarray:
     """Per text: the mean vector of its words and of their shapes (frequent ones count less),
-    and six plain measures (words, word length, capitals, digits, punctuation, different words)."""
+    and six plain measures (words, word length, capitals, digits, punctuation, different words).
+
+    A word without a row in its table, thus rarer than one in `one_in`, takes
+    the vector of the one context it stands in here, less the mean context, at
+    weight one.
+    """
     n = len(words)
     out = np.zeros((n, 2 * DIMENSIONS + 6))
     if not len(words.starts):
         return out
-    rows = buckets(words)
+    text_of = text_of_words(words)
+    for k, (table, hashes) in enumerate(zip(tables, streams(words))):
+        sums, weights = out[:, k * DIMENSIONS:(k + 1) * DIMENSIONS], np.zeros(n)
+        for lo in range(0, len(hashes), BLOCK):
+            hi = min(lo + BLOCK, len(hashes))
+            at = places(hashes[lo:hi], table.hashes)
+            vectors, weight = np.zeros((hi - lo, DIMENSIONS)), np.ones(hi - lo)
+            common = np.flatnonzero(at >= 0)
+            vectors[common], weight[common] = table.vectors[at[common]], table.weight[at[common]]
+            if len(common) < len(at):
+                rare = np.flatnonzero(at < 0)
+                own = contexts(hashes, text_of, lo, hi)[rare] - table.mean
+                vectors[rare] = own / np.maximum(np.sqrt(np.einsum("ij,ij->i", own, own)), 1e-6)[:, None]
+            texts, first = np.unique(text_of[lo:hi], return_index=True)
+            sums[texts] += np.add.reduceat(vectors * weight[:, None], first, axis=0)
+            weights[texts] += np.add.reduceat(weight, first)
+        sums /= np.maximum(weights, 1e-12)[:, None]
     data = words.data
     flags = CLASSES[:, data]
     for i in range(n):
         a, b = words.ptr[i], words.ptr[i + 1]
         if a == b:
             continue
-        for k, row in enumerate(rows):
-            weight = 1e-3 / (1e-3 + share[row[a:b]])
-            out[i, k * DIMENSIONS:(k + 1) * DIMENSIONS] = weight @ vectors[row[a:b]] / weight.sum()
         x, y = words.offsets[i], words.offsets[i + 1]
         out[i, -6:] = (np.log(b - a), (words.ends[a:b] - words.starts[a:b]).mean(),
                        *flags[:, x:y].mean(1), len(np.unique(words.hashes[a:b])) / (b - a))
     return out
 
 
-def scorer(model: Callable, vectors: np.ndarray, share: np.ndarray) -> Callable[[pa.Array], np.ndarray]:
+def scorer(model: Callable, tables: list[Table]) -> Callable[[pa.Array], np.ndarray]:
     """A function from an Arrow column of texts (no nulls) to scores."""
     def score(texts: pa.Array) -> np.ndarray:
-        return model(pooled(text_words(texts), vectors, share))
+        return model(pooled(text_words(texts), tables))
     return score
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, most: int = 20000, label: str = "quality") -> Callable:
+def fit_quality(docs: DataFrame, labels: DataFrame, most: int = 20000, label: str = "quality", one_in: int = ONE_IN) -> Callable:
     """Word vectors over all documents, then the network on at most `most` labelled ones; gives a `scorer`."""
     base = id_and_text(docs)
-    vectors, share = word_vectors(base)
+    tables = word_vectors(base, one_in)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
-                x = pooled(text_words(batch.column(1)), vectors, share)
+                x = pooled(text_words(batch.column(1)), tables)
                 yield pa.record_batch([batch.column(0), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))],
                                       names=["doc_id", "y", "x"])
 
@@ -143,7 +251,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = 20000, label: st
     rows = sample.select("doc_id", "text", "y").mapInArrow(features, "doc_id long, y int, x array<double>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")  # the fit does not depend on the order of tasks
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, 2 * DIMENSIONS + 6))
-    return scorer(fitted(x, rows["y"].to_numpy()), vectors, share)
+    return scorer(fitted(x, rows["y"].to_numpy()), tables)
 
 
 def scored(docs: DataFrame, score: Callable, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,8 +272,9 @@ def scored(docs: DataFrame, score: Callable, threshold: float, id_col: str = "do
 def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 20000, threshold: float = 0.5) -> DataFrame:
     """Per document: doc_id, held_out, score (1: good), predicted.
 
-    Word vectors come from all documents; labels only of rows that are not held
-    out, at most `most` of them. Every row is scored, whole texts; null and
+    Word vectors come from all documents (a word rarer than one in `ONE_IN` takes
+    that of its context in the text at hand); labels only of rows that are not
+    held out, at most `most` of them. Every row is scored, whole texts; null and
     empty texts get the score of a text without words; without labels of both
     kinds every score is the share of label 1 (or 0.5). A null doc_id is scored
     like any other; repeated rows get equal scores; an empty table gives no
