@@ -19,7 +19,7 @@ DIMENSIONS, WINDOW = 32, 2
 #: A word has a vector from the whole corpus if it makes one in so many of all words, or more; no more than so many words can.
 ONE_IN = 1 << 18
 #: Words counted at a time within a task; words whose vectors are held at a time, however long their text.
-CHUNK, BLOCK = 1 << 21, 1 << 16
+CHUNK, BLOCK = 1 << 21, 1 << 15
 #: Bytes that are capitals, digits, ASCII punctuation.
 CLASSES = np.zeros((3, 256), bool)
 CLASSES[0, 0x41:0x5B] = CLASSES[1, 0x30:0x3A] = True
@@ -74,18 +74,31 @@ def text_of_words(words: Words) -> np.ndarray:
     return np.repeat(np.arange(len(words)), np.diff(words.ptr))
 
 
-def contexts(hashes: np.ndarray, text_of: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    """For words lo to hi (exclusive) the sum of the index vectors of the words around each in its text."""
-    a, b = max(lo - WINDOW, 0), min(hi + WINDOW, len(hashes))
-    text_of = text_of[a:b]
-    different, which = np.unique(hashes[a:b], return_inverse=True)
-    vectors = index_vectors(different)[which]
-    around = np.zeros_like(vectors)
-    for o in range(1, WINDOW + 1):
-        same = (text_of[o:] == text_of[:-o])[:, None]
-        around[o:] += vectors[:-o] * same
-        around[:-o] += vectors[o:] * same
-    return around[lo - a:hi - a]
+class Block(NamedTuple):
+    """At most BLOCK words of a batch, whatever their texts: `which` of the `different` hashes each is, and the sum of
+    the index vectors of the words around each in its text."""
+
+    lo: int
+    hi: int
+    different: np.ndarray
+    which: np.ndarray
+    around: np.ndarray
+
+
+def blocks(hashes: np.ndarray, text_of: np.ndarray) -> Iterator[Block]:
+    for lo in range(0, len(hashes), BLOCK):
+        hi = min(lo + BLOCK, len(hashes))
+        a, b = max(lo - WINDOW, 0), min(hi + WINDOW, len(hashes))
+        different, which = np.unique(hashes[a:b], return_inverse=True)
+        vectors = index_vectors(different)[which]
+        around = np.zeros_like(vectors)
+        for o in range(1, WINDOW + 1):
+            around[o:] += vectors[:-o]
+            around[:-o] += vectors[o:]
+            apart = np.flatnonzero(text_of[a + o:b] != text_of[a:b][:-o])
+            around[apart + o] -= vectors[apart]
+            around[apart] -= vectors[apart + o]
+        yield Block(lo, hi, different, which[lo - a:hi - a], around[lo - a:hi - a])
 
 
 def places(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -125,16 +138,15 @@ def _context_sums(known: list[np.ndarray]) -> Callable:
                 words = text_words(batch.column(1))
                 text_of = text_of_words(words)
                 for total, table, hashes in zip(sums, known, streams(words)):
-                    for lo in range(0, len(hashes), BLOCK):
-                        hi = min(lo + BLOCK, len(hashes))
-                        around = contexts(hashes, text_of, lo, hi)
-                        total[-1] += around.sum(0, dtype=np.int64)
-                        at = places(hashes[lo:hi], table)
-                        order = np.argsort(at, kind="stable")
-                        order = order[np.searchsorted(at[order], 0):]
-                        found, first = np.unique(at[order], return_index=True)
-                        if len(found):
-                            total[found] += np.add.reduceat(around[order], first, axis=0, dtype=np.int64)
+                    for block in blocks(hashes, text_of):
+                        total[-1] += block.around.sum(0, dtype=np.int64)
+                        at = places(block.different, table)
+                        order = np.argsort(block.which.astype(np.uint16) if len(at) <= 1 << 16 else block.which, kind="stable")
+                        n = np.bincount(block.which, minlength=len(at))
+                        seen = np.flatnonzero(n)
+                        each = np.add.reduceat(block.around[order], (np.cumsum(n) - n)[seen], axis=0, dtype=np.int64)
+                        known_here = at[seen] >= 0
+                        total[at[seen][known_here]] += each[known_here]
         for k, total in enumerate(sums):
             seen = np.flatnonzero(total.any(1))
             for i in range(0, len(seen), 8192):
@@ -202,29 +214,28 @@ def pooled(words: Words, tables: list[Table]) -> np.ndarray:
     text_of = text_of_words(words)
     for k, (table, hashes) in enumerate(zip(tables, streams(words))):
         sums, weights = out[:, k * DIMENSIONS:(k + 1) * DIMENSIONS], np.zeros(n)
-        for lo in range(0, len(hashes), BLOCK):
-            hi = min(lo + BLOCK, len(hashes))
-            at = places(hashes[lo:hi], table.hashes)
-            vectors, weight = np.zeros((hi - lo, DIMENSIONS)), np.ones(hi - lo)
-            common = np.flatnonzero(at >= 0)
+        for block in blocks(hashes, text_of):
+            at = places(block.different, table.hashes)[block.which]
+            vectors, weight = np.empty((len(at), DIMENSIONS)), np.ones(len(at))
+            common, rare = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
             vectors[common], weight[common] = table.vectors[at[common]], table.weight[at[common]]
-            if len(common) < len(at):
-                rare = np.flatnonzero(at < 0)
-                own = contexts(hashes, text_of, lo, hi)[rare] - table.mean
-                vectors[rare] = own / np.maximum(np.sqrt(np.einsum("ij,ij->i", own, own)), 1e-6)[:, None]
-            texts, first = np.unique(text_of[lo:hi], return_index=True)
-            sums[texts] += np.add.reduceat(vectors * weight[:, None], first, axis=0)
-            weights[texts] += np.add.reduceat(weight, first)
+            own = block.around[rare] - table.mean
+            vectors[rare] = own / np.maximum(np.sqrt(np.einsum("ij,ij->i", own, own)), 1e-6)[:, None]
+            for i in range(text_of[block.lo], text_of[block.hi - 1] + 1):
+                a, b = max(words.ptr[i] - block.lo, 0), min(words.ptr[i + 1], block.hi) - block.lo
+                sums[i] += weight[a:b] @ vectors[a:b]
+                weights[i] += weight[a:b].sum()
         sums /= np.maximum(weights, 1e-12)[:, None]
     data = words.data
-    flags = CLASSES[:, data]
+    ends = np.zeros((3, len(data) + 1), np.int64)
+    np.cumsum(CLASSES[:, data], axis=1, out=ends[:, 1:])
     for i in range(n):
         a, b = words.ptr[i], words.ptr[i + 1]
         if a == b:
             continue
         x, y = words.offsets[i], words.offsets[i + 1]
         out[i, -6:] = (np.log(b - a), (words.ends[a:b] - words.starts[a:b]).mean(),
-                       *flags[:, x:y].mean(1), len(np.unique(words.hashes[a:b])) / (b - a))
+                       *(ends[:, y] - ends[:, x]) / (y - x), len(np.unique(words.hashes[a:b])) / (b - a))
     return out
 
 
