@@ -85,7 +85,7 @@ def test_misspellings_of_accented_words():
 
 
 def test_words_and_terms_of_any_length():
-    """Around and beyond the length up to which deletion neighbourhoods are taken, the same hits as the whole trie gives."""
+    """Around and beyond the length up to which words are walked many at a time, the same hits as a word walked alone gives."""
     rng = random.Random(9)
     terms = ["".join(rng.choice("abcdef") for _ in range(n)) for n in (30, 50, 61, 62, 63, 64, 65, 66, 67, 68, 90, 400) for _ in range(2)]
     lexicon = Lexicon(terms, [])
@@ -103,6 +103,34 @@ def test_words_and_terms_of_any_length():
     assert 200 < found < 400
 
 
+def test_words_walked_side_by_side(monkeypatch):
+    """Many words through the whole trie at once, in chunks of states and words, against edit distances; more letters than a bag has bits."""
+    rng = random.Random(12)
+    letters = "abcdefgh" + "".join(chr(0x430 + i) for i in range(32)) + "".join(chr(0x4E00 + i) for i in range(60))
+    pools = [letters[:8], letters[:8], letters[8:40], letters]
+    terms = sorted({"".join(rng.choices(pool, k=rng.randint(3, 11))) for pool in pools for _ in range(60)} | {"abcab", "abcabc", "abcabcab"})
+    words = list(terms)
+    for _ in range(2500):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w) + 1)
+            w[k:k + rng.randint(0, 1)] = rng.choices(rng.choice(pools) + "€", k=rng.randint(0, 1))
+        words.append("".join(w))
+    words = sorted(set(words))
+    want = {}
+    for w in words:
+        near = [(d, t) for t in terms if abs(len(t) - len(w)) <= Lexicon.edits(len(w))
+                and (d := edits(w, t)) <= min(Lexicon.edits(len(w)), Lexicon.edits(len(t)))]
+        if near and Lexicon.edits(len(w)):
+            want[w] = min(near)[::-1]
+    lexicon = Lexicon(terms, [])
+    assert lexicon.match_all(words) == want and len(want) > 1000
+    monkeypatch.setattr("tidemark.llm.toxicity.STATES", 7)
+    monkeypatch.setattr("tidemark.llm.toxicity.BLOCK", 50)
+    assert lexicon.match_all(words) == want
+    assert Lexicon([], []).match_all(words) == {} and lexicon.match_all([]) == {}
+
+
 def test_quoted_and_used():
     finder = Finder(Lexicon(["moron", "worthless"], []))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text, prepare
 from tidemark.llm.labelled import fitted, labelled_sample
 from tidemark.llm.quality import scored
-from tidemark.llm.words import Words, member, mix, powers, slices, text_words
+from tidemark.llm.words import Words, slices, text_words
 
 #: Words on either side of a hit that its window holds.
 WINDOW = 6
@@ -26,8 +26,10 @@ QUOTES = "\"'`«»‘’“”„"
 LEAST_G2, LEAST_SHARE = 25.0, 0.7
 #: Letters of a word's beginning that may be a term of their own.
 STEMS = (4, 5, 6)
-#: Characters up to which a word's deletion neighbourhood is worth taking; a longer one is read beside the terms of its length.
-LONG = 64
+#: Letters of a word up to which the automaton's rows fit 64 bits and words are walked many at a time; a longer word walks alone.
+LONG = 60
+#: States held at a time in a walk of many words, and words of a walk.
+STATES, BLOCK = 1 << 20, 1024
 _CACHE: dict = {}
 
 
@@ -43,36 +45,60 @@ def plain(raw: bytes) -> str:
 
 
 class Lexicon:
-    """A trie of terms; `match` walks it together with a word's Levenshtein automaton.
+    """A trie of terms, walked together with words' Levenshtein automata.
 
     The automaton of a word of n letters is bit-parallel: row j has bit i set when
     i letters are read with j edits. States follow the trie's edges, and a branch
     ends where no state is alive, so the walk visits only prefixes within reach.
+    `match` walks one word, `match_all` many words side by side, level by level.
     """
 
     def __init__(self, terms: list[str], stems: list[str]) -> None:
         self.terms, self.stems = sorted(terms), sorted(stems)
-        self.trie = self._trie(self.terms)
+        self.trie: dict = {}
+        for k, term in enumerate(self.terms):
+            node = self.trie
+            for c in term:
+                node = node.setdefault(c, {})
+            node[""] = k
+        self._flatten()
         self._stems = frozenset(self.stems)
         self._stem_lengths = sorted({len(s) for s in self.stems})
 
-    @staticmethod
-    def _trie(terms) -> dict:
-        trie: dict = {}
-        for term in terms:
-            node = trie
-            for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
-        return trie
+    def _flatten(self) -> None:
+        """The trie as arrays, a level after the other: each node's letter, children (side by side) and term and, as bits, the
+        lengths of the terms at and below it that may be misspelt and that a word of LONG letters reaches, the letters that
+        none of these terms has and those that all of them have (letters that share a bit count as one)."""
+        letters = {c: k for k, c in enumerate(sorted({c for t in self.terms for c in t}))}
+        nodes, letter, parent, first, children = [self.trie], [len(letters)], [0], [], []
+        for k, node in enumerate(nodes):  # grows while it is read
+            edges = [c for c in node if c]
+            first.append(len(nodes))
+            children.append(len(edges))
+            nodes += [node[c] for c in edges]
+            letter += [letters[c] for c in edges]
+            parent += [k] * len(edges)
+        term = [node.get("", -1) for node in nodes]
+        below, some, all_ = [0] * len(nodes), [0] * len(nodes), [2**64 - 1] * len(nodes)
+        for k in range(len(nodes) - 1, -1, -1):
+            own = self.terms[term[k]] if term[k] >= 0 else ""
+            if len(own) <= LONG + 2 and self.edits(len(own)):
+                bits = sum({1 << (letters[c] & 63) for c in own})
+                below[k], some[k], all_[k] = below[k] | 1 << len(own), some[k] | bits, all_[k] & bits
+            if below[k]:
+                below[parent[k]], some[parent[k]], all_[parent[k]] = below[parent[k]] | below[k], some[parent[k]] | some[k], all_[parent[k]] & all_[k]
+        self._letters = letters
+        self._letter, self._first, self._children, self._term = (np.array(x, np.int64) for x in (letter, first, children, term))
+        self._below, self._none, self._every = np.array(below, np.uint64), ~np.array(some, np.uint64), np.array(all_, np.uint64)
+        self._most = np.array([self.edits(len(t)) for t in self.terms], np.int64)
 
     @staticmethod
     def edits(n: int) -> int:
         """Misspellings allowed in a word of n letters."""
         return 0 if n < 5 else 1 if n < 8 else 2
 
-    def match(self, word: str, among: list[str] | None = None) -> tuple[str, int] | None:
-        """The nearest term (`among` some, or of all) and its distance, or None."""
+    def match(self, word: str) -> tuple[str, int] | None:
+        """The nearest term and its distance, or None."""
         k, n = self.edits(len(word)), len(word)
         letters: dict[str, int] = {}
         for i, c in enumerate(word):
@@ -87,89 +113,106 @@ class Lexicon:
             return tuple(new)
 
         rows = tuple((1 << (j + 1)) - 1 for j in range(k + 1))
-        stack = [(self.trie if among is None else self._trie(among), rows)]
+        stack = [(self.trie, rows)]
         while stack:
             node, rows = stack.pop()
             term = node.get("")
             if term is not None:
                 d = next((j for j, r in enumerate(rows) if r & goal), None)
-                if d is not None and d <= self.edits(len(term)) and (best is None or (d, term) < best):
+                if d is not None and d <= self._most[term] and (best is None or (d, term) < best):
                     best = (d, term)
             for c, below in node.items():
                 if c:
                     new = step(rows, c)
                     if any(r & ((goal << 1) - 1) for r in new):
                         stack.append((below, new))
-        return (best[1], best[0]) if best else None
+        return (self.terms[best[1]], best[0]) if best else None
+
+    def match_all(self, words: list[str]) -> dict[str, tuple[str, int]]:
+        """The nearest term and its distance of those different words that have one within reach."""
+        lens = np.array([len(w) for w in words], np.int64)
+        found = {words[i]: self.match(words[i]) for i in np.flatnonzero(lens > LONG).tolist()}
+        found = {w: m for w, m in found.items() if m}
+        edits = np.array([self.edits(n) for n in range(LONG + 1)])
+        for k in (1, 2):
+            some = np.flatnonzero((lens <= LONG) & (edits[np.minimum(lens, LONG)] == k))
+            for part in np.split(some, range(BLOCK, len(some), BLOCK)):
+                found |= self._walk([words[i] for i in part.tolist()], lens[part], k)
+        return found
+
+    def _walk(self, words: list[str], lens: np.ndarray, k: int) -> dict[str, tuple[str, int]]:
+        """`match_all` of words of at most LONG letters that may be misspelt in k.
+
+        A state is (word, node, k+1 rows); states that are alive are replaced by those of the node's children, a chunk at a time.
+        """
+        one = np.uint64(1)
+        strange = len(self._letters)
+        mask = np.zeros((len(words), strange + 1), np.uint64)  # a letter's places in each word; the last: letters of no term
+        codes = np.array([self._letters.get(c, strange) for c in "".join(words)], np.int64)
+        owner = np.repeat(np.arange(len(words)), lens)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)
+        np.bitwise_or.at(mask, (owner, codes), np.uint64(2) << place.astype(np.uint64))
+        bag = np.zeros(len(words), np.uint64)
+        np.bitwise_or.at(bag, owner[codes < strange], one << (codes[codes < strange] & 63).astype(np.uint64))
+        spare = k - np.bitwise_count(mask[:, strange]).astype(np.int64)  # each letter of no term is an edit
+        goal = one << lens.astype(np.uint64)
+        within = (goal << one) - one
+        reach = sum(one << np.uint64(d) for d in range(2 * k + 1)) << (lens - k).astype(np.uint64)  # lengths of terms within k
+        best = np.full(len(words), np.iinfo(np.int64).max)
+        start = [np.full(len(words), (1 << (j + 1)) - 1, np.uint64) for j in range(k + 1)]
+        likely = np.flatnonzero(spare >= 0)
+        stack = [(likely, np.zeros(len(likely), np.int64), [r[likely] for r in start])]
+        while stack:
+            word, node, rows = stack.pop()
+            many = self._children[node]
+            if many.sum() > STATES and len(word) > 1:
+                half = len(word) // 2
+                stack += [(word[c], node[c], [r[c] for r in rows]) for c in (slice(half), slice(half, None))]
+                continue
+            up = np.repeat(np.arange(len(word)), many)
+            node = np.arange(len(up)) - np.repeat(np.cumsum(many) - many, many) + self._first[node][up]
+            mine = word[up]
+            near = np.flatnonzero(((self._below[node] & reach[mine]) > 0)
+                                  & (np.bitwise_count(bag[mine] & self._none[node]) <= spare[mine])
+                                  & (np.bitwise_count(self._every[node] & ~bag[mine]) <= k))
+            up, node = up[near], node[near]
+            word, rows = word[up], [r[up] for r in rows]
+            hit = mask[word, self._letter[node]]
+            new = [(rows[0] << one) & hit]
+            for j in range(1, k + 1):
+                new.append(((rows[j] << one) & hit) | rows[j - 1] | (rows[j - 1] << one) | (new[j - 1] << one))
+            alive = np.flatnonzero(new[k] & within[word])  # what is read with fewer edits is read with k
+            word, node, rows = word[alive], node[alive], [r[alive] for r in new]
+            term = self._term[node]
+            for j in range(k, -1, -1):
+                end = np.flatnonzero((term >= 0) & ((rows[j] & goal[word]) > 0))
+                end = end[self._most[term[end]] >= j]
+                np.minimum.at(best, word[end], j * len(self.terms) + term[end])
+            if len(word):
+                stack.append((word, node, rows))
+        got = np.flatnonzero(best < np.iinfo(np.int64).max)
+        return {words[w]: (self.terms[v % len(self.terms)], v // len(self.terms)) for w, v in zip(got.tolist(), best[got].tolist(), strict=True)}
 
     def stem(self, word: str) -> str | None:
         return next((word[:n] for n in self._stem_lengths if word[:n] in self._stems), None)
 
 
-def _deletions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words, and of the words without any one or two characters (as many as they
-    may be misspelt in); and the word of each."""
-    up, down = powers(max(map(len, words), default=0) + 1)
-    lens = np.array([len(w) for w in words], np.int64)
-    hashes, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for n in np.unique(lens).tolist():
-        same = np.flatnonzero(lens == n)
-        for some in np.split(same, range(1024, len(same), 1024)):
-            points = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32).reshape(len(some), n)
-            sums = np.zeros((len(some), n + 1), np.uint64)
-            np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * up[:n], axis=1, out=sums[:, 1:])
-            found = [sums[:, n:]]
-            if Lexicon.edits(n) > 0:
-                found.append(sums[:, :n] + (sums[:, n:] - sums[:, 1:]) * down[1])
-            if Lexicon.edits(n) > 1:
-                i, j = np.triu_indices(n, 1)
-                found.append(sums[:, i] + (sums[:, j] - sums[:, i + 1]) * down[1] + (sums[:, n:] - sums[:, j + 1]) * down[2])
-            found = np.concatenate(found, axis=1)
-            hashes.append(mix(found).ravel())
-            of.append(np.repeat(some, found.shape[1]))
-    return np.concatenate(hashes), np.concatenate(of)
-
-
 class Finder:
     """Finds a lexicon's hits in a batch of words.
 
-    A worker looks at each different word once. Two words within k edits become equal
-    when at most k characters of each are left out, so the automaton reads those words that
-    share such a remainder with a term, over the trie of these terms. The comparison
-    is by characters of the lower-cased word, whatever their bytes.
+    A worker looks at each different word once; the automata of a batch's new words walk the
+    whole trie side by side. The comparison is by characters of the lower-cased word, whatever their bytes.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
         self.terms = frozenset(lexicon.terms)
-        self.short = [t for t in lexicon.terms if len(t) <= LONG + 2]
-        near, owner = _deletions(self.short)
-        order = np.argsort(near, kind="stable")
-        self.near, self.owner = near[order], owner[order]
-        self.long: dict[int, list[str]] = {}
-        for t in lexicon.terms:
-            if len(t) > LONG - 2:
-                self.long.setdefault(len(t), []).append(t)
         self.longest = max(map(len, lexicon.terms), default=0) + 2
         self.key = (tuple(lexicon.terms), tuple(lexicon.stems))
 
-    def _nearest(self, words: list[str]) -> dict[str, tuple[str, int]]:
-        """The nearest terms of those words that have one within reach."""
-        long = {w: [t for n in range(len(w) - 2, len(w) + 3) for t in self.long.get(n, ())] for w in words if len(w) > LONG}
-        words = [w for w in words if len(w) <= LONG]
-        hashes, of = _deletions(words)
-        some = np.flatnonzero(member(hashes, self.near))
-        first, last = (np.searchsorted(self.near, hashes[some], side) for side in ("left", "right"))
-        among: dict[int, set[int]] = {}
-        for i, a, b in zip(of[some].tolist(), first.tolist(), last.tolist(), strict=True):
-            among.setdefault(i, set()).update(self.owner[a:b].tolist())
-        found = {words[i]: self.lexicon.match(words[i], [self.short[t] for t in terms]) for i, terms in among.items()}
-        found |= {w: self.lexicon.match(w, terms) for w, terms in long.items() if terms}
-        return {word: m for word, m in found.items() if m}
-
     def _hits(self, words: list[str]) -> list[tuple[int, str] | None]:
         """(kind, term) of lower-cased words."""
-        near = self._nearest(list({w for w in words if 5 <= len(w) <= self.longest and w not in self.terms}))
+        near = self.lexicon.match_all(list({w for w in words if 5 <= len(w) <= self.longest and w not in self.terms}))
         out: list[tuple[int, str] | None] = []
         for w in words:
             if w in self.terms:
