@@ -172,6 +172,55 @@ def test_a_stock_phrase_is_no_copy(spark):
     assert got == {(2, 77): 1.0, (4, 5): 1.0}
 
 
+def test_index_against_its_definition():
+    """Seeds, their places and word weights of random items against the rule item by item; stretches against windows found one by one."""
+    from collections import Counter
+    from math import ceil, log
+
+    import numpy as np
+
+    from tidemark.llm import decontaminate as D
+    from tidemark.llm.words import grams
+
+    rng = np.random.default_rng(3)
+    vocab = rng.integers(1, 2**63, 40, dtype=np.uint64)
+    items = [vocab[rng.integers(0, 40 if k % 3 else 6, k % 17)] for k in range(120)]
+    held = [grams(h, min(3, len(h))).tolist() if len(h) else [] for h in items]
+    shared = Counter(g for found in held for g in set(found))
+    counts = {g: int(rng.integers(0, 5)) for g in shared if rng.random() < 0.8}
+    want = {}
+    for k, found in enumerate(held):
+        order = sorted(set(found), key=lambda g: (shared[g] > D.SHARED, counts.get(g, 0), g))
+        chosen = order if len(order) <= 4 else order[:ceil(0.75 * len(order))]
+        own = [g for g in chosen if shared[g] <= D.SHARED]
+        for p, g in enumerate(found):
+            if g in (own if len(order) > 4 and len(own) >= 2 else chosen):
+                want.setdefault(g, []).append((k, p))
+    index = D.Index(items, counts)
+    assert index.where == want
+    for k, found in enumerate(held):
+        weights = [max([0.05, *(log(121 / shared[g]) / log(121) for p, g in enumerate(found) if p <= i < p + 3)]) for i in range(len(items[k]))]
+        assert (index.of(k)[0] == items[k]).all() and np.allclose(index.of(k)[1], weights, rtol=0, atol=1e-12)
+    text = np.sort(rng.integers(0, 4, 900))
+    at = rng.integers(0, 80, 900)
+    which = rng.integers(0, len(index.hashes), 900)
+    expected, near = [], defaultdict(list)
+    for t, p, g in zip(text.tolist(), at.tolist(), index.hashes[which].tolist(), strict=True):
+        for k, q in want[g]:
+            near[t, k].append((p - q, p))
+    for (t, k), hits in sorted(near.items()):
+        m, group = len(items[k]), []
+        for start, p in [*sorted(hits), (10**9, 0)]:
+            if group and start - group[-1][0] > m // 4 + 4:
+                if len({x[1] for x in group}) >= min(2, max(1, m - 2)):
+                    expected.append((t, k, max(0, group[0][0] - m // 4 - 4), group[-1][0] + m + m // 4 + 4))
+                group = []
+            group.append((start, p))
+    parts = list(D.runs(text, index.start[which + 1] - index.start[which], 200))
+    assert sorted(x for part in parts for x in index.stretches(text[part], at[part], which[part])) == sorted(expected) and len(expected) > 50
+    assert len(parts) == 4 and sorted(np.concatenate(parts).tolist()) == list(range(900))
+
+
 def test_items_of_shared_grams_alone(spark):
     """Items that hold nothing of their own keep seeds: versions of one text that ten items share in parts."""
     words = prose(40, 17).split()

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -46,66 +45,118 @@ def align(a: np.ndarray, b: np.ndarray, weights: np.ndarray | None = None) -> tu
     return best, end
 
 
-def item_grams(hashes: np.ndarray, n: int = SEED) -> np.ndarray:
-    """An item's n-grams; a shorter item is a seed as a whole."""
-    return grams(hashes, min(n, len(hashes))) if len(hashes) else grams(hashes, n)
-
-
 class Index:
-    """Seeds of a block of items: sorted n-gram hashes, and for each where it stands in which items.
+    """Seeds of a block of items, as sorted arrays: n-gram hashes, and for each where it stands in which items.
 
     With corpus `counts` only the rarest n-grams of each item are seeds, and of these only those that at most
     SHARED items hold; an item that is left with fewer than LEAST_SEEDS takes its rarest, however many share them.
+    An item of fewer than SEED words is one n-gram as a whole.
     `weights` says for each word of each item how rare among the items its rarest n-gram is: 1 where no other item
     has it, LEAST_WEIGHT at least, so that a phrase which many items share weighs little in an alignment with any.
     """
 
-    def __init__(self, items: list[np.ndarray], counts: dict[int, int] | None = None) -> None:
-        self.items = items
-        held = [item_grams(h).tolist() for h in items]
-        shared = Counter(g for found in held for g in set(found))
-        self.sizes = sorted({min(SEED, len(h)) for h in items if len(h)})
-        where: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, found in enumerate(held):
-            chosen = set(found) if counts is None else self._rarest(found, shared, counts)
-            for p, g in enumerate(found):
-                if g in chosen:
-                    where[g].append((k, p))
-        self.weights = [self._weights(len(h), found, shared) for h, found in zip(items, held, strict=True)]
-        self.where = dict(where)
-        self.hashes = np.array(sorted(where), np.uint64)
+    def __init__(self, items: list[np.ndarray], counts: Mapping[int, int] | None = None) -> None:
+        self.lengths = np.array([len(h) for h in items], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.lengths)])
+        self.words = np.concatenate([np.zeros(0, np.uint64), *items])
+        self.sizes = sorted(set(np.minimum(self.lengths[self.lengths > 0], SEED).tolist()))
+        gram, place, item = self._grams()
+        known, which = np.unique(gram, return_inverse=True)
+        pair, of_pair = np.unique(item * max(len(known), 1) + which, return_inverse=True)  # an item's different n-grams
+        pair_item, pair_gram = pair // max(len(known), 1), pair % max(len(known), 1)
+        shared = np.bincount(pair_gram, minlength=len(known))
+        self._weigh(shared[which], place, item)
+        if counts is not None:
+            n = np.fromiter((counts.get(g, 0) for g in known.tolist()), np.int64, len(known))
+            seeds = self._rarest(pair_item, shared[pair_gram], n[pair_gram], known[pair_gram])[of_pair]
+            gram, place, item = gram[seeds], place[seeds], item[seeds]
+        order = np.lexsort((place, item, gram))
+        self.hashes, start = np.unique(gram[order], return_index=True)
+        self.start = np.append(start, len(order))
+        self.item, self.place = item[order].astype(np.int32), (place - self.first[item])[order].astype(np.int32)
         self.sieve = np.zeros(int(_LOW) + 1, bool)
         self.sieve[(self.hashes & _LOW).astype(np.int64)] = True
 
+    def _grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The n-grams of all items, where they stand in `words`, and their items."""
+        of_word = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        size = np.minimum(self.lengths, SEED)[of_word]
+        found, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for n in self.sizes:
+            g = grams(self.words, n)
+            p = np.arange(len(g))
+            p = p[(size[p] == n) & (of_word[p] == of_word[p + n - 1])]
+            found.append(g[p])
+            places.append(p)
+        places = np.concatenate(places)
+        return np.concatenate(found), places, of_word[places]
+
+    def _weigh(self, shared: np.ndarray, place: np.ndarray, item: np.ndarray) -> None:
+        total = math.log(len(self.lengths) + 1)
+        weight = np.log((len(self.lengths) + 1) / shared) / total if len(shared) else np.zeros(0)
+        self._weights = np.full(len(self.words), LEAST_WEIGHT)
+        for t in range(SEED):
+            inside = place + t < self.first[item + 1]
+            np.maximum.at(self._weights, place[inside] + t, weight[inside])
+
     @staticmethod
-    def _rarest(found: list[int], shared: Counter, counts: dict[int, int]) -> set[int]:
-        order = sorted(set(found), key=lambda g: (shared[g] > SHARED, counts.get(g, 0), g))
-        if len(order) <= 4:
-            return set(order)
-        chosen = order[:math.ceil(RAREST * len(order))]
-        own = [g for g in chosen if shared[g] <= SHARED]
-        return set(own) if len(own) >= LEAST_SEEDS else set(chosen)
-
-    def _weights(self, n: int, found: list[int], shared: Counter) -> np.ndarray:
-        rare = np.full(n, LEAST_WEIGHT)
-        total = math.log(len(self.items) + 1)
-        for p, g in enumerate(found):
-            weight = math.log((len(self.items) + 1) / shared[g]) / total
-            rare[p:p + SEED] = np.maximum(rare[p:p + SEED], weight)
-        return rare
+    def _rarest(item: np.ndarray, shared: np.ndarray, n: np.ndarray, gram: np.ndarray) -> np.ndarray:
+        """Which of the items' different n-grams (grouped by item) are seeds."""
+        order = np.lexsort((gram, n, shared > SHARED, item))
+        many = np.bincount(item)
+        rank = np.empty(len(item), np.int64)
+        rank[order] = np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+        chosen = (many <= 4)[item] | (rank < np.ceil(RAREST * many)[item])
+        own = chosen & (shared <= SHARED)
+        enough = np.bincount(item, weights=own, minlength=len(many)) >= LEAST_SEEDS
+        return np.where(((many > 4) & enough)[item], own, chosen)
+
+    @property
+    def where(self) -> dict[int, list[tuple[int, int]]]:
+        """Each seed's (item, place) pairs."""
+        pairs = list(zip(self.item.tolist(), self.place.tolist(), strict=True))
+        return {g: pairs[a:b] for g, a, b in zip(self.hashes.tolist(), self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)}
+
+    def of(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes and weights of item k."""
+        return self.words[self.first[k]:self.first[k + 1]], self._weights[self.first[k]:self.first[k + 1]]
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Positions (in the batch's words) and hashes of all seeds in a batch."""
-        at, found = [], []
+        """Positions (in the batch's words) of all seeds in a batch, and which of `hashes` they are."""
+        at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         text_of = np.repeat(np.arange(len(words)), np.diff(words.ptr))
         for n in self.sizes:
             g = grams(words.hashes, n)
             p = np.flatnonzero(self.sieve[(g & _LOW).astype(np.int64)])
             p = p[text_of[p] == text_of[p + n - 1]]
-            p = p[np.isin(g[p], self.hashes)]
-            at.append(p)
-            found.append(g[p])
-        return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, int), np.zeros(0, np.uint64))
+            k = np.minimum(np.searchsorted(self.hashes, g[p]), len(self.hashes) - 1)
+            same = self.hashes[k] == g[p]
+            at.append(p[same])
+            found.append(k[same])
+        return np.concatenate(at), np.concatenate(found)
+
+    def stretches(self, text: np.ndarray, at: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first word, end) of the stretches to align, by text, item and place: around seeds (`found`, at word `at`
+        of `text`) whose implied starts of an item lie near each other, with a quarter of the item to either side."""
+        many = self.start[found + 1] - self.start[found]
+        up = np.repeat(np.arange(len(found)), many)
+        entry = np.arange(len(up)) - np.repeat(np.cumsum(many) - many, many) + self.start[found][up]
+        text, at, item = text[up], at[up], self.item[entry].astype(np.int64)
+        begin = at - self.place[entry]
+        order = np.lexsort((at, begin, item, text))
+        text, at, item, begin = text[order], at[order], item[order], begin[order]
+        pad = (self.lengths // 4 + 4)[item]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(begin) > pad[1:])
+        group = np.cumsum(new) - 1
+        seeds = np.unique(np.stack([group, at]), axis=1)[0] if len(group) else group  # places, each counted once
+        least = np.minimum(LEAST_SEEDS, np.maximum(1, self.lengths[item] - SEED + 1))[new]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(new)) - 1
+        keep = np.flatnonzero(np.bincount(seeds, minlength=len(first)) >= least)
+        a, b = first[keep], last[keep]
+        yield from zip(text[a].tolist(), item[a].tolist(), np.maximum(0, begin[a] - pad[a]).tolist(),
+                       (begin[b] + self.lengths[item[b]] + pad[b]).tolist(), strict=True)
 
 
 def _counter(index: Index):
@@ -116,25 +167,23 @@ def _counter(index: Index):
                 words = text_words(batch.column(1), trim=True)
                 at, found = index.hits(words)
                 text = np.searchsorted(words.ptr, at, "right") - 1
-                pairs = np.unique(np.stack([text, np.searchsorted(index.hashes, found)]), axis=1) if len(at) else np.zeros((2, 0), int)
+                pairs = np.unique(np.stack([text, found]), axis=1) if len(at) else np.zeros((2, 0), int)
                 total += np.bincount(pairs[1], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
     return count
 
 
-def windows(hits: list[tuple[int, int]], m: int, least: int) -> list[tuple[int, int]]:
-    """Stretches of a text around hits (position, position in the item) whose implied starts lie within
-    an item's length of each other, with a quarter of the item to either side."""
-    pad = m // 4 + 4
-    out, group = [], []
-    for start, at in sorted((p - q, p) for p, q in hits) + [(math.inf, 0)]:
-        if group and start - group[-1][0] > pad:
-            if len({g[1] for g in group}) >= least:
-                out.append((max(0, int(group[0][0]) - pad), int(group[-1][0]) + m + pad))
-            group = []
-        group.append((start, at))
-    return out
+def runs(text: np.ndarray, many: np.ndarray, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """Hits in runs of whole texts that lead to at most `most` places of items together (a text with more stands alone)."""
+    order = np.argsort(text, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(text[order])) + 1, len(order))  # after each text's hits
+    total = np.concatenate([[0], np.cumsum(many[order])])
+    a = 0
+    while a < len(order):
+        b = int(ends[max(np.searchsorted(total[ends], total[a] + most, "right") - 1, np.searchsorted(ends, a, "right"))])
+        yield order[a:b]
+        a = b
 
 
 def _finder(index: Index, keys: list[list], least_score: float, least_words: int, id_type: pa.DataType, item_type: pa.DataType):
@@ -143,25 +192,22 @@ def _finder(index: Index, keys: list[list], least_score: float, least_words: int
             for batch in slices(whole, "text", 1 << 20):
                 words = text_words(batch.column(1), trim=True)
                 at, found = index.hits(words)
-                by_text: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
                 text = np.searchsorted(words.ptr, at, "right") - 1
-                for p, g, t in zip(at.tolist(), found.tolist(), text.tolist(), strict=True):
-                    for item, q in index.where[g]:
-                        by_text[t, item].append((p - int(words.ptr[t]), q))
-                out = []
-                for (t, k), hits in by_text.items():
-                    item, weights, mine = index.items[k], index.weights[k], words.of(t)
-                    m, full = len(item), MATCH * float(index.weights[k].sum())
-                    best = (0.0, 0, 0)
-                    for a, b in windows(hits, m, min(LEAST_SEEDS, max(1, m - SEED + 1))):
+                best: dict[tuple[int, int], tuple[float, int, int]] = {}
+                for part in runs(text, index.start[found + 1] - index.start[found]):
+                    for t, k, a, b in index.stretches(text[part], at[part] - words.ptr[text[part]], found[part]):
+                        (item, weights), mine = index.of(k), words.of(t)
                         score, end = align(item, mine[a:b], weights)
-                        if score / full > best[0] + 1e-9:
+                        score /= MATCH * float(weights.sum())
+                        if score > best.get((t, k), (0.0,))[0] + 1e-9:
                             _, length = align(item[::-1], mine[a:a + end][::-1], weights[::-1])
-                            best = (score / full, a + end - length, a + end)
-                    score = round(best[0], 9)  # sums of weights
+                            best[t, k] = (score, a + end - length, a + end)
+                out = []
+                for (t, k), (score, a, b) in best.items():
+                    score, m = round(score, 9), int(index.lengths[k])  # sums of weights
                     if score >= least_score and score * m >= min(m, least_words) * least_score:
-                        passage = words.text(int(words.ptr[t]) + best[1], int(words.ptr[t]) + best[2])
-                        out += [(batch.column(0)[t].as_py(), key, score, best[1], best[2], passage) for key in keys[k]]
+                        passage = words.text(int(words.ptr[t]) + a, int(words.ptr[t]) + b)
+                        out += [(batch.column(0)[t].as_py(), key, score, a, b, passage) for key in keys[k]]
                 columns = list(zip(*out, strict=True)) or [()] * 6
                 yield pa.record_batch([pa.array(c, ty) for c, ty in zip(columns, (
                     id_type, item_type, pa.float64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
@@ -190,7 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
        its seeds. 3-grams that more than 8 items share are left out where an item
        has two others, so a hit leads to few items. A text's stretches with at least two seeds on nearby diagonals are aligned.
 
-    Documents never move: the items' index goes to them, in blocks of at most
+    Documents never move: the items' index (sorted arrays, about 40 bytes a word) goes to them, in blocks of at most
     8 MB of benchmark text, each a pass over all documents. Null and empty
     texts and items match nothing; an item of fewer than three words is a seed as
     a whole; repeated rows of documents give repeated results, repeated items
@@ -214,8 +260,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
         hashes = [texts.of(of[0]) for of in same.values()]
         keys = [list(dict.fromkeys(rows[i][0] for i in of)) for of in same.values()]
         index = Index(hashes)
-        grams_by_row = base.mapInArrow(_counter(index), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        counts = {int(index.hashes[r["gram"]]): r["n"] for r in grams_by_row.collect()}  # the block's n-grams
+        seen = (base.mapInArrow(_counter(index), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+                .toArrow())  # the block's n-grams
+        counts = dict(zip(index.hashes[seen["gram"].to_numpy()].tolist(), seen["n"].to_pylist(), strict=True))
         part = base.mapInArrow(_finder(Index(hashes, counts), keys, least_score, least_words,
                                        _arrow(kind), _arrow(item_kind)),
                                f"doc_id {kind}, item_id {item_kind}, score double, start long, end long, passage string")
