@@ -99,6 +99,16 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_end_with_the_first_round_that_gives_stars(spark, monkeypatch):
+    from tidemark.llm import groups
+    rounds = []
+    monkeypatch.setattr(groups, "staged", lambda df, label, f=groups.staged: (rounds.append(label), f(df, label))[1])
+    edges = spark.createDataFrame([(i, 1) for i in range(2, 60)] + [(i, 100) for i in range(101, 160)], "a long, b long")
+    got = {r.node: r.component for r in components(edges.repartition(5)).collect()}
+    assert got == {i: 1 for i in range(1, 60)} | {i: 100 for i in range(100, 160)}
+    assert rounds.count("stars") == 1, "stars need no second round to see that nothing changes"
+
+
 def test_rows_that_repeat_an_identifier_with_other_texts(spark):
     """Id 1 has two texts; a near copy of the second is linked with it, whatever the first is."""
     one, two = prose(80, 1), prose(80, 2)

@@ -176,18 +176,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, slots:
                      .agg(least.alias("least"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
                      .orderBy("least").withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", "n", F.posexplode("bands").alias("slot", "value"))
-    buckets = members.groupBy("slot", "value").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    members = staged(members.join(buckets, ["slot", "value"]).select("slot", "value", "node", "n", "hub"), "members")
+    buckets = (members.groupBy("slot", "value").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("n2"), F.count("*").alias("m"))
+               .where("m > 1"))
+    members = staged(members.join(buckets, ["slot", "value"]).select("slot", "value", "node", "n", "hub", "n2"), "members")
 
     involved = classes.select("node", F.col("least.row_key").alias("row_key")).join(members.select("node").distinct(), "node", "left_semi")
     texts = staged(base.select("row_key", "text").join(involved, "row_key").dropDuplicates(["row_key"])
                    .select(F.col("node").alias("doc_id"), "text"), "texts")
 
-    size = classes.select(F.col("node").alias("hub"), F.col("n").alias("n2"))
-    size = size.join(members.select("hub").distinct(), "hub", "left_semi")
-    pairs = (spread_join(members.where("node <> hub").select("node", "n", "hub").distinct(), size, "hub", F.col("node"))
-             # sets of too different sizes cannot be that similar
-             .where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    # sets of too different sizes cannot be that similar
+    pairs = (members.where((F.col("node") != F.col("hub")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
              .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     links = staged(_linked(pairs, texts, shingle, percent), "links")
     labels = components(links)
