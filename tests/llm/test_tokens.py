@@ -36,6 +36,19 @@ def test_added_tokens_as_the_library_encodes_them():
     assert got[1] == [plain.token_to_id("<|endoftext|>")]
 
 
+def test_a_full_cache_is_used_as_it_stands(monkeypatch):
+    monkeypatch.setattr(T, "_TOKENIZERS", {})
+    monkeypatch.setattr(T, "CACHE", 30)
+    texts = [prose(40, i) + "\nend. of line" for i in range(6)]
+    got = [x for i in range(0, 6, 2) for x in T.encode_all(T.tokenizer_path(), texts[i:i + 2] + ["one two", ""])]
+    assert got == [x.tobytes() for i in range(0, 6, 2) for x in ids_of(texts[i:i + 2] + ["one two", ""])]
+    kept = T.load(T.tokenizer_path())[2]
+    T.encode_all(T.tokenizer_path(), ["x one two"])
+    kept_before = dict(kept)
+    T.encode_all(T.tokenizer_path(), [texts[0] + " one two"])
+    assert dict(kept) == kept_before and not {"one", "two"} & set(kept.batch), "only unknown pieces are encoded and held beside the cache"
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes(kind):
     ids = np.random.default_rng(1).integers(0, 2**32, 1001, dtype=np.uint64).astype("<u4")

@@ -133,6 +133,8 @@ def _reader(id_type: pa.DataType):
 
 def _joined_crc(crcs, lengths) -> int:
     """The CRC-32 of a document's parts one after another, from the parts' own (CRC-32 is linear)."""
+    if len(crcs) == 1:
+        return crcs[0]
     total = 0
     for crc, n in zip(crcs, lengths, strict=True):
         zeros = bytes(4 * n)

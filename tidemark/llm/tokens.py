@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import filterfalse, islice
 
 import numpy as np
 
@@ -24,6 +25,15 @@ CACHE = 1_000_000
 _TOKENIZERS: dict[tuple, tuple] = {}
 
 
+class Pieces(dict):
+    """The ids of the pieces that a worker keeps, and behind them those of the batch at hand."""
+
+    batch: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.batch[piece]
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -45,7 +55,7 @@ def load(path: str, special_as_text: bool = False):
         lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             lengths[i] = len(token)  # a byte-level vocabulary writes every byte as one character
-        _TOKENIZERS[key] = (tokenizer, lengths, {})
+        _TOKENIZERS[key] = (tokenizer, lengths, Pieces())
     return _TOKENIZERS[key]
 
 
@@ -85,16 +95,17 @@ def encode_all(path: str, texts: list[str]) -> list[bytes]:
             whole.append(i)
         else:
             split[i] = (" " + text if text[:1] != "\n" else text).replace("\n", " \n").split(" ")[1:]
-    new = list({p for pieces in split.values() for p in pieces[1:]}.difference(cache))
-    ids = dict(zip(new, _pieces(tokenizer, lengths, [p if p[0] == "\n" else " " + p for p in new]), strict=True))
+    missing: set[str] = set()
+    for pieces in split.values():  # a pass without a line of Python per word; most words are known
+        missing.update(filterfalse(cache.__contains__, islice(pieces, 1, None)))
+    new = list(missing)
+    cache.batch = dict(zip(new, _pieces(tokenizer, lengths, [p if p[0] == "\n" else " " + p for p in new]), strict=True))
     if len(cache) + len(new) <= CACHE:
-        cache.update(ids)
-        get = cache.__getitem__
-    else:
-        get = {**{p: cache[p] for pieces in split.values() for p in pieces[1:] if p in cache}, **ids}.__getitem__
+        cache.update(cache.batch)
+    get = cache.__getitem__
     out: list[bytes] = [b""] * len(texts)
     for (i, pieces), head in zip(split.items(), _whole(tokenizer, [p[0] for p in split.values()]), strict=True):
-        out[i] = head + b"".join(map(get, pieces[1:]))
+        out[i] = head + b"".join(map(get, islice(pieces, 1, None)))
     for i, encoded in zip(whole, _whole(tokenizer, [texts[i] for i in whole]), strict=True):
         out[i] = encoded
     return out
