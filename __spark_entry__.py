@@ -192,7 +192,8 @@ def _published(spark: SparkSession, sf: str) -> str:
             spark, {"plans": plans, "customers": customers, "events": events}, base,
             checks=lambda t: Q.union_all([Q.check_unique(t["plans"], "plan_id", "plans.plan_id.unique"),
                                           Q.check_fk(t["events"], t["customers"], "customer_id", "customer_id", "fk")]),
-            derived=lambda t: {J.LEDGER: lambda path: P.write_ledger(M.movements(t["events"], t["customers"], t["plans"]), path)})
+            derived=lambda t: {J.LEDGER: lambda path: P.write_ledger(
+                M.movements(t["events"], t["customers"], t["plans"], by_year=True), path, by_year=True)})
         _PUBLISHED[known] = base
     J.register(spark, _PUBLISHED[known])
     return _PUBLISHED[known]

@@ -6,6 +6,7 @@ import re
 import threading
 import time
 
+import helpers as H
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,3 +239,20 @@ def test_only_the_months_folder_is_read(static, stored, tmp_dir, pick):
     assert scanned_partitions(picked) == [1] and len(glob.glob(f"{tmp_dir}/ledger/month_date=*")) > 50
     unpruned = pick(static.createDataFrame(ledger.toPandas(), ledger.schema), month).select("customer_id", "month_date", "current_mrr")
     assert got == rows(unpruned) and got
+
+
+def test_a_ledger_by_year_has_the_same_rows_and_shuffles_no_dense_ones(spark, tmp_dir):
+    days = ["2023-11-05", "2024-01-01", "2024-01-31", "2024-12-31", "2026-02-03"]
+    rows = [(f"e{c}-{i}", f"cust_{c}", plan, "signup", day, i * 10 + c) for c in range(1, 4) for i, (day, plan) in
+            enumerate(zip(days[c - 1:], ["plan_pro", None, "plan_basic", "plan_gone", "plan_pro"]))]
+    events, customers, plans = H.events(spark, rows), H.customers(spark, ["cust_1", "cust_2", "cust_3"]), H.plans(spark)
+    want = M.movements(events, customers, plans)
+    seg = M.with_plan_names(M.segments(events, customers), plans)
+    assert seg.count() < M.cut_by_year(seg).count() < want.count() / 2
+    P.write_ledger(M.movements(events, customers, plans, by_year=True), f"{tmp_dir}/ledger", by_year=True)
+    stored = spark.read.parquet(f"{tmp_dir}/ledger").select(*S.MOVEMENT_COLUMNS)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, want.collect()))
+    closes = M.movements_of_closes(M.month_close(events), customers, plans, by_year=True, partitions=3)
+    assert sorted(map(str, closes.collect())) == sorted(map(str, want.collect()))
+    plan = M.movements(events, customers, plans, by_year=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("posexplode(") < plan.index("RebalancePartitions"), "dense rows are made behind the shuffle by year"

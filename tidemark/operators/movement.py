@@ -142,6 +142,25 @@ def with_plan_names(seg: DataFrame, plans: DataFrame) -> DataFrame:
     return seg.join(cur, "current_plan_id", "left").join(pri, "prior_plan_id", "left")
 
 
+def cut_by_year(seg: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Segments cut where a year ends and brought together by year; `expand` makes the same rows of them.
+
+    A piece that does not open its segment has the segment's own values as its prior
+    ones. Pieces are several times fewer than dense rows, so a ledger that is stored by
+    month is shuffled before it is dense; a task then holds the months of few years.
+    ``partitions`` sets the shuffle's initial count; AQE splits a large year by its size."""
+    opening = F.col("year") == F.year("month_date")
+    changed = {
+        "month_date": F.when(opening, F.col("month_date")).otherwise(F.make_date("year", F.lit(1), F.lit(1))),
+        "segment_end": F.least("segment_end", F.make_date("year", F.lit(12), F.lit(1))),
+        **{c: F.when(opening, F.col(c)).otherwise(F.col(c.replace("prior_", "current_"))) for c in seg.columns if c.startswith("prior_")},
+    }
+    # prior_mrr stands for current_mrr, which the month's close never leaves missing
+    pieces = seg.select("*", F.explode(F.sequence(F.year("month_date"), F.year("segment_end"))).alias("year"))
+    pieces = pieces.select("year", *[changed.get(c, F.col(c)).alias(c) for c in seg.columns])
+    return pieces.hint("rebalance", *([partitions] if partitions else []), "year").drop("year")
+
+
 def expand(seg: DataFrame) -> DataFrame:
     """Dense rows from segment rows: month_date, prev_mrr, prev_plan_id (and
     prev_plan_name when present), mrr_change and mrr_category."""
@@ -190,19 +209,22 @@ def classified_movements(events: DataFrame) -> DataFrame:
 
 def movements(events: DataFrame, customers: DataFrame, plans: DataFrame,
               bounds_events: DataFrame | None = None, partitions: int | None = None,
-              end: Column | None = None) -> DataFrame:
+              end: Column | None = None, by_year: bool = False) -> DataFrame:
     """The full ledger, enriched with customer attributes (inner join)
-    and prior/current plan names (left joins), in the model's column order."""
+    and prior/current plan names (left joins), in the model's column order.
+    ``by_year``: the rows of a year in few tasks, to be stored by month (``cut_by_year``)."""
     seg = with_plan_names(segments(events, customers, bounds_events=bounds_events, partitions=partitions, end=end),
                           plans)
-    return expand(seg).select(*S.MOVEMENT_COLUMNS)
+    return expand(cut_by_year(seg, partitions) if by_year else seg).select(*S.MOVEMENT_COLUMNS)
 
 
-def movements_of_closes(closes: DataFrame, customers: DataFrame, plans: DataFrame, end: Column | None = None) -> DataFrame:
+def movements_of_closes(closes: DataFrame, customers: DataFrame, plans: DataFrame, end: Column | None = None,
+                        by_year: bool = False, partitions: int | None = None) -> DataFrame:
     """M7-M15 from month-close rows (``month_close``): the same ledger. Where ``closes`` and
     ``customers`` are stored in the same buckets by customer, nothing is shuffled below the window."""
     last = end if end is not None else closes.select(F.max("month_date")).scalar()
-    return expand(with_plan_names(close_segments(closes, last, customers), plans)).select(*S.MOVEMENT_COLUMNS)
+    seg = with_plan_names(close_segments(closes, last, customers), plans)
+    return expand(cut_by_year(seg, partitions) if by_year else seg).select(*S.MOVEMENT_COLUMNS)
 
 
 # ------------------------------------------------- composable step-by-step form

@@ -66,7 +66,7 @@ def refresh(spark: SparkSession, plans_path: str, customers_path: str, events_pa
             version_path = path.removesuffix(f"/{LEDGER}")
             stored_closes = read_clustered(spark, f"{version_path}/{CLOSES}", layouts[CLOSES])
             end = MonthBounds(spark, f"{version_path}/events").end()
-            P.write_ledger(movements_of_closes(stored_closes, stored["customers"], stored["plans"], end), path, partitions=partitions)
+            P.write_ledger(movements_of_closes(stored_closes, stored["customers"], stored["plans"], end, True, partitions), path, by_year=True)
         return {CLOSES: lambda path: write_clustered(closes, path, layouts[CLOSES]), LEDGER: ledger}
 
     def ledger_checks(stored: dict[str, DataFrame]) -> DataFrame:

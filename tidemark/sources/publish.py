@@ -24,6 +24,10 @@ __all__ = ["MANIFEST", "PublishError", "current_version", "load_counts", "publis
            "stored_counts", "write_ledger"]
 
 
+#: Month files that a task of ``write_ledger`` has open at once; rows of further months are sorted.
+WRITERS = 24
+
+
 class PublishError(RuntimeError):
     pass
 
@@ -133,16 +137,24 @@ def read_published(spark: SparkSession, base: str, name: str, version: str | Non
 
 
 def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists",
-                 partitions: int | None = None) -> None:
+                 partitions: int | None = None, by_year: bool = False) -> None:
     """Write a ledger partitioned by ``month_date``: a month filter on the stored
     ledger then prunes whole folders instead of scanning every month.
 
     A rebalance on the month puts a month's rows together; at run time AQE merges
     small months into one task and splits a large one over several, by the sizes
     of the shuffle. There is no sampling pass, so the ledger is evaluated once.
-    ``partitions`` sets the shuffle's initial count."""
+    ``partitions`` sets the shuffle's initial count. ``by_year``: the rows come together by
+    year already (``movements(by_year=True)``), and no dense row is shuffled. A task keeps the
+    files of up to WRITERS months open, so that its rows need no sort by month."""
     keys = [partitions, "month_date"] if partitions else ["month_date"]
-    ledger.hint("rebalance", *keys).write.mode(mode).partitionBy("month_date").parquet(path)
+    spark, limit = ledger.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(max(WRITERS, int(before))))
+    try:
+        (ledger if by_year else ledger.hint("rebalance", *keys)).write.mode(mode).partitionBy("month_date").parquet(path)
+    finally:
+        spark.conf.set(limit, before)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
