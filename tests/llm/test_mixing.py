@@ -64,3 +64,12 @@ def test_odd_rows_and_empty(spark):
     assert all(0 <= r.copies <= 3 for r in rows)
     assert mixed(frame(spark, [])).count() == 0
     assert [r.taken for r in mixed(frame(spark, [(1, "", "a"), (2, None, None)])).collect()] == [0, 0]
+
+
+def test_documents_are_joined_with_their_source_and_interval_only(spark):
+    """Each join of a step holds a table, a thread and buffers of the driver's memory; long, part and other documents share theirs."""
+    docs = [(s * 1000 + i, prose(200 if i == 0 else 20, i), f"s{s}") for s in range(2) for i in range(300)] + [(5000, "one", None)]
+    rows = mixed(frame(spark, docs))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 2, plan
+    assert rows.count() == len(docs)

@@ -12,6 +12,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 LONG = 200
 #: Rank intervals per source; only the interval in which a source's target falls is ranked row by row.
 INTERVALS = 1024
+#: The interval of a source's long documents.
+LONG_DOCS = -1
 
 
 def uniform(id_col: Column, seed: str) -> Column:
@@ -21,7 +23,7 @@ def uniform(id_col: Column, seed: str) -> Column:
 
 
 def source_targets(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """`target` words for each row (source, source_size) of a table of sources.
+    """`target` words for each row (source, source_size) of a table of sources, whose other columns stay.
 
     Sources in code-point order, null last, weigh `cycle`, repeating. They share
     the total by weight; a share stops at `most` times the source's size and the
@@ -40,8 +42,7 @@ def source_targets(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most:
     reached = F.min(F.when(F.col("level") <= F.col("source_size") * most / F.col("weight"),
                            F.struct((F.col("source_size") * most / F.col("weight")).alias("cap"), "level")))
     return levels.withColumn("t", reached.over(every)["level"]).select(
-        "source", "source_size", F.least(F.col("t") * F.col("weight"), (F.col("source_size") * most).cast("double"))
-        .alias("target"))
+        *sources.columns, F.least(F.col("t") * F.col("weight"), (F.col("source_size") * most).cast("double")).alias("target"))
 
 
 def mixed(docs: DataFrame, seed: str = "mix", cycle: tuple[int, ...] = (1, 2, 3), most: int = 3,
@@ -62,7 +63,9 @@ def mixed(docs: DataFrame, seed: str = "mix", cycle: tuple[int, ...] = (1, 2, 3)
     leave and the prefix ends within half a small document of the target. The
     prefix is found by adding up words per (source, rank interval); only the
     interval in which the target falls is summed row by row, so a source with a
-    third of all rows is never one task.
+    third of all rows is never one task. Documents are joined twice, with their
+    source and with their interval; the long ones of a source count as one more
+    interval, LONG_DOCS.
 
     Null text has size 0, a null source is a source of its own, a null doc_id is
     sampled as "null", rows that repeat a doc_id are sampled row by row, an empty
@@ -73,52 +76,51 @@ def mixed(docs: DataFrame, seed: str = "mix", cycle: tuple[int, ...] = (1, 2, 3)
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.greatest(F.coalesce(weight, F.lit(1.0)), F.lit(0.0)).alias("w")), "sized")
-    is_long = F.col("size") * LONG > F.col("source_size")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("w")).alias("ww"))
-    targets = (source_targets(sums.select("source", "source_size"), cycle, most)
-               .withColumnRenamed("source", "s").join(sums.select("source", "ww"), F.col("s").eqNullSafe(F.col("source")))
-               .select("s", "source_size", "target",
+    targets = (source_targets(sums, cycle, most)
+               .select(F.col("source").alias("s"), "source_size", "target",
                        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole"),
                        F.when(F.col("ww") > 0, F.col("source_size") / F.col("ww")).otherwise(1.0).alias("per_w"))
                .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
     targets = staged(targets, "targets")
     p = F.least(F.col("rest") / F.col("source_size") * F.col("w") * F.col("per_w"), F.lit(1.0))
     u = uniform(F.col("doc_id"), seed)
-    ranked = (sized.join(targets, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    ranked = (sized.join(targets, F.col("source").eqNullSafe(F.col("s")))
               .withColumn("p", F.when(F.col("source_size") > 0, p).otherwise(0.0))
               .withColumn("q", F.when(F.col("p") > 0, u / (1 - u) * ((1 - F.col("p")) / F.col("p"))))
               # rank in [0, 1], rising with q; 1 where nothing is to be sampled
               .withColumn("rank", F.when(F.col("q").isNull(), 1.0).otherwise(F.col("q") / (1 + F.col("q"))))
-              .withColumn("is_long", is_long)
-              .withColumn("interval", F.least(F.floor(F.col("rank") * INTERVALS), F.lit(INTERVALS - 1)).cast("int")))
+              .withColumn("interval", F.when(F.col("size") * LONG > F.col("source_size"), F.lit(LONG_DOCS)).otherwise(
+                  F.least(F.floor(F.col("rank") * INTERVALS), F.lit(INTERVALS - 1)).cast("int"))))
+    ranked = staged(ranked.select("doc_id", "source", "size", "source_size", "target", "whole", "rest", "rank", "interval",
+                                  (F.col("p") > 0).alias("sampled")), "ranked")
 
     # the few long documents of each source, to their own share
-    by_rank = ["rank", F.col("doc_id").asc_nulls_last(), "size"]
-    long_order = Window.partitionBy("source").orderBy(*by_rank).rowsBetween(Window.unboundedPreceding, 0)
-    long_all = Window.partitionBy("source")
-    long_docs = ranked.where("is_long").withColumn("upto", F.sum("size").over(long_order)).withColumn(
-        "extra", F.col("upto") - F.col("size") / 2 <= F.col("rest") * (F.sum("size").over(long_all) / F.col("source_size")))
-    long_docs = long_docs.where("p > 0").unionByName(long_docs.where("p <= 0").withColumn("extra", F.lit(False)))
-    long_taken = long_docs.where("extra").groupBy(F.col("source").alias("ls")).agg(F.sum("size").alias("long_taken"))
-
-    # words of the other documents by rank interval
-    left = staged(targets.join(long_taken, F.col("s").eqNullSafe(F.col("ls")), "left")
-                  .select("s", (F.col("rest") - F.coalesce("long_taken", F.lit(0))).alias("left")), "left")
-    ordinary = ranked.where("not is_long")
-    cells = ordinary.groupBy(F.col("source").alias("cs"), F.col("interval").alias("ci")).agg(F.sum("size").alias("cell"))
-    upto = Window.partitionBy("cs").orderBy("ci").rowsBetween(Window.unboundedPreceding, 0)
-    cells = staged(cells.withColumn("before", F.sum("cell").over(upto) - F.col("cell"))
-                   .join(left, F.col("cs").eqNullSafe(F.col("s")))
-                   .select("cs", "ci", "before", "left",
-                           F.when(F.col("before") + F.col("cell") <= F.col("left"), "all")
-                           .when(F.col("before") >= F.col("left"), "none").otherwise("part").alias("state")), "cells")
-    placed = ordinary.join(cells, (F.col("interval") == F.col("ci")) & F.col("source").eqNullSafe(F.col("cs")))
-    part_order = Window.partitionBy("source", "interval").orderBy(*by_rank).rowsBetween(Window.unboundedPreceding, 0)
-    part = placed.where("state = 'part'").withColumn(
-        "extra", (F.col("before") + F.sum("size").over(part_order) - F.col("size") / 2 <= F.col("left")) & (F.col("p") > 0))
-    rest = placed.where("state <> 'part'").withColumn("extra", (F.col("state") == "all") & (F.col("p") > 0))
-
-    out = ["doc_id", "source", "size", "source_size", "target",
-           (F.col("whole") + F.col("extra").cast("long")).cast("long").alias("copies")]
-    rows = long_docs.select(*out).unionByName(part.select(*out)).unionByName(rest.select(*out))
+    order = (Window.partitionBy("source", "interval").orderBy("rank", F.col("doc_id").asc_nulls_last(), "size")
+             .rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("size").over(order) - F.col("size") / 2
+    words = F.sum("size").over(Window.partitionBy("source", "interval"))
+    long_docs = ranked.where(F.col("interval") == LONG_DOCS).withColumn("share", F.col("rest") * (words / F.col("source_size")))
+    long_taken = F.when((upto <= F.col("share")) & F.col("sampled"), F.col("size")).otherwise(0)
+
+    # words by source and rank interval: those taken of the long documents, all of the others
+    cells = (long_docs.select("source", "interval", "rest", "share", long_taken.alias("cell"))
+             .unionByName(ranked.where(F.col("interval") != LONG_DOCS)
+                          .select("source", "interval", "rest", F.lit(None).cast("double").alias("share"), F.col("size").alias("cell")))
+             .groupBy("source", "interval").agg(*[F.max(c).alias(c) for c in ("rest", "share")], F.sum("cell").alias("cell")))
+    of_source, is_long = Window.partitionBy("source"), F.col("interval") == LONG_DOCS
+    before = F.sum(F.when(is_long, 0).otherwise(F.col("cell"))).over(of_source.orderBy("interval").rowsBetween(Window.unboundedPreceding, 0))
+    cells = (cells.withColumn("before", before - F.col("cell"))
+             .withColumn("left", F.col("rest") - F.coalesce(F.max(F.when(is_long, F.col("cell"))).over(of_source), F.lit(0))))
+    cells = staged(cells.select(F.col("source").alias("cs"), F.col("interval").alias("ci"),
+                                F.when(is_long, 0).otherwise(F.col("before")).alias("before"),
+                                F.when(is_long, F.col("share")).otherwise(F.col("left")).alias("limit"),
+                                F.when(is_long, "part").when(F.col("before") + F.col("cell") <= F.col("left"), "all")
+                                .when(F.col("before") >= F.col("left"), "none").otherwise("part").alias("state")), "cells")
+
+    placed = ranked.join(cells, (F.col("interval") == F.col("ci")) & F.col("source").eqNullSafe(F.col("cs")))
+    part = placed.where("state = 'part'").withColumn("extra", (F.col("before") + upto <= F.col("limit")) & F.col("sampled"))
+    rest = placed.where("state <> 'part'").withColumn("extra", (F.col("state") == "all") & F.col("sampled"))
+    rows = part.unionByName(rest).select("doc_id", "source", "size", "source_size", "target",
+                                         (F.col("whole") + F.col("extra").cast("long")).cast("long").alias("copies"))
     return rows.withColumn("taken", F.col("size") * F.col("copies"))
