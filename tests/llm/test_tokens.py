@@ -49,6 +49,47 @@ def test_a_full_cache_is_used_as_it_stands(monkeypatch):
     assert dict(kept) == kept_before and not {"one", "two"} & set(kept.batch), "only unknown pieces are encoded and held beside the cache"
 
 
+def test_a_word_needs_the_library_once_whatever_stands_behind_it(monkeypatch):
+    monkeypatch.setattr(T, "_TOKENIZERS", {})
+    T.encode_all(T.tokenizer_path(), ["the kettle. A kettle's lid"])
+    texts = ["one kettle, two kettle!! kettle's (kettle) kettle.\nthe lid"]
+    assert T.encode_all(T.tokenizer_path(), texts) == [x.tobytes() for x in ids_of(texts)]
+    kept = T.load(T.tokenizer_path())[2]
+    assert set(kept.batch) == {"!!", "(kettle", ")", ",", "\nthe", "one", "two"}, "only what no text held before"
+
+
+@pytest.mark.parametrize("cache", [0, 500, 1 << 21])
+@pytest.mark.parametrize("crowded", [False, True])
+def test_pieces_by_their_bytes(monkeypatch, cache, crowded):
+    monkeypatch.setattr(T, "_TOKENIZERS", {})
+    monkeypatch.setattr(T, "CACHE", cache)
+    monkeypatch.setattr(T, "BLOCK", 70)  # a text of many pieces is looked up in parts
+    if crowded:  # every piece starts on one of four slots
+        monkeypatch.setattr(T.Pieces, "_home", lambda self, low, high: (low & np.uint64(3)).astype(np.int64))
+    rng = random.Random(6)
+    sizes = [1, 2, 6, 7, 8, 9, 13, 14, 15, 16, 63, 64, 200]
+    ends = ["", "\0", "\0\0", ".", ",", "'s", "'S", "!?", "é.", "1.5", "_x", "-\t-", "日", "\x7f"]
+    words = ["".join(rng.choice("abé7") for _ in range(rng.choice(sizes))) + rng.choice(ends) for _ in range(1500)]
+    texts = [rng.choice(["", " ", "\n", "."]) + rng.choice([" ", "\n"]).join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(300)]
+    want = [x.tobytes() for x in ids_of(texts)]
+    got = [x for i in range(0, 300, 5) for x in T.encode_all(T.tokenizer_path(), texts[i:i + 5])]
+    assert got == want and T.encode_all(T.tokenizer_path(), texts) == want
+    kept = dict(T.load(T.tokenizer_path())[2])
+    pieces = [p.decode() for p in kept]
+    assert len(kept) <= cache and [kept[p.encode()] for p in pieces] == [x.tobytes() for x in ids_of(pieces)]
+    assert bool(kept) == bool(cache)
+
+
+def test_many_pieces_are_found_again_and_stay_small(monkeypatch):
+    monkeypatch.setattr(T, "_TOKENIZERS", {})
+    texts = [" ".join(f"w{i:x}" for i in range(a, a + 20_000)) for a in range(0, 100_000, 20_000)]
+    first = [T.encode_all(T.tokenizer_path(), [t])[0] for t in texts]
+    kept = T.load(T.tokenizer_path())[2]
+    assert len(kept) == 100_000 and not kept.long
+    assert kept.slots.nbytes + kept.ids.nbytes < 100 * len(kept)
+    assert T.encode_all(T.tokenizer_path(), texts) == first == [x.tobytes() for x in ids_of(texts)] and not kept.batch
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes(kind):
     ids = np.random.default_rng(1).integers(0, 2**32, 1001, dtype=np.uint64).astype("<u4")
